@@ -97,28 +97,28 @@ def fold_lines(events: DataFrame, keys: list[str], minutes: int = STRETCH_MINUTE
     return lines.where(F.col("qty") > 0).select(*keys, "qty", "added_at")
 
 
-def with_round(events: DataFrame, minutes: int = STRETCH_MINUTES) -> DataFrame:
-    """Adds ``round``: how often the cart was submitted before the event.
+def with_submit(events: DataFrame, minutes: int = STRETCH_MINUTES) -> DataFrame:
+    """Adds ``record_id`` and ``submitted_at``: the next submit of the cart, NULL if none follows.
 
-    Counted within each stretch first; the counts of whole stretches are then added up per cart.
+    It is looked for in the event's own stretch first, then among the first submits of later stretches.
     """
-    events = events.withColumn("_stretch", _stretch(events, minutes)).withColumn(
-        "_submit", F.when(F.col("action") == "submit", 1).otherwise(0)
-    )
     stretch = ["cart_id", "_stretch"]
-    before = Window.partitionBy("cart_id").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    totals = events.groupBy(*stretch).agg(F.sum("_submit").alias("_total"))
-    starts = totals.select(*stretch, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
-    within = (
-        Window.partitionBy(*stretch)
-        .orderBy("ts", "event_id")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    local = events.withColumn("_local", F.coalesce(F.sum("_submit").over(within), F.lit(0)))
+    submit = F.when(F.col("action") == "submit", F.struct("ts", "event_id"))
+    events = events.withColumn("_stretch", _stretch(events, minutes)).withColumn("_submit", submit)
+    firsts = events.groupBy(*stretch).agg(F.min("_submit").alias("_first"))
+
+    def after(keys: list[str], *order: str) -> Window:
+        backwards = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+        return backwards.rowsBetween(Window.unboundedPreceding, -1)
+
+    following = firsts.select(*stretch, F.min("_first").over(after(["cart_id"], "_stretch")).alias("_far"))
+    near = events.withColumn("_near", F.min("_submit").over(after(stretch, "ts", "event_id")))
+    closing = F.coalesce("_near", "_far")
     return (
-        local.join(starts, stretch)
-        .withColumn("round", F.col("_start") + F.col("_local"))
-        .drop("_start", "_local", "_submit")
+        near.join(following, stretch)
+        .withColumn("record_id", closing["event_id"])
+        .withColumn("submitted_at", closing["ts"])
+        .drop("_submit", "_near", "_far")
     )
 
 
@@ -130,36 +130,27 @@ def _named(lines: DataFrame, products: DataFrame) -> DataFrame:
     return lines.join(products.select("barcode", "name"), "barcode")
 
 
+_RECORD = ["record_id", "cart_id", "submitted_at"]
+
+
+def _all_lines(events: DataFrame, minutes: int) -> DataFrame:
+    return fold_lines(with_submit(events, minutes), [*_RECORD, "barcode"], minutes)
+
+
 def cart_state(
     events: DataFrame, products: DataFrame, minutes: int = STRETCH_MINUTES
 ) -> DataFrame:
     """Lines in the carts after the last event: what was not submitted."""
-    rounds = with_round(events, minutes)
-    submits = _submits(rounds)
-    lines = fold_lines(rounds, ["cart_id", "round", "barcode"], minutes)
-    live = lines.join(submits, ["cart_id", "round"], "left_anti")
+    live = _all_lines(events, minutes).where(F.col("record_id").isNull())
     return _named(live, products).select("cart_id", "barcode", "name", "qty", "added_at")
 
 
-def _submits(rounds: DataFrame) -> DataFrame:
-    return rounds.where(F.col("action") == "submit").select(
-        "cart_id",
-        "round",
-        F.col("event_id").alias("record_id"),
-        F.col("ts").alias("submitted_at"),
-    )
-
-
 def submitted_lines(
     events: DataFrame, products: DataFrame, minutes: int = STRETCH_MINUTES
 ) -> DataFrame:
     """Lines of every submitted cart. An empty cart gives none."""
-    rounds = with_round(events, minutes)
-    lines = fold_lines(rounds, ["cart_id", "round", "barcode"], minutes)
-    sent = lines.join(_submits(rounds), ["cart_id", "round"])
-    return _named(sent, products).select(
-        "record_id", "cart_id", "submitted_at", "barcode", "name", "qty", "added_at"
-    )
+    sent = _all_lines(events, minutes).where(F.col("record_id").isNotNull())
+    return _named(sent, products).select(*_RECORD, "barcode", "name", "qty", "added_at")
 
 
 def cart_totals(lines: DataFrame) -> DataFrame:
@@ -174,7 +165,6 @@ def build_records(lines: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
     A record with more than ``part_lines`` lines comes in several rows, numbered by ``part``, so that no
     array grows without bound. All others have one part, 0.
     """
-    record = ["record_id", "cart_id", "submitted_at"]
     large = (
         lines.groupBy("record_id")
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -185,6 +175,6 @@ def build_records(lines: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
     item = F.struct("added_at", "barcode", "name", "qty")
     return (
         lines.join(large, "record_id", "left")
-        .groupBy(*record, part.alias("part"))
+        .groupBy(*_RECORD, part.alias("part"))
         .agg(F.array_sort(F.collect_list(item)).alias("items"))
     )
