@@ -14,7 +14,7 @@ from shelfmark.schemas import TRIPLE_COLUMNS
 from shelfmark.sources.registry import UNIVERSAL, SourceSpec
 
 
-def _long_values(df: DataFrame, spec: SourceSpec, *extra: str) -> DataFrame:
+def long_values(df: DataFrame, spec: SourceSpec, *extra: str) -> DataFrame:
     """One row per value column of every row, without NULL values; ``extra`` columns ride along."""
     company = F.lit(UNIVERSAL) if spec.company is None else F.col(spec.company).cast("string")
     values = []
@@ -40,7 +40,7 @@ def extract_values(
         if start is None:
             raise ValueError(f"{spec.name} is dated: name the day to extract")
         df = df.where(day_between(spec.day_column, start, end))
-    return _long_values(df, spec).distinct()
+    return long_values(df, spec).distinct()
 
 
 def extract_day(df: DataFrame, spec: SourceSpec, ds: Day, lookback_days: int = 0) -> DataFrame:
@@ -56,7 +56,7 @@ def first_seen(df: DataFrame, spec: SourceSpec) -> DataFrame:
     dated = df.withColumn("ds", F.col(spec.day_column).cast("date"))
     # A row without a day belongs to no run.
     dated = dated.where(F.col("ds").isNotNull())
-    return _long_values(dated, spec, "ds").groupBy(*TRIPLE_COLUMNS).agg(F.min("ds").alias("ds"))
+    return long_values(dated, spec, "ds").groupBy(*TRIPLE_COLUMNS).agg(F.min("ds").alias("ds"))
 
 
 def union_sources(triples: Iterable[DataFrame]) -> DataFrame:
