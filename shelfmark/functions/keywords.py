@@ -19,8 +19,6 @@ Groups = Sequence[Sequence[str]]
 # Up to this many keywords, generated code tests them one by one; beyond, an automaton finds all of
 # them in one pass over the text.
 INLINE_WORDS = 64
-# An automaton holds at most this many characters of keywords; longer lists take several passes.
-AUTOMATON_CHARS = 4_000_000
 
 
 def any_of(low: Column, words: Sequence[str]) -> Column:
@@ -40,72 +38,38 @@ def _inline(low: Column, groups: Groups, test) -> Column:
     return F.array_compact(F.array(*hits)).cast("array<int>")
 
 
-def _automaton(words: Sequence[str]) -> Column:
-    """UDF: positions of the words that a lowered text holds."""
-
-    @F.pandas_udf("array<int>")
-    def found(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = ahocorasick.Automaton()
-        for position, word in enumerate(words):
-            automaton.add_word(word, position)
-        automaton.make_automaton()
-        for batch in texts:
-            yield batch.map(lambda t: [] if t is None else sorted({i for _, i in automaton.iter(t)}))
-
-    return found
-
-
-def _slices(words: Sequence[str]) -> Iterator[list[str]]:
-    part: list[str] = []
-    size = 0
-    for word in words:
-        if part and size + len(word) > AUTOMATON_CHARS:
-            yield part
-            part, size = [], 0
-        part.append(word)
-        size += len(word)
-    if part:
-        yield part
-
-
-def _scanned(df: DataFrame, low: str, groups: Groups, every: bool, out: str) -> DataFrame:
-    """Hits through automata. A group is hit by one of its words, or with ``every`` by all of them."""
+def _scanned(low: Column, groups: Groups, every: bool) -> Column:
+    """Hits through one automaton over all words."""
     words = sorted({word for group in groups for word in group if word})
-    starts, columns = 0, []
-    for part in _slices(words):
-        offset = F.lit(starts)
-        columns.append(F.transform(_automaton(part)(F.col(low)), lambda i, offset=offset: i + offset))
-        starts += len(part)
     place = {word: position for position, word in enumerate(words)}
     members: list[list[int]] = [[] for _ in words]
-    needs = []
+    needs: list[int] = []
     for position, group in enumerate(groups):
-        distinct = sorted({place[word] for word in group if word})
+        distinct = {place[word] for word in group if word}
         for word in distinct:
             members[word].append(position)
-        if every:
-            needs.append(len(distinct))
-        else:
-            needs.append(0 if "" in group else 1)
+        needs.append(len(distinct) if every else int("" not in group))
     always = [position for position, need in enumerate(needs) if need == 0]
 
-    @F.pandas_udf("array<int>")
-    def grouped(found: pd.Series) -> pd.Series:
-        def hits(words_found) -> list[int]:
-            counts: dict[int, int] = {}
-            for word in words_found:
-                for group in members[word]:
-                    counts[group] = counts.get(group, 0) + 1
-            full = {group for group, n in counts.items() if n >= needs[group]}
-            return sorted(full.union(always))
+    def hits(automaton, low_text: str) -> list[int]:
+        counts: dict[int, int] = {}
+        for word in {word for _, word in automaton.iter(low_text)}:
+            for group in members[word]:
+                counts[group] = counts.get(group, 0) + 1
+        return sorted([*always, *(g for g, n in counts.items() if 0 < needs[g] <= n)])
 
-        return found.map(hits)
+    @F.pandas_udf("array<int>")
+    def scan(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = ahocorasick.Automaton()
+        for word, position in place.items():
+            automaton.add_word(word, position)
+        automaton.make_automaton()
+        for batch in texts:
+            yield batch.map(lambda text: [] if text is None else hits(automaton, text))
 
-    hits = grouped(F.concat(*columns)) if columns else F.array(*map(F.lit, always)).cast("array<int>")
-    none = F.array(*[F.lit(p) for p in range(len(groups)) if every and needs[p] == 0])
-    return df.withColumn(
-        out, F.when(F.col(low).isNotNull(), hits).otherwise(none.cast("array<int>"))
-    )
+    # Nothing is in a NULL text, so there only groups that ask for nothing are hit.
+    without_text = F.array(*[F.lit(p) for p in always if every]).cast("array<int>")
+    return F.when(low.isNotNull(), scan(low)).otherwise(without_text)
 
 
 def with_hits(
@@ -122,5 +86,5 @@ def with_hits(
     if ahocorasick is None or sum(len(group) for group in groups) <= INLINE_WORDS:
         df = df.withColumn(out, _inline(F.col(low), groups, all_of if every else any_of))
     else:
-        df = _scanned(df, low, groups, every, out)
+        df = df.withColumn(out, _scanned(F.col(low), groups, every))
     return df.drop(low)

@@ -12,9 +12,11 @@ from shelfmark.operators.extract import extract_day, incoming
 from shelfmark.sources.registry import Settings, SourceSpec, load_registry, read_source
 from shelfmark.sources.storage import (
     RAW,
+    STAGED,
     publish_lookup,
+    read_day,
     read_days,
-    read_triples,
+    stage_sources,
     write_day,
 )
 
@@ -30,19 +32,19 @@ def run_day(
 ) -> None:
     """Extract and combine one day.
 
-    Every source is staged as a table of its own, as in a scheduled run: a retry starts from the stages,
-    and the planner knows the size of what comes in before it is compared with the whole history.
+    The values of all sources are staged first: the planner then knows the size of what comes in before
+    it is compared with the whole history.
 
     ``inclusive`` counts the run day as history, so that a second run of the day empties it.
     """
-    for spec in specs:
-        write_day(extract_day(read(spec.name), spec, ds, lookback_days), root, spec.name, ds)
-    fresh = incoming([read_triples(spark, root, spec.name, ds) for spec in specs])
+    values = {spec.name: extract_day(read(spec.name), spec, ds, lookback_days) for spec in specs}
+    stage_sources(values, root, ds)
+    fresh = incoming([read_day(spark, root, STAGED, ds)])
     delta = new_values(fresh, history_until(read_days(spark, root, RAW), ds, inclusive))
     if inclusive:
         # The day to be replaced is among the input: stage the result first.
         write_day(delta, root, f"{RAW}_staged", ds)
-        delta = read_triples(spark, root, f"{RAW}_staged", ds)
+        delta = read_day(spark, root, f"{RAW}_staged", ds)
     write_day(delta, root, RAW, ds)
 
 

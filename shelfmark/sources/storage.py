@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
+from functools import reduce
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql.types import StructType
 from shelfmark.functions.days import Day, as_day
 from shelfmark.schemas import DAY_TRIPLE, TRIPLE, TRIPLE_COLUMNS
 
+STAGED = "values"
 RAW = "lookup_raw"
 PUBLISHED = "lookup"
 
@@ -66,9 +69,27 @@ def read_days(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(DAY_TRIPLE).parquet(path)
 
 
-def read_triples(spark: SparkSession, root: str, name: str, ds: Day) -> DataFrame:
-    """Triples of exactly one run day. Reads that day's folder only, without listing the others."""
+def read_day(spark: SparkSession, root: str, name: str, ds: Day) -> DataFrame:
+    """Exactly one day of a triple table. Reads that day's folder only, without listing the others."""
     path = f"{root}/{name}/ds={as_day(ds)}"
+    if not exists(spark, path):
+        return empty(spark, TRIPLE)
+    return spark.read.schema(TRIPLE).parquet(path).select(*TRIPLE_COLUMNS)
+
+
+def stage_sources(triples: Mapping[str, DataFrame], root: str, ds: Day) -> None:
+    """Write the triples of all sources of a day, each into a folder of its own, in one job.
+
+    One job keeps the whole cluster busy with all sources at once.
+    """
+    tagged = [df.withColumn("source", F.lit(name)) for name, df in triples.items()]
+    day = reduce(DataFrame.unionByName, tagged)
+    day.write.mode("overwrite").partitionBy("source").parquet(f"{root}/{STAGED}/ds={as_day(ds)}")
+
+
+def read_triples(spark: SparkSession, root: str, source: str, ds: Day) -> DataFrame:
+    """Staged triples of one source on one run day."""
+    path = f"{root}/{STAGED}/ds={as_day(ds)}/source={source}"
     if not exists(spark, path):
         return empty(spark, TRIPLE)
     return spark.read.schema(TRIPLE).parquet(path)

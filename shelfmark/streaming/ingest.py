@@ -3,41 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfmark.operators.records import append_idempotent, is_valid_record, stamp
 from shelfmark.schemas import SAVED_RECORD
 from shelfmark.sources.storage import empty, exists
 from shelfmark.streaming.jobs import each_batch
 
-_LOG = StructType([*SAVED_RECORD.fields, StructField("batch", LongType())])
-
-
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The record log that :func:`ingest_records` writes."""
     if not exists(spark, path):
-        return empty(spark, _LOG).drop("batch")
-    return spark.read.schema(_LOG).parquet(path).drop("batch")
+        return empty(spark, SAVED_RECORD)
+    return spark.read.schema(SAVED_RECORD).parquet(path)
 
 
 def ingest_records(stream: DataFrame, path: str, checkpoint: str, *order: str) -> StreamingQuery:
     """Append the valid records of a stream whose id is new; the first one in ``order`` wins.
 
-    A batch writes a folder of its own and counts only earlier batches as the log. A batch that is run
-    again after a failure therefore replaces what it had written. Ids are remembered for ever, in the
-    log itself.
+    Ids are looked up in the log itself, so they are remembered for ever, across restarts and lost
+    checkpoints. A batch that is run again after a failure appends only what is still missing.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        log = empty(spark, _LOG)
-        if exists(spark, path):
-            log = spark.read.schema(_LOG).parquet(path).where(F.col("batch") < batch_id)
+    def handle(batch: DataFrame, _: int) -> None:
+        log = read_log(batch.sparkSession, path)
         fresh = append_idempotent(batch.where(is_valid_record()), log, *order)
-        saved = stamp(fresh).select(*SAVED_RECORD.fieldNames())
-        saved.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        stamp(fresh).select(*SAVED_RECORD.fieldNames()).write.mode("append").parquet(path)
 
     return each_batch(stream, handle, checkpoint)
 

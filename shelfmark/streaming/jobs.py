@@ -4,14 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def read_files(spark: SparkSession, folder: str, name: str, per_batch: int = 1000) -> DataFrame:
+    """Stream of the parquet files of a folder whose names match, ``per_batch`` files at a time."""
+    schema = spark.read.option("pathGlobFilter", name).parquet(folder).schema
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", name)
+        .option("maxFilesPerTrigger", per_batch)
+        .parquet(folder)
+    )
+
 
 def write_stream(
     stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append"
 ) -> StreamingQuery:
-    """Start a stream into a parquet folder and take in all input that is there now."""
+    """Start a stream into a parquet folder and take in all input that is there now.
+
+    State is kept in RocksDB, so that it need not fit into the memory of the executors.
+    """
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (
         stream.writeStream.format("parquet")
         .outputMode(output_mode)
