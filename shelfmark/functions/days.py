@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 Day = dt.date | str
@@ -31,3 +31,10 @@ def day_between(column: Column | str, start: Day, end: Day | None = None) -> Col
 def partition_id(day: Column) -> Column:
     """Day as the yyyyMMdd name of its partition."""
     return F.date_format(day, "yyyyMMdd")
+
+
+def define_run_day(spark: SparkSession, ds: Day) -> None:
+    """The run day for SQL texts: ``run_date()`` and ``run_timestamp()`` in this session."""
+    day = as_day(ds)
+    for name, kind in (("run_date", "DATE"), ("run_timestamp", "TIMESTAMP")):
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}() RETURNS {kind} RETURN {kind} '{day}'")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -33,9 +33,11 @@ def all_of(low: Column, words: Sequence[str]) -> Column:
     return F.coalesce(reduce(Column.__and__, tests), F.lit(False)) if tests else F.lit(True)
 
 
-def _inline(low: Column, groups: Groups, test) -> Column:
-    hits = [F.when(test(low, words), F.lit(position)) for position, words in enumerate(groups)]
-    return F.array_compact(F.array(*hits)).cast("array<int>")
+def _inline(low: Column, groups: Groups, test: Callable[[Column, Sequence[str]], Column]) -> Column:
+    # Concatenated small arrays stay within generated code; a filter over one array would not.
+    none = F.array().cast("array<int>")
+    hits = [F.when(test(low, words), F.array(F.lit(i))).otherwise(none) for i, words in enumerate(groups)]
+    return F.concat(none, *hits)
 
 
 def _scanned(low: Column, groups: Groups, every: bool) -> Column:
@@ -52,11 +54,20 @@ def _scanned(low: Column, groups: Groups, every: bool) -> Column:
     always = [position for position, need in enumerate(needs) if need == 0]
 
     def hits(automaton, low_text: str) -> list[int]:
-        counts: dict[int, int] = {}
-        for word in {word for _, word in automaton.iter(low_text)}:
+        seen: set[int] = set()
+        left = dict(enumerate(needs))
+        found = list(always)
+        for _, word in automaton.iter(low_text):
+            if word in seen:
+                continue
+            seen.add(word)
             for group in members[word]:
-                counts[group] = counts.get(group, 0) + 1
-        return sorted([*always, *(g for g, n in counts.items() if 0 < needs[g] <= n)])
+                left[group] -= 1
+                if left[group] == 0:
+                    found.append(group)
+            if len(found) == len(needs):
+                break
+        return sorted(found)
 
     @F.pandas_udf("array<int>")
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -68,10 +79,19 @@ def _scanned(low: Column, groups: Groups, every: bool) -> Column:
             yield batch.map(lambda text: [] if text is None else hits(automaton, text))
 
     # Nothing is in a NULL text, so there only groups that ask for nothing are hit.
-    without_text = F.array(*[F.lit(p) for p in always if every]).cast("array<int>")
+    wordless = [F.lit(position) for position, group in enumerate(groups) if every and not group]
+    without_text = F.array(*wordless).cast("array<int>")
     return F.when(low.isNotNull(), scan(low)).otherwise(without_text)
 
 
+def explode_hits(df: DataFrame, hits: Column | str, out: str) -> DataFrame:
+    """One row per hit.
+
+    A plain explode would make the optimizer filter empty arrays before it, and so match every text twice.
+    """
+    return df.withColumn(out, F.explode_outer(hits)).where(F.col(out).isNotNull())
+
+
 def with_hits(
     df: DataFrame, text: Column, groups: Groups, out: str, every: bool = False, lowered: bool = False
 ) -> DataFrame:

@@ -163,8 +163,11 @@ def build_records(lines: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
     """Submitted lines nested into records, items in the order they were added.
 
     A record with more than ``part_lines`` lines comes in several rows, numbered by ``part``, so that no
-    array grows without bound. All others have one part, 0.
+    array and no task grows without bound. All others have one part, 0.
+
+    ``lines`` is read twice; hand in a written table.
     """
+    # At most one in part_lines lines leads to a row here: small enough to broadcast.
     large = (
         lines.groupBy("record_id")
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -174,7 +177,7 @@ def build_records(lines: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
     part = F.coalesce(F.pmod(F.xxhash64("barcode"), F.col("_parts")), F.lit(0))
     item = F.struct("added_at", "barcode", "name", "qty")
     return (
-        lines.join(large, "record_id", "left")
+        lines.join(F.broadcast(large), "record_id", "left")
         .groupBy(*_RECORD, part.alias("part"))
         .agg(F.array_sort(F.collect_list(item)).alias("items"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.keywords import any_of, with_hits
+from shelfmark.functions.keywords import any_of, explode_hits, with_hits
 from shelfmark.operators.rules import Category, RuleSet
 
 # The largest share of rows that may stay without a category, the names shown for them.
@@ -35,7 +35,7 @@ def label_products(df: DataFrame, rules: RuleSet, name: str = "name") -> DataFra
         empty = F.lit(None).cast("string")
         return df.withColumn("category_id", empty).withColumn("category_name", empty).where(F.lit(False))
     labels = _names([(c.id, c.name) for c in rules.categories], ("category_id", "category_name"))
-    exploded = category_hits(df, rules, name).withColumn("_hit", F.explode(HITS))
+    exploded = explode_hits(category_hits(df, rules, name), HITS, "_hit")
     return exploded.withColumn("_label", F.get(labels, F.col("_hit"))).select(*df.columns, "_label.*")
 
 
@@ -50,8 +50,7 @@ def _subcategory_rows(df: DataFrame, rules: RuleSet, name: str) -> DataFrame:
     groups = [c.keywords for c in rules.categories] + [child.keywords for _, _, child in nodes]
     parents = F.array(*[F.lit(parent) for parent, _, _ in nodes])
     return (
-        with_hits(df, F.col(name), groups, HITS)
-        .withColumn("_hit", F.explode(HITS))
+        explode_hits(with_hits(df, F.col(name), groups, HITS), HITS, "_hit")
         .withColumn("_node", F.col("_hit") - first_child)
         .where((F.col("_node") >= 0) & F.array_contains(HITS, F.get(parents, F.col("_node"))))
     )
@@ -74,14 +73,14 @@ def uncategorized(df: DataFrame, rules: RuleSet, name: str = "name") -> DataFram
 
 
 def _label_rows(spark: SparkSession, rows: list[tuple], fields: tuple[str, ...]) -> DataFrame:
-    return spark.range(1).select(F.inline(_names(rows, fields)))
+    return spark.range(0, 1, 1, 1).select(F.inline(_names(rows, fields)))
 
 
 def _position_counts(df: DataFrame, rules: RuleSet, name: str) -> DataFrame:
     """Rows per category position; -1 counts all rows, the position after the last the uncategorized."""
     total, rest = F.array(F.lit(-1)), F.array(F.lit(len(rules.categories)))
     positions = F.concat(total, F.when(F.size(HITS) == 0, rest).otherwise(F.col(HITS)))
-    hits = category_hits(df, rules, name).select(F.explode(positions).alias("position"))
+    hits = explode_hits(category_hits(df, rules, name), positions, "position")
     return hits.groupBy("position").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -212,7 +211,7 @@ def evaluate_rules(
     """
     last = attempt >= attempts
     if candidate.get("categories") is None:
-        return df.sparkSession.range(1).select(
+        return df.sparkSession.range(0, 1, 1, 1).select(
             F.lit("rejected" if last else "retry").alias("status"),
             F.lit("no categories").alias("reason"),
             F.lit(None).cast("bigint").alias("total"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.keywords import all_of, with_hits
+from shelfmark.functions.keywords import all_of, explode_hits, with_hits
 from shelfmark.functions.text import split_terms
 from shelfmark.operators.classify import in_category, uncategorized
 from shelfmark.operators.rules import RuleSet
@@ -45,7 +45,7 @@ def search_batch(df: DataFrame, queries: Sequence[tuple[str, str]]) -> DataFrame
     # Case is settled by search_text; a barcode keeps its own and is tested as it is.
     texts = df.withColumn("_text", search_text(df))
     hits = with_hits(texts, F.col("_text"), groups, "_hits", every=True, lowered=True)
-    return hits.withColumn("_hit", F.explode("_hits")).select(
+    return explode_hits(hits, "_hits", "_hit").select(
         F.get(ids, F.col("_hit")).alias("query_id"), *df.columns
     )
 

@@ -398,6 +398,27 @@ def _found_sql(query: str) -> str:
     return " AND ".join(f"({test})" for test in tests) or "TRUE"
 
 
+def own_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that hold all words, or any word, of their own address."""
+    words = text.terms(F.translate("url", "/.:-?=", "      "))
+    pages = read(spark, sf_dir, "pages")
+    return pages.select(
+        "page_id",
+        F.size(words).alias("n_words"),
+        text.contains_all(F.lower("html"), words).alias("holds_all"),
+        text.contains_any(F.col("html"), words).alias("holds_any"),
+    )
+
+
+_OWN_WORDS_SQL = """
+SELECT page_id, CAST(len(words) AS INTEGER) AS n_words,
+       len(list_filter(words, lambda w: contains(lower(html), w))) = len(words) AS holds_all,
+       len(list_filter(words, lambda w: contains(lower(html), w))) > 0 AS holds_any
+FROM (SELECT *, list_filter(regexp_split_to_array(lower(regexp_replace(url, '[/.:=?-]', ' ', 'g')), '\\s+'),
+                            lambda w: w <> '') AS words FROM pages)
+"""
+
+
 def add_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"))
     return readings.add_readings(customers, DIGITS)
@@ -490,7 +511,7 @@ QUERIES = {
         next_version, current_rules, evaluate_rules, label_products, label_subcategories, category_counts,
         subcategory_counts, rule_stats, stats_report, uncategorized, uncategorized_sample, coverage_gate,
         label_documents, label_document_children, label_documents_many_keywords, document_category_counts,
-        visible_products, visible_uncategorized, search_products, search_batch, add_readings,
+        visible_products, visible_uncategorized, search_products, search_batch, own_words, add_readings,
         search_readings, browse_products, name_hash_buckets, first_glyph_index,
     )
 }
@@ -537,6 +558,7 @@ ORACLE = {
         f"SELECT '{query_id}' AS query_id, * FROM ({PARTS_SQL}) WHERE {_found_sql(query)}"
         for query_id, query in QUERIES_LIST
     ),
+    "own_words": _OWN_WORDS_SQL,
     "add_readings": f"""
         SELECT c_custkey, c_name AS name, {_replaced('c_name', DIGITS)} AS reading,
                {_replaced('c_name', _FIRST_DIGITS)} AS initials FROM customer""",

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.days import partition_id
+from shelfmark.functions.days import define_run_day, partition_id
 from shelfmark.operators import delta, extract
 from shelfmark.plans import daily_lookup
 from shelfmark.schemas import TRIPLE_COLUMNS
@@ -50,6 +50,18 @@ def extract_by_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extract(spark, sf_dir, "events", EVENT_DAY)
 
 
+def extract_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value column extracted by a SQL text that asks for the run day."""
+    define_run_day(spark, ORDER_DAY)
+    return spark.sql(
+        """SELECT DISTINCT CAST(o_custkey AS STRING) AS company_guid,
+                  'orders.o_orderpriority' AS column_name, o_orderpriority AS column_value
+           FROM {orders} WHERE CAST(o_orderdate AS DATE) BETWEEN run_date() AND run_date()
+                AND o_orderpriority IS NOT NULL""",
+        orders=read(spark, sf_dir, "orders"),
+    )
+
+
 def extract_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extract(spark, sf_dir, "lineitem", *RANGE)
 
@@ -184,10 +196,10 @@ def stream_new_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        extract_snapshot, extract_by_date, extract_by_timestamp, extract_range, extract_universal_regex,
-        union_sources, incoming_distinct, delta_day, delta_all_orders, delta_day_inclusive, first_seen,
-        first_seen_by_day, lookup_asof, publish_lookup, lookup_values, daily_runs, late_arrivals,
-        stream_new_values,
+        extract_snapshot, extract_by_date, extract_by_timestamp, extract_in_sql, extract_range,
+        extract_universal_regex, union_sources, incoming_distinct, delta_day, delta_all_orders,
+        delta_day_inclusive, first_seen, first_seen_by_day, lookup_asof, publish_lookup, lookup_values,
+        daily_runs, late_arrivals, stream_new_values,
     )
 }
 
@@ -195,6 +207,8 @@ ORACLE = {
     "extract_snapshot": triples_sql("customer"),
     "extract_by_date": triples_sql("orders", ORDER_DAY),
     "extract_by_timestamp": triples_sql("events", EVENT_DAY),
+    "extract_in_sql": f"SELECT * FROM ({triples_sql('orders', ORDER_DAY)}) "
+    "WHERE column_name = 'orders.o_orderpriority'",
     "extract_range": triples_sql("lineitem", *RANGE),
     "extract_universal_regex": triples_sql("part"),
     "union_sources": _COMBINED_SQL,

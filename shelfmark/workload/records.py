@@ -50,7 +50,9 @@ def submitted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Submitted carts with their items as one text, in the order they were added."""
-    records = cart.build_records(submitted_lines(spark, sf_dir))
+    path = f"{fresh_dir(spark, 'cart')}/lines"
+    submitted_lines(spark, sf_dir).write.parquet(path)
+    records = cart.build_records(spark.read.parquet(path))
     tags = F.transform("items", lambda i: F.concat(i["name"], F.lit(" ×"), i["qty"].cast("string")))
     return records.select("record_id", "cart_id", "part", F.array_join(tags, ", ").alias("items_text"))
 
@@ -198,6 +200,15 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("id", "person", "submittedAt", F.array_join(names, "\n").alias("names"))
 
 
+def stream_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the valid records of a stream, deduplicated in the state store."""
+    root = fresh_dir(spark, "stream-distinct")
+    stream = talk_records(read_files(spark, sf_dir, "conversations.parquet"))
+    records = ingest.distinct_records(stream).select("id")
+    write_stream(records, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 _TALK = f"talk AS ({TALK_RECORDS_SQL})"
 _FIRST = "row_number() OVER (PARTITION BY id ORDER BY seq) = 1"
 
@@ -207,6 +218,7 @@ QUERIES = {
         cart_state, cart_totals, submitted_lines, build_records, stream_cart, validate_records,
         dedupe_records, append_idempotent, duplicate_flags, merge_pending, records_report,
         shanghai_report, parse_records, record_log_round_trip, stream_ingest,
+        stream_distinct_ids,
     )
 }
 
@@ -246,4 +258,5 @@ ORACLE = {
     "stream_ingest": f"""WITH {_TALK}
         SELECT id, person, submittedAt, array_to_string(names, chr(10)) AS names
         FROM talk WHERE len(names) > 0 QUALIFY {_FIRST}""",
+    "stream_distinct_ids": f"WITH {_TALK} SELECT DISTINCT id FROM talk WHERE len(names) > 0",
 }
