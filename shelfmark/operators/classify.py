@@ -76,12 +76,14 @@ def _label_rows(spark: SparkSession, rows: list[tuple], fields: tuple[str, ...])
     return spark.range(0, 1, 1, 1).select(F.inline(_names(rows, fields)))
 
 
-def _position_counts(df: DataFrame, rules: RuleSet, name: str) -> DataFrame:
+def _position_counts(
+    df: DataFrame, rules: RuleSet, name: str, *measures: Column
+) -> DataFrame:
     """Rows per category position; -1 counts all rows, the position after the last the uncategorized."""
     total, rest = F.array(F.lit(-1)), F.array(F.lit(len(rules.categories)))
     positions = F.concat(total, F.when(F.size(HITS) == 0, rest).otherwise(F.col(HITS)))
     hits = explode_hits(category_hits(df, rules, name), positions, "position")
-    return hits.groupBy("position").agg(F.count(F.lit(1)).alias("n"))
+    return hits.groupBy("position").agg(F.count(F.lit(1)).alias("n"), *measures)
 
 
 def category_counts(df: DataFrame, rules: RuleSet, name: str = "name") -> DataFrame:
@@ -114,17 +116,17 @@ def subcategory_counts(df: DataFrame, rules: RuleSet, name: str = "name") -> Dat
     return chips.join(counts, "position", "left").select(*fields, F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def _named_counts(df: DataFrame, rules: RuleSet, name: str) -> DataFrame:
-    """Position counts with the category's name; NULL for the two totals."""
+def _category_name(rules: RuleSet) -> Column:
+    """Name of the category at ``position``; NULL for the two totals."""
     names = F.array(*[F.lit(c.name) for c in rules.categories]).cast("array<string>")
     position = F.col("position")
-    named = F.when((position >= 0) & (position < len(rules.categories)), F.get(names, position))
-    return _position_counts(df, rules, name).withColumn("category_name", named)
+    return F.when((position >= 0) & (position < len(rules.categories)), F.get(names, position))
 
 
 def rule_stats(df: DataFrame, rules: RuleSet, name: str = "name") -> DataFrame:
     """Rows per category name, hit categories only; categories of one name add up."""
-    hit = _named_counts(df, rules, name).where(F.col("category_name").isNotNull())
+    named = _position_counts(df, rules, name).withColumn("category_name", _category_name(rules))
+    hit = named.where(F.col("category_name").isNotNull())
     return hit.groupBy("category_name").agg(F.sum("n").alias("n"))
 
 
@@ -156,31 +158,37 @@ def stats_summary(
 ) -> DataFrame:
     """One row of rule-set statistics.
 
-    ``per_category`` maps the names of hit categories to their counts. ``uncategorized_names`` holds
-    the first ``n`` names; the whole list is :func:`uncategorized`.
+    ``per_category`` maps the names of hit categories to their counts, in the order in which the catalog
+    first hits them. ``uncategorized_names`` holds the first ``n`` names; the whole list is
+    :func:`uncategorized`.
     """
     position, last = F.col("position"), len(rules.categories)
-    named = _named_counts(df, rules, name).groupBy("category_name").agg(
+    counts = _position_counts(df, rules, name, F.min(seq).alias("first"))
+    named = counts.groupBy(_category_name(rules).alias("category_name")).agg(
+        F.min(F.struct("first", "position")).alias("place"),
         F.sum("n").alias("n"),
         F.sum(F.when(position == -1, F.col("n"))).alias("total"),
         F.sum(F.when(position == last, F.col("n"))).alias("uncategorized"),
     )
     # One row per category name: a handful.
-    entry = F.when(F.col("category_name").isNotNull(), F.struct("category_name", "n"))
+    entry = F.when(F.col("category_name").isNotNull(), F.struct("place", "category_name", "n"))
+    entries = F.transform(
+        F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["category_name"], e["n"])
+    )
     sample = uncategorized_sample(df, rules, n, name, seq).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(seq, name))), lambda row: row[name])
     )
     return named.agg(
         F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
-        F.map_from_entries(F.collect_list(entry)).alias("per_category"),
+        F.map_from_entries(entries).alias("per_category"),
         F.coalesce(F.sum("uncategorized"), F.lit(0)).alias("uncategorized"),
     ).withColumn("uncategorized_names", sample.scalar())
 
 
 def stats_text(summary: DataFrame, n: int = REPORT_SAMPLE) -> DataFrame:
-    """The statistics as the two lines of the report. Categories are listed by name."""
+    """The statistics as the two lines of the report."""
     entries = F.transform(
-        F.array_sort(F.map_entries("per_category")),
+        F.map_entries("per_category"),
         lambda entry: F.concat(entry["key"], F.lit("："), entry["value"].cast("string"), F.lit(" 件")),
     )
     counts = F.concat(

@@ -12,6 +12,9 @@ from shelfmark.functions.days import Day, as_day
 from shelfmark.schemas import TRIPLE_COLUMNS
 from shelfmark.sources.registry import UNIVERSAL
 
+# Triples in files of at most this size are broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 
 def _same(left: str, right: str, keys: Sequence[str], nullable: Sequence[str]) -> Column:
     pairs = (
@@ -30,7 +33,7 @@ def unseen(
 
     The history is the large side and grows for ever. It is first cut to the keys that come in: there
     the small side is the build side, so Spark can broadcast it (or filter the history scan by a bloom
-    filter) and need not shuffle the history. The plain anti-join that follows sees small sides only.
+    filter) and need not shuffle the history. The anti-join that follows sees small sides only.
     """
     known = (
         history.select(*keys)
@@ -42,10 +45,28 @@ def unseen(
     )
 
 
-def new_values(incoming: DataFrame, history: DataFrame) -> DataFrame:
-    """Distinct incoming triples that the history lacks; a NULL company equals a NULL company."""
-    fresh = incoming.select(*TRIPLE_COLUMNS).distinct()
-    return unseen(fresh, history, TRIPLE_COLUMNS, nullable=("company_guid",))
+def new_values(
+    incoming: DataFrame, history: DataFrame, incoming_bytes: int | None = None
+) -> DataFrame:
+    """Distinct incoming triples that the history lacks; a NULL company equals a NULL company.
+
+    If the incoming triples are known to be few (``incoming_bytes`` of files), they are broadcast to the
+    history, which then is read but not shuffled. Otherwise both are grouped in one shuffle, where equal
+    triples collapse before they are sent.
+    """
+    if incoming_bytes is not None and incoming_bytes <= BROADCAST_BYTES:
+        fresh = incoming.select(*TRIPLE_COLUMNS).distinct()
+        same = _same("history", "fresh", TRIPLE_COLUMNS, ("company_guid",))
+        known = history.select(*TRIPLE_COLUMNS).alias("history").join(
+            F.broadcast(fresh).alias("fresh"), same, "left_semi"
+        )
+        same = _same("fresh", "known", TRIPLE_COLUMNS, ("company_guid",))
+        return fresh.alias("fresh").join(known.alias("known"), same, "left_anti")
+    tagged = incoming.select(*TRIPLE_COLUMNS, F.lit(False).alias("known")).unionByName(
+        history.select(*TRIPLE_COLUMNS, F.lit(True).alias("known"))
+    )
+    grouped = tagged.groupBy(*TRIPLE_COLUMNS).agg(F.bool_or("known").alias("known"))
+    return grouped.where(~F.col("known")).drop("known")
 
 
 def history_until(days: DataFrame, ds: Day, inclusive: bool = False) -> DataFrame:

@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.functions.days import Day
 from shelfmark.operators.delta import history_until, lookup_asof, new_values
-from shelfmark.operators.extract import extract_day, incoming
+from shelfmark.operators.extract import extract_day
 from shelfmark.sources.registry import Settings, SourceSpec, load_registry, read_source
 from shelfmark.sources.storage import (
     RAW,
     STAGED,
+    day_path,
     publish_lookup,
     read_day,
     read_days,
+    size_of,
     stage_sources,
     write_day,
 )
@@ -32,15 +34,16 @@ def run_day(
 ) -> None:
     """Extract and combine one day.
 
-    The values of all sources are staged first: the planner then knows the size of what comes in before
-    it is compared with the whole history.
+    The values of all sources are staged first, so that the size of what comes in is known before it is
+    compared with the whole history.
 
     ``inclusive`` counts the run day as history, so that a second run of the day empties it.
     """
     values = {spec.name: extract_day(read(spec.name), spec, ds, lookback_days) for spec in specs}
     stage_sources(values, root, ds)
-    fresh = incoming([read_day(spark, root, STAGED, ds)])
-    delta = new_values(fresh, history_until(read_days(spark, root, RAW), ds, inclusive))
+    fresh = read_day(spark, root, STAGED, ds)
+    history = history_until(read_days(spark, root, RAW), ds, inclusive)
+    delta = new_values(fresh, history, size_of(spark, day_path(root, STAGED, ds)))
     if inclusive:
         # The day to be replaced is among the input: stage the result first.
         write_day(delta, root, f"{RAW}_staged", ds)

@@ -29,6 +29,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, hadoop_path = _path(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -36,6 +42,10 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 # ---- day partitions ----
 
 
+def day_path(root: str, name: str, ds: Day) -> str:
+    return f"{root}/{name}/ds={as_day(ds)}"
+
+
 def create_triple_table(spark: SparkSession, table: str, location: str) -> None:
     """Catalog entry of a day-partitioned triple table."""
     columns = ", ".join(
@@ -58,7 +68,7 @@ def write_day(triples: DataFrame, root: str, name: str, ds: Day) -> None:
 
     The day's own folder is the write target, so the other days can be read in the same job.
     """
-    triples.select(*TRIPLE_COLUMNS).write.mode("overwrite").parquet(f"{root}/{name}/ds={as_day(ds)}")
+    triples.select(*TRIPLE_COLUMNS).write.mode("overwrite").parquet(day_path(root, name, ds))
 
 
 def read_days(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -71,7 +81,7 @@ def read_days(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def read_day(spark: SparkSession, root: str, name: str, ds: Day) -> DataFrame:
     """Exactly one day of a triple table. Reads that day's folder only, without listing the others."""
-    path = f"{root}/{name}/ds={as_day(ds)}"
+    path = day_path(root, name, ds)
     if not exists(spark, path):
         return empty(spark, TRIPLE)
     return spark.read.schema(TRIPLE).parquet(path).select(*TRIPLE_COLUMNS)
@@ -84,12 +94,12 @@ def stage_sources(triples: Mapping[str, DataFrame], root: str, ds: Day) -> None:
     """
     tagged = [df.withColumn("source", F.lit(name)) for name, df in triples.items()]
     day = reduce(DataFrame.unionByName, tagged)
-    day.write.mode("overwrite").partitionBy("source").parquet(f"{root}/{STAGED}/ds={as_day(ds)}")
+    day.write.mode("overwrite").partitionBy("source").parquet(day_path(root, STAGED, ds))
 
 
 def read_triples(spark: SparkSession, root: str, source: str, ds: Day) -> DataFrame:
     """Staged triples of one source on one run day."""
-    path = f"{root}/{STAGED}/ds={as_day(ds)}/source={source}"
+    path = f"{day_path(root, STAGED, ds)}/source={source}"
     if not exists(spark, path):
         return empty(spark, TRIPLE)
     return spark.read.schema(TRIPLE).parquet(path)

@@ -62,10 +62,10 @@ def test_uncategorized_and_summary(products):
     assert [r["seq"] for r in sample.collect()] == [5, 6]
     summary = classify.stats_summary(products, RULE_SET, 2).first()
     assert (summary["total"], summary["uncategorized"]) == (8, 3)
-    assert summary["per_category"] == {"Plush": 5, "Bags": 2}
+    assert list(summary["per_category"].items()) == [("Plush", 5), ("Bags", 2)]
     assert summary["uncategorized_names"] == ["stone", None]
     text = classify.stats_text(classify.stats_summary(products.where("name is not null"), RULE_SET), 1).first()
-    assert text["counts_line"] == "Bags：2 件　Plush：5 件　未分类：2 件"
+    assert text["counts_line"] == "Plush：5 件　Bags：2 件　未分类：2 件"
     assert text["names_line"] == "未分类商品：stone…"
     empty = classify.stats_summary(products.where("false"), RULE_SET).first()
     assert (empty["total"], empty["per_category"], empty["uncategorized_names"]) == (0, {}, [])
