@@ -84,6 +84,16 @@ def _scanned(low: Column, groups: Groups, every: bool) -> Column:
     return F.when(low.isNotNull(), scan(low)).otherwise(without_text)
 
 
+def where_once(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter by a condition that uses a costly column several times.
+
+    The optimizer would move a plain filter below that column, and there compute it anew for every use.
+    It does not do so with the outcome of an explode.
+    """
+    kept = df.withColumn("_kept", F.explode_outer(F.when(condition, F.array(F.lit(True)))))
+    return kept.where(F.col("_kept").isNotNull()).drop("_kept")
+
+
 def explode_hits(df: DataFrame, hits: Column | str, out: str) -> DataFrame:
     """One row per hit.
 

@@ -19,7 +19,7 @@ into the effect of the whole, first within short stretches of time, then over th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
@@ -48,13 +48,14 @@ def event_effects(events: DataFrame) -> DataFrame:
     def one_if(*actions: str) -> Column:
         return F.when(action.isin(*actions), 1).otherwise(0).cast("bigint")
 
-    return (
-        events.where(action.isin("add", "inc", "dec", "del"))
-        .withColumn("drops", one_if("del"))
-        .withColumn("change", one_if("add", "inc") - one_if("dec"))
-        .withColumn("need", one_if("dec"))
-        .withColumn("qty", one_if("add"))
-        .withColumn("added_at", F.when(action == "add", F.col("ts")))
+    return events.where(action.isin("add", "inc", "dec", "del")).withColumns(
+        {
+            "drops": one_if("del"),
+            "change": one_if("add", "inc") - one_if("dec"),
+            "need": one_if("dec"),
+            "qty": one_if("add"),
+            "added_at": F.when(action == "add", F.col("ts")),
+        }
     )
 
 
@@ -65,25 +66,28 @@ def combine_effects(effects: DataFrame, keys: list[str], order: list[str]) -> Da
         .orderBy(*[F.col(c).desc() for c in order])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # Both steps run over the same sorted rows, from the last to the first.
-    seen = effects.withColumn("_after", F.coalesce(F.sum("change").over(later), F.lit(0))).withColumn(
-        "_dropped", F.coalesce(F.sum("drops").over(later), F.lit(0)) > 0
-    )
-    # A line with this quantity or less at the end of the group was lost at this effect.
-    seen = seen.withColumn("_bar", F.col("need") + F.col("change") + F.col("_after"))
-    seen = seen.withColumn("_later_bar", F.max("_bar").over(later))
-    left = F.col("qty") + F.col("_after")
+    # Both window steps run over the same sorted rows, from the last to the first.
+    after = F.coalesce(F.sum("change").over(later), F.lit(0))
+    seen = effects.select(
+        *keys,
+        *order,
+        *EFFECT,
+        (F.col("qty") + after).alias("left"),
+        (F.coalesce(F.sum("drops").over(later), F.lit(0)) > 0).alias("dropped"),
+        # A line with this quantity or less at the end of the group was lost at this effect.
+        (F.col("need") + F.col("change") + after).alias("bar"),
+    ).withColumn("later_bar", F.max("bar").over(later))
     stays = (
         (F.col("qty") > 0)
-        & ~F.col("_dropped")
-        & (F.col("_later_bar").isNull() | (left > F.col("_later_bar")))
+        & ~F.col("dropped")
+        & (F.col("later_bar").isNull() | (F.col("left") > F.col("later_bar")))
     )
     # The line that is there at the end was started by the earliest effect whose line stays.
     return seen.groupBy(*keys).agg(
         F.sum("drops").alias("drops"),
         F.sum("change").alias("change"),
-        F.greatest(F.max("_bar") - F.sum("change"), F.lit(0)).alias("need"),
-        F.coalesce(F.max(F.when(stays, left)), F.lit(0)).alias("qty"),
+        F.greatest(F.max("bar") - F.sum("change"), F.lit(0)).alias("need"),
+        F.coalesce(F.max(F.when(stays, F.col("left"))), F.lit(0)).alias("qty"),
         F.min(F.when(stays, F.col("added_at"))).alias("added_at"),
     )
 
@@ -103,22 +107,26 @@ def with_submit(events: DataFrame, minutes: int = STRETCH_MINUTES) -> DataFrame:
     It is looked for in the event's own stretch first, then among the first submits of later stretches.
     """
     stretch = ["cart_id", "_stretch"]
-    submit = F.when(F.col("action") == "submit", F.struct("ts", "event_id"))
-    events = events.withColumn("_stretch", _stretch(events, minutes)).withColumn("_submit", submit)
-    firsts = events.groupBy(*stretch).agg(F.min("_submit").alias("_first"))
 
-    def after(keys: list[str], *order: str) -> Window:
+    def after(keys: list[str], *order: str) -> WindowSpec:
         backwards = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
         return backwards.rowsBetween(Window.unboundedPreceding, -1)
 
+    submit = F.when(F.col("action") == "submit", F.struct("ts", "event_id"))
+    events = events.withColumns({"_stretch": _stretch(events, minutes), "_submit": submit})
+    firsts = events.groupBy(*stretch).agg(F.min("_submit").alias("_first"))
     following = firsts.select(*stretch, F.min("_first").over(after(["cart_id"], "_stretch")).alias("_far"))
     near = events.withColumn("_near", F.min("_submit").over(after(stretch, "ts", "event_id")))
     closing = F.coalesce("_near", "_far")
-    return (
-        near.join(following, stretch)
-        .withColumn("record_id", closing["event_id"])
-        .withColumn("submitted_at", closing["ts"])
-        .drop("_submit", "_near", "_far")
+    return near.join(following, stretch).select(
+        "cart_id",
+        "barcode",
+        "ts",
+        "event_id",
+        "action",
+        "_stretch",
+        closing["event_id"].alias("record_id"),
+        closing["ts"].alias("submitted_at"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.keywords import any_of, explode_hits, with_hits
+from shelfmark.functions.keywords import any_of, explode_hits, where_once, with_hits
 from shelfmark.operators.rules import Category, RuleSet
 
 # The largest share of rows that may stay without a category, the names shown for them.
@@ -15,8 +15,11 @@ SAMPLE, REPORT_SAMPLE = 20, 10
 HITS = "_hits"
 
 
-def in_category(name: Column, category: Category) -> Column:
-    return any_of(F.lower(name), [word.lower() for word in category.keywords])
+def in_category(df: DataFrame, category: Category, name: str = "name") -> DataFrame:
+    """Rows that are in a category."""
+    lowered = df.withColumn("_low", F.lower(name))
+    words = [word.lower() for word in category.keywords]
+    return where_once(lowered, any_of(F.col("_low"), words)).drop("_low")
 
 
 def category_hits(df: DataFrame, rules: RuleSet, name: str = "name") -> DataFrame:
@@ -69,7 +72,7 @@ def label_subcategories(df: DataFrame, rules: RuleSet, name: str = "name") -> Da
 
 def uncategorized(df: DataFrame, rules: RuleSet, name: str = "name") -> DataFrame:
     """Rows that are in no category."""
-    return category_hits(df, rules, name).where(F.size(HITS) == 0).drop(HITS)
+    return where_once(category_hits(df, rules, name), F.size(HITS) == 0).drop(HITS)
 
 
 def _label_rows(spark: SparkSession, rows: list[tuple], fields: tuple[str, ...]) -> DataFrame:

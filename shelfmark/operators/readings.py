@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Up to this many characters are replaced by built-in expressions, one after the other.
+INLINE_CHARS = 64
+
 
 def load_dictionary(entries: DataFrame) -> dict[str, str]:
     """``(char, reading)`` rows as a dictionary; of several readings the smallest is taken.
@@ -27,16 +30,32 @@ def add_readings(
     Characters without a reading stand for themselves. Without a dictionary both are empty.
     """
     if not dictionary:
-        return df.withColumn("reading", F.lit("")).withColumn("initials", F.lit(""))
-    full = {ord(char): reading for char, reading in dictionary.items()}
-    first = {ord(char): reading[:1] for char, reading in dictionary.items()}
+        return df.withColumns({"reading": F.lit(""), "initials": F.lit("")})
+    first = {char: reading[:1] for char, reading in dictionary.items()}
+    through = _replaced if _is_small(dictionary) else _translated
+    text = F.col(name)
+    return df.withColumns(
+        {"reading": F.lower(through(text, dictionary)), "initials": F.lower(through(text, first))}
+    )
+
+
+def _is_small(dictionary: Mapping[str, str]) -> bool:
+    """Whether the characters can be replaced one after the other, without touching a reading again."""
+    read = set("".join(dictionary.values()))
+    return len(dictionary) <= INLINE_CHARS and read.isdisjoint(dictionary)
+
+
+def _replaced(text: Column, table: Mapping[str, str]) -> Column:
+    for char, reading in table.items():
+        text = F.replace(text, F.lit(char), F.lit(reading))
+    return text
+
 
-    @F.pandas_udf("reading string, initials string")
-    def read_out(names: pd.Series) -> pd.DataFrame:
-        def through(table: dict[int, str]) -> pd.Series:
-            return names.map(lambda n: None if n is None else n.translate(table).lower())
+def _translated(text: Column, table: Mapping[str, str]) -> Column:
+    codes = {ord(char): reading for char, reading in table.items()}
 
-        return pd.DataFrame({"reading": through(full), "initials": through(first)})
+    @F.pandas_udf("string")
+    def translate(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else t.translate(codes))
 
-    read = df.withColumn("_read", read_out(F.col(name)))
-    return read.select(*df.columns, "_read.reading", "_read.initials")
+    return translate(text)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.keywords import all_of, explode_hits, with_hits
+from shelfmark.functions.keywords import all_of, explode_hits, where_once, with_hits
 from shelfmark.functions.text import split_terms
 from shelfmark.operators.classify import in_category, uncategorized
 from shelfmark.operators.rules import RuleSet
@@ -32,7 +32,7 @@ def search_products(df: DataFrame, query: str, lower_barcode: bool = False) -> D
     if not words:
         return df
     texts = df.withColumn("_text", search_text(df, lower_barcode))
-    return texts.where(all_of(F.col("_text"), words)).drop("_text")
+    return where_once(texts, all_of(F.col("_text"), words)).drop("_text")
 
 
 def search_batch(df: DataFrame, queries: Sequence[tuple[str, str]]) -> DataFrame:
@@ -63,8 +63,8 @@ def visible_products(
         chosen = rules.category(category)
         if chosen is None:
             return df.where(F.lit(False))
-        df = df.where(in_category(F.col("name"), chosen))
+        df = in_category(df, chosen)
         child = next((c for c in chosen.children if c.id == subcategory), None)
         if child is not None:
-            df = df.where(in_category(F.col("name"), child))
+            df = in_category(df, child)
     return search_products(df, query)

@@ -46,7 +46,9 @@ def test_batch_equals_single_queries(products, monkeypatch, limit):
     assert batch == sorted(single)
 
 
-def test_readings(spark, products):
+@pytest.mark.parametrize("limit", [0, 64])
+def test_readings(spark, products, monkeypatch, limit):
+    monkeypatch.setattr(readings, "INLINE_CHARS", limit)
     dictionary = readings.load_dictionary(
         spark.createDataFrame([("猫", "Mao"), ("趣", "qu"), ("味", "wei"), ("味", "zz"), ("ab", "no")],
                               "char string, reading string"))
@@ -59,6 +61,11 @@ def test_readings(spark, products):
     assert rows(bare, "reading", "initials") == [("", "")] * 4
 
 
+def test_readings_are_not_read_again(products):
+    read = readings.add_readings(products.where("barcode = 'AB12'"), {"B": "ea", "e": "x"})
+    assert rows(read, "reading", "initials") == [("eaig eaxar", "eig exar")]
+
+
 def test_visible_products(spark):
     names = spark.createDataFrame([("1", "big bear"), ("2", "bear"), ("3", "bag"), ("4", "stone")],
                                   "barcode string, name string")
