@@ -43,52 +43,42 @@ def _stretch(events: DataFrame, minutes: int) -> Column:
 
 def event_effects(events: DataFrame) -> DataFrame:
     """Every line event as an effect. Other actions are left out."""
-    action = F.col("action")
-
-    def one_if(*actions: str) -> Column:
-        return F.when(action.isin(*actions), 1).otherwise(0).cast("bigint")
-
-    return events.where(action.isin("add", "inc", "dec", "del")).withColumns(
-        {
-            "drops": one_if("del"),
-            "change": one_if("add", "inc") - one_if("dec"),
-            "need": one_if("dec"),
-            "qty": one_if("add"),
-            "added_at": F.when(action == "add", F.col("ts")),
-        }
+    return events.where("action IN ('add', 'inc', 'dec', 'del')").selectExpr(
+        "*",
+        "CAST(action = 'del' AS BIGINT) AS drops",
+        "CASE WHEN action IN ('add', 'inc') THEN 1L WHEN action = 'dec' THEN -1L ELSE 0L END AS change",
+        "CAST(action = 'dec' AS BIGINT) AS need",
+        "CAST(action = 'add' AS BIGINT) AS qty",
+        "CASE WHEN action = 'add' THEN ts END AS added_at",
     )
 
 
 def combine_effects(effects: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The effects of each group of ``keys``, taken in ``order``, as one effect."""
+    backwards = ", ".join(f"{column} DESC" for column in order)
     later = (
-        Window.partitionBy(*keys)
-        .orderBy(*[F.col(c).desc() for c in order])
-        .rowsBetween(Window.unboundedPreceding, -1)
+        f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {backwards} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )
     # Both window steps run over the same sorted rows, from the last to the first.
-    after = F.coalesce(F.sum("change").over(later), F.lit(0))
-    seen = effects.select(
+    after = f"coalesce(sum(change) {later}, 0)"
+    seen = effects.selectExpr(
         *keys,
         *order,
         *EFFECT,
-        (F.col("qty") + after).alias("left"),
-        (F.coalesce(F.sum("drops").over(later), F.lit(0)) > 0).alias("dropped"),
+        f"qty + {after} AS remaining",
+        f"coalesce(sum(drops) {later}, 0) > 0 AS dropped",
         # A line with this quantity or less at the end of the group was lost at this effect.
-        (F.col("need") + F.col("change") + after).alias("bar"),
-    ).withColumn("later_bar", F.max("bar").over(later))
-    stays = (
-        (F.col("qty") > 0)
-        & ~F.col("dropped")
-        & (F.col("later_bar").isNull() | (F.col("left") > F.col("later_bar")))
-    )
+        f"need + change + {after} AS bar",
+    ).selectExpr("*", f"max(bar) {later} AS later_bar")
+    stays = "qty > 0 AND NOT dropped AND (later_bar IS NULL OR remaining > later_bar)"
     # The line that is there at the end was started by the earliest effect whose line stays.
     return seen.groupBy(*keys).agg(
-        F.sum("drops").alias("drops"),
-        F.sum("change").alias("change"),
-        F.greatest(F.max("bar") - F.sum("change"), F.lit(0)).alias("need"),
-        F.coalesce(F.max(F.when(stays, F.col("left"))), F.lit(0)).alias("qty"),
-        F.min(F.when(stays, F.col("added_at"))).alias("added_at"),
+        F.expr("sum(drops) AS drops"),
+        F.expr("sum(change) AS change"),
+        F.expr("greatest(max(bar) - sum(change), 0) AS need"),
+        F.expr(f"coalesce(max(remaining) FILTER (WHERE {stays}), 0) AS qty"),
+        F.expr(f"min(added_at) FILTER (WHERE {stays}) AS added_at"),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 # Into how many parts a cart is split, so that one busy cart is not the work of one task.
-CART_PARTS = 8
+CART_PARTS = 16
 
 _LINE = StructType([StructField("qty", LongType()), StructField("added_at", TimestampType())])
 _BARCODE = StructType([StructField("barcode", StringType())])
@@ -36,29 +36,32 @@ class CartProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows)).sort_values(["ts", "event_id"])
-        # State is read at the first touch of a barcode and written back once at the end.
+        # Stored lines are read at their first touch, or all at the first submit, and written at the end.
         lines: dict[str, tuple[int, object] | None] = {}
+        stored = True
         sent: list[tuple] = []
         for event_id, ts, barcode, action in zip(
             events["event_id"], events["ts"], events["barcode"], events["action"]
         ):
             if action == "submit":
-                for (stored,), line in self.lines.iterator():
-                    lines.setdefault(stored, line)
-                self.lines.clear()
+                if stored:
+                    for (each,), line in self.lines.iterator():
+                        lines.setdefault(each, line)
+                    self.lines.clear()
+                    stored = False
                 for each, line in lines.items():
                     if line is not None:
                         sent.append((key[0], event_id, ts, each, line[0], line[1]))
                 lines.clear()
             elif barcode is not None:
-                if barcode not in lines:
+                if stored and barcode not in lines:
                     lines[barcode] = self.lines.getValue((barcode,))
-                lines[barcode] = changed_line(lines[barcode], action, ts)
+                lines[barcode] = changed_line(lines.get(barcode), action, ts)
         for barcode, line in lines.items():
-            if line is None:
-                self.lines.removeKey((barcode,))
-            else:
+            if line is not None:
                 self.lines.updateValue((barcode,), line)
+            elif stored:
+                self.lines.removeKey((barcode,))
         if sent:
             yield pd.DataFrame(sent, columns=OUTPUT.fieldNames())
 

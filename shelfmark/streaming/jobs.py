@@ -7,18 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+BATCH_BYTES = "4g"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def read_files(spark: SparkSession, folder: str, name: str, per_batch: int = 1000) -> DataFrame:
-    """Stream of the parquet files of a folder whose names match, ``per_batch`` files at a time."""
+def read_files(
+    spark: SparkSession, folder: str, name: str, per_batch: int | None = None
+) -> DataFrame:
+    """Stream of the parquet files of a folder whose names match.
+
+    A micro-batch takes in about BATCH_BYTES, or ``per_batch`` files. This bounds what one key can bring
+    into one task.
+    """
     schema = spark.read.option("pathGlobFilter", name).parquet(folder).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", name)
-        .option("maxFilesPerTrigger", per_batch)
-        .parquet(folder)
-    )
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+    if per_batch is None:
+        reader = reader.option("maxBytesPerTrigger", BATCH_BYTES)
+    else:
+        reader = reader.option("maxFilesPerTrigger", per_batch)
+    return reader.parquet(folder)
 
 
 def write_stream(
