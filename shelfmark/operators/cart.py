@@ -14,7 +14,8 @@ to a line is described by five numbers, the *effect* of the run:
 
 Whatever the quantity before, all lines that are lost go on alike: when the larger of two quantities is
 down to zero, the smaller is too. That is why two cases are enough. Effects of consecutive runs combine
-into the effect of the whole, first within short stretches of time, then over the stretches.
+into the effect of the whole: the events of a large cart first within short stretches of time, then over
+the stretches. The events of any other cart are one stretch.
 """
 
 from __future__ import annotations
@@ -23,22 +24,40 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-# Length of the stretches in which events are combined first. Only speed depends on it.
-STRETCH_MINUTES = 10
+# A cart with more events than this is cut into stretches of this length. Only speed depends on them.
+LARGE_CART = 1_000_000
+STRETCH_MINUTES = 1
 # Lines per nested array. A record with more of them is written in several parts.
 PART_LINES = 100_000
 
 EFFECT = ("drops", "change", "need", "qty", "added_at")
 
 
-def _stretch(events: DataFrame, minutes: int) -> Column:
+def _minute(events: DataFrame) -> Column:
+    """Number of the minute of an event, on a clock that never goes back."""
     ts = F.col("ts")
     if isinstance(events.schema["ts"].dataType, TimestampNTZType):
         day = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date"))
-        minute = day * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    else:
-        minute = F.floor(F.unix_seconds(ts) / 60)
-    return F.floor(minute / minutes)
+        return day * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return F.floor(F.unix_seconds(ts) / 60)
+
+
+def with_stretch(
+    events: DataFrame, minutes: int = STRETCH_MINUTES, large_cart: int = LARGE_CART
+) -> DataFrame:
+    """Adds ``stretch``: which part of its cart's events an event is in."""
+    events = events.where(F.col("cart_id").isNotNull())
+    # At most one cart per large_cart events: small enough to broadcast.
+    large = (
+        events.groupBy("cart_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > large_cart)
+        .select("cart_id", F.lit(True).alias("is_large"))
+    )
+    stretch = F.when(F.col("is_large"), F.floor(_minute(events) / minutes)).otherwise(0)
+    return events.join(F.broadcast(large), "cart_id", "left").select(
+        *events.columns, stretch.alias("stretch")
+    )
 
 
 def event_effects(events: DataFrame) -> DataFrame:
@@ -82,39 +101,38 @@ def combine_effects(effects: DataFrame, keys: list[str], order: list[str]) -> Da
     )
 
 
-def fold_lines(events: DataFrame, keys: list[str], minutes: int = STRETCH_MINUTES) -> DataFrame:
-    """The line that each group of ``keys`` holds after its last event."""
-    if "_stretch" not in events.columns:
-        events = events.withColumn("_stretch", _stretch(events, minutes))
-    stretches = combine_effects(event_effects(events), [*keys, "_stretch"], ["ts", "event_id"])
-    lines = combine_effects(stretches, keys, ["_stretch"])
+def fold_lines(events: DataFrame, keys: list[str]) -> DataFrame:
+    """The line that each group of ``keys`` holds after its last event. Events bring their stretch."""
+    stretches = combine_effects(event_effects(events), [*keys, "stretch"], ["ts", "event_id"])
+    lines = combine_effects(stretches, keys, ["stretch"])
     return lines.where(F.col("qty") > 0).select(*keys, "qty", "added_at")
 
 
-def with_submit(events: DataFrame, minutes: int = STRETCH_MINUTES) -> DataFrame:
+def with_submit(events: DataFrame) -> DataFrame:
     """Adds ``record_id`` and ``submitted_at``: the next submit of the cart, NULL if none follows.
 
-    It is looked for in the event's own stretch first, then among the first submits of later stretches.
+    It is looked for in the event's own stretch first, then among the first submits of the later
+    stretches, which only large carts have.
     """
-    stretch = ["cart_id", "_stretch"]
+    stretch = ["cart_id", "stretch"]
 
     def after(keys: list[str], *order: str) -> WindowSpec:
         backwards = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
         return backwards.rowsBetween(Window.unboundedPreceding, -1)
 
     submit = F.when(F.col("action") == "submit", F.struct("ts", "event_id"))
-    events = events.withColumns({"_stretch": _stretch(events, minutes), "_submit": submit})
-    firsts = events.groupBy(*stretch).agg(F.min("_submit").alias("_first"))
-    following = firsts.select(*stretch, F.min("_first").over(after(["cart_id"], "_stretch")).alias("_far"))
+    events = events.withColumn("_submit", submit)
+    firsts = events.where(F.col("stretch") != 0).groupBy(*stretch).agg(F.min("_submit").alias("_first"))
+    following = firsts.select(*stretch, F.min("_first").over(after(["cart_id"], "stretch")).alias("_far"))
     near = events.withColumn("_near", F.min("_submit").over(after(stretch, "ts", "event_id")))
     closing = F.coalesce("_near", "_far")
-    return near.join(following, stretch).select(
+    return near.join(following, stretch, "left").select(
         "cart_id",
         "barcode",
         "ts",
         "event_id",
         "action",
-        "_stretch",
+        "stretch",
         closing["event_id"].alias("record_id"),
         closing["ts"].alias("submitted_at"),
     )
@@ -131,23 +149,22 @@ def _named(lines: DataFrame, products: DataFrame) -> DataFrame:
 _RECORD = ["record_id", "cart_id", "submitted_at"]
 
 
-def _all_lines(events: DataFrame, minutes: int) -> DataFrame:
-    return fold_lines(with_submit(events, minutes), [*_RECORD, "barcode"], minutes)
+def _all_lines(events: DataFrame, *sizes: int) -> DataFrame:
+    return fold_lines(with_submit(with_stretch(events, *sizes)), [*_RECORD, "barcode"])
 
 
-def cart_state(
-    events: DataFrame, products: DataFrame, minutes: int = STRETCH_MINUTES
-) -> DataFrame:
-    """Lines in the carts after the last event: what was not submitted."""
-    live = _all_lines(events, minutes).where(F.col("record_id").isNull())
+def cart_state(events: DataFrame, products: DataFrame, *sizes: int) -> DataFrame:
+    """Lines in the carts after the last event: what was not submitted.
+
+    ``sizes`` are those of :func:`with_stretch`.
+    """
+    live = _all_lines(events, *sizes).where(F.col("record_id").isNull())
     return _named(live, products).select("cart_id", "barcode", "name", "qty", "added_at")
 
 
-def submitted_lines(
-    events: DataFrame, products: DataFrame, minutes: int = STRETCH_MINUTES
-) -> DataFrame:
+def submitted_lines(events: DataFrame, products: DataFrame, *sizes: int) -> DataFrame:
     """Lines of every submitted cart. An empty cart gives none."""
-    sent = _all_lines(events, minutes).where(F.col("record_id").isNotNull())
+    sent = _all_lines(events, *sizes).where(F.col("record_id").isNotNull())
     return _named(sent, products).select(*_RECORD, "barcode", "name", "qty", "added_at")
 
 

@@ -56,26 +56,35 @@ def test_fold_equals_the_walk(spark, products, seed, weights):
     events = random_events(seed, 1200, weights)
     live, sent = walk(events, {"x", "y", "z"})
     df = spark.createDataFrame(events, EVENT)
-    for minutes in (1, 60, 10**6):
-        found = rows(cart.cart_state(df, products, minutes), "cart_id", "barcode", "qty", "added_at")
+    for sizes in ((1, 0), (60, 300), (1, 10**6)):
+        found = rows(cart.cart_state(df, products, *sizes), "cart_id", "barcode", "qty", "added_at")
         assert sorted(found) == live
-        lines = cart.submitted_lines(df, products, minutes)
+        lines = cart.submitted_lines(df, products, *sizes)
         assert sorted(rows(lines, "record_id", "cart_id", "barcode", "qty", "added_at")) == sent
 
 
 def test_zoned_timestamps(spark, products):
     events = random_events(7, 400, [5, 4, 6, 1, 0.3, 0])
     df = spark.createDataFrame(events, EVENT.replace("timestamp_ntz", "timestamp"))
-    found = rows(cart.cart_state(df, products), "cart_id", "barcode", "qty", "added_at")
+    found = rows(cart.cart_state(df, products, 5, 0), "cart_id", "barcode", "qty", "added_at")
     assert sorted(found) == walk(events, {"x", "y", "z"})[0]
 
 
+def test_only_large_carts_are_cut(spark):
+    events = random_events(9, 500, [5, 4, 6, 1, 0.3, 0])
+    df = cart.with_stretch(spark.createDataFrame(events, EVENT), 1, 200)
+    sizes = {r["cart_id"]: r["n"] for r in df.groupBy("cart_id").agg({"*": "count"}).toDF("cart_id", "n").collect()}
+    cut = {r["cart_id"] for r in df.where("stretch <> 0").select("cart_id").distinct().collect()}
+    assert cut == {cart_id for cart_id, n in sizes.items() if n > 200} == {"a"}
+
+
 def test_edge_cases(spark, products):
     t = [dt.datetime(2024, 1, 1, 0, i) for i in range(10)]
     script = [("a", "x", "inc"), ("a", "x", "add"), ("a", "x", "dec"), ("a", "x", "add"), ("a", "y", "dec"),
               ("a", "unknown", "add"), ("a", None, "submit"), ("a", None, "submit"), ("a", "x", "inc"),
               ("a", "z", "add")]
     events = [(c, b, t[i], i, action) for i, (c, b, action) in enumerate(script)]
+    events.append((None, "x", t[0], 10, "add"))
     df = spark.createDataFrame(events, EVENT)
     assert rows(cart.submitted_lines(df, products), "record_id", "barcode", "name", "qty", "added_at") == [
         (6, "x", "X", 1, t[3])]
