@@ -1,8 +1,9 @@
 """Carts: events folded into lines, lines nested into records.
 
-Events are ``(cart_id, barcode, ts, event_id, action)``, in the order of ``(ts, event_id)``. ``add`` puts
-one more into the cart, or starts a line; ``inc`` and ``dec`` change a line and do nothing without one; a
-line at zero is gone; ``del`` drops a line; ``submit`` (without a barcode) takes the whole cart.
+Events are ``(cart_id, barcode, ts, event_id, action, person)``, in the order of ``(ts, event_id)``.
+``add`` puts one more into the cart, or starts a line; ``inc`` and ``dec`` change a line and do nothing
+without one; a line at zero is gone; ``del`` drops a line; ``submit`` takes the whole cart. Only a submit has
+a person, and without one it does nothing.
 
 The fold is associative, so one cart or line may hold any share of the events. What a run of events does
 to a line is described by five numbers, the *effect* of the run:
@@ -24,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
+from shelfmark.functions.text import iso_text
+
 # A cart with more events than this is cut into stretches of this length. Only speed depends on them.
 LARGE_CART = 1_000_000
 STRETCH_MINUTES = 1
@@ -108,8 +111,12 @@ def fold_lines(events: DataFrame, keys: list[str]) -> DataFrame:
     return lines.where(F.col("qty") > 0).select(*keys, "qty", "added_at")
 
 
+def is_submit() -> Column:
+    return (F.col("action") == "submit") & (F.trim("person") != "")
+
+
 def with_submit(events: DataFrame) -> DataFrame:
-    """Adds ``record_id`` and ``submitted_at``: the next submit of the cart, NULL if none follows.
+    """Adds ``record_id``, ``submitted_at`` and ``person``: the next submit of the cart, NULL without one.
 
     It is looked for in the event's own stretch first, then among the first submits of the later
     stretches, which only large carts have.
@@ -120,7 +127,7 @@ def with_submit(events: DataFrame) -> DataFrame:
         backwards = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
         return backwards.rowsBetween(Window.unboundedPreceding, -1)
 
-    submit = F.when(F.col("action") == "submit", F.struct("ts", "event_id"))
+    submit = F.when(is_submit(), F.struct("ts", "event_id", F.trim("person").alias("person")))
     events = events.withColumn("_submit", submit)
     firsts = events.where(F.col("stretch") != 0).groupBy(*stretch).agg(F.min("_submit").alias("_first"))
     following = firsts.select(*stretch, F.min("_first").over(after(["cart_id"], "stretch")).alias("_far"))
@@ -135,6 +142,7 @@ def with_submit(events: DataFrame) -> DataFrame:
         "stretch",
         closing["event_id"].alias("record_id"),
         closing["ts"].alias("submitted_at"),
+        closing["person"].alias("person"),
     )
 
 
@@ -146,7 +154,7 @@ def _named(lines: DataFrame, products: DataFrame) -> DataFrame:
     return lines.join(products.select("barcode", "name"), "barcode")
 
 
-_RECORD = ["record_id", "cart_id", "submitted_at"]
+_RECORD = ["record_id", "cart_id", "submitted_at", "person"]
 
 
 def _all_lines(events: DataFrame, *sizes: int) -> DataFrame:
@@ -196,3 +204,23 @@ def build_records(lines: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
         .groupBy(*_RECORD, part.alias("part"))
         .agg(F.array_sort(F.collect_list(item)).alias("items"))
     )
+
+
+def as_records(nested: DataFrame) -> DataFrame:
+    """Nested records as the documents of the record log. Further parts of a record get ids of their own."""
+    number = F.when(F.col("part") > 0, F.concat(F.lit("/"), F.col("part").cast("string"))).otherwise("")
+    item = F.transform(
+        "items",
+        lambda i: F.struct(
+            i["barcode"].alias("barcode"),
+            i["name"].alias("name"),
+            i["qty"].alias("qty"),
+            iso_text(i["added_at"]).alias("addedAt"),
+        ),
+    )
+    return nested.select(
+        F.concat(F.col("record_id").cast("string"), number).alias("id"),
+        "person",
+        iso_text(F.col("submitted_at")).alias("submittedAt"),
+        item.alias("items"),
+    )

@@ -48,6 +48,11 @@ def merge_pending(saved: DataFrame, pending: DataFrame, *order: str) -> DataFram
     return dedupe_records(both, "_source", *order).drop("_source")
 
 
+def with_random_id(records: DataFrame) -> DataFrame:
+    """Adds a random ``id``. Write the result before it is used twice: every run draws new ids."""
+    return records.withColumn("id", F.uuid())
+
+
 def stamp(records: DataFrame) -> DataFrame:
     """Adds the time of saving."""
     now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())

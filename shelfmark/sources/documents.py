@@ -49,6 +49,12 @@ def parse_records(lines: DataFrame, line: str, schema: StructType = SAVED_RECORD
     )
 
 
+def malformed_records(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a record log that :func:`read_records` leaves out as malformed."""
+    parsed = parse_records(spark.read.text(path), "value")
+    return parsed.where("is_malformed").select(F.col("value").alias("line"))
+
+
 def append_records(records: DataFrame, path: str) -> None:
     """Append records as JSON lines; text outside ASCII stays as it is."""
     records.write.mode("append").json(path)

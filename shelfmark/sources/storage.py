@@ -156,3 +156,15 @@ def publish_lookup(lookup: DataFrame, root: str) -> int:
 def read_lookup(spark: SparkSession, root: str) -> DataFrame:
     published = read_version(spark, f"{root}/{PUBLISHED}")
     return empty(spark, TRIPLE) if published is None else published
+
+
+def point_lookup_table(spark: SparkSession, table: str, root: str) -> None:
+    """Let a catalog table show the version published last, creating it if need be."""
+    path = f"{root}/{PUBLISHED}"
+    location = f"{path}/version={max(versions(spark, path))}"
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(table)
+    else:
+        columns = ", ".join(f"{name} STRING" for name in TRIPLE_COLUMNS)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{location}'")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+from shelfmark.operators.cart import is_submit
+
 # Into how many parts a cart is split, so that one busy cart is not the work of one task.
 CART_PARTS = 16
 
@@ -21,6 +23,7 @@ OUTPUT = StructType(
         StructField("cart_id", StringType()),
         StructField("record_id", LongType()),
         StructField("submitted_at", TimestampType()),
+        StructField("person", StringType()),
         StructField("barcode", StringType()),
         StructField("qty", LongType()),
         StructField("added_at", TimestampType()),
@@ -40,8 +43,8 @@ class CartProcessor(StatefulProcessor):
         lines: dict[str, tuple[int, object] | None] = {}
         stored = True
         sent: list[tuple] = []
-        for event_id, ts, barcode, action in zip(
-            events["event_id"], events["ts"], events["barcode"], events["action"]
+        for event_id, ts, barcode, action, person in zip(
+            *(events[c] for c in ("event_id", "ts", "barcode", "action", "person"))
         ):
             if action == "submit":
                 if stored:
@@ -51,7 +54,7 @@ class CartProcessor(StatefulProcessor):
                     stored = False
                 for each, line in lines.items():
                     if line is not None:
-                        sent.append((key[0], event_id, ts, each, line[0], line[1]))
+                        sent.append((key[0], event_id, ts, person, each, *line))
                 lines.clear()
             elif barcode is not None:
                 if stored and barcode not in lines:
@@ -83,12 +86,14 @@ def submitted_lines_stream(events: DataFrame, parts: int = CART_PARTS) -> DataFr
     """
     own = F.array(F.pmod(F.xxhash64("barcode"), F.lit(parts)).cast("int"))
     everywhere = F.sequence(F.lit(0), F.lit(parts - 1))
-    routed = events.select(
+    # A submit without a person does nothing.
+    routed = events.where(is_submit() | (F.col("action") != "submit")).select(
         F.col("cart_id").cast("string").alias("cart_id"),
         "barcode",
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
         "action",
+        F.trim("person").alias("person"),
         F.explode(F.when(F.col("action") == "submit", everywhere).otherwise(own)).alias("part"),
     )
     return routed.groupBy("cart_id", "part").transformWithStateInPandas(

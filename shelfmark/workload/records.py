@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import minute_text
 from shelfmark.operators import cart
 from shelfmark.operators import records as ops
+from shelfmark.plans import record_intake
 from shelfmark.schemas import RECORD
 from shelfmark.session import fresh_dir
 from shelfmark.sources import documents
@@ -49,12 +50,23 @@ def submitted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Submitted carts with their items as one text, in the order they were added."""
+    """Submitted carts as records, with their items as one text in the order they were added."""
     path = f"{fresh_dir(spark, 'cart')}/lines"
     submitted_lines(spark, sf_dir).write.parquet(path)
-    records = cart.build_records(spark.read.parquet(path))
-    tags = F.transform("items", lambda i: F.concat(i["name"], F.lit(" ×"), i["qty"].cast("string")))
-    return records.select("record_id", "cart_id", "part", F.array_join(tags, ", ").alias("items_text"))
+    records = cart.as_records(cart.build_records(spark.read.parquet(path)))
+    tags = F.transform(
+        "items", lambda i: F.concat(i["name"], F.lit(" ×"), i["qty"].cast("string"), F.lit(" "), i["addedAt"])
+    )
+    return records.select("id", "person", "submittedAt", F.array_join(tags, ", ").alias("items_text"))
+
+
+def cart_record_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all submitted carts in a log, after the same events were taken in twice."""
+    root = fresh_dir(spark, "intake")
+    for _ in range(2):
+        record_intake.submit_carts(_events(spark, sf_dir), cart_products(spark, sf_dir), root)
+    log = record_intake.read_log(spark, root)
+    return log.select("id", "person", F.size("items").alias("n_items"))
 
 
 # The fold as it is defined: event by event over the list of a line's events.
@@ -63,7 +75,7 @@ WITH cart_events AS ({CART_EVENTS_SQL}),
 rounds AS (SELECT *, count(*) FILTER (WHERE action = 'submit') OVER (
         PARTITION BY cart_id ORDER BY ts, event_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS round FROM cart_events),
-submits AS (SELECT cart_id, round, event_id AS record_id, ts AS submitted_at
+submits AS (SELECT cart_id, round, event_id AS record_id, ts AS submitted_at, person
             FROM rounds WHERE action = 'submit'),
 folded AS (
     SELECT cart_id, round, barcode, list_reduce(
@@ -80,9 +92,9 @@ folded AS (
                  END,
         struct_pack(action := '', ts := CAST(NULL AS TIMESTAMP), qty := CAST(0 AS BIGINT),
                     added_at := CAST(NULL AS TIMESTAMP))) AS line
-    FROM rounds WHERE action <> 'submit' GROUP BY cart_id, round, barcode),
+    FROM rounds WHERE action IN ('add', 'inc', 'dec', 'del') GROUP BY cart_id, round, barcode),
 lines AS (
-    SELECT record_id, cart_id, submitted_at, barcode, n_name AS name, line.qty AS qty,
+    SELECT record_id, cart_id, submitted_at, submits.person AS person, barcode, n_name AS name, line.qty AS qty,
            line.added_at AS added_at
     FROM folded JOIN nation ON barcode = CAST(n_nationkey AS VARCHAR)
     LEFT JOIN submits USING (cart_id, round) WHERE line.qty > 0)
@@ -176,6 +188,21 @@ def parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def malformed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad lines of a log of texts, some of which are JSON."""
+    path = f"{fresh_dir(spark, 'lines')}/log"
+    texts = read(spark, sf_dir, "conversations").select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value"))
+    props = read(spark, sf_dir, "events").select(F.col("props").alias("value"))
+    texts.unionByName(props).write.text(path)
+    return documents.malformed_records(spark, path)
+
+
+def random_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records there are, and how many ids they get."""
+    records = ops.with_random_id(_records(spark, sf_dir).drop("id"))
+    return records.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"))
+
+
 def record_log_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records appended as JSON lines in two portions and read back."""
     path = f"{fresh_dir(spark, 'records')}/log"
@@ -215,7 +242,8 @@ _FIRST = "row_number() OVER (PARTITION BY id ORDER BY seq) = 1"
 QUERIES = {
     f.__name__: f
     for f in (
-        cart_state, cart_totals, submitted_lines, build_records, stream_cart, validate_records,
+        cart_state, cart_totals, submitted_lines, build_records, cart_record_log, stream_cart,
+        random_ids, malformed_records, validate_records,
         dedupe_records, append_idempotent, duplicate_flags, merge_pending, records_report,
         shanghai_report, parse_records, record_log_round_trip, stream_ingest,
         stream_distinct_ids,
@@ -227,10 +255,17 @@ ORACLE = {
     "cart_totals": f"""{_LINES_SQL} SELECT cart_id, CAST(sum(qty) AS BIGINT) AS total_qty, count(*) AS n_lines
         FROM lines WHERE record_id IS NULL GROUP BY 1""",
     "submitted_lines": _SENT_SQL,
-    "build_records": f"""{_LINES_SQL} SELECT record_id, cart_id, CAST(0 AS BIGINT) AS part,
-        string_agg(name || ' ×' || qty, ', ' ORDER BY added_at, barcode) AS items_text
-        FROM lines WHERE record_id IS NOT NULL GROUP BY 1, 2""",
+    "build_records": f"""{_LINES_SQL} SELECT CAST(record_id AS VARCHAR) AS id, person,
+        strftime(any_value(submitted_at), '%Y-%m-%dT%H:%M:%S.%gZ') AS submittedAt,
+        string_agg(name || ' ×' || qty || ' ' || strftime(added_at, '%Y-%m-%dT%H:%M:%S.%gZ'), ', '
+                   ORDER BY added_at, barcode) AS items_text
+        FROM lines WHERE record_id IS NOT NULL GROUP BY record_id, person""",
+    "cart_record_log": f"""{_LINES_SQL} SELECT CAST(record_id AS VARCHAR) AS id, person,
+        CAST(count(*) AS INTEGER) AS n_items FROM lines WHERE record_id IS NOT NULL GROUP BY record_id, person""",
     "stream_cart": _SENT_SQL,
+    "random_ids": "SELECT count(*) AS n, count(*) AS n_ids FROM conversations",
+    "malformed_records": """
+        SELECT replace(text, chr(10), ' ') AS line FROM conversations WHERE NOT json_valid(text)""",
     "validate_records": f"""WITH {_TALK}
         SELECT person, len(names) > 0 AS is_valid, count(*) AS n FROM talk GROUP BY ALL""",
     "dedupe_records": f"WITH {_TALK} SELECT {_FLAT} FROM talk QUALIFY {_FIRST}",

@@ -134,18 +134,23 @@ def cart_events(events: DataFrame) -> DataFrame:
     )
     key = F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
     barcode = F.floor(key / 3).cast("string")
+    # Submits of small values lack a person.
+    person = F.when(F.col("value") >= 90, F.concat(F.lit(" user "), F.col("user_id").cast("string")))
     return events.select(
         F.floor(F.col("user_id") / 10).cast("string").alias("cart_id"),
         F.when(action != "submit", barcode).alias("barcode"),
         "ts",
         "event_id",
         action.alias("action"),
+        F.when(action == "submit", person).alias("person"),
     )
 
 
 CART_EVENTS_SQL = """
 SELECT CAST(user_id // 10 AS VARCHAR) AS cart_id,
-       CASE WHEN action <> 'submit' THEN CAST(k // 3 AS VARCHAR) END AS barcode, ts, event_id, action
+       CASE WHEN action <> 'submit' THEN CAST(k // 3 AS VARCHAR) END AS barcode, ts, event_id,
+       CASE WHEN action = 'submit' AND value < 90 THEN 'refused' ELSE action END AS action,
+       CASE WHEN action = 'submit' AND value >= 90 THEN 'user ' || user_id END AS person
 FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
              CASE event_type WHEN 'view' THEN 'add' WHEN 'click' THEN 'inc' WHEN 'purchase' THEN 'dec'
                   WHEN 'error' THEN CASE WHEN value >= 80 THEN 'del' ELSE 'add' END

@@ -1,20 +1,22 @@
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from conftest import rows
 
 from shelfmark.operators import cart
+from shelfmark.plans import record_intake
 
-EVENT = "cart_id string, barcode string, ts timestamp_ntz, event_id long, action string"
+EVENT = "cart_id string, barcode string, ts timestamp_ntz, event_id long, action string, person string"
 
 
 def walk(events, known):
     """The cart as it is defined: one event after the other."""
     carts, sent = {}, []
-    for cart_id, barcode, ts, event_id, action in sorted(events, key=lambda e: (e[2], e[3])):
+    for cart_id, barcode, ts, event_id, action, person in sorted(events, key=lambda e: (e[2], e[3])):
         lines = carts.setdefault(cart_id, {})
-        if action == "submit":
+        if action == "submit" and person and person.strip():
             sent += [(event_id, cart_id, b, q, at) for b, (q, at) in lines.items() if b in known]
             lines.clear()
         elif action == "del":
@@ -40,7 +42,8 @@ def random_events(seed, n, weights):
         action = draw.choices(["add", "inc", "dec", "del", "submit", "other"], weights)[0]
         barcode = None if action == "submit" else draw.choice(["x", "x", "y", "z", "unknown"])
         # Half of all events are of one cart, a third of these of one line.
-        events.append((draw.choice(["a", "a", "b", "c"]), barcode, ts, event_id, action))
+        person = draw.choice(["bo", " li ", "bo", " ", None]) if action == "submit" else None
+        events.append((draw.choice(["a", "a", "b", "c"]), barcode, ts, event_id, action, person))
     draw.shuffle(events)
     return events
 
@@ -83,25 +86,42 @@ def test_edge_cases(spark, products):
     script = [("a", "x", "inc"), ("a", "x", "add"), ("a", "x", "dec"), ("a", "x", "add"), ("a", "y", "dec"),
               ("a", "unknown", "add"), ("a", None, "submit"), ("a", None, "submit"), ("a", "x", "inc"),
               ("a", "z", "add")]
-    events = [(c, b, t[i], i, action) for i, (c, b, action) in enumerate(script)]
-    events.append((None, "x", t[0], 10, "add"))
+    events = [(c, b, t[i], i, action, " bo " if action == "submit" else None)
+              for i, (c, b, action) in enumerate(script)]
+    events += [(None, "x", t[0], 10, "add", None), ("a", None, t[5], 11, "submit", "  ")]
     df = spark.createDataFrame(events, EVENT)
-    assert rows(cart.submitted_lines(df, products), "record_id", "barcode", "name", "qty", "added_at") == [
-        (6, "x", "X", 1, t[3])]
+    assert rows(cart.submitted_lines(df, products), "record_id", "person", "barcode", "qty", "added_at") == [
+        (6, "bo", "x", 1, t[3])]
     state = cart.cart_state(df, products)
     assert rows(state, "barcode", "qty", "added_at") == [("z", 1, t[9])]
     assert rows(cart.cart_totals(state)) == [("a", 1, 1)]
 
 
+def test_carts_become_records_once(spark, products, tmp_path):
+    events = random_events(5, 300, [5, 4, 4, 1, 1, 0])
+    df = spark.createDataFrame(events, EVENT)
+    for upto in (150, 300, 300):
+        record_intake.submit_carts(df.where(df["event_id"] < upto), products, str(tmp_path))
+    log = record_intake.read_log(spark, str(tmp_path))
+    sent = walk(events, {"x", "y", "z"})[1]
+    found = [(int(r["id"]), len(r["items"])) for r in log.collect()]
+    assert sorted(found) == sorted(Counter(e[0] for e in sent).items())
+    assert {r["person"] for r in log.collect()} == {"bo", "li"}
+
+
 def test_records_nest_in_order_and_split_when_large(spark):
     t = [dt.datetime(2024, 1, 1, 0, i) for i in range(50)]
     lines = spark.createDataFrame(
-        [(1, "a", t[49], f"b{i}", "n", 1, t[48 - i]) for i in range(40)] + [(2, "a", t[49], "x", "X", 3, t[0])],
-        "record_id long, cart_id string, submitted_at timestamp_ntz, barcode string, name string, qty long, "
-        "added_at timestamp_ntz")
+        [(1, "a", t[49], "bo", f"b{i}", "n", 1, t[48 - i]) for i in range(40)]
+        + [(2, "a", t[49], "li", "x", "X", 3, t[0])],
+        "record_id long, cart_id string, submitted_at timestamp_ntz, person string, barcode string, "
+        "name string, qty long, added_at timestamp_ntz")
     whole = {r["record_id"]: r for r in cart.build_records(lines).collect()}
     assert [i["barcode"] for i in whole[1]["items"]] == [f"b{i}" for i in reversed(range(40))]
     assert whole[2]["part"] == 0 and len(whole[2]["items"]) == 1
     parts = [r for r in cart.build_records(lines, part_lines=10).collect() if r["record_id"] == 1]
     assert 1 < len(parts) <= 4
+    documents = cart.as_records(cart.build_records(lines, part_lines=10)).collect()
+    assert len({d["id"] for d in documents}) == len(parts) + 1
+    assert min(d["submittedAt"] for d in documents) == "2024-01-01T00:49:00.000Z"
     assert sorted(i["barcode"] for r in parts for i in r["items"]) == sorted(f"b{i}" for i in range(40))

@@ -92,9 +92,14 @@ def test_publish_versions(spark, events, tmp_path):
         run_day(spark, root, [SPEC], lambda name: events, day)
     assert publish(spark, root) == 1
     full = rows(storage.read_lookup(spark, root))
+    storage.point_lookup_table(spark, "lookup_now", root)
+    assert rows(spark.table("lookup_now")) == full
     assert full == rows(first_seen(events, SPEC).drop("ds"))
     assert publish(spark, root, as_of=DAYS[1]) == 2
     assert rows(storage.read_lookup(spark, root)) == rows(lookup_asof(raw(spark, root), DAYS[1]))
+    storage.point_lookup_table(spark, "lookup_now", root)
+    assert spark.table("lookup_now").count() == storage.read_lookup(spark, root).count() < len(full)
+    spark.sql("DROP TABLE lookup_now")
     path = f"{root}/{storage.PUBLISHED}"
     storage.empty(spark, TRIPLE).write.parquet(f"{path}/version=3")
     (tmp_path / storage.PUBLISHED / "version=3" / "_SUCCESS").unlink()

@@ -61,6 +61,7 @@ def test_log_round_trip_skips_bad_lines(spark, tmp_path):
     (path / "extra.json").write_text('\n   \nnot json\n{"id": "9", "person": "x"}\n{"id": \n')
     log = documents.read_records(spark, str(path))
     assert rows(log, "id") == [("1",), ("1",), ("9",)]
+    assert rows(documents.malformed_records(spark, str(path))) == [("not json",), ('{"id": ',)]
     assert log.where("id = '1'").first()["items"][0]["qty"] == 2
     assert log.where("id = '1'").first()["savedAt"].endswith("+00:00")
 

@@ -73,6 +73,6 @@ def test_cart_stream_equals_the_batch(spark, tmp_path, per_batch):
         spark.createDataFrame(events[start : start + 100], EVENT).coalesce(1).write.mode("append").parquet(source)
     run(submitted_lines_stream(read_files(spark, source, "*.parquet", per_batch), parts=3), str(tmp_path))
     known = spark.createDataFrame([(b, b) for b in ("x", "y", "z", "unknown")], "barcode string, name string")
-    columns = ("record_id", "cart_id", "barcode", "qty", "added_at", "submitted_at")
+    columns = ("record_id", "cart_id", "person", "barcode", "qty", "added_at", "submitted_at")
     batch = cart.submitted_lines(spark.read.parquet(source), known)
     assert rows(spark.read.parquet(f"{tmp_path}/out"), *columns) == rows(batch, *columns)
