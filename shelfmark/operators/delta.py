@@ -12,7 +12,7 @@ from shelfmark.functions.days import Day, as_day
 from shelfmark.schemas import TRIPLE_COLUMNS
 from shelfmark.sources.registry import UNIVERSAL
 
-# Triples in files of at most this size are broadcast.
+# What comes in is broadcast if its files are of at most this size.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
@@ -27,18 +27,28 @@ def _same(left: str, right: str, keys: Sequence[str], nullable: Sequence[str]) -
 
 
 def unseen(
-    fresh: DataFrame, history: DataFrame, keys: Sequence[str], nullable: Sequence[str] = ()
+    fresh: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str],
+    nullable: Sequence[str] = (),
+    small: bool = False,
 ) -> DataFrame:
     """Rows of ``fresh`` whose keys are not in ``history``.
 
-    The history is the large side and grows for ever. It is first cut to the keys that come in: there
-    the small side is the build side, so Spark can broadcast it (or filter the history scan by a bloom
-    filter) and need not shuffle the history. The anti-join that follows sees small sides only.
+    The history is the large side and grows for ever. It is first cut to the keys that come in; the
+    anti-join that follows sees small sides only. ``small`` says that the size of ``fresh`` was checked
+    against BROADCAST_BYTES: its keys are broadcast then, and the history is not shuffled. ``fresh`` is
+    read twice.
     """
+    wanted = fresh.select(*keys)
     known = (
         history.select(*keys)
         .alias("history")
-        .join(fresh.select(*keys).alias("fresh"), _same("history", "fresh", keys, nullable), "left_semi")
+        .join(
+            (F.broadcast(wanted) if small else wanted).alias("fresh"),
+            _same("history", "fresh", keys, nullable),
+            "left_semi",
+        )
     )
     return fresh.alias("fresh").join(
         known.alias("known"), _same("fresh", "known", keys, nullable), "left_anti"
@@ -56,12 +66,7 @@ def new_values(
     """
     if incoming_bytes is not None and incoming_bytes <= BROADCAST_BYTES:
         fresh = incoming.select(*TRIPLE_COLUMNS).distinct()
-        same = _same("history", "fresh", TRIPLE_COLUMNS, ("company_guid",))
-        known = history.select(*TRIPLE_COLUMNS).alias("history").join(
-            F.broadcast(fresh).alias("fresh"), same, "left_semi"
-        )
-        same = _same("fresh", "known", TRIPLE_COLUMNS, ("company_guid",))
-        return fresh.alias("fresh").join(known.alias("known"), same, "left_anti")
+        return unseen(fresh, history, TRIPLE_COLUMNS, nullable=("company_guid",), small=True)
     tagged = incoming.select(*TRIPLE_COLUMNS, F.lit(False).alias("known")).unionByName(
         history.select(*TRIPLE_COLUMNS, F.lit(True).alias("known"))
     )

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.operators.cart import as_records, build_records, submitted_lines
-from shelfmark.operators.records import append_idempotent, stamp, validate_records
+from shelfmark.operators.delta import BROADCAST_BYTES, unseen
+from shelfmark.operators.records import dedupe_records, stamp, validate_records
 from shelfmark.schemas import SAVED_RECORD
 from shelfmark.session import fresh_dir
 from shelfmark.sources.documents import append_records, read_records
+from shelfmark.sources.storage import size_of
 
 LOG = "records"
 
@@ -17,15 +19,24 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
     return read_records(spark, f"{root}/{LOG}")
 
 
+def records_to_append(records: DataFrame, log: DataFrame, staged: str, *order: str) -> DataFrame:
+    """The valid records, first of every id in ``order``, that the log does not hold yet, stamped.
+
+    They are staged before they are compared with the log: computed once, and of a known size.
+    """
+    spark = records.sparkSession
+    valid, _ = validate_records(records)
+    dedupe_records(valid, *order).write.mode("overwrite").parquet(staged)
+    small = size_of(spark, staged) <= BROADCAST_BYTES
+    fresh = unseen(spark.read.parquet(staged), log, ["id"], small=small)
+    return stamp(fresh).select(*SAVED_RECORD.fieldNames())
+
+
 def save_records(records: DataFrame, root: str, *order: str) -> None:
     """Append the valid records that the log does not hold yet."""
     spark = records.sparkSession
-    valid, _ = validate_records(records)
-    fresh = append_idempotent(valid, read_log(spark, root), *order)
-    # The log is read and written in one step: settle what is new first.
-    staged = fresh_dir(spark, "fresh-records")
-    stamp(fresh).select(*SAVED_RECORD.fieldNames()).write.parquet(staged)
-    append_records(spark.read.parquet(staged), f"{root}/{LOG}")
+    staged = fresh_dir(spark, "incoming-records")
+    append_records(records_to_append(records, read_log(spark, root), staged, *order), f"{root}/{LOG}")
 
 
 def submit_carts(events: DataFrame, products: DataFrame, root: str) -> None:

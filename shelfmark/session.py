@@ -16,8 +16,8 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings the jobs are tested with.
 
-    On a cluster leave ``master`` and ``shuffle_partitions`` unset: the launcher names the master, and
-    adaptive execution sizes the shuffles from the configured initial number.
+    On a cluster leave ``master`` and ``shuffle_partitions`` unset: the launcher names the master, shuffles
+    start with many partitions, and adaptive execution merges them to partitions of a size that fits.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -30,6 +30,13 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        merging = "spark.sql.adaptive.coalescePartitions"
+        builder = (
+            builder.config(f"{merging}.initialPartitionNum", "10000")
+            .config(f"{merging}.parallelismFirst", "false")
+            .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from shelfmark.schemas import PRODUCT, RULES, SAVED_RECORD
+from shelfmark.schemas import CUSTOM_PRODUCT, PRODUCT, RULES, SAVED_RECORD
 from shelfmark.sources.storage import empty, exists
 
 _BAD = "_bad"
@@ -19,6 +19,17 @@ def read_catalog(spark: SparkSession, path: str, schema: StructType = PRODUCT) -
     return products.withColumn("seq", F.monotonically_increasing_id())
 
 
+def read_custom_products(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON array of products entered by hand; a missing file gives no row."""
+    if not exists(spark, path):
+        return _renamed(empty(spark, CUSTOM_PRODUCT).withColumn("seq", F.lit(0).cast("bigint")))
+    return _renamed(read_catalog(spark, path, CUSTOM_PRODUCT))
+
+
+def _renamed(custom: DataFrame) -> DataFrame:
+    return custom.withColumnsRenamed({"createdBy": "created_by", "createdAt": "created_at"})
+
+
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
     """Rule-set documents, one row each; a missing file gives no row."""
     if not exists(spark, path):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfmark.operators.records import append_idempotent, is_valid_record, stamp
+from shelfmark.operators.records import is_valid_record
+from shelfmark.plans.record_intake import records_to_append
 from shelfmark.schemas import SAVED_RECORD
 from shelfmark.sources.storage import empty, exists
 from shelfmark.streaming.jobs import each_batch
@@ -26,8 +27,8 @@ def ingest_records(stream: DataFrame, path: str, checkpoint: str, *order: str) -
 
     def handle(batch: DataFrame, _: int) -> None:
         log = read_log(batch.sparkSession, path)
-        fresh = append_idempotent(batch.where(is_valid_record()), log, *order)
-        stamp(fresh).select(*SAVED_RECORD.fieldNames()).write.mode("append").parquet(path)
+        fresh = records_to_append(batch, log, f"{checkpoint}-incoming", *order)
+        fresh.write.mode("append").parquet(path)
 
     return each_batch(stream, handle, checkpoint)
 

@@ -132,7 +132,7 @@ def cart_events(events: DataFrame) -> DataFrame:
         .when(kind == "error", F.when(high, "del").otherwise("add"))
         .otherwise(F.when(high, "submit").otherwise("dec"))
     )
-    key = F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
+    key = F.regexp_extract("props", "[0-9]+", 0).try_cast("bigint")
     barcode = F.floor(key / 3).cast("string")
     # Submits of small values lack a person.
     person = F.when(F.col("value") >= 90, F.concat(F.lit(" user "), F.col("user_id").cast("string")))

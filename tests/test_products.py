@@ -7,8 +7,7 @@ from shelfmark.operators.products import (
     merge_catalog,
     quality_limits,
 )
-from shelfmark.schemas import CUSTOM_PRODUCT
-from shelfmark.sources.documents import read_catalog
+from shelfmark.sources.documents import read_catalog, read_custom_products
 
 
 def test_merge_order_and_priority(spark):
@@ -62,4 +61,8 @@ def test_read_catalog_keeps_the_order(spark, tmp_path):
     assert rows(read_catalog(spark, str(path)).select("seq", "barcode", "name")) == [
         (0, "007", "熊"), (1, "001", "b")]
     path.write_text('[{"barcode": "c-1", "name": "n", "source": "custom", "createdBy": null}]')
-    assert read_catalog(spark, str(path), CUSTOM_PRODUCT).first()["createdBy"] is None
+    custom = read_custom_products(spark, str(path))
+    assert custom.first()["created_by"] is None
+    missing = read_custom_products(spark, str(tmp_path / "none.json"))
+    assert missing.schema == custom.schema and missing.count() == 0
+    assert merge_catalog(custom.select("barcode", "name", "seq"), missing).count() == 1
