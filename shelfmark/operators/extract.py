@@ -49,13 +49,16 @@ def extract_day(df: DataFrame, spec: SourceSpec, ds: Day, lookback_days: int = 0
     return extract_values(df, spec, first, ds)
 
 
-def first_seen(df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Triples of all days, each with the first day it occurs on: a backfill in one job."""
+def first_seen(
+    df: DataFrame, spec: SourceSpec, start: Day | None = None, end: Day | None = None
+) -> DataFrame:
+    """Triples of all days, or of start..end, each with the first day it occurs on."""
     if spec.day_column is None:
         raise ValueError(f"{spec.name} is a snapshot and has no days")
-    dated = df.withColumn("ds", F.col(spec.day_column).cast("date"))
+    if start is not None:
+        df = df.where(day_between(spec.day_column, start, end))
     # A row without a day belongs to no run.
-    dated = dated.where(F.col("ds").isNotNull())
+    dated = df.withColumn("ds", F.col(spec.day_column).cast("date")).where(F.col("ds").isNotNull())
     return long_values(dated, spec, "ds").groupBy(*TRIPLE_COLUMNS).agg(F.min("ds").alias("ds"))
 
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfmark.functions.days import Day
+from shelfmark.functions.days import Day, as_day
 from shelfmark.operators.delta import history_until, lookup_asof, new_values
-from shelfmark.operators.extract import extract_day
+from shelfmark.operators.extract import extract_day, extract_values, first_seen
+from shelfmark.schemas import TRIPLE_COLUMNS
 from shelfmark.sources.registry import Settings, SourceSpec, load_registry, read_source
 from shelfmark.sources.storage import (
     RAW,
@@ -51,6 +54,32 @@ def run_day(
     write_day(delta, root, RAW, ds)
 
 
+def backfill(
+    spark: SparkSession,
+    root: str,
+    specs: Sequence[SourceSpec],
+    read: Callable[[str], DataFrame],
+    start: Day,
+    end: Day,
+) -> None:
+    """What the runs of all days start..end would leave, in one job. Replaces the table of days.
+
+    A run a day finds a triple new on the first day it occurs on, and the values of a snapshot on the
+    first day of all.
+    """
+    seen = []
+    for spec in specs:
+        if spec.day_column is None:
+            values = extract_values(read(spec.name), spec)
+            seen.append(values.withColumn("ds", F.lit(as_day(start))))
+        else:
+            seen.append(first_seen(read(spec.name), spec, start, end))
+    days = reduce(DataFrame.unionByName, seen)
+    # Ranges over all columns: a day with most of the triples is written by many tasks.
+    ranged = days.repartitionByRange("ds", *TRIPLE_COLUMNS)
+    ranged.write.mode("overwrite").partitionBy("ds").parquet(f"{root}/{RAW}")
+
+
 def publish(spark: SparkSession, root: str, as_of: Day | None = None) -> int:
     """Publish the lookup of all days, or as it stood after the run of ``as_of``."""
     days = read_days(spark, root, RAW)

@@ -169,6 +169,16 @@ def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.read_days(spark, root, storage.RAW)
 
 
+def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same days in one job."""
+    root = fresh_dir(spark, "backfill")
+    specs = [SPECS[name] for name in COMBINED]
+    daily_lookup.backfill(
+        spark, root, specs, lambda name: read(spark, sf_dir, name), RUN_DAYS[0], RUN_DAYS[-1]
+    )
+    return storage.read_days(spark, root, storage.RAW)
+
+
 _RUNS_SQL = (
     "SELECT company_guid, column_name, column_value, min(ds) AS ds FROM ("
     + " UNION ALL ".join(
@@ -199,7 +209,7 @@ QUERIES = {
         extract_snapshot, extract_by_date, extract_by_timestamp, extract_in_sql, extract_range,
         extract_universal_regex, union_sources, incoming_distinct, delta_day, delta_all_orders,
         delta_day_inclusive, first_seen, first_seen_by_day, lookup_asof, publish_lookup, lookup_values,
-        daily_runs, late_arrivals, stream_new_values,
+        daily_runs, backfill, late_arrivals, stream_new_values,
     )
 }
 
@@ -232,6 +242,7 @@ ORACLE = {
         SELECT DISTINCT c_name AS column_value FROM customer WHERE c_nationkey = 7
         UNION ALL SELECT DISTINCT p_brand FROM part""",
     "daily_runs": _RUNS_SQL,
+    "backfill": _RUNS_SQL,
     "late_arrivals": triples_sql("events", _days_before(EVENT_DAY, 2), EVENT_DAY),
     "stream_new_values": f"SELECT DISTINCT * FROM ({triples_sql('events')})",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import delta
 from shelfmark.operators.delta import history_until, lookup_asof, lookup_values, new_values
 from shelfmark.operators.extract import first_seen
-from shelfmark.plans.daily_lookup import daily_run, publish, run_day
+from shelfmark.plans.daily_lookup import backfill, daily_run, publish, run_day
 from shelfmark.schemas import DAY_TRIPLE, TRIPLE
 from shelfmark.sources import storage
 from shelfmark.sources.registry import Settings, SourceSpec
@@ -53,6 +53,15 @@ def test_daily_runs_equal_the_backfill_and_can_be_repeated(spark, events, tmp_pa
     assert "PartitionFilters: [isnotnull(ds" in plan
 
 
+def test_backfill_in_one_job(spark, events, tmp_path):
+    daily, at_once = str(tmp_path / "daily"), str(tmp_path / "once")
+    specs = [SPEC, SourceSpec("others", ("event_type",), company=None)]
+    for day in DAYS[1:4]:
+        run_day(spark, daily, specs, lambda name: events, day)
+    backfill(spark, at_once, specs, lambda name: events, DAYS[1], DAYS[3])
+    assert rows(raw(spark, daily)) == rows(raw(spark, at_once))
+
+
 def test_large_days_give_the_same_result(spark, events, tmp_path, monkeypatch):
     monkeypatch.setattr(delta, "BROADCAST_BYTES", -1)
     for day in DAYS:
