@@ -83,7 +83,7 @@ def _quoted(value: str | None) -> str:
 
 def match_sql(name: str, words: Iterable[str]) -> str:
     tests = [f"contains(lower({name}), lower({_quoted(word)}))" for word in words]
-    return "(" + " OR ".join(tests) + ")" if tests else "FALSE"
+    return "coalesce(" + " OR ".join(tests) + ", FALSE)" if tests else "FALSE"
 
 
 def labels_sql(table: str, rule_set: RuleSet, name: str = "name") -> str:
@@ -200,7 +200,8 @@ def quality_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LIMITS_SQL = """
-SELECT length(source || lang) > 40 AS person_too_long, length(text) > 120 AS name_too_long,
+SELECT coalesce(length(source || lang) > 40, FALSE) AS person_too_long,
+       coalesce(length(text) > 120, FALSE) AS name_too_long,
        length(lang || '/' || source || '/' || repeat(lang, n_chars)) > 60 AS barcode_too_long,
        count(*) AS n FROM documents GROUP BY ALL
 """
@@ -235,7 +236,7 @@ def flatten_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FLAT_SQL = """
 SELECT p_partkey AS version, 0 AS position, p_type AS category_id, lower(p_type) AS category_name,
        CAST(NULL AS VARCHAR) AS child_id, CAST(NULL AS VARCHAR) AS child_name,
-       unnest(string_split(p_name, ' ')) AS keyword
+       unnest(coalesce(string_split(p_name, ' '), [NULL])) AS keyword
 FROM part WHERE p_size < 45
 UNION ALL
 SELECT p_partkey, 0, p_type, lower(p_type), p_brand, p_brand, p_type

@@ -231,8 +231,9 @@ ORACLE = {
     "delta_day_inclusive": f"""
         SELECT column_name, count(*) AS n_incoming,
                count(*) FILTER (WHERE ds = DATE '{EVENT_DAY}') AS n_new, CAST(0 AS BIGINT) AS n_new_rerun
-        FROM ({triples_sql('events', EVENT_DAY)}) JOIN ({first_seen_sql('events')})
-             USING ({TRIPLE_SQL}) GROUP BY column_name""",
+        FROM ({triples_sql('events', EVENT_DAY)}) AS incoming JOIN ({first_seen_sql('events')}) AS seen
+             USING (column_name, column_value)
+        WHERE incoming.company_guid IS NOT DISTINCT FROM seen.company_guid GROUP BY column_name""",
     "first_seen": first_seen_sql("events"),
     "first_seen_by_day": f"SELECT strftime(ds, '%Y%m%d') AS \"partition\", count(*) AS n "
     f"FROM ({first_seen_sql('lineitem')}) GROUP BY 1",

@@ -267,7 +267,7 @@ ORACLE = {
     "malformed_records": """
         SELECT replace(text, chr(10), ' ') AS line FROM conversations WHERE NOT json_valid(text)""",
     "validate_records": f"""WITH {_TALK}
-        SELECT person, len(names) > 0 AS is_valid, count(*) AS n FROM talk GROUP BY ALL""",
+        SELECT person, coalesce(len(names) > 0, FALSE) AS is_valid, count(*) AS n FROM talk GROUP BY ALL""",
     "dedupe_records": f"WITH {_TALK} SELECT {_FLAT} FROM talk QUALIFY {_FIRST}",
     "append_idempotent": f"""WITH {_TALK} SELECT {_FLAT} FROM talk
         WHERE len(names) > 0 AND id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels) QUALIFY {_FIRST}""",
@@ -285,7 +285,8 @@ ORACLE = {
     "parse_records": f"""WITH {_TALK}
         SELECT 'record' AS kind, count(*) AS n, CAST(0 AS BIGINT) AS n_malformed,
                CAST(sum(len(names)) AS BIGINT) AS n_items FROM talk
-        UNION ALL SELECT 'event', count(*), count(*) FILTER (WHERE NOT json_valid(props)), 0 FROM events
+        UNION ALL SELECT 'event', count(*), count(*) FILTER (WHERE NOT json_valid(props)), 0
+                  FROM events WHERE props IS NOT NULL
         UNION ALL SELECT 'text', count(*), count(*) FILTER (WHERE NOT json_valid(text)), 0
                   FROM conversations WHERE trim(text) <> ''""",
     "record_log_round_trip": f"""WITH {_TALK}

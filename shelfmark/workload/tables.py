@@ -97,7 +97,7 @@ def priced_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PRICED_SQL = (
     "SELECT CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS barcode, "
-    "p_name || ' ' || p_type AS name, p_partkey AS seq FROM part"
+    "concat_ws(' ', p_name, p_type) AS name, p_partkey AS seq FROM part"
 )
 
 
@@ -155,7 +155,7 @@ FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
              CASE event_type WHEN 'view' THEN 'add' WHEN 'click' THEN 'inc' WHEN 'purchase' THEN 'dec'
                   WHEN 'error' THEN CASE WHEN value >= 80 THEN 'del' ELSE 'add' END
                   ELSE CASE WHEN value >= 80 THEN 'submit' ELSE 'dec' END END AS action
-      FROM events)
+      FROM events WHERE user_id IS NOT NULL)
 """
 
 

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL."""
+"""Every registered query against its SQL, on the test tables and on a skewed copy of them with NULLs."""
 
 import math
 from pathlib import Path
@@ -11,15 +11,47 @@ import __spark_entry__ as entry
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.is_dir(), reason="no test tables")
 
-
-@pytest.fixture(scope="module")
-def duck():
+# A third of the rows of each table goes to one key; here and there a value is missing.
+SKEWED = {
+    "events": """SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 7 WHEN event_id % 50 <> 1 THEN user_id END
+        AS user_id, event_type, value, CASE WHEN event_id % 40 = 3 THEN NULL WHEN event_id % 3 = 0
+        THEN '{"k": 20}' ELSE props END AS props FROM events""",
+    "conversations": """SELECT CASE WHEN rn % 3 = 0 THEN 0 ELSE conv_id END AS conv_id,
+        CASE WHEN rn % 3 = 0 THEN 1000 + rn ELSE turn END AS turn, role,
+        CASE WHEN rn % 17 <> 5 THEN text END AS text
+        FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS rn FROM conversations)""",
+    "documents": """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN (SELECT text FROM documents WHERE doc_id = 5)
+        WHEN doc_id % 29 <> 1 THEN text END AS text, lang, source, n_chars FROM documents""",
+    "orders": """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 10 ELSE o_custkey END AS o_custkey,
+        o_orderstatus, o_totalprice, CASE WHEN o_orderkey % 31 <> 2 THEN o_orderdate END AS o_orderdate,
+        o_orderpriority FROM orders""",
+    "part": """SELECT p_partkey, CASE WHEN p_partkey % 37 <> 1 THEN p_name END AS p_name, p_brand, p_type, p_size,
+        CASE WHEN p_partkey % 3 = 0 THEN 900.5 ELSE p_retailprice END AS p_retailprice FROM part""",
+    "customer": """SELECT c_custkey, CASE WHEN c_custkey % 41 <> 1 THEN c_name END AS c_name,
+        CASE WHEN c_custkey % 3 = 0 THEN 3 WHEN c_custkey % 19 <> 1 THEN c_nationkey END AS c_nationkey,
+        c_acctbal, c_mktsegment FROM customer""",
+}
+
+
+def views(folder):
     connection = duckdb.connect()
-    for path in SF_DIR.glob("*.parquet"):
+    for path in folder.glob("*.parquet"):
         connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     return connection
 
 
+@pytest.fixture(scope="module", params=["plain", "skewed"])
+def tables(request, tmp_path_factory):
+    if request.param == "plain":
+        return SF_DIR, views(SF_DIR)
+    folder = tmp_path_factory.mktemp("skewed")
+    plain = views(SF_DIR)
+    for path in SF_DIR.glob("*.parquet"):
+        sql = SKEWED.get(path.stem, f"SELECT * FROM {path.stem}")
+        plain.execute(f"COPY ({sql}) TO '{folder / path.name}' (FORMAT parquet)")
+    return folder, views(folder)
+
+
 def normal(columns, found):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
 
@@ -34,8 +66,9 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", list(entry.queries()))
-def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, str(SF_DIR))
+def test_query_equals_sql(spark, tables, name):
+    folder, duck = tables
+    df = entry.queries()[name](spark, str(folder))
     result = duck.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
