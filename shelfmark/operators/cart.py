@@ -27,37 +27,36 @@ from pyspark.sql.types import TimestampNTZType
 
 from shelfmark.functions.text import iso_text
 
-# A cart with more events than this is cut into stretches of this length. Only speed depends on them.
+# A cart with more events than this is cut into stretches of so many events each, on average. Only speed
+# depends on it.
 LARGE_CART = 1_000_000
-STRETCH_MINUTES = 1
 # Lines per nested array. A record with more of them is written in several parts.
 PART_LINES = 100_000
 
 EFFECT = ("drops", "change", "need", "qty", "added_at")
 
 
-def _minute(events: DataFrame) -> Column:
-    """Number of the minute of an event, on a clock that never goes back."""
+def _second(events: DataFrame) -> Column:
+    """Number of the second of an event, on a clock that never goes back."""
     ts = F.col("ts")
     if isinstance(events.schema["ts"].dataType, TimestampNTZType):
-        day = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date"))
-        return day * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    return F.floor(F.unix_seconds(ts) / 60)
+        day = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+        return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_seconds(ts)
 
 
-def with_stretch(
-    events: DataFrame, minutes: int = STRETCH_MINUTES, large_cart: int = LARGE_CART
-) -> DataFrame:
-    """Adds ``stretch``: which part of its cart's events an event is in."""
+def with_stretch(events: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
+    """Adds ``stretch``: which part of its cart's events an event is in, NULL if the cart is not cut."""
     events = events.where(F.col("cart_id").isNotNull())
+    second = _second(events)
     # At most one cart per large_cart events: small enough to broadcast.
     large = (
         events.groupBy("cart_id")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(second).alias("start"), F.max(second).alias("end"))
         .where(F.col("n") > large_cart)
-        .select("cart_id", F.lit(True).alias("is_large"))
+        .selectExpr("cart_id", "start", f"greatest(1D, (end - start + 1) * {large_cart}D / n) AS length")
     )
-    stretch = F.when(F.col("is_large"), F.floor(_minute(events) / minutes)).otherwise(0)
+    stretch = F.floor((second - F.col("start")) / F.col("length"))
     return events.join(F.broadcast(large), "cart_id", "left").select(
         *events.columns, stretch.alias("stretch")
     )
@@ -129,7 +128,7 @@ def with_submit(events: DataFrame) -> DataFrame:
 
     submit = F.when(is_submit(), F.struct("ts", "event_id", F.trim("person").alias("person")))
     events = events.withColumn("_submit", submit)
-    firsts = events.where(F.col("stretch") != 0).groupBy(*stretch).agg(F.min("_submit").alias("_first"))
+    firsts = events.where(F.col("stretch").isNotNull()).groupBy(*stretch).agg(F.min("_submit").alias("_first"))
     following = firsts.select(*stretch, F.min("_first").over(after(["cart_id"], "stretch")).alias("_far"))
     near = events.withColumn("_near", F.min("_submit").over(after(stretch, "ts", "event_id")))
     closing = F.coalesce("_near", "_far")
@@ -157,22 +156,19 @@ def _named(lines: DataFrame, products: DataFrame) -> DataFrame:
 _RECORD = ["record_id", "cart_id", "submitted_at", "person"]
 
 
-def _all_lines(events: DataFrame, *sizes: int) -> DataFrame:
-    return fold_lines(with_submit(with_stretch(events, *sizes)), [*_RECORD, "barcode"])
+def _all_lines(events: DataFrame, large_cart: int) -> DataFrame:
+    return fold_lines(with_submit(with_stretch(events, large_cart)), [*_RECORD, "barcode"])
 
 
-def cart_state(events: DataFrame, products: DataFrame, *sizes: int) -> DataFrame:
-    """Lines in the carts after the last event: what was not submitted.
-
-    ``sizes`` are those of :func:`with_stretch`.
-    """
-    live = _all_lines(events, *sizes).where(F.col("record_id").isNull())
+def cart_state(events: DataFrame, products: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
+    """Lines in the carts after the last event: what was not submitted."""
+    live = _all_lines(events, large_cart).where(F.col("record_id").isNull())
     return _named(live, products).select("cart_id", "barcode", "name", "qty", "added_at")
 
 
-def submitted_lines(events: DataFrame, products: DataFrame, *sizes: int) -> DataFrame:
+def submitted_lines(events: DataFrame, products: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
     """Lines of every submitted cart. An empty cart gives none."""
-    sent = _all_lines(events, *sizes).where(F.col("record_id").isNotNull())
+    sent = _all_lines(events, large_cart).where(F.col("record_id").isNotNull())
     return _named(sent, products).select(*_RECORD, "barcode", "name", "qty", "added_at")
 
 

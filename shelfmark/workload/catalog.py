@@ -330,7 +330,8 @@ def stats_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REST_SQL = uncategorized_sql(PARTS_SQL, PART_RULES)
 _REPORT_SQL = f"""
 SELECT (SELECT string_agg(category_name || '：' || n || ' 件', '　' ORDER BY place, position)
-        FROM (SELECT category_name, count(*) AS n, min(seq) AS place, min(position) AS position FROM ({labels_sql(PARTS_SQL, PART_RULES)}) GROUP BY 1))
+        FROM (SELECT category_name, count(*) AS n, min(seq) AS place, min(position) AS position
+              FROM ({labels_sql(PARTS_SQL, PART_RULES)}) GROUP BY 1))
        || '　未分类：' || (SELECT count(*) FROM ({_REST_SQL})) || ' 件' AS counts_line,
        (SELECT '未分类商品：' || string_agg(name, '、' ORDER BY seq) || '…'
         FROM (SELECT * FROM ({_REST_SQL}) ORDER BY seq LIMIT 10)) AS names_line
