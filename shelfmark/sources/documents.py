@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from shelfmark.schemas import CUSTOM_PRODUCT, PRODUCT, RULES, SAVED_RECORD
+from shelfmark.schemas import CUSTOM_PRODUCT, ITEM, PRODUCT, RULES, SAVED_RECORD
 from shelfmark.sources.storage import empty, exists
 
 _BAD = "_bad"
+_STRICT = {"allowSingleQuotes": "false"}
 
 
 def read_catalog(spark: SparkSession, path: str, schema: StructType = PRODUCT) -> DataFrame:
@@ -37,26 +38,41 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RULES).option("multiLine", True).json(path)
 
 
+def _lenient() -> StructType:
+    """Record lines with quantities of any type: an odd quantity is no reason to lose a record."""
+    item = StructType([StructField(f.name, StringType()) for f in ITEM])
+    fields = [StructField("items", ArrayType(item)) if f.name == "items" else f for f in SAVED_RECORD]
+    return StructType(fields)
+
+
+def _typed(items: Column) -> Column:
+    def typed(item: Column) -> Column:
+        fields = [item[f.name].try_cast(f.dataType).alias(f.name) for f in ITEM]
+        return F.when(item.isNotNull(), F.struct(*fields))
+
+    return F.transform(items, typed)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """A JSON-lines record log without its blank and malformed lines; a missing file gives no row."""
     if not exists(spark, path):
         return empty(spark, SAVED_RECORD)
-    return spark.read.schema(SAVED_RECORD).option("mode", "DROPMALFORMED").json(path)
+    reader = spark.read.schema(_lenient()).option("mode", "DROPMALFORMED").options(**_STRICT)
+    return reader.json(path).withColumn("items", _typed(F.col("items")))
 
 
-def parse_records(lines: DataFrame, line: str, schema: StructType = SAVED_RECORD) -> DataFrame:
+def parse_records(lines: DataFrame, line: str) -> DataFrame:
     """Record lines held in a text column: ``record``, and ``is_malformed`` for lines that do not parse.
 
     Blank lines are left out.
     """
-    checked = StructType([*schema.fields, StructField(_BAD, StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    parsed = lines.where(F.trim(F.col(line)) != "").withColumn(
-        "record", F.from_json(line, checked, options)
-    )
+    checked = StructType([*_lenient().fields, StructField(_BAD, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, **_STRICT}
+    parsed = lines.where(F.trim(line) != "").withColumn("record", F.from_json(line, checked, options))
     malformed = F.col("record").isNull() | F.col(f"record.{_BAD}").isNotNull()
+    record = F.col("record").dropFields(_BAD).withField("items", _typed(F.col("record.items")))
     return parsed.withColumn("is_malformed", malformed).withColumn(
-        "record", F.when(~F.col("is_malformed"), F.col("record").dropFields(_BAD))
+        "record", F.when(~F.col("is_malformed"), record)
     )
 
 

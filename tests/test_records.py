@@ -72,3 +72,14 @@ def test_parse_lines(spark):
     assert parsed.count() == 4
     assert rows(parsed.where("is_malformed"), "line") == [("nope",), ('{"id": ',)]
     assert rows(parsed.where("not is_malformed").select(F.col("record.id"))) == [(None,), ("1",)]
+
+
+def test_odd_quantities_do_not_lose_a_record(spark, tmp_path):
+    odd = """{"id": "1", "items": [{"name": "a", "qty": "2"}, {"name": "b", "qty": 3}, {"name": "c", "qty": 0.5}]}"""
+    (tmp_path / "log.json").write_text(f"{odd}\n{{'id': '2'}}\n")
+    log = documents.read_records(spark, str(tmp_path / "log.json"))
+    parsed = documents.parse_records(spark.createDataFrame([(odd,), ("{'id': '2'}",)], "line string"), "line")
+    assert log.schema["items"].dataType == RECORD["items"].dataType
+    for items in (log.first()["items"], parsed.where("not is_malformed").first()["record"]["items"]):
+        assert [i["qty"] for i in items] == [2, 3, None]
+    assert log.count() == 1 and parsed.where("is_malformed").count() == 1
