@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -12,6 +14,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from shelfmark.operators.cart import is_submit
 
+# The state processor travels with the query, so that executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Into how many parts a cart is split, so that one busy cart is not the work of one task.
 CART_PARTS = 16
 

@@ -1,12 +1,16 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
 from conftest import rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from shelfmark.operators import cart, extract
 from shelfmark.streaming import ingest
-from shelfmark.streaming.cart import submitted_lines_stream
+from shelfmark.streaming.cart import CartProcessor, submitted_lines_stream
 from shelfmark.streaming.jobs import read_files, write_stream
 from shelfmark.streaming.lookup import new_values_stream
 from shelfmark.workload.tables import SPECS
@@ -39,6 +43,15 @@ def test_ingest_over_batches_and_restarts(spark, tmp_path):
     assert rows(ingest.read_log(spark, log), "id", "person") == expected
 
 
+def test_state_processor_needs_no_package_on_executors(tmp_path):
+    dumped = tmp_path / "processor"
+    dumped.write_bytes(cloudpickle.dumps(CartProcessor()))
+    script = f"import pickle; print(pickle.load(open({str(dumped)!r}, 'rb')).handleInputRows.__name__)"
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True)
+    assert done.stdout.strip() == "handleInputRows", done.stderr
+
+
 def test_distinct_records(spark, tmp_path):
     source = str(tmp_path / "in")
     for seq in range(2):
