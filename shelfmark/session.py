@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,13 +46,13 @@ def build_session(
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for staged tables and stream checkpoints.
 
-    ``spark.checkpoint.dir`` names it. Only a local session may go without: it gets a folder of its own
-    once, which is then set as the session's checkpoint folder.
+    ``spark.checkpoint.dir`` names it. Only a session whose driver and executors are one process may go
+    without: it gets a folder of its own once, which is then set as the session's checkpoint folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="shelfmark-")
     spark.sparkContext.setCheckpointDir(folder)
