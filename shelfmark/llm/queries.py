@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import mixing
+from shelfmark.llm import mixing, simhash
 
-QUERIES = {"op9_mixing": mixing.op9_mixing}
+QUERIES = {
+    "op6_simhash": simhash.op6_simhash,
+    "op9_mixing": mixing.op9_mixing,
+}
 ORACLE = {"op9_mixing": mixing.ORACLE}
