@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import mixing, simhash
+from shelfmark.llm import mixing, simhash, substring
 
 QUERIES = {
     "op6_simhash": simhash.op6_simhash,
+    "op8_substring": substring.op8_substring,
     "op9_mixing": mixing.op9_mixing,
 }
 ORACLE = {"op9_mixing": mixing.ORACLE}
