@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import mixing, simhash, substring
+from shelfmark.llm import langid, mixing, simhash, substring
 
 QUERIES = {
     "op6_simhash": simhash.op6_simhash,
     "op8_substring": substring.op8_substring,
     "op9_mixing": mixing.op9_mixing,
+    "op10_langid": langid.op10_langid,
 }
 ORACLE = {"op9_mixing": mixing.ORACLE}
