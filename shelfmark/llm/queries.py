@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import langid, mixing, simhash, substring
+from shelfmark.llm import langid, mixing, packing, simhash, substring
 
 QUERIES = {
     "op6_simhash": simhash.op6_simhash,
+    "op7_packing": packing.op7_packing,
     "op8_substring": substring.op8_substring,
     "op9_mixing": mixing.op9_mixing,
     "op10_langid": langid.op10_langid,
