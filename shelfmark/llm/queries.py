@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import langid, mixing, packing, simhash, substring, token_counts
+from shelfmark.llm import langid, language_model, mixing, packing, simhash, substring, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op4_language_model": language_model.op4_language_model,
     "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
     "op8_substring": substring.op8_substring,
