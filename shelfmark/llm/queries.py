@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import langid, language_model, mixing, packing, simhash, substring, token_counts
+from shelfmark.llm import langid, language_model, mixing, packing, simhash, substring, token_counts, token_files
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op2_token_files": token_files.op2_token_files,
     "op4_language_model": language_model.op4_language_model,
     "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
