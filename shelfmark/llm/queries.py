@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import langid, language_model, mixing, packing, simhash, substring, token_counts, token_files
+from shelfmark.llm import (
+    bm25,
+    langid,
+    language_model,
+    mixing,
+    neighbours,
+    packing,
+    simhash,
+    substring,
+    token_counts,
+    token_files,
+)
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_token_files": token_files.op2_token_files,
+    "op3_neighbours": neighbours.op3_neighbours,
     "op4_language_model": language_model.op4_language_model,
+    "op5_bm25": bm25.op5_bm25,
     "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
     "op8_substring": substring.op8_substring,
     "op9_mixing": mixing.op9_mixing,
     "op10_langid": langid.op10_langid,
 }
-ORACLE = {"op9_mixing": mixing.ORACLE}
+ORACLE = {"op5_bm25": bm25.ORACLE, "op9_mixing": mixing.ORACLE}
