@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.session import fresh_dir
 
@@ -26,6 +27,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in df.columns]
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns in one struct: inside it no name can clash with those of an operator."""
+    return F.struct(*columns_of(df))
+
+
+def from_row(row: str, df: DataFrame) -> list[Column]:
+    """The columns of ``df`` out of a struct made by :func:`as_row`."""
+    return [F.col(row).getField(name).alias(name) for name in df.columns]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores as it takes to differ from every column."""
     taken = {column.lower() for column in df.columns}

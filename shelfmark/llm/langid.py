@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfmark.llm.common import chunks, free_name, read_table
+from shelfmark.llm.common import as_row, chunks, free_name, from_row, read_table
 
 #: Hashed features of a text.
 FEATURES = 1 << 13
@@ -158,7 +158,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
     with score 0 and not ambiguous. Equal texts get equal results. A column that is called ``language``
     already is kept beside ``language_``. The model travels with the tasks: 8192 weights a bit.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("r"), F.col(text).alias("t"))
+    rows = docs.select(as_row(docs).alias("r"), F.col(text).alias("t"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +189,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
     found = rows.mapInArrow(run, kinds)
     language = F.struct(F.col("lang_pred").alias("lang"), "score", "ambiguous")
     return found.select(
-        *[F.col("r").getField(c).alias(c) for c in docs.columns], language.alias(free_name(docs, "language"))
+        *from_row("r", docs), language.alias(free_name(docs, "language"))
     )
 
 

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import WORD, free_name, read_table, stage
+from shelfmark.llm.common import WORD, as_row, columns_of, free_name, from_row, read_table, stage
 
 HASH_BITS = 48
 #: Bits of the hash that one histogram resolves.
@@ -127,7 +127,7 @@ def mix(
     plan = stage(plan, "mix-plan").select(F.col("source").alias("__s"), *"source_size target whole cut".split())
     # All columns of the rows travel in one struct, so no name of theirs can clash.
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("__row"),
+        as_row(docs).alias("__row"),
         F.col(source).alias("__source"),
         size.alias("__size"),
         code.alias("__hash"),
@@ -142,7 +142,7 @@ def mix(
     )
     joined = rows.join(plan, F.col("__source").eqNullSafe(F.col("__s")), "left")
     return joined.select(
-        *[F.col("__row").getField(c).alias(c) for c in docs.columns], mixed.alias(free_name(docs, "mix"))
+        *from_row("__row", docs), mixed.alias(free_name(docs, "mix"))
     )
 
 
@@ -154,7 +154,7 @@ def take(docs: DataFrame, **options) -> DataFrame:
     repeated = mixed.filter(F.col(name)["times"] > 0).withColumn(
         copy, F.explode(F.array_repeat(F.lit(0), F.col(name)["times"]))
     )
-    return repeated.select(*docs.columns)
+    return repeated.select(*columns_of(docs))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import chunks, free_name, read_table, stage
+from shelfmark.llm.common import as_row, chunks, columns_of, free_name, from_row, read_table, stage
 from shelfmark.llm.components import smallest_reachable
 
 SEED = 42
@@ -64,7 +64,7 @@ def with_fingerprints(
     docs: DataFrame, text: str = "text", name: str = "fingerprint", words_per_shingle: int = SHINGLE
 ) -> DataFrame:
     """All columns of ``docs`` and the fingerprint as a signed long, in one pass without a shuffle."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("r"), F.col(text).cast("binary").alias("t"))
+    rows = docs.select(as_row(docs).alias("r"), F.col(text).cast("binary").alias("t"))
     schema = pa.schema([("f", pa.int64())])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +77,7 @@ def with_fingerprints(
 
     kinds = rows.drop("t").withColumn("f", F.lit(0).cast("long")).schema
     found = rows.mapInArrow(compute, kinds)
-    return found.select(*[F.col("r").getField(c).alias(c) for c in docs.columns], F.col("f").alias(name))
+    return found.select(*from_row("r", docs), F.col("f").alias(name))
 
 
 def _bits(pattern: int) -> Column:
@@ -191,7 +191,7 @@ def keep_one(
     grouped = groups(firsts, max_bits)
     kept = grouped.join(firsts, "f").groupBy("root").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.row").alias(number))
-    return seen.join(kept, number, "left_semi").select(*docs.columns)
+    return seen.join(kept, number, "left_semi").select(*columns_of(docs))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
