@@ -195,10 +195,11 @@ class Trainer:
 class Scorer:
     """Normalised class probabilities; the sum over classes is computed once per distinct context."""
 
-    def __init__(self, weights: Weights) -> None:
+    def __init__(self, weights: Weights, class_totals: np.ndarray) -> None:
         self.near = weights.context @ weights.near
         self.far = weights.context @ weights.far
-        self.target, self.offset = weights.target, weights.offset
+        # Classes without words have no probability.
+        self.target, self.offset = weights.target, np.where(class_totals > 0, weights.offset, np.float32(-1e9))
         self.totals = np.full((CLASSES + 1) ** 2, np.nan)
 
     def log10(self, near: np.ndarray, far: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -324,7 +325,7 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, weights = shared.value
-        codes, scorer = _Codes(counts), Scorer(weights)
+        codes, scorer = _Codes(counts), Scorer(weights, counts.class_totals)
         number = TaskContext.get().partitionId() << 33
         n_head = len(counts.head)
         with np.errstate(divide="ignore"):
