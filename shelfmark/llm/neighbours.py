@@ -148,7 +148,8 @@ def _cut_blocks(counts: np.ndarray, depth: int, block: int) -> tuple[np.ndarray,
             low, high = prefix << (depth - bits), (prefix + 1) << (depth - bits)
             held = int(sums[high] - sums[low])
             if held > block and bits < depth:
-                open_ += [(bits + 1, 2 * prefix), (bits + 1, 2 * prefix + 1)]
+                # The lower half comes off the stack first: blocks are numbered in order of prefixes.
+                open_ += [(bits + 1, 2 * prefix + 1), (bits + 1, 2 * prefix)]
                 continue
             parts = max(1, -(-held // block))
             first[tree, low:high], splits[tree, low:high] = number, parts
