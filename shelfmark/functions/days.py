@@ -16,16 +16,18 @@ def as_day(day: Day) -> dt.date:
     return day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
 
 
-def day_between(column: Column | str, start: Day, end: Day | None = None) -> Column:
-    """Rows whose day lies in the closed range start..end.
+def day_between(column: Column | str, start: Day | None, end: Day | None = None) -> Column:
+    """Rows whose day lies in the closed range start..end. Without ``start`` the range has no lower bound.
 
     Written as a half-open range on the bare column, so that it reaches the file scan for dates and
     for timestamps alike.
     """
-    first = as_day(start)
+    if start is None and end is None:
+        raise ValueError("a range needs a start or an end")
     after = as_day(start if end is None else end) + dt.timedelta(days=1)
     column = F.col(column) if isinstance(column, str) else column
-    return (column >= F.lit(first)) & (column < F.lit(after))
+    until = column < F.lit(after)
+    return until if start is None else (column >= F.lit(as_day(start))) & until
 
 
 def partition_id(day: Column) -> Column:

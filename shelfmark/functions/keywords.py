@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-try:
-    import ahocorasick
-except ImportError:  # without the automaton every keyword list goes through built-in expressions
-    ahocorasick = None
-
 Groups = Sequence[Sequence[str]]
 
-# Up to this many keywords, generated code tests them one by one; beyond, an automaton finds all of
-# them in one pass over the text.
-INLINE_WORDS = 64
-
 
 def any_of(low: Column, words: Sequence[str]) -> Column:
     """Whether a lowered text holds one of the words. Never NULL."""
@@ -33,55 +23,19 @@ def all_of(low: Column, words: Sequence[str]) -> Column:
     return F.coalesce(reduce(Column.__and__, tests), F.lit(False)) if tests else F.lit(True)
 
 
-def _inline(low: Column, groups: Groups, test: Callable[[Column, Sequence[str]], Column]) -> Column:
-    # Concatenated small arrays stay within generated code; a filter over one array would not.
-    none = F.array().cast("array<int>")
-    hits = [F.when(test(low, words), F.array(F.lit(i))).otherwise(none) for i, words in enumerate(groups)]
-    return F.concat(none, *hits)
-
-
-def _scanned(low: Column, groups: Groups, every: bool) -> Column:
-    """Hits through one automaton over all words."""
-    words = sorted({word for group in groups for word in group if word})
-    place = {word: position for position, word in enumerate(words)}
-    members: list[list[int]] = [[] for _ in words]
-    needs: list[int] = []
-    for position, group in enumerate(groups):
-        distinct = {place[word] for word in group if word}
-        for word in distinct:
-            members[word].append(position)
-        needs.append(len(distinct) if every else int("" not in group))
-    always = [position for position, need in enumerate(needs) if need == 0]
-
-    def hits(automaton, low_text: str) -> list[int]:
-        seen: set[int] = set()
-        left = dict(enumerate(needs))
-        found = list(always)
-        for _, word in automaton.iter(low_text):
-            if word in seen:
-                continue
-            seen.add(word)
-            for group in members[word]:
-                left[group] -= 1
-                if left[group] == 0:
-                    found.append(group)
-            if len(found) == len(needs):
-                break
-        return sorted(found)
-
-    @F.pandas_udf("array<int>")
-    def scan(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = ahocorasick.Automaton()
-        for word, position in place.items():
-            automaton.add_word(word, position)
-        automaton.make_automaton()
-        for batch in texts:
-            yield batch.map(lambda text: [] if text is None else hits(automaton, text))
-
-    # Nothing is in a NULL text, so there only groups that ask for nothing are hit.
-    wordless = [F.lit(position) for position, group in enumerate(groups) if every and not group]
-    without_text = F.array(*wordless).cast("array<int>")
-    return F.when(low.isNotNull(), scan(low)).otherwise(without_text)
+def _hits(low: Column, groups: Groups, every: bool) -> Column:
+    """Positions of the groups that a lowered text matches."""
+    literal = F.array(*[F.array(*[F.lit(w) for w in words]).cast("array<string>") for words in groups])
+    words = literal.cast("array<array<string>>")
+
+    def matches(group: Column) -> Column:
+        def held(word: Column) -> Column:
+            return F.contains(low, word)
+
+        return F.coalesce(F.forall(group, held) if every else F.exists(group, held), F.lit(False))
+
+    positions = F.transform(words, lambda group, i: F.when(matches(group), i))
+    return F.filter(positions, lambda i: i.isNotNull())
 
 
 def where_once(df: DataFrame, condition: Column) -> DataFrame:
@@ -108,13 +62,12 @@ def with_hits(
     """Adds the positions of the groups that a text matches, ignoring case, in ascending order.
 
     A group matches by one of its words, or with ``every`` only by all of them. An empty word is in
-    every text, but nothing is in a NULL text. ``lowered`` takes the text as it is.
+    every text, but nothing is in a NULL text. ``lowered`` takes the text as it is. The words are one constant
+    of the plan, whatever their number; each test is one native search.
     """
     groups = [tuple(word.lower() for word in group) for group in groups]
     low = "_low"
     df = df.withColumn(low, text if lowered else F.lower(text))
-    if ahocorasick is None or sum(len(group) for group in groups) <= INLINE_WORDS:
-        df = df.withColumn(out, _inline(F.col(low), groups, all_of if every else any_of))
-    else:
-        df = df.withColumn(out, _scanned(F.col(low), groups, every))
-    return df.drop(low)
+    if not groups:
+        return df.withColumn(out, F.array().cast("array<int>")).drop(low)
+    return df.withColumn(out, _hits(F.col(low), groups, every)).drop(low)

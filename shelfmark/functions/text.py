@@ -68,9 +68,14 @@ def second_hue(hue: Column) -> Column:
     return F.pmod(hue + SECOND_HUE, F.lit(HUES))
 
 
+def trimmed(text: Column | str) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+
+
 def blank_to_null(text: Column) -> Column:
-    trimmed = F.trim(text)
-    return F.when(trimmed != "", trimmed)
+    clean = trimmed(text)
+    return F.when(clean != "", clean)
 
 
 def custom_barcode(millis: Column) -> Column:
@@ -79,11 +84,14 @@ def custom_barcode(millis: Column) -> Column:
 
 
 def minute_text(iso: Column, zone: str = "UTC") -> Column:
-    """ISO text as 'yyyy-MM-dd HH:mm' on the clock of a zone, whatever zone the session has."""
+    """ISO text as 'yyyy-MM-dd HH:mm' on the clock of a zone, whatever zone the session has.
+
+    A text that is no time is shown as it is.
+    """
     local = F.convert_timezone(
-        F.current_timezone(), F.lit(zone), F.to_timestamp(iso).cast("timestamp_ntz")
+        F.current_timezone(), F.lit(zone), F.try_to_timestamp(iso).cast("timestamp_ntz")
     )
-    return F.date_format(local, "yyyy-MM-dd HH:mm")
+    return F.coalesce(F.date_format(local, "yyyy-MM-dd HH:mm"), iso)
 
 
 def iso_text(ts: Column) -> Column:

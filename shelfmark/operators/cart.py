@@ -25,13 +25,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from shelfmark.functions.text import iso_text
+from shelfmark.functions.text import iso_text, trimmed
 
 # A cart with more events than this is cut into stretches of so many events each, on average. Only speed
 # depends on it.
 LARGE_CART = 1_000_000
-# Lines per nested array. A record with more of them is written in several parts.
-PART_LINES = 100_000
 
 EFFECT = ("drops", "change", "need", "qty", "added_at")
 
@@ -111,7 +109,7 @@ def fold_lines(events: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def is_submit() -> Column:
-    return (F.col("action") == "submit") & (F.trim("person") != "")
+    return (F.col("action") == "submit") & (trimmed("person") != "")
 
 
 def with_submit(events: DataFrame) -> DataFrame:
@@ -126,7 +124,7 @@ def with_submit(events: DataFrame) -> DataFrame:
         backwards = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
         return backwards.rowsBetween(Window.unboundedPreceding, -1)
 
-    submit = F.when(is_submit(), F.struct("ts", "event_id", F.trim("person").alias("person")))
+    submit = F.when(is_submit(), F.struct("ts", "event_id", trimmed("person").alias("person")))
     events = events.withColumn("_submit", submit)
     firsts = events.where(F.col("stretch").isNotNull()).groupBy(*stretch).agg(F.min("_submit").alias("_first"))
     following = firsts.select(*stretch, F.min("_first").over(after(["cart_id"], "stretch")).alias("_far"))
@@ -178,33 +176,27 @@ def cart_totals(lines: DataFrame) -> DataFrame:
     )
 
 
-def build_records(lines: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
-    """Submitted lines nested into records, items in the order they were added.
+def record_lines(lines: DataFrame) -> DataFrame:
+    """Submitted lines with ``line_no``, their place in the record: the order they were added in.
 
-    A record with more than ``part_lines`` lines comes in several rows, numbered by ``part``, so that no
-    array and no task grows without bound. All others have one part, 0.
+    This is the form to store records in whatever their size.
+    """
+    place = Window.partitionBy("record_id").orderBy("added_at", "barcode")
+    return lines.withColumn("line_no", F.row_number().over(place))
+
+
+def build_records(lines: DataFrame) -> DataFrame:
+    """Submitted lines nested into records, items in the order they were added: one row per submit.
 
-    ``lines`` is read twice; hand in a written table.
+    A record is one document, so its items are one array. It holds a barcode once, hence never more lines than
+    there are products. Ordering happens within the aggregate's own buffer of that many items.
     """
-    # At most one in part_lines lines leads to a row here: small enough to broadcast.
-    large = (
-        lines.groupBy("record_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > part_lines)
-        .select("record_id", F.ceil(F.col("_n") / part_lines).alias("_parts"))
-    )
-    part = F.coalesce(F.pmod(F.xxhash64("barcode"), F.col("_parts")), F.lit(0))
     item = F.struct("added_at", "barcode", "name", "qty")
-    return (
-        lines.join(F.broadcast(large), "record_id", "left")
-        .groupBy(*_RECORD, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(item)).alias("items"))
-    )
+    return lines.groupBy(*_RECORD).agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
 def as_records(nested: DataFrame) -> DataFrame:
-    """Nested records as the documents of the record log. Further parts of a record get ids of their own."""
-    number = F.when(F.col("part") > 0, F.concat(F.lit("/"), F.col("part").cast("string"))).otherwise("")
+    """Nested records as the documents of the record log."""
     item = F.transform(
         "items",
         lambda i: F.struct(
@@ -215,7 +207,7 @@ def as_records(nested: DataFrame) -> DataFrame:
         ),
     )
     return nested.select(
-        F.concat(F.col("record_id").cast("string"), number).alias("id"),
+        F.col("record_id").cast("string").alias("id"),
         "person",
         iso_text(F.col("submitted_at")).alias("submittedAt"),
         item.alias("items"),

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.keywords import any_of, explode_hits, where_once, with_hits
 from shelfmark.operators.rules import Category, RuleSet
 
-# The largest share of rows that may stay without a category, the names shown for them.
+# The largest share of rows that may stay without a category, the names that a report shows.
 MAX_UNCATEGORIZED = 0.20
-SAMPLE, REPORT_SAMPLE = 20, 10
+REPORT_SAMPLE = 10
+# The words of the report.
+PIECES, REST, REST_NAMES = " 件", "未分类：", "未分类商品："
+NAME_GAP, PART_GAP, NAMES_AND, MORE = "：", "　", "、", "…"
 
 HITS = "_hits"
 
@@ -148,22 +153,29 @@ def coverage_gate(
     return coverage(df, rules, name).withColumn("passes", ~(F.col("ratio") > max_ratio))
 
 
+def uncategorized_names(
+    df: DataFrame, rules: RuleSet, name: str = "name", seq: str = "seq"
+) -> DataFrame:
+    """All names without a category, with their place in the catalog."""
+    return uncategorized(df, rules, name).select(seq, name)
+
+
 def uncategorized_sample(
     df: DataFrame, rules: RuleSet, n: int = REPORT_SAMPLE, name: str = "name", seq: str = "seq"
 ) -> DataFrame:
     """The first ``n`` names without a category, in catalog order. A report; the whole list is
-    :func:`uncategorized`."""
-    return uncategorized(df, rules, name).orderBy(seq).limit(n).select(seq, name)
+    :func:`uncategorized_names`."""
+    return uncategorized_names(df, rules, name, seq).orderBy(seq).limit(n)
 
 
 def stats_summary(
-    df: DataFrame, rules: RuleSet, n: int = SAMPLE, name: str = "name", seq: str = "seq"
+    df: DataFrame, rules: RuleSet, n: int = REPORT_SAMPLE, name: str = "name", seq: str = "seq"
 ) -> DataFrame:
     """One row of rule-set statistics.
 
     ``per_category`` maps the names of hit categories to their counts, in the order in which the catalog
-    first hits them. ``uncategorized_names`` holds the first ``n`` names; the whole list is
-    :func:`uncategorized`.
+    first hits them. ``first_uncategorized`` holds the ``n`` names that a report shows; the whole list are the
+    rows of :func:`uncategorized_names`.
     """
     position, last = F.col("position"), len(rules.categories)
     counts = _position_counts(df, rules, name, F.min(seq).alias("first"))
@@ -185,55 +197,77 @@ def stats_summary(
         F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
         F.map_from_entries(entries).alias("per_category"),
         F.coalesce(F.sum("uncategorized"), F.lit(0)).alias("uncategorized"),
-    ).withColumn("uncategorized_names", sample.scalar())
+    ).withColumn("first_uncategorized", sample.scalar())
 
 
-def stats_text(summary: DataFrame, n: int = REPORT_SAMPLE) -> DataFrame:
-    """The statistics as the two lines of the report."""
+def stats_text(summary: DataFrame, n: int = REPORT_SAMPLE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The statistics as the two lines of the report; columns to ``keep`` come first."""
     entries = F.transform(
         F.map_entries("per_category"),
-        lambda entry: F.concat(entry["key"], F.lit("："), entry["value"].cast("string"), F.lit(" 件")),
+        lambda entry: F.concat(entry["key"], F.lit(NAME_GAP), entry["value"].cast("string"), F.lit(PIECES)),
     )
     counts = F.concat(
-        F.array_join(entries, "　"), F.lit("　未分类："), F.col("uncategorized").cast("string"), F.lit(" 件")
+        F.array_join(entries, PART_GAP), F.lit(PART_GAP + REST), F.col("uncategorized").cast("string"), F.lit(PIECES)
     )
     names = F.concat(
-        F.lit("未分类商品："),
-        F.array_join(F.slice("uncategorized_names", 1, n), "、"),
-        F.when(F.col("uncategorized") > n, "…").otherwise(""),
+        F.lit(REST_NAMES),
+        F.array_join(F.slice("first_uncategorized", 1, n), NAMES_AND),
+        F.when(F.col("uncategorized") > n, MORE).otherwise(""),
     )
     return summary.select(
-        counts.alias("counts_line"), F.when(F.col("uncategorized") > 0, names).alias("names_line")
+        *keep, counts.alias("counts_line"), F.when(F.col("uncategorized") > 0, names).alias("names_line")
     )
 
 
 def evaluate_rules(
     df: DataFrame,
-    candidate: dict,
+    candidate: dict | str,
     attempt: int = 1,
     attempts: int = 3,
     max_ratio: float = MAX_UNCATEGORIZED,
     name: str = "name",
+    seq: str = "seq",
 ) -> DataFrame:
-    """Verdict on a candidate rule set: one row with ``status`` and ``reason``.
+    """Verdict on a candidate rule set, a document or its text: one row.
 
-    A candidate without categories is sent back, and refused on the last attempt. One that leaves too
+    ``status`` and ``reason``, the statistics ``total, uncategorized, ratio``, and the two lines of the report.
+    The names behind them are the rows of :func:`uncategorized_names`. A text that is no JSON object and a
+    document without categories are sent back, and refused on the last attempt. A candidate that leaves too
     many rows uncategorized is sent back too, but accepted on the last attempt.
     """
     last = attempt >= attempts
-    if candidate.get("categories") is None:
+    document, reason = _document(candidate)
+    if document is None:
         return df.sparkSession.range(0, 1, 1, 1).select(
             F.lit("rejected" if last else "retry").alias("status"),
-            F.lit("no categories").alias("reason"),
+            F.lit(reason).alias("reason"),
             F.lit(None).cast("bigint").alias("total"),
             F.lit(None).cast("bigint").alias("uncategorized"),
             F.lit(None).cast("double").alias("ratio"),
+            F.lit(None).cast("string").alias("counts_line"),
+            F.lit(None).cast("string").alias("names_line"),
         )
-    over = F.col("ratio") > max_ratio
-    return coverage(df, RuleSet.of(candidate), name).select(
+    summary = stats_summary(df, RuleSet.of(document), name=name, seq=seq)
+    ratio = F.col("uncategorized") / F.greatest("total", F.lit(1))
+    over = ratio > max_ratio
+    lines = stats_text(summary, keep=("total", "uncategorized"))
+    return lines.select(
         F.when(over & F.lit(not last), "retry").otherwise("accepted").alias("status"),
         F.when(over, "too many uncategorized").alias("reason"),
         "total",
         "uncategorized",
-        "ratio",
+        ratio.alias("ratio"),
+        "counts_line",
+        "names_line",
     )
+
+
+def _document(candidate: dict | str) -> tuple[dict | None, str | None]:
+    if isinstance(candidate, str):
+        try:
+            candidate = json.loads(candidate)
+        except json.JSONDecodeError:
+            return None, "not JSON"
+    if not isinstance(candidate, dict) or candidate.get("categories") is None:
+        return None, "no categories"
+    return candidate, None

@@ -32,12 +32,12 @@ def long_values(df: DataFrame, spec: SourceSpec, *extra: str) -> DataFrame:
 def extract_values(
     df: DataFrame, spec: SourceSpec, start: Day | None = None, end: Day | None = None
 ) -> DataFrame:
-    """Distinct triples of a source, for a dated source those of the days start..end.
+    """Distinct triples of a source, for a dated source those of the days start..end, or up to ``end``.
 
     The source is scanned once for all its value columns, and duplicates collapse before the shuffle.
     """
     if spec.day_column is not None:
-        if start is None:
+        if start is None and end is None:
             raise ValueError(f"{spec.name} is dated: name the day to extract")
         df = df.where(day_between(spec.day_column, start, end))
     return long_values(df, spec).distinct()
@@ -55,7 +55,7 @@ def first_seen(
     """Triples of all days, or of start..end, each with the first day it occurs on."""
     if spec.day_column is None:
         raise ValueError(f"{spec.name} is a snapshot and has no days")
-    if start is not None:
+    if start is not None or end is not None:
         df = df.where(day_between(spec.day_column, start, end))
     # A row without a day belongs to no run.
     dated = df.withColumn("ds", F.col(spec.day_column).cast("date")).where(F.col("ds").isNotNull())

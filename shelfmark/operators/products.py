@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import blank_to_null, custom_barcode
+from shelfmark.functions.text import blank_to_null, custom_barcode, iso_text
 
 # Lengths that the entry forms accept.
 FIELD_LIMITS = {"person": 40, "name": 120, "barcode": 60}
@@ -73,12 +73,19 @@ def insert_if_absent(new: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def clean_products(entered: DataFrame) -> DataFrame:
-    """Products as entered (``name, barcode, person, millis``) to custom products; nameless ones go."""
+    """Products as entered (``name, barcode, person, millis``) to custom products; nameless ones go.
+
+    ``millis`` is the time of entry. A ``seq`` of the entries is kept.
+    """
+    at = F.to_utc_timestamp(F.timestamp_millis("millis"), F.current_timezone())
+    kept = ["seq"] if "seq" in entered.columns else []
     return entered.select(
         F.coalesce(blank_to_null(F.col("barcode")), custom_barcode(F.col("millis"))).alias("barcode"),
         blank_to_null(F.col("name")).alias("name"),
         F.lit("custom").alias("source"),
         blank_to_null(F.col("person")).alias("created_by"),
+        iso_text(at).alias("created_at"),
+        *kept,
     ).where(F.col("name").isNotNull())
 
 

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many characters are replaced by built-in expressions, one after the other.
-INLINE_CHARS = 64
+# Control characters, which no reading holds: between the entries of a table, and for a missing entry.
+BETWEEN, NO_ENTRY = "\x1e", "\x1f"
 
 
 def load_dictionary(entries: DataFrame) -> dict[str, str]:
     """``(char, reading)`` rows as a dictionary; of several readings the smallest is taken.
 
-    Only single characters count, so there are never more entries than characters in Unicode.
+    Entries are for single characters, so there are never more than characters in Unicode; others are refused.
     """
-    single = entries.where((F.length("char") == 1) & F.col("reading").isNotNull())
-    rows = single.groupBy("char").agg(F.min("reading").alias("reading")).collect()
+    read = entries.where(F.col("reading").isNotNull())
+    longer = read.where(F.coalesce(F.length("char") != 1, F.lit(True))).first()
+    if longer is not None:
+        raise ValueError(f"a reading belongs to one character, not to {longer['char']!r}")
+    rows = read.groupBy("char").agg(F.min("reading").alias("reading")).collect()
     return {row["char"]: row["reading"] for row in rows}
 
 
@@ -31,31 +33,21 @@ def add_readings(
     """
     if not dictionary:
         return df.withColumns({"reading": F.lit(""), "initials": F.lit("")})
-    first = {char: reading[:1] for char, reading in dictionary.items()}
-    through = _replaced if _is_small(dictionary) else _translated
     text = F.col(name)
-    return df.withColumns(
-        {"reading": F.lower(through(text, dictionary)), "initials": F.lower(through(text, first))}
-    )
-
-
-def _is_small(dictionary: Mapping[str, str]) -> bool:
-    """Whether the characters can be replaced one after the other, without touching a reading again."""
-    read = set("".join(dictionary.values()))
-    return len(dictionary) <= INLINE_CHARS and read.isdisjoint(dictionary)
-
-
-def _replaced(text: Column, table: Mapping[str, str]) -> Column:
-    for char, reading in table.items():
-        text = F.replace(text, F.lit(char), F.lit(reading))
-    return text
+    first = {char: reading[:1] for char, reading in dictionary.items()}
+    return df.withColumns({"reading": F.lower(_read_out(text, dictionary)), "initials": F.lower(_read_out(text, first))})
 
 
-def _translated(text: Column, table: Mapping[str, str]) -> Column:
+def _read_out(text: Column, table: Mapping[str, str]) -> Column:
+    """Every character replaced by its entry. The table is one constant: entries by code point."""
     codes = {ord(char): reading for char, reading in table.items()}
+    low = min(codes)
+    entries = [codes.get(code, NO_ENTRY) for code in range(low, max(codes) + 1)]
+    by_code = F.split(F.lit(BETWEEN.join(entries)), BETWEEN)
 
-    @F.pandas_udf("string")
-    def translate(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else t.translate(codes))
+    def read(char: Column) -> Column:
+        entry = F.get(by_code, F.ascii(char) - low)
+        return F.when(entry.isNull() | (entry == NO_ENTRY), char).otherwise(entry)
 
-    return translate(text)
+    chars = F.filter(F.split(text, ""), lambda char: char != "")
+    return F.array_join(F.transform(chars, read), "")

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import minute_text
+from shelfmark.functions.text import minute_text, trimmed
 from shelfmark.operators.delta import unseen
 from shelfmark.operators.products import first_per_key
 
 
 def is_valid_record() -> Column:
     """Whether a record has an id, a person and items. Never NULL."""
-    complete = (F.col("id") != "") & (F.trim("person") != "") & (F.size("items") > 0)
+    complete = (F.col("id") != "") & (trimmed("person") != "") & (F.size("items") > 0)
     return F.coalesce(complete, F.lit(False))
 
 

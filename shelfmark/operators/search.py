@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.keywords import all_of, explode_hits, where_once, with_hits
+from shelfmark.functions.keywords import all_of, where_once
 from shelfmark.functions.text import split_terms
+from shelfmark.functions.text import terms as text_terms
 from shelfmark.operators.classify import in_category, uncategorized
 from shelfmark.operators.rules import RuleSet
 
 ALL, UNCATEGORIZED = "all", "uncategorized"  # Fixed values
+# Characters by which texts and terms meet.
+GRAM = 3
 
 
 def search_text(df: DataFrame, lower_barcode: bool = False) -> Column:
@@ -35,19 +36,37 @@ def search_products(df: DataFrame, query: str, lower_barcode: bool = False) -> D
     return where_once(texts, all_of(F.col("_text"), words)).drop("_text")
 
 
-def search_batch(df: DataFrame, queries: Sequence[tuple[str, str]]) -> DataFrame:
-    """Many queries ``(query_id, query)`` in one scan: one row per query and row it finds.
+def _grams(text: Column, size: Column | int) -> Column:
+    """All distinct runs of ``size`` characters of a text."""
+    chars = F.filter(F.split(text, ""), lambda char: char != "")
+    starts = F.when(F.size(chars) >= size, F.sequence(F.lit(1), F.size(chars) - size + 1))
+    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, size), "")))
+
 
-    Every row is tested by itself, so nothing is shuffled and no pair of a term and a row is stored.
+def search_batch(df: DataFrame, queries: DataFrame) -> DataFrame:
+    """Many queries at once: one row per query ``(query_id, query)`` and row it finds.
+
+    Distinct texts are cut into runs of up to GRAM characters and meet the terms that begin with one; what
+    meets is tested. A query finds a text if all of its distinct terms do; one without terms finds every row.
     """
-    groups = [split_terms(query) for _, query in queries]
-    ids = F.array(*[F.lit(query_id) for query_id, _ in queries])
+    ids = queries.select("query_id", text_terms(F.col("query")).alias("terms"))
+    asked = ids.select("query_id", F.explode(F.array_distinct("terms")).alias("term"))
+    needs = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("needed"))
+    size = F.least(F.length("term"), F.lit(GRAM))
+    distinct = asked.select("term").distinct().select("term", size.alias("size"), F.substring("term", 1, GRAM).alias("gram"))
+    sizes = [row["size"] for row in distinct.select("size").distinct().collect()]  # GRAM numbers at most
+
     # Case is settled by search_text; a barcode keeps its own and is tested as it is.
     texts = df.withColumn("_text", search_text(df))
-    hits = with_hits(texts, F.col("_text"), groups, "_hits", every=True, lowered=True)
-    return explode_hits(hits, "_hits", "_hit").select(
-        F.get(ids, F.col("_hit")).alias("query_id"), *df.columns
-    )
+    unique = texts.select("_text").distinct()
+    grams = F.flatten(F.array(*[F.coalesce(_grams(F.col("_text"), n), F.array().cast("array<string>")) for n in sizes]))
+    cut = unique.select("_text", F.explode(grams).alias("gram")) if sizes else unique.select("_text", F.lit("").alias("gram"))
+    held = cut.join(distinct, "gram").where(F.contains("_text", F.col("term"))).select("_text", "term").distinct()
+    matched = held.join(asked, "term").groupBy("_text", "query_id").agg(F.count(F.lit(1)).alias("found"))
+    full = matched.join(needs, "query_id").where(F.col("found") == F.col("needed")).select("_text", "query_id")
+    wordless = ids.where(F.size("terms") == 0).agg(F.collect_list("query_id").alias("all")).scalar()
+    everything = texts.withColumn("query_id", F.explode(wordless)).drop("_text")
+    return texts.join(full, "_text").select("query_id", *df.columns).unionByName(everything.select("query_id", *df.columns))
 
 
 def visible_products(

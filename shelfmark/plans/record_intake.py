@@ -9,8 +9,8 @@ from shelfmark.operators.delta import BROADCAST_BYTES, unseen
 from shelfmark.operators.records import dedupe_records, stamp, validate_records
 from shelfmark.schemas import SAVED_RECORD
 from shelfmark.session import fresh_dir
-from shelfmark.sources.documents import append_records, read_records
-from shelfmark.sources.storage import size_of
+from shelfmark.sources.documents import BODY, append_records, read_records
+from shelfmark.sources.storage import drop, size_of
 
 LOG = "records"
 
@@ -29,7 +29,8 @@ def records_to_append(records: DataFrame, log: DataFrame, staged: str, *order: s
     dedupe_records(valid, *order).write.mode("overwrite").parquet(staged)
     small = size_of(spark, staged) <= BROADCAST_BYTES
     fresh = unseen(spark.read.parquet(staged), log, ["id"], small=small)
-    return stamp(fresh).select(*SAVED_RECORD.fieldNames())
+    body = [BODY] if BODY in fresh.columns else []
+    return stamp(fresh).select(*SAVED_RECORD.fieldNames(), *body)
 
 
 def save_records(records: DataFrame, root: str, *order: str) -> None:
@@ -37,6 +38,7 @@ def save_records(records: DataFrame, root: str, *order: str) -> None:
     spark = records.sparkSession
     staged = fresh_dir(spark, "incoming-records")
     append_records(records_to_append(records, read_log(spark, root), staged, *order), f"{root}/{LOG}")
+    drop(spark, staged)
 
 
 def submit_carts(events: DataFrame, products: DataFrame, root: str) -> None:
@@ -45,3 +47,4 @@ def submit_carts(events: DataFrame, products: DataFrame, root: str) -> None:
     staged = fresh_dir(spark, "submitted-lines")
     submitted_lines(events, products).write.parquet(staged)
     save_records(as_records(build_records(spark.read.parquet(staged))), root, "submittedAt")
+    drop(spark, staged)

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.operators.classify import evaluate_rules
-from shelfmark.operators.rules import RuleSet, current_rules, publish_rules
+from shelfmark.operators.rules import RuleSet, current_rules, next_version, publish_rules
 from shelfmark.schemas import RULES
 from shelfmark.sources.storage import read_version
 
@@ -24,18 +24,20 @@ def load_rules(spark: SparkSession, path: str) -> RuleSet | None:
 def update_rules(
     spark: SparkSession,
     products: DataFrame,
-    candidate: Mapping[str, Any],
+    candidate: Mapping[str, Any] | str,
     path: str,
     attempt: int = 1,
     attempts: int = 3,
 ) -> tuple[str, RuleSet | None]:
     """Evaluate a candidate and, if accepted, publish it with the next version number."""
-    verdict = evaluate_rules(products, dict(candidate), attempt, attempts).first()
-    if verdict["status"] != "accepted":
-        return verdict["status"], None
-    current = load_rules(spark, path)
-    version = (current.version if current else 0) + 1
-    document = {**candidate, "version": version}
+    verdict = evaluate_rules(products, candidate if isinstance(candidate, str) else dict(candidate), attempt, attempts)
+    status = verdict.first()["status"]
+    if status != "accepted":
+        return status, None
+    published = read_version(spark, path)
+    version = 1 if published is None else next_version(published).first()["next_version"]
+    parsed = json.loads(candidate) if isinstance(candidate, str) else candidate
+    document = {**parsed, "version": version}
     rules = spark.createDataFrame([json.loads(json.dumps(document))], RULES)
     publish_rules(rules.coalesce(1), path)
-    return verdict["status"], RuleSet.of(document)
+    return status, RuleSet.of(document)

@@ -29,6 +29,17 @@ CUSTOM_PRODUCT = T.StructType(
     ]
 )
 
+# The list of products entered by hand, as it is stored.
+CUSTOM_LIST = T.StructType(
+    [
+        *PRODUCT.fields,
+        T.StructField("source", T.StringType()),
+        T.StructField("created_by", T.StringType()),
+        T.StructField("created_at", T.StringType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
 _CHILD = T.StructType(
     [
         T.StructField("id", T.StringType()),

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
+from shelfmark.functions.text import trimmed
 from shelfmark.schemas import CUSTOM_PRODUCT, ITEM, PRODUCT, RULES, SAVED_RECORD
 from shelfmark.sources.storage import empty, exists
 
-_BAD = "_bad"
-_STRICT = {"allowSingleQuotes": "false"}
-
 
 def read_catalog(spark: SparkSession, path: str, schema: StructType = PRODUCT) -> DataFrame:
     """A JSON array of products; ``seq`` is the position in the document."""
@@ -38,42 +36,47 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RULES).option("multiLine", True).json(path)
 
 
-def _lenient() -> StructType:
-    """Record lines with quantities of any type: an odd quantity is no reason to lose a record."""
-    item = StructType([StructField(f.name, StringType()) for f in ITEM])
-    fields = [StructField("items", ArrayType(item)) if f.name == "items" else f for f in SAVED_RECORD]
-    return StructType(fields)
+# Column of a read record: the JSON of its items as they are, with all fields and values of any kind.
+BODY = "body"
 
 
-def _typed(items: Column) -> Column:
-    def typed(item: Column) -> Column:
-        fields = [item[f.name].try_cast(f.dataType).alias(f.name) for f in ITEM]
-        return F.when(item.isNotNull(), F.struct(*fields))
+def _record(line: Column) -> Column:
+    """A line as a record, NULL if it is no JSON. Fields of other kinds than they should be are NULL."""
+    value = F.try_parse_json(line)
 
-    return F.transform(items, typed)
+    def text(name: str) -> Column:
+        return F.try_variant_get(value, f"$.{name}", "string")
 
+    def item(each: Column) -> Column:
+        # By way of text, so that 0.5 is no whole number rather than 0.
+        fields = [F.try_variant_get(each, f"$.{f.name}", "string").try_cast(f.dataType).alias(f.name) for f in ITEM]
+        return F.when(F.try_variant_get(each, "$", "string").isNotNull() | ~F.is_variant_null(each), F.struct(*fields))
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON-lines record log without its blank and malformed lines; a missing file gives no row."""
-    if not exists(spark, path):
-        return empty(spark, SAVED_RECORD)
-    reader = spark.read.schema(_lenient()).option("mode", "DROPMALFORMED").options(**_STRICT)
-    return reader.json(path).withColumn("items", _typed(F.col("items")))
+    items = F.transform(F.try_variant_get(value, "$.items", "array<variant>"), item)
+    fields = [items.alias(f.name) if f.name == "items" else text(f.name).alias(f.name) for f in SAVED_RECORD]
+    body = F.to_json(F.try_variant_get(value, "$.items", "variant"))
+    return F.when(value.isNotNull(), F.struct(*fields, body.alias(BODY)))
 
 
 def parse_records(lines: DataFrame, line: str) -> DataFrame:
-    """Record lines held in a text column: ``record``, and ``is_malformed`` for lines that do not parse.
+    """Record lines held in a text column: ``record``, and ``is_malformed`` for lines that are no JSON.
+
+    Blank lines are left out. Any JSON is a record, whatever fields it has; :data:`BODY` keeps its items as they
+    are. A JSON object that repeats a key counts as malformed.
+    """
+    parsed = lines.where(trimmed(line) != "").withColumn("record", _record(trimmed(line)))
+    return parsed.withColumn("is_malformed", F.col("record").isNull())
+
 
-    Blank lines are left out.
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON-lines record log without its blank and malformed lines; a missing file gives no row.
+
+    Lines are read as text and judged whole, so the rows are the same whichever columns are asked for.
     """
-    checked = StructType([*_lenient().fields, StructField(_BAD, StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, **_STRICT}
-    parsed = lines.where(F.trim(line) != "").withColumn("record", F.from_json(line, checked, options))
-    malformed = F.col("record").isNull() | F.col(f"record.{_BAD}").isNotNull()
-    record = F.col("record").dropFields(_BAD).withField("items", _typed(F.col("record.items")))
-    return parsed.withColumn("is_malformed", malformed).withColumn(
-        "record", F.when(~F.col("is_malformed"), record)
-    )
+    if not exists(spark, path):
+        return empty(spark, SAVED_RECORD).withColumn(BODY, F.lit(None).cast("string"))
+    parsed = parse_records(spark.read.text(path), "value")
+    return parsed.where(~F.col("is_malformed")).select("record.*")
 
 
 def malformed_records(spark: SparkSession, path: str) -> DataFrame:
@@ -83,5 +86,16 @@ def malformed_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_records(records: DataFrame, path: str) -> None:
-    """Append records as JSON lines; text outside ASCII stays as it is."""
-    records.write.mode("append").json(path)
+    """Append records as JSON lines; text outside ASCII stays as it is.
+
+    Records that were read, and so have a :data:`BODY`, are written with it: free fields of items and odd values
+    come back as they were.
+    """
+    if BODY not in records.columns:
+        records.write.mode("append").json(path)
+        return
+    plain = F.to_json(F.struct(*[c for c in records.columns if c not in ("items", BODY)]))
+    items = F.coalesce(F.concat(F.lit('"items":'), F.coalesce(BODY, F.to_json("items"))), F.lit(""))
+    between = F.when((F.length(plain) > 2) & (F.length(items) > 0), ",").otherwise("")
+    line = F.concat(F.regexp_replace(plain, r"\}$", ""), between, items, F.lit("}"))
+    records.select(line.alias("value")).write.mode("append").text(path)

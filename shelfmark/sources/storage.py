@@ -35,6 +35,12 @@ def size_of(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength()
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder."""
+    fs, hadoop_path = _path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+from shelfmark.functions.text import trimmed
 from shelfmark.operators.cart import is_submit
 
 # The state processor travels with the query, so that executors need not have this package installed.
@@ -98,7 +99,7 @@ def submitted_lines_stream(events: DataFrame, parts: int = CART_PARTS) -> DataFr
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
         "action",
-        F.trim("person").alias("person"),
+        trimmed("person").alias("person"),
         F.explode(F.when(F.col("action") == "submit", everywhere).otherwise(own)).alias("part"),
     )
     return routed.groupBy("cart_id", "part").transformWithStateInPandas(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text
 from shelfmark.operators import classify, products, readings, rules, search
 from shelfmark.operators.rules import Category, RuleSet
-from shelfmark.plans import browse
+from shelfmark.plans import browse, product_entry
 from shelfmark.schemas import RULES
+from shelfmark.session import fresh_dir
 from shelfmark.workload.tables import (
     CUSTOM_SQL,
     PARTS_SQL,
@@ -71,6 +73,8 @@ SYLLABLES = RuleSet(
 QUERIES_LIST = [("q1", "ring  RED"), ("q2", "12"), ("q3", "old a 7"), ("q4", "zinc"), ("q5", " \t ")]
 # Readings of the digits.
 DIGITS = dict(zip("0123456789", "ling yi er san si wu liu qi ba jiu".split()))
+# A reading for every letter and digit of Latin-1.
+LETTERS = {c: f"{chr(97 + i % 26)}{c}o" for i, c in enumerate(map(chr, range(256))) if c.isalnum()}
 ACCENTS = {"é": "e", "è": "e", "ê": "e", "à": "a", "ç": "ss", "ó": "o", "ö": "oe", "ß": "ss", "ü": "ue"}
 
 
@@ -164,28 +168,56 @@ SELECT new.*, CASE WHEN barcode NOT IN (SELECT barcode FROM old)
 
 
 def clean_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as form entries: padded names, and blank names, barcodes and persons."""
-    orders = read(spark, sf_dir, "orders")
-    urgent = F.col("o_orderpriority") == "1-URGENT"
-    return products.clean_products(
-        orders.select(
-            F.when(urgent, "  ").otherwise(F.concat(F.lit(" "), "o_orderpriority", F.lit("  "))).alias("name"),
-            F.when(F.col("o_orderstatus") == "O", " ").otherwise(F.col("o_custkey").cast("string"))
-            .alias("barcode"),
-            F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderstatus")).alias("person"),
-            (F.col("o_orderkey") * 86_400_000 + 1_700_000_000_000).alias("millis"),
-        )
+    """Orders as form entries: names padded with white space of many kinds, and blank fields."""
+    return products.clean_products(_entered(spark, sf_dir)).drop("seq")
+
+
+def _entered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    urgent, odd = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderkey") % 2 == 1
+    padded = F.concat(F.lit("\u3000 "), "o_orderpriority", F.lit("\t\xa0"))
+    plain = F.concat(F.lit(" "), "o_orderpriority", F.lit("  "))
+    return read(spark, sf_dir, "orders").select(
+        F.when(urgent, F.when(odd, "\u3000").otherwise("  ")).otherwise(F.when(odd, padded).otherwise(plain))
+        .alias("name"),
+        F.when(F.col("o_orderstatus") == "O", F.when(odd, "\t").otherwise(" "))
+        .otherwise(F.col("o_custkey").cast("string")).alias("barcode"),
+        F.when(F.col("o_orderstatus") == "P", F.when(odd, "\n\r").otherwise("")).otherwise(F.col("o_orderstatus"))
+        .alias("person"),
+        (F.col("o_orderkey") * 86_400_000 + 1_700_000_000_000).alias("millis"),
+        F.col("o_orderkey").alias("seq"),
     )
 
 
+def enter_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of products entered by hand after the same entries were made twice, and then read back."""
+    root = fresh_dir(spark, "entries")
+    for _ in range(2):
+        product_entry.enter_products(_entered(spark, sf_dir), parts(spark, sf_dir), root)
+    return product_entry.custom_products(spark, root).drop("seq")
+
+
 _CLEAN_SQL = """
 SELECT CASE WHEN o_orderstatus = 'O'
             THEN 'custom-' || lower(to_base(o_orderkey * 86400000 + 1700000000000, 36))
             ELSE CAST(o_custkey AS VARCHAR) END AS barcode,
        o_orderpriority AS name, 'custom' AS source,
-       CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS created_by
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS created_by,
+       strftime(make_timestamp((o_orderkey * 86400000 + 1700000000000) * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS created_at
 FROM orders WHERE o_orderpriority <> '1-URGENT'
 """
+_ENTER_SQL = f"""
+SELECT * EXCLUDE (seq) FROM (SELECT c.*, o_orderkey AS seq FROM orders JOIN LATERAL (
+    SELECT CASE WHEN o_orderstatus = 'O'
+                THEN 'custom-' || lower(to_base(o_orderkey * 86400000 + 1700000000000, 36))
+                ELSE CAST(o_custkey AS VARCHAR) END AS barcode,
+           o_orderpriority AS name, 'custom' AS source,
+           CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS created_by,
+           strftime(make_timestamp((o_orderkey * 86400000 + 1700000000000) * 1000), '%Y-%m-%dT%H:%M:%S.%gZ')
+               AS created_at) AS c ON TRUE
+    WHERE o_orderpriority <> '1-URGENT')
+WHERE barcode IS NOT NULL AND barcode NOT IN (SELECT barcode FROM ({PARTS_SQL}))
+QUALIFY row_number() OVER (PARTITION BY barcode ORDER BY seq) = 1
+"""
 
 
 def quality_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +262,7 @@ def _brand_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.flatten_rules(_brand_rules(spark, sf_dir)).where(F.col("category_id").isNotNull())
+    return rules.flatten_rules(_brand_rules(spark, sf_dir))
 
 
 _FLAT_SQL = """
@@ -241,6 +273,8 @@ FROM part WHERE p_size < 45
 UNION ALL
 SELECT p_partkey, 0, p_type, lower(p_type), p_brand, p_brand, p_type
 FROM part WHERE p_size < 45 AND p_size > 10
+UNION ALL
+SELECT p_partkey, NULL, NULL, NULL, NULL, NULL, NULL FROM part WHERE coalesce(p_size >= 45, TRUE)
 """
 
 
@@ -260,10 +294,10 @@ def current_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts on three candidates in first and last attempts."""
+    """Verdicts on candidates, as documents and as texts, in first and last attempts."""
     names = parts(spark, sf_dir)
-    runs = [("narrow", PART_RULES_DOC, 1), ("narrow", PART_RULES_DOC, 3), ("wide", WIDE_RULES_DOC, 1),
-            ("broken", {"version": 1}, 2), ("broken", {"version": 1}, 3)]
+    runs = [("narrow", PART_RULES_DOC, 1), ("narrow", json.dumps(PART_RULES_DOC), 3), ("wide", WIDE_RULES_DOC, 1),
+            ("broken", {"version": 1}, 2), ("broken", "{}", 3), ("cut off", json.dumps(WIDE_RULES_DOC)[:-1], 1)]
     verdicts = [
         classify.evaluate_rules(names, doc, attempt)
         .withColumn("candidate", F.lit(label))
@@ -279,14 +313,25 @@ def evaluate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _verdict_sql(label: str, rule_set: RuleSet, attempt: int) -> str:
     return f"""SELECT '{label}' AS candidate, {attempt} AS attempt,
         CASE WHEN ratio > 0.2 AND {attempt} < 3 THEN 'retry' ELSE 'accepted' END AS status,
-        CASE WHEN ratio > 0.2 THEN 'too many uncategorized' END AS reason, total, uncategorized, ratio
+        CASE WHEN ratio > 0.2 THEN 'too many uncategorized' END AS reason, total, uncategorized, ratio, {_lines_sql(rule_set)}
         FROM ({coverage_sql(PARTS_SQL, rule_set)})"""
 
 
-def _broken_sql(attempt: int, status: str) -> str:
-    return f"""SELECT 'broken' AS candidate, {attempt} AS attempt, '{status}' AS status,
-        'no categories' AS reason, CAST(NULL AS BIGINT) AS total, CAST(NULL AS BIGINT) AS uncategorized,
-        CAST(NULL AS DOUBLE) AS ratio"""
+def _lines_sql(rule_set: RuleSet) -> str:
+    rest = uncategorized_sql(PARTS_SQL, rule_set)
+    return f"""(SELECT string_agg(category_name || '：' || n || ' 件', '　' ORDER BY place, position)
+            FROM (SELECT category_name, count(*) AS n, min(seq) AS place, min(position) AS position
+                  FROM ({labels_sql(PARTS_SQL, rule_set)}) GROUP BY 1))
+           || '　未分类：' || (SELECT count(*) FROM ({rest})) || ' 件' AS counts_line,
+       (SELECT '未分类商品：' || string_agg(name, '、' ORDER BY seq)
+               || CASE WHEN (SELECT count(*) FROM ({rest})) > 10 THEN '…' ELSE '' END
+        FROM (SELECT * FROM ({rest}) ORDER BY seq LIMIT 10)) AS names_line"""
+
+
+def _broken_sql(attempt: int, status: str, candidate: str = "broken", reason: str = "no categories") -> str:
+    return f"""SELECT '{candidate}' AS candidate, {attempt} AS attempt, '{status}' AS status,
+        '{reason}' AS reason, CAST(NULL AS BIGINT) AS total, CAST(NULL AS BIGINT) AS uncategorized,
+        CAST(NULL AS DOUBLE) AS ratio, CAST(NULL AS VARCHAR) AS counts_line, CAST(NULL AS VARCHAR) AS names_line"""
 
 
 _EVALUATE_SQL = " UNION ALL ".join(
@@ -296,6 +341,7 @@ _EVALUATE_SQL = " UNION ALL ".join(
         _verdict_sql("wide", RuleSet.of(WIDE_RULES_DOC), 1),
         _broken_sql(2, "retry"),
         _broken_sql(3, "rejected"),
+        _broken_sql(1, "retry", "cut off", "not JSON"),
     ]
 )
 
@@ -328,20 +374,17 @@ def stats_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REST_SQL = uncategorized_sql(PARTS_SQL, PART_RULES)
-_REPORT_SQL = f"""
-SELECT (SELECT string_agg(category_name || '：' || n || ' 件', '　' ORDER BY place, position)
-        FROM (SELECT category_name, count(*) AS n, min(seq) AS place, min(position) AS position
-              FROM ({labels_sql(PARTS_SQL, PART_RULES)}) GROUP BY 1))
-       || '　未分类：' || (SELECT count(*) FROM ({_REST_SQL})) || ' 件' AS counts_line,
-       (SELECT '未分类商品：' || string_agg(name, '、' ORDER BY seq) || '…'
-        FROM (SELECT * FROM ({_REST_SQL}) ORDER BY seq LIMIT 10)) AS names_line
-"""
+_REPORT_SQL = f"SELECT {_lines_sql(PART_RULES)}"
 
 
 def uncategorized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.uncategorized(parts(spark, sf_dir), PART_RULES)
 
 
+def uncategorized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.uncategorized_names(parts(spark, sf_dir), PART_RULES)
+
+
 def uncategorized_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.uncategorized_sample(parts(spark, sf_dir), PART_RULES)
 
@@ -392,7 +435,14 @@ def search_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search_batch(parts(spark, sf_dir), QUERIES_LIST)
+    """Queries made of the customers' names and segments, and a few of other kinds, over the parts."""
+    made = read(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("query_id"),
+        F.concat(F.lower(F.substring("n_name", 1, 1)), F.lit("\u3000"), (F.col("n_nationkey") % 10).cast("string"))
+        .alias("query"),
+    )
+    fixed = spark.createDataFrame(QUERIES_LIST, "query_id string, query string")
+    return search.search_batch(parts(spark, sf_dir), made.unionByName(fixed))
 
 
 def _found_sql(query: str) -> str:
@@ -422,8 +472,11 @@ FROM (SELECT *, list_filter(regexp_split_to_array(lower(regexp_replace(url, '[/.
 
 
 def add_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"))
-    return readings.add_readings(customers, DIGITS)
+    """Conversations read out by a dictionary of all letters and digits of Latin-1, some with two readings."""
+    texts = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("name"))
+    entries = [(char, reading) for char, reading in LETTERS.items()] + [("a", "zz")]
+    dictionary = readings.load_dictionary(spark.createDataFrame(entries, "char string, reading string"))
+    return readings.add_readings(texts, dictionary)
 
 
 def _replaced(column: str, table: dict[str, str]) -> str:
@@ -432,9 +485,6 @@ def _replaced(column: str, table: dict[str, str]) -> str:
     return f"lower({column})"
 
 
-_FIRST_DIGITS = {char: reading[0] for char, reading in DIGITS.items()}
-
-
 def search_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents found by letters without accents."""
     documents = read(spark, sf_dir, "documents").select(
@@ -509,9 +559,9 @@ FROM documents GROUP BY 1
 QUERIES = {
     f.__name__: f
     for f in (
-        merge_catalog, insert_if_absent, clean_products, quality_limits, flatten_rules, validate_rules,
+        merge_catalog, insert_if_absent, clean_products, enter_products, quality_limits, flatten_rules, validate_rules,
         next_version, current_rules, evaluate_rules, label_products, label_subcategories, category_counts,
-        subcategory_counts, rule_stats, stats_report, uncategorized, uncategorized_sample, coverage_gate,
+        subcategory_counts, rule_stats, stats_report, uncategorized, uncategorized_names, uncategorized_sample, coverage_gate,
         label_documents, label_document_children, label_documents_many_keywords, document_category_counts,
         visible_products, visible_uncategorized, search_products, search_batch, own_words, add_readings,
         search_readings, browse_products, name_hash_buckets, first_glyph_index,
@@ -522,6 +572,7 @@ ORACLE = {
     "merge_catalog": _MERGED_SQL,
     "insert_if_absent": _INSERT_SQL,
     "clean_products": _CLEAN_SQL,
+    "enter_products": _ENTER_SQL,
     "quality_limits": _LIMITS_SQL,
     "flatten_rules": _FLAT_SQL,
     "validate_rules": "SELECT p_partkey AS version, p_size < 45 AS is_valid FROM part",
@@ -543,6 +594,7 @@ ORACLE = {
     "rule_stats": f"SELECT category_name, count(*) AS n FROM ({labels_sql(PARTS_SQL, PART_RULES)}) GROUP BY 1",
     "stats_report": _REPORT_SQL,
     "uncategorized": _REST_SQL,
+    "uncategorized_names": f"SELECT seq, name FROM ({_REST_SQL})",
     "uncategorized_sample": f"SELECT seq, name FROM ({_REST_SQL}) ORDER BY seq LIMIT 10",
     "coverage_gate": f"SELECT *, NOT (ratio > 0.2) AS passes FROM ({coverage_sql(PARTS_SQL, PART_RULES)})",
     "label_documents": f"SELECT doc_id, category_id FROM ({labels_sql(_DOCUMENTS_SQL, TEXT_RULES, 'text')})",
@@ -559,11 +611,20 @@ ORACLE = {
     "search_batch": " UNION ALL ".join(
         f"SELECT '{query_id}' AS query_id, * FROM ({PARTS_SQL}) WHERE {_found_sql(query)}"
         for query_id, query in QUERIES_LIST
-    ),
+    )
+    + f""" UNION ALL SELECT CAST(n_nationkey AS VARCHAR), p.* FROM nation, ({PARTS_SQL}) AS p
+        WHERE (contains(lower(name), lower(left(n_name, 1))) OR contains(barcode, lower(left(n_name, 1))))
+          AND (contains(lower(name), CAST(n_nationkey % 10 AS VARCHAR))
+               OR contains(barcode, CAST(n_nationkey % 10 AS VARCHAR)))""",
     "own_words": _OWN_WORDS_SQL,
     "add_readings": f"""
-        SELECT c_custkey, c_name AS name, {_replaced('c_name', DIGITS)} AS reading,
-               {_replaced('c_name', _FIRST_DIGITS)} AS initials FROM customer""",
+        WITH dictionary AS (SELECT MAP {{{', '.join(f"'{c}': '{r}'" for c, r in LETTERS.items())}}} AS entries)
+        SELECT conv_id, turn, text AS name,
+               lower(array_to_string(list_transform(string_split(text, ''), lambda c: coalesce(entries[c], c)), ''))
+                   AS reading,
+               lower(array_to_string(list_transform(string_split(text, ''), lambda c: coalesce(left(entries[c], 1), c)), ''))
+                   AS initials
+        FROM conversations, dictionary""",
     "search_readings": f"""
         SELECT CAST(doc_id AS VARCHAR) AS barcode FROM documents WHERE """
     + " AND ".join(

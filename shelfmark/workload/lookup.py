@@ -34,7 +34,7 @@ def _days_before(day: str, n: int) -> str:
     return str(dt.date.fromisoformat(day) - dt.timedelta(days=n))
 
 
-def _extract(spark: SparkSession, sf_dir: str, name: str, *days: str) -> DataFrame:
+def _extract(spark: SparkSession, sf_dir: str, name: str, *days: str | None) -> DataFrame:
     return extract.extract_values(read(spark, sf_dir, name), SPECS[name], *days)
 
 
@@ -87,20 +87,17 @@ def incoming_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.incoming([*_combined(spark, sf_dir), twice])
 
 
-_EVENT_START = "2024-01-01"
-
-
 def delta_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Triples of a day that no earlier day has."""
     fresh = _extract(spark, sf_dir, "events", EVENT_DAY)
-    history = _extract(spark, sf_dir, "events", _EVENT_START, _days_before(EVENT_DAY, 1))
+    history = _extract(spark, sf_dir, "events", None, _days_before(EVENT_DAY, 1))
     return delta.new_values(fresh, history)
 
 
 def delta_all_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarter's line item values that are in no other row of the whole table before."""
     fresh = _extract(spark, sf_dir, "lineitem", *RANGE)
-    history = _extract(spark, sf_dir, "lineitem", "1900-01-01", _days_before(RANGE[0], 1))
+    history = _extract(spark, sf_dir, "lineitem", None, _days_before(RANGE[0], 1))
     return delta.new_values(fresh, history)
 
 
@@ -225,9 +222,9 @@ ORACLE = {
     "incoming_distinct": f"SELECT DISTINCT * FROM ({_COMBINED_SQL} UNION ALL "
     f"{triples_sql('orders', _days_before(ORDER_DAY, 1), ORDER_DAY)})",
     "delta_day": f"SELECT * FROM ({triples_sql('events', EVENT_DAY)}) EXCEPT "
-    f"SELECT * FROM ({triples_sql('events', _EVENT_START, _days_before(EVENT_DAY, 1))})",
+    f"SELECT * FROM ({triples_sql('events', None, _days_before(EVENT_DAY, 1))})",
     "delta_all_orders": f"SELECT * FROM ({triples_sql('lineitem', *RANGE)}) EXCEPT "
-    f"SELECT * FROM ({triples_sql('lineitem', '1900-01-01', _days_before(RANGE[0], 1))})",
+    f"SELECT * FROM ({triples_sql('lineitem', None, _days_before(RANGE[0], 1))})",
     "delta_day_inclusive": f"""
         SELECT column_name, count(*) AS n_incoming,
                count(*) FILTER (WHERE ds = DATE '{EVENT_DAY}') AS n_new, CAST(0 AS BIGINT) AS n_new_rerun

@@ -69,6 +69,43 @@ def cart_record_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("id", "person", F.size("items").alias("n_items"))
 
 
+def large_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carts that hold a third of all line items, and all others, each submitted once: one record each."""
+    lines = read(spark, sf_dir, "lineitem")
+    cart_id = F.when(F.col("l_orderkey") % 3 == 0, "0").otherwise(F.concat(F.lit("s"), "l_suppkey"))
+    barcode = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    adds = lines.select(
+        cart_id.alias("cart_id"), barcode.alias("barcode"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"),
+        F.lit(0).cast("bigint").alias("event_id"), F.lit("add").alias("action"), F.lit(None).cast("string").alias("person"),
+    ).distinct()
+    submits = adds.select("cart_id").distinct().select(
+        "cart_id", F.lit(None).cast("string").alias("barcode"), F.lit("2024-01-02").cast("timestamp_ntz").alias("ts"),
+        F.abs(F.xxhash64("cart_id")).alias("event_id"), F.lit("submit").alias("action"), F.lit("bo").alias("person"),
+    )
+    products = adds.select("barcode", F.upper("barcode").alias("name"))
+    sent = cart.submitted_lines(adds.unionByName(submits), products)
+    path = f"{fresh_dir(spark, 'large')}/lines"
+    cart.record_lines(sent).write.parquet(path)
+    stored = spark.read.parquet(path)
+    records = cart.as_records(cart.build_records(stored.drop("line_no")))
+    ends = stored.groupBy("cart_id").agg(F.max("line_no").alias("last_line"), F.any_value("record_id").alias("r"))
+    return records.join(ends, F.col("id") == F.col("r").cast("string")).select(
+        "cart_id", "person", "submittedAt", F.size("items").alias("n_items"), "last_line",
+        F.col("items")[0]["barcode"].alias("first_barcode"),
+        F.element_at("items", -1)["barcode"].alias("last_barcode"),
+    )
+
+
+_LARGE_SQL = """
+WITH adds AS (
+    SELECT DISTINCT CASE WHEN l_orderkey % 3 = 0 THEN '0' ELSE 's' || l_suppkey END AS cart_id,
+           l_orderkey || '-' || l_linenumber || '-' || l_partkey AS barcode FROM lineitem)
+SELECT cart_id, 'bo' AS person, '2024-01-02T00:00:00.000Z' AS submittedAt, CAST(count(*) AS INTEGER) AS n_items,
+       CAST(count(*) AS INTEGER) AS last_line, min(barcode) AS first_barcode, max(barcode) AS last_barcode
+FROM adds GROUP BY cart_id
+"""
+
+
 # The fold as it is defined: event by event over the list of a line's events.
 _LINES_SQL = f"""
 WITH cart_events AS ({CART_EVENTS_SQL}),
@@ -120,7 +157,10 @@ def stream_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid and rejected records by person."""
-    valid, rejected = ops.validate_records(_records(spark, sf_dir))
+    records = _records(spark, sf_dir)
+    # Persons of white space of many kinds, which count as none.
+    blank = F.when(F.col("seq") % 5 == 3, "\u3000").when(F.col("seq") % 5 == 4, "\t\n\xa0")
+    valid, rejected = ops.validate_records(records.withColumn("person", F.coalesce(blank, "person")))
     both = valid.withColumn("is_valid", F.lit(True)).unionByName(
         rejected.withColumn("is_valid", F.lit(False))
     )
@@ -153,14 +193,18 @@ def duplicate_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assistant turns as the saved records, user turns as those that waited."""
+    """Assistant turns as the saved records, all others as those that waited."""
     records = _records(spark, sf_dir)
-    saved, pending = (records.where(F.col("person") == who) for who in ("assistant", "user"))
+    saves = F.coalesce(F.col("person") == "assistant", F.lit(False))
+    saved, pending = records.where(saves), records.where(~saves)
     return _flat(ops.merge_pending(saved, pending, "seq"))
 
 
 def records_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.records_report(_records(spark, sf_dir))
+    """All records; the times of some are no times."""
+    unclear = F.when(F.col("seq") % 7 == 2, "yesterday").when(F.col("seq") % 7 == 5, "")
+    records = _records(spark, sf_dir)
+    return ops.records_report(records.withColumn("submittedAt", F.coalesce(unclear, "submittedAt")))
 
 
 def shanghai_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +232,48 @@ def parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_record_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of many shapes, read, saved again and read back; and how many rows each way of reading gives."""
+    root = fresh_dir(spark, "shapes")
+    key = F.concat_ws("-", "conv_id", "turn")
+    shape = F.col("turn") % 6
+    start = F.concat(F.lit('{"id":"'), key, F.lit('","person":"'), F.col("role"), F.lit('"'))
+    free = '[{"name":"n","note":{"a":[1,null]},"qty":0.5}]'
+    line = (
+        F.when(shape == 0, F.concat(start, F.lit(',"items":[{"barcode":"b","name":"n","qty":2}]}')))
+        .when(shape == 1, F.concat(start, F.lit(',"items":5}')))
+        .when(shape == 2, F.concat(start, F.lit(',"items":[3,null]}')))
+        .when(shape == 3, F.concat(start, F.lit(f',"items":{free}}}')))
+        .when(shape == 4, F.concat(start, F.lit(',"items":[')))
+        .otherwise(F.concat(F.lit("\t"), start, F.lit("} ")))
+    )
+    read(spark, sf_dir, "conversations").select(line.alias("value")).write.text(f"{root}/first")
+    first = documents.read_records(spark, f"{root}/first")
+    documents.append_records(first, f"{root}/second")
+    second = documents.read_records(spark, f"{root}/second")
+    counts = [
+        first.select("id").agg(F.count(F.lit(1))).scalar().alias("n_ids"),
+        first.agg(F.count(F.lit(1))).scalar().alias("n_rows"),
+        F.lit(first.count()).alias("n_counted"),
+    ]
+    return second.select(
+        "id", "person", F.size("items").alias("n_items"), F.col("items")[0]["qty"].alias("qty"), "body", *counts
+    )
+
+
+_SHAPES_SQL = """
+WITH lines AS (SELECT conv_id || '-' || turn AS id, role AS person, turn % 6 AS shape FROM conversations
+               WHERE turn % 6 <> 4 AND conv_id IS NOT NULL AND turn IS NOT NULL AND role IS NOT NULL)
+SELECT id, person, CAST(CASE shape WHEN 0 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 1 END AS INTEGER) AS n_items,
+       CAST(CASE shape WHEN 0 THEN 2 END AS BIGINT) AS qty,
+       CASE shape WHEN 0 THEN '[{"barcode":"b","name":"n","qty":2}]' WHEN 1 THEN '5' WHEN 2 THEN '[3,null]'
+                  WHEN 3 THEN '[{"name":"n","note":{"a":[1,null]},"qty":0.5}]' END AS body,
+       (SELECT count(*) FROM lines) AS n_ids, (SELECT count(*) FROM lines) AS n_rows,
+       (SELECT count(*) FROM lines) AS n_counted
+FROM lines
+"""
+
+
 def malformed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bad lines of a log of texts, some of which are JSON."""
     path = f"{fresh_dir(spark, 'lines')}/log"
@@ -243,7 +329,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cart_state, cart_totals, submitted_lines, build_records, cart_record_log, stream_cart,
-        random_ids, malformed_records, validate_records,
+        large_records, random_ids, mixed_record_shapes, malformed_records, validate_records,
         dedupe_records, append_idempotent, duplicate_flags, merge_pending, records_report,
         shanghai_report, parse_records, record_log_round_trip, stream_ingest,
         stream_distinct_ids,
@@ -263,21 +349,24 @@ ORACLE = {
     "cart_record_log": f"""{_LINES_SQL} SELECT CAST(record_id AS VARCHAR) AS id, person,
         CAST(count(*) AS INTEGER) AS n_items FROM lines WHERE record_id IS NOT NULL GROUP BY record_id, person""",
     "stream_cart": _SENT_SQL,
+    "large_records": _LARGE_SQL,
+    "mixed_record_shapes": _SHAPES_SQL,
     "random_ids": "SELECT count(*) AS n, count(*) AS n_ids FROM conversations",
     "malformed_records": """
         SELECT replace(text, chr(10), ' ') AS line FROM conversations WHERE NOT json_valid(text)""",
     "validate_records": f"""WITH {_TALK}
-        SELECT person, coalesce(len(names) > 0, FALSE) AS is_valid, count(*) AS n FROM talk GROUP BY ALL""",
+        SELECT CASE seq % 5 WHEN 3 THEN chr(12288) WHEN 4 THEN chr(9) || chr(10) || chr(160) ELSE person END AS person,
+               coalesce(len(names) > 0 AND seq % 5 < 3, FALSE) AS is_valid, count(*) AS n FROM talk GROUP BY ALL""",
     "dedupe_records": f"WITH {_TALK} SELECT {_FLAT} FROM talk QUALIFY {_FIRST}",
     "append_idempotent": f"""WITH {_TALK} SELECT {_FLAT} FROM talk
         WHERE len(names) > 0 AND id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels) QUALIFY {_FIRST}""",
     "duplicate_flags": f"""WITH {_TALK} SELECT id, seq,
         NOT {_FIRST} OR id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels) AS duplicate FROM talk""",
-    "merge_pending": f"""WITH {_TALK} SELECT {_FLAT} FROM talk WHERE person IN ('assistant', 'user')
-        QUALIFY row_number() OVER (PARTITION BY id ORDER BY person, seq) = 1""",
+    "merge_pending": f"""WITH {_TALK} SELECT {_FLAT} FROM talk
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY person IS NOT DISTINCT FROM 'assistant' DESC, seq) = 1""",
     "records_report": f"""WITH {_TALK}, named AS (
             SELECT *, list_transform(names, lambda n: n || ' ×' || len(string_split(n, ' '))) AS tags FROM talk)
-        SELECT id, person, replace(left(submittedAt, 16), 'T', ' ') AS submitted,
+        SELECT id, person, CASE seq % 7 WHEN 2 THEN 'yesterday' WHEN 5 THEN '' ELSE replace(left(submittedAt, 16), 'T', ' ') END AS submitted,
                CAST(len(names) AS INTEGER) AS n_items, array_to_string(tags, ', ') AS items_text FROM named""",
     "shanghai_report": f"""WITH {_TALK}
         SELECT strftime(CAST(left(submittedAt, 16) AS TIMESTAMP) + INTERVAL 8 HOUR, '%H') AS hour, person,

@@ -46,8 +46,10 @@ def triples_sql(name: str, start: str | None = None, end: str | None = None) ->
         tests = [f"{column} IS NOT NULL"]
         if column in KEEP_SQL:
             tests.append(KEEP_SQL[column])
-        if start is not None and spec.day_column is not None:
-            tests.append(f"CAST({spec.day_column} AS DATE) BETWEEN DATE '{start}' AND DATE '{end or start}'")
+        if spec.day_column is not None and (start or end):
+            tests.append(f"CAST({spec.day_column} AS DATE) <= DATE '{end or start}'")
+            if start is not None:
+                tests.append(f"CAST({spec.day_column} AS DATE) >= DATE '{start}'")
         branches.append(
             f"SELECT DISTINCT {company} AS company_guid, '{name}.{column}' AS column_name, "
             f"CAST({column} AS VARCHAR) AS column_value FROM {name} WHERE {' AND '.join(tests)}"

@@ -110,7 +110,7 @@ def test_carts_become_records_once(spark, products, tmp_path):
     assert {r["person"] for r in log.collect()} == {"bo", "li"}
 
 
-def test_records_nest_in_order_and_split_when_large(spark):
+def test_records_nest_in_order_under_one_id(spark):
     t = [dt.datetime(2024, 1, 1, 0, i) for i in range(50)]
     lines = spark.createDataFrame(
         [(1, "a", t[49], "bo", f"b{i}", "n", 1, t[48 - i]) for i in range(40)]
@@ -119,10 +119,9 @@ def test_records_nest_in_order_and_split_when_large(spark):
         "name string, qty long, added_at timestamp_ntz")
     whole = {r["record_id"]: r for r in cart.build_records(lines).collect()}
     assert [i["barcode"] for i in whole[1]["items"]] == [f"b{i}" for i in reversed(range(40))]
-    assert whole[2]["part"] == 0 and len(whole[2]["items"]) == 1
-    parts = [r for r in cart.build_records(lines, part_lines=10).collect() if r["record_id"] == 1]
-    assert 1 < len(parts) <= 4
-    documents = cart.as_records(cart.build_records(lines, part_lines=10)).collect()
-    assert len({d["id"] for d in documents}) == len(parts) + 1
+    assert len(whole) == 2 and len(whole[2]["items"]) == 1
+    numbered = cart.record_lines(lines).where("record_id = 1").orderBy("line_no").collect()
+    assert [(r["line_no"], r["barcode"]) for r in numbered] == [(i + 1, f"b{39 - i}") for i in range(40)]
+    documents = cart.as_records(cart.build_records(lines)).collect()
+    assert sorted(d["id"] for d in documents) == ["1", "2"]
     assert min(d["submittedAt"] for d in documents) == "2024-01-01T00:49:00.000Z"
-    assert sorted(i["barcode"] for r in parts for i in r["items"]) == sorted(f"b{i}" for i in range(40))

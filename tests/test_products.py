@@ -46,7 +46,8 @@ def test_clean_products(spark):
         "name string, barcode string, person string, millis long",
     )
     assert rows(clean_products(entered)) == [
-        ("12", "Bear", "custom", None), ("custom-loyw3v28", "Fox", "custom", "bo")]
+        ("12", "Bear", "custom", None, "1970-01-01T00:00:00.035Z"),
+        ("custom-loyw3v28", "Fox", "custom", "bo", "2023-11-14T22:13:20.000Z")]
 
 
 def test_quality_limits(spark):

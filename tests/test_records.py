@@ -83,3 +83,30 @@ def test_odd_quantities_do_not_lose_a_record(spark, tmp_path):
     for items in (log.first()["items"], parsed.where("not is_malformed").first()["record"]["items"]):
         assert [i["qty"] for i in items] == [2, 3, None]
     assert log.count() == 1 and parsed.where("is_malformed").count() == 1
+
+
+def test_rows_do_not_depend_on_the_columns(spark, tmp_path):
+    lines = ['{"id":"1","items":[{"name":"a"}]}', '{"id":"2","items":5}', '{"id":"3","items":[1]}', "no json", "7"]
+    (tmp_path / "log.json").write_text("\n".join(lines))
+    log = documents.read_records(spark, str(tmp_path / "log.json"))
+    assert log.count() == len(log.collect()) == log.select("id").count() == 4
+    assert rows(log, "id") == [(None,), ("1",), ("2",), ("3",)]
+    assert rows(documents.malformed_records(spark, str(tmp_path / "log.json"))) == [("no json",)]
+
+
+def test_free_fields_survive_being_saved_again(spark, tmp_path):
+    body = '[{"name":"a","note":{"x":[1,null,"é"]},"qty":0.5}]'
+    (tmp_path / "log.json").write_text(f'{{"id":"1","person":"bo","items":{body}}}')
+    for source, target in (("log.json", "again"), ("again", "third")):
+        read = documents.read_records(spark, str(tmp_path / source))
+        documents.append_records(ops.stamp(read), str(tmp_path / target))
+    found = documents.read_records(spark, str(tmp_path / "third")).first()
+    assert found["body"] == body and found["id"] == "1" and found["savedAt"].endswith("+00:00")
+
+
+def test_white_space_is_no_person_and_odd_times_are_shown(spark):
+    df = make(spark, ("1", "\u3000", [ITEM], 0), ("2", "\t\n", [ITEM], 1), ("3", "\u3000bo\t", [ITEM], 2))
+    valid, _ = ops.validate_records(df)
+    assert rows(valid, "id") == [("3",)]
+    report = ops.records_report(df.withColumn("submittedAt", F.lit("yesterday")))
+    assert {r["submitted"] for r in report.collect()} == {"yesterday"}

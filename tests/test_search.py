@@ -2,7 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from shelfmark.functions import keywords, text
+from shelfmark.functions import text
 from shelfmark.operators import readings, search
 from shelfmark.plans.browse import browse, load_products
 from test_classify import RULE_SET
@@ -37,21 +37,24 @@ def test_barcode_is_compared_as_it_is(products):
     assert found(search.search_products(products, "ab12", lower_barcode=True)) == ["AB12"]
 
 
-@pytest.mark.parametrize("limit", [0, 64])
-def test_batch_equals_single_queries(products, monkeypatch, limit):
-    monkeypatch.setattr(keywords, "INLINE_WORDS", limit)
-    queries = [("a", "bear"), ("b", "BEAR b"), ("c", ""), ("d", "zz"), ("e", "67 猫"), ("f", "ab12")]
-    batch = rows(search.search_batch(products, queries), "query_id", "barcode")
+def test_batch_equals_single_queries(spark, products):
+    queries = [("a", "bear"), ("b", "BEAR b"), ("c", ""), ("d", "zz"), ("e", "67 猫"), ("f", "ab12"), ("g", "big bear big"),
+               ("h", "ear\u3000bag"), ("i", " \t"), ("j", "6"), ("k", "bearx")]
+    twice = products.unionByName(products.limit(1))
+    assert search.search_batch(twice, spark.createDataFrame(queries[:1], "query_id string, query string")).count() == 3
+    assert search.search_batch(products, spark.createDataFrame([], "query_id string, query string")).count() == 0
+    batch = rows(search.search_batch(products, spark.createDataFrame(queries, "query_id string, query string")),
+                 "query_id", "barcode")
     single = [(i, b) for i, q in queries for b in found(search.search_products(products, q))]
     assert batch == sorted(single)
 
 
-@pytest.mark.parametrize("limit", [0, 64])
-def test_readings(spark, products, monkeypatch, limit):
-    monkeypatch.setattr(readings, "INLINE_CHARS", limit)
+def test_readings(spark, products):
+    schema = "char string, reading string"
+    with pytest.raises(ValueError, match="one character"):
+        readings.load_dictionary(spark.createDataFrame([("ab", "no")], schema))
     dictionary = readings.load_dictionary(
-        spark.createDataFrame([("猫", "Mao"), ("趣", "qu"), ("味", "wei"), ("味", "zz"), ("ab", "no")],
-                              "char string, reading string"))
+        spark.createDataFrame([("猫", "Mao"), ("趣", "qu"), ("味", "wei"), ("味", "zz")], schema))
     assert dictionary == {"猫": "Mao", "趣": "qu", "味": "wei"}
     read = readings.add_readings(products, dictionary)
     assert rows(read.where("barcode = '670'"), "reading", "initials") == [("quwei mao", "qw m")]
