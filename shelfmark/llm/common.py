@@ -50,11 +50,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def chunks(texts: Iterable[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
-    """The texts in order, in lists of about ``limit`` bytes; a longer text is a list of its own. NULL is empty."""
+def chunks(texts: Iterable[bytes | str | None], limit: int = CHUNK_BYTES, empty: bytes | str = b"") -> Iterator[list]:
+    """The texts in order, in lists of about ``limit`` bytes; a longer text is a list of its own. NULL is ``empty``."""
     found, size = [], 0
     for text in texts:
-        text = text or b""
+        text = text or empty
         if found and size + len(text) > limit:
             yield found
             found, size = [], 0

@@ -18,7 +18,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
@@ -48,8 +47,8 @@ def _measure(path: str, sequence: int, end_id: int) -> Callable:
         numbers, whole = Counter(), 0
         for batch in batches:
             rows = []
-            for texts in chunks(batch.column("t").to_pylist()):
-                for raw in code.encode([t.decode() for t in texts]):
+            for texts in chunks(batch.column("t").to_pylist(), empty=""):
+                for raw in code.encode(texts):
                     ids = np.concatenate([np.frombuffer(raw, code.dtype), np.array([end_id], code.dtype)]).astype("<u4")
                     cut = len(ids) // sequence * sequence
                     crcs = [zlib.crc32(ids[i : i + sequence].tobytes()) for i in range(0, cut, sequence)]
@@ -123,57 +122,49 @@ def _plan(histogram: dict[int, int], base: int, sequence: int) -> tuple[dict[int
 
 def _place(places: dict[int, _Places], ends: np.ndarray, cut_base: int, dtype: np.dtype) -> Callable:
     """Pieces of the remainders; ``rest_ids`` is NULL but for those to be cut."""
-    tables = {
-        size: tuple(np.array(x, np.int64) for x in (p.first, p.sequence, p.offset)) for size, p in places.items()
-    }
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            done = []
-            for size, rows in frame.groupby("rest", sort=False):
-                first, sequence, offset = tables[size]
-                at = np.searchsorted(first, rows["rank"].to_numpy(), side="right") - 1
-                within = rows["rank"].to_numpy() - first[at]
-                cut = offset[at] < 0
-                plain = rows[~cut]
-                done.append(
-                    pd.DataFrame(
-                        {
-                            "doc_id": plain["doc_id"],
-                            "start": plain["doc_tokens"] - size,
-                            "length": np.int64(size),
-                            "ids_crc32": plain["rest_crc32"],
-                            "doc_tokens": plain["doc_tokens"],
-                            "sequence_id": (sequence[at] + within)[~cut],
-                            "offset": offset[at][~cut],
-                        }
-                    )
+    # One sorted table for all lengths: a length and a number make one key.
+    order = sorted(places)
+    keys = np.concatenate([np.array(places[size].first, np.int64) + (size << 42) for size in order] or [[]]).astype(np.int64)
+    sequence = np.concatenate([places[size].sequence for size in order] or [[]]).astype(np.int64)
+    offset = np.concatenate([places[size].offset for size in order] or [[]]).astype(np.int64)
+    names = "doc_id start length ids_crc32 doc_tokens sequence_id offset".split()
+
+    def cut_piece(row: int, doc_tokens: int, size: int, raw: bytes, begin: int) -> Iterator[tuple]:
+        """The pieces of a remainder that lies at ``begin`` of the stretch."""
+        ids = np.frombuffer(raw, dtype).astype("<u4")
+        done = 0
+        while done < size:
+            number = int(np.searchsorted(ends, begin + done, side="right"))
+            start = int(ends[number - 1]) if number else 0
+            take = min(size - done, int(ends[number]) - begin - done)
+            crc = zlib.crc32(ids[done : done + take].tobytes())
+            yield row, doc_tokens - size + done, take, crc, doc_tokens, cut_base + number, begin + done - start
+            done += take
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column("rest").to_numpy().astype(np.int64)
+            tokens, crc = batch.column("doc_tokens").to_numpy(), batch.column("rest_crc32").to_numpy()
+            key = (size << 42) + batch.column("rank").to_numpy()
+            at = np.searchsorted(keys, key, side="right") - 1
+            within = key - keys[at]
+            cut = offset[at] < 0
+            whole = np.flatnonzero(~cut)
+            found = [whole, tokens - size, size, crc, tokens, sequence[at] + within, offset[at]]
+            found = [found[0], *(column[whole] for column in found[1:])]
+            begin = sequence[at] + within * size
+            pieces = [
+                piece
+                for row in np.flatnonzero(cut).tolist()
+                for piece in cut_piece(
+                    row, int(tokens[row]), int(size[row]), batch.column("rest_ids")[row].as_py(), int(begin[row])
                 )
-                stretch = (sequence[at] + within * size)[cut]
-                pieces = []
-                for begin, row in zip(stretch.tolist(), rows[cut].itertuples(), strict=True):
-                    ids = np.frombuffer(row.rest_ids, dtype).astype("<u4")
-                    done_ids = 0
-                    while done_ids < size:
-                        number = int(np.searchsorted(ends, begin + done_ids, side="right"))
-                        start = int(ends[number - 1]) if number else 0
-                        take = min(size - done_ids, int(ends[number]) - begin - done_ids)
-                        pieces.append(
-                            (
-                                row.doc_id,
-                                row.doc_tokens - size + done_ids,
-                                take,
-                                zlib.crc32(ids[done_ids : done_ids + take].tobytes()),
-                                row.doc_tokens,
-                                cut_base + number,
-                                begin + done_ids - start,
-                            )
-                        )
-                        done_ids += take
-                if pieces:
-                    done.append(pd.DataFrame(pieces, columns=done[-1].columns))
-            if done:
-                yield pd.concat(done, ignore_index=True)
+            ]
+            if pieces:
+                more = np.array(pieces, np.int64).T
+                found = [np.concatenate(pair) for pair in zip(found, more, strict=True)]
+            ids = batch.column("doc_id").take(pa.array(found[0]))
+            yield pa.RecordBatch.from_arrays([ids, *map(pa.array, found[1:])], names=names)
 
     return run
 
@@ -196,7 +187,7 @@ def pack(
     The driver sees counts per length and patterns: their number depends on ``sequence`` alone.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("t"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     measured = stage(rows.mapInArrow(_measure(path, sequence, end_id), _MEASURED.format(kind=kind)), "pack-measured")
     counts = measured.groupBy("part", "rest").agg(F.count("*").alias("n"))
@@ -245,7 +236,7 @@ def pack(
         .select("doc_id", "doc_tokens", "rest", "rest_crc32", "rest_ids", "rank")
     )
     dtype = encoder(path).dtype
-    pieces = rests.mapInPandas(_place(places, ends, cut_base, dtype), schema)
+    pieces = rests.mapInArrow(_place(places, ends, cut_base, dtype), schema)
     return full.select(*columns).union(pieces.select(*columns))
 
 
