@@ -16,8 +16,10 @@ from itertools import chain
 
 import numpy as np
 
-#: Distinct pre-tokens that a worker remembers: about 120 MB.
-KNOWN = 3 << 18
+from shelfmark.llm.common import worker_memory
+
+#: Distinct pre-tokens that a worker remembers: about 160 MB.
+KNOWN = 1 << 20
 _LATIN = 0x250
 #: The contractions and the white space of the byte-level pre-tokenizer's pattern.
 _CONTRACTIONS = "'(?:s|t|re|ve|m|ll|d)"
@@ -143,7 +145,9 @@ class Encoder:
         ]
 
 
-@cache
 def encoder(path: str) -> Encoder:
-    """One per worker and file."""
-    return Encoder(path)
+    """One per worker and file, as long as the worker's tasks encode."""
+    held = worker_memory("bpe")
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes that cross between the JVM and Python together: texts are long.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """Let rows cross to Python in batches that fit beside the heap of an executor, here and in what follows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+_HELD: dict[str, dict] = {}
+
+
+def worker_memory(owner: str) -> dict:
+    """What ``owner`` remembers in this Python worker from task to task.
+
+    Workers serve many stages: whatever another owner left is dropped.
+    """
+    for other in [name for name in _HELD if name != owner]:
+        del _HELD[other]
+    return _HELD.setdefault(owner, {})
+
+
+def texts_in(batch: pa.RecordBatch, row: str, text: str) -> pa.Array:
+    """The texts, as bytes, out of whole rows in a struct column: they cross once."""
+    return pc.struct_field(batch.column(row), [batch.schema.field(row).type.get_field_index(text)]).cast(pa.binary())
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: later steps don't compute them again."""
     spark = df.sparkSession

@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.bpe import encoder
-from shelfmark.llm.common import chunks, read_table
+from shelfmark.llm.common import chunks, in_small_batches, read_table
 from shelfmark.session import fresh_dir
 
 BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 0
-LEVEL = 3
+LEVEL = 1
 DICTIONARY_BYTES = 1 << 16
 #: The dictionary is trained on this many documents at most, of this many bytes at most each.
 SAMPLE_ROWS = 2000
@@ -36,24 +36,25 @@ BLOCK_ROWS = 512
 BLOCK_BYTES = 1 << 20
 
 
-def _ids(texts: Sequence[bytes], path: str, end_id: int) -> list[bytes]:
+def _ids(texts: Sequence[str], path: str, end_id: int) -> list[bytes]:
     """Serialized ids of each text, with the end."""
     code = encoder(path)
     end = np.array([end_id], code.dtype).tobytes()
-    return [raw + end for raw in code.encode([t.decode() for t in texts])]
+    return [raw + end for raw in code.encode(texts)]
 
 
-def train_dictionary(docs: DataFrame, path: str, text: str = "text", end_id: int = END_ID) -> bytes:
-    """A dictionary from the serialized ids of SAMPLE_ROWS texts, those of smallest hash; empty if there are none.
+def train_dictionary(
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID
+) -> bytes:
+    """A dictionary from the serialized ids of up to SAMPLE_ROWS documents, those of smallest hash of the id.
 
     Texts beyond SAMPLE_BYTES are not sampled: the dictionary is for documents too short to have a context of
-    their own. Where the sample is too small to train on, it is the dictionary itself.
+    their own. Where the sample is too small to train on, it is the dictionary itself; it may be empty.
     """
-    short = docs.select(F.col(text).cast("binary").alias("t"), F.xxhash64(text).alias("h")).filter(
-        F.col("t").isNotNull() & (F.length("t") > 0) & (F.length("t") <= SAMPLE_BYTES)
-    )
-    # SAMPLE_ROWS hashes; repeated texts count once.
-    chosen = short.select("h").distinct().orderBy("h").limit(SAMPLE_ROWS)
+    keyed = docs.select(F.xxhash64(doc_id).alias("h"), F.col(text).alias("t"))
+    # SAMPLE_ROWS hashes, found without reading texts; repeated ids count once.
+    chosen = keyed.select("h").distinct().orderBy("h").limit(SAMPLE_ROWS)
+    short = keyed.filter(F.col("t").isNotNull() & (F.col("t") != "") & (F.octet_length("t") <= SAMPLE_BYTES))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,21 +79,23 @@ def write_tokens(
 ) -> None:
     """The ids of all texts (tokenizer at ``path``, no special tokens added, then ``end_id``) into ``folder``.
 
-    Documents are in ascending order of ids, NULL ids last, equal ids by a hash of the text. A NULL or empty
-    text has one id, its end. Repeated rows are written as often as they occur, an empty table gives files without
+    Documents are in ascending order of ids, NULL ids last, equal ids as they come. A NULL or empty text has
+    one id, its end. Repeated rows are written as often as they occur, an empty table gives files without
     blocks. Texts are dealt to tasks by ranges of ids; each task sorts and writes its range. Other columns
     are not looked at.
     """
     spark = docs.sparkSession
-    dictionary = train_dictionary(docs, path, text, end_id)
+    in_small_batches(spark)
+    dictionary = train_dictionary(docs, path, doc_id, text, end_id)
     digest = hashlib.sha256(dictionary).hexdigest()
     width = encoder(path).dtype.itemsize
     spark.createDataFrame([(digest, bytearray(dictionary), width)], "dict_hash string, bytes binary, width int").coalesce(
         1
     ).write.parquet(f"{folder}/dictionary")
     shared = spark.sparkContext.broadcast(dictionary)
+    # The tie lets many rows of one id lie in several ranges; to find the ranges no text is read.
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("t"), F.xxhash64(text).alias("tie")
+        F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), F.monotonically_increasing_id().alias("tie")
     )
     order = [F.col("doc_id").asc_nulls_last(), F.col("tie").asc()]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -127,7 +130,7 @@ def write_tokens(
         held_bytes = 0
         for batch in batches:
             names, done = batch.column("doc_id"), 0
-            for texts in chunks(batch.column("t").to_pylist()):
+            for texts in chunks(batch.column("t").to_pylist(), empty=""):
                 for raw in _ids(texts, path, end_id):
                     frame = pack(raw)
                     ids.append(names[done])
