@@ -4,7 +4,9 @@ Every task that reads documents makes a shard: an inverted index of its document
 length so that documents of a block are alike. Per term and block of 64 documents the index gives the greatest
 weight. For a query the weights of all its terms' blocks add up to a bound for each block. The blocks of greatest
 bound are scored first; from then on only blocks whose bound reaches the k-th best score are, and the rest is
-never touched. Shards use the statistics of the whole collection, so their best k merge to the exact best k.
+never touched. The few very common terms of a shard tell little and fill every block; they are held as full
+rows instead, are scored for many queries in one matrix product, and enter the bounds with their exact sums.
+Shards use the statistics of the whole collection, so their best k merge to the exact best k.
 
 Queries come in blocks of bounded size. Each block takes two passes over the shards: one to add up the
 document frequencies of its terms, one to search. Terms are 64-bit hashes.
@@ -25,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import chunks, read_table, stage
+from shelfmark.llm.common import chunks, in_small_batches, read_table, stage
 from shelfmark.session import fresh_dir
 
 K = 10
@@ -39,6 +41,10 @@ SHARD_DOCS = 1 << 15
 SHARD_POSTINGS = 1 << 22
 #: Blocks that are scored before anything is skipped.
 FIRST_BLOCKS = 8
+#: Terms that occur in a 16th of a shard's documents, and 512 at most, are held as full rows; cells of a product.
+DENSE_SHARE = 16
+DENSE_TERMS = 512
+DENSE_CELLS = 1 << 22
 #: Queries and query terms of one pass: at most 16 bytes a term are broadcast, and a query of more terms goes alone.
 PASS_QUERIES = 4096
 PASS_TERMS = 1 << 20
@@ -177,34 +183,45 @@ class Shard:
         at += np.arange(len(at))
         return np.bincount(self.docs[at], self.weights[at] * np.repeat(factors, sizes), self.n)
 
-    def best(self, at: np.ndarray, factors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def make_dense(self) -> None:
+        """Hold the commonest terms as full rows, which a matrix product scores for many queries at once."""
+        ends = np.append(self.run_start, len(self.docs))[self.term_runs]
+        counts = np.diff(ends)
+        common = np.argsort(-counts, kind="stable")[:DENSE_TERMS]
+        common = common[counts[common] * DENSE_SHARE >= self.n]
+        self.dense_row = np.full(len(counts), -1)
+        self.dense_row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.n))
+        for row, term in enumerate(common):
+            part = slice(ends[term], ends[term + 1])
+            self.dense[row, self.docs[part]] = self.weights[part]
+
+    def best(self, at: np.ndarray, factors: np.ndarray, k: int, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Documents (by number) that may be among the best k, and their rounded scores.
 
-        ``at`` are the shard's terms of a query in ascending order, ``factors`` their weights in the query.
+        ``at`` are the shard's terms of a query in ascending order, ``factors`` their weights in the query, ``base``
+        what other terms of the query give to each document.
         """
+        slack, starts = 2 * 10.0**-DECIMALS, np.arange(0, self.n, BLOCK)
+        total = np.zeros(self.n) if base is None else base.copy()
         counts = self.term_runs[at + 1] - self.term_runs[at]
         runs = np.repeat(self.term_runs[at] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
         runs += np.arange(len(runs))
         factors = np.repeat(factors, counts)
         blocks = self.run_block[runs]
-        bounds = np.bincount(blocks, self.run_most[runs] * factors, -(-self.n // BLOCK))
-        order = np.argsort(-bounds)
-        least, total = 0.0, np.zeros(self.n)
-        todo = order[:FIRST_BLOCKS]
-        done = np.zeros(len(bounds), bool)
-        while len(todo):
-            chosen = np.zeros(len(bounds), bool)
-            chosen[todo] = True
-            keep = chosen[blocks]
-            total += self._score(runs[keep], factors[keep])
-            done |= chosen
+        bounds = np.bincount(blocks, self.run_most[runs] * factors, len(starts)) + np.maximum.reduceat(total, starts)
+
+        def kth() -> float:
             scored = total[total > 0]
-            if len(scored) >= k:
-                least = np.partition(scored, len(scored) - k)[len(scored) - k]
-            # A block is skipped if even its bound stays below the k-th score, rounding allowed for.
-            open_ = order[~done[order] & (bounds[order] > 0) & (bounds[order] + 2 * 10.0**-DECIMALS >= least)]
-            todo = open_[: max(FIRST_BLOCKS, len(open_) // 2)] if len(open_) > 4 * FIRST_BLOCKS else open_
-        docs = np.flatnonzero((total > 0) & (total + 2 * 10.0**-DECIMALS >= least))
+            return np.partition(scored, len(scored) - k)[len(scored) - k] if len(scored) >= k else 0.0
+
+        # The blocks of greatest bound first; then those whose bound reaches the k-th score, rounding allowed for.
+        first = np.zeros(len(starts), bool)
+        first[np.argsort(-bounds)[:FIRST_BLOCKS]] = True
+        for chosen in (lambda: first, lambda: ~first & (bounds + slack >= kth())):
+            keep = chosen()[blocks]
+            total += self._score(runs[keep], factors[keep])
+        docs = np.flatnonzero((total > 0) & (total + slack >= kth()))
         return docs, np.round(total[docs], DECIMALS)
 
 
@@ -254,14 +271,25 @@ def _search(index: DataFrame, queries: Queries, names: list, kind: str, n: int,
                 # Equal scores go to smaller ids, NULL last.
                 rank = np.empty(len(ids), np.int64)
                 rank[pa.compute.array_sort_indices(ids, null_placement="at_end").to_numpy()] = np.arange(len(ids))
+                shard.make_dense()
                 at = shard.find(queries.terms)
                 asked, docs, scores = [], [], []
-                for query, (i, j) in enumerate(zip(queries.ends[:-1], queries.ends[1:], strict=True)):
-                    places = queries.places[i:j]
-                    here = at[places] >= 0
-                    if here.any():
-                        some = places[here]
-                        doc, score = shard.best(at[some], idf[some] * queries.times[i:j][here], k)
+                n_queries = len(queries.ends) - 1
+                step = max(16, DENSE_CELLS // max(shard.n, len(shard.dense)))
+                for start in range(0, n_queries, step):
+                    some = range(start, min(start + step, n_queries))
+                    held, common = [], np.zeros((len(some), len(shard.dense)))
+                    for row, query in enumerate(some):
+                        part = slice(queries.ends[query], queries.ends[query + 1])
+                        places = queries.places[part]
+                        terms, factors = at[places], idf[places] * queries.times[part]
+                        here = terms >= 0
+                        terms, factors = terms[here], factors[here]
+                        dense = shard.dense_row[terms]
+                        common[row, dense[dense >= 0]] = factors[dense >= 0]
+                        held.append((terms[dense < 0], factors[dense < 0]))
+                    for query, (terms, factors), base in zip(some, held, common @ shard.dense, strict=True):
+                        doc, score = shard.best(terms, factors, k, base)
                         top = np.lexsort((rank[doc], -score))[:k]
                         asked.extend([query] * len(top))
                         docs.append(doc[top])
@@ -293,6 +321,7 @@ def top_k(
     An empty table gives an empty result; other columns are not looked at.
     """
     spark = docs.sparkSession
+    in_small_batches(spark)
     index = stage(build_index(docs, doc_id, text), "bm25-index")
     size = index.agg(F.sum("n_docs").alias("n"), F.sum("n_words").alias("words")).first()
     kind = docs.schema[doc_id].dataType.simpleString()
