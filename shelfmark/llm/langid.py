@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfmark.llm.common import as_row, chunks, free_name, from_row, read_table
+from shelfmark.llm.common import as_row, chunks, free_name, from_row, in_small_batches, read_table, texts_in, worker_memory
 
 #: Hashed features of a text.
 FEATURES = 1 << 13
@@ -124,15 +124,18 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     keyed = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("t"), F.xxhash64(F.col(key), F.col(text)).alias("h")
     )
+    # Hashes are even, so below twice the share wanted of a language there are enough: only those are ranked.
+    few = keyed.select("lang", "h").distinct()
+    share = few.groupBy("lang").agg((F.lit(2.0 * ROWS_PER_LANGUAGE) / F.count("*")).alias("share"))
+    low = few.join(share, "lang").filter(F.col("h").cast("double") < F.col("share") * 2.0**64 - 2.0**63)
     order = Window.partitionBy("lang").orderBy("h")
-    ranked = keyed.select("lang", "h").withColumn("n", F.row_number().over(order))
+    ranked = low.withColumn("n", F.row_number().over(order))
     chosen = ranked.filter(F.col("n") <= ROWS_PER_LANGUAGE).orderBy("n", "lang").limit(MAX_ROWS)
     # At most MAX_ROWS pairs, so broadcasting them is safe; repeated rows are all the same text.
-    sample = keyed.join(F.broadcast(chosen.select("lang", "h").distinct()), ["lang", "h"], "left_semi")
-    sample = sample.select("lang", "h", F.col("t").cast("binary").alias("t")).mapInArrow(
-        _sample_features, "lang string, h long, row binary"
-    )
-    found = {(r["lang"], r["h"]): r["row"] for r in sample.dropDuplicates(["lang", "h"]).collect()}
+    sample = keyed.join(F.broadcast(chosen.select("lang", "h")), ["lang", "h"], "left_semi")
+    sample = sample.select("lang", "h", F.col("t").cast("binary").alias("t")).dropDuplicates(["lang", "h"])
+    rows = sample.mapInArrow(_sample_features, "lang string, h long, row binary").collect()
+    found = {(r["lang"], r["h"]): r["row"] for r in rows}
     if not found:
         return None
     keys = sorted(found)
@@ -158,13 +161,15 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
     with score 0 and not ambiguous. Equal texts get equal results. A column that is called ``language``
     already is kept beside ``language_``. The model travels with the tasks: 8192 weights a bit.
     """
-    rows = docs.select(as_row(docs).alias("r"), F.col(text).alias("t"))
+    in_small_batches(docs.sparkSession)
+    rows = docs.select(as_row(docs).alias("r"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        worker_memory("langid")
         for batch in batches:
-            texts = batch.column("t").to_pylist()
+            texts = texts_in(batch, "r", text).cast(pa.string()).to_pylist()
             known = [model is not None and t is not None and _has_letter(t) for t in texts]
             best, score, lead = [], [], []
             for part in chunks(t.encode() if k else b"" for t, k in zip(texts, known, strict=True)):

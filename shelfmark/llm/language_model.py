@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import chunks, read_table, stage
+from shelfmark.llm.common import chunks, in_small_batches, read_table, stage
 from shelfmark.llm.vocabulary import HEAD, HELD, head_from, in_head, token_counts
 
 #: Classes: the end, COMMON words, and ENDINGS classes of other words.
@@ -316,6 +316,7 @@ def score(
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.col(text).cast("binary").alias("t"),
     )
+    in_small_batches(docs.sparkSession)
     training = rows.filter(~F.col("held_out")).select("t")
     table = stage(token_counts(training, words_and_end), "words")
     start = head_from(table, head)

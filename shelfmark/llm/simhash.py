@@ -24,7 +24,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import as_row, chunks, columns_of, free_name, from_row, read_table, stage
+from shelfmark.llm.common import (
+    as_row,
+    columns_of,
+    free_name,
+    from_row,
+    in_small_batches,
+    read_table,
+    stage,
+    texts_in,
+    worker_memory,
+)
 from shelfmark.llm.components import smallest_reachable
 
 SEED = 42
@@ -64,18 +74,18 @@ def with_fingerprints(
     docs: DataFrame, text: str = "text", name: str = "fingerprint", words_per_shingle: int = SHINGLE
 ) -> DataFrame:
     """All columns of ``docs`` and the fingerprint as a signed long, in one pass without a shuffle."""
-    rows = docs.select(as_row(docs).alias("r"), F.col(text).cast("binary").alias("t"))
-    schema = pa.schema([("f", pa.int64())])
+    in_small_batches(docs.sparkSession)
+    rows = docs.select(as_row(docs).alias("r"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("simhash")
         for batch in batches:
-            found = [
-                fingerprint(t, words_per_shingle) for part in chunks(batch.column("t").to_pylist()) for t in part
-            ]
-            signed = pa.array(np.array(found, dtype=np.uint64).view(np.int64), schema.field("f").type)
+            texts = texts_in(batch, "r", text).to_pylist()
+            found = [fingerprint(t or b"", words_per_shingle) for t in texts]
+            signed = pa.array(np.array(found, dtype=np.uint64).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("r"), signed], names=["r", "f"])
 
-    kinds = rows.drop("t").withColumn("f", F.lit(0).cast("long")).schema
+    kinds = rows.select("r").schema.add("f", "long")
     found = rows.mapInArrow(compute, kinds)
     return found.select(*from_row("r", docs), F.col("f").alias(name))
 
@@ -120,6 +130,9 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, paired_cell: int =
     ``fingerprints`` has one column ``f`` of distinct longs without NULL.
     """
     far, near = (max_bits + 1) // 2, max_bits // 2
+    # Every fingerprint becomes 33 rows: enough partitions for those, not for the few bytes they come from.
+    parts = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fingerprints = fingerprints.repartition(parts, "f")
     cells = _spread(fingerprints.withColumn("cell", popcounts(F.col("f"))), "cell", _steps, far)
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
     met = stage(cells.join(shared, "cell"), "simhash-cells")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import chunks, read_table, stage
+from shelfmark.llm.common import chunks, in_small_batches, read_table, stage
 from shelfmark.llm.vocabulary import HEAD, head_from, in_head, token_counts
 
 MODEL = "piece_bpe_32k.model"
@@ -81,6 +81,7 @@ def count_tokens(
     A model whose pieces don't respect blanks is applied to whole texts, each distinct one once. ``head`` bounds the
     pre-tokens that are broadcast; it changes the plan, not the result.
     """
+    in_small_batches(docs.sparkSession)
     split = can_split(path)
     cut = pre_tokens if split else _whole
     texts = docs.select(F.col(text).cast("binary").alias("t"))
