@@ -15,60 +15,55 @@ to a line is described by five numbers, the *effect* of the run:
 
 Whatever the quantity before, all lines that are lost go on alike: when the larger of two quantities is
 down to zero, the smaller is too. That is why two cases are enough. Effects of consecutive runs combine
-into the effect of the whole: the events of a large cart first within short stretches of time, then over
-the stretches. The events of any other cart are one stretch.
+into the effect of the whole: the events of a cart first within stretches of bounded size, then over the
+stretches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
 from shelfmark.functions.text import iso_text, trimmed
+from shelfmark.session import fresh_dir
 
-# A cart with more events than this is cut into stretches of so many events each, on average. Only speed
-# depends on it.
+# No stretch of a cart's events holds many more than this. Only speed depends on it.
 LARGE_CART = 1_000_000
 
 EFFECT = ("drops", "change", "need", "qty", "added_at")
 
 
-def _second(events: DataFrame) -> Column:
-    """Number of the second of an event, on a clock that never goes back."""
-    ts = F.col("ts")
-    if isinstance(events.schema["ts"].dataType, TimestampNTZType):
-        day = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-        return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    return F.unix_seconds(ts)
-
-
 def with_stretch(events: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
-    """Adds ``stretch``: which part of its cart's events an event is in, NULL if the cart is not cut."""
-    events = events.where(F.col("cart_id").isNotNull())
-    second = _second(events)
-    # At most one cart per large_cart events: small enough to broadcast.
-    large = (
-        events.groupBy("cart_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(second).alias("start"), F.max(second).alias("end"))
-        .where(F.col("n") > large_cart)
-        .selectExpr("cart_id", "start", f"greatest(1D, (end - start + 1) * {large_cart}D / n) AS length")
-    )
-    stretch = F.floor((second - F.col("start")) / F.col("length"))
-    return events.join(F.broadcast(large), "cart_id", "left").select(
-        *events.columns, stretch.alias("stretch")
-    )
+    """Adds ``stretch``: which run of its cart's events, in order, an event is in.
+
+    Events are dealt by ranges of their place in the order, so a stretch holds about half of ``large_cart`` events
+    whatever times they bear; a cart of fewer lies in one or two. The result is written once and read back, as
+    what follows reads it several times and has to see the same stretches.
+    """
+    spark = events.sparkSession
+    known = events.where(F.col("cart_id").isNotNull())
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * -(-known.count() // large_cart))
+    ranged = known.repartitionByRange(parts, "cart_id", "ts", "event_id")
+    folder = fresh_dir(spark, "cart-stretches")
+    ranged.withColumn("stretch", F.spark_partition_id()).write.parquet(folder)
+    return spark.read.parquet(folder)
 
 
 def event_effects(events: DataFrame) -> DataFrame:
-    """Every line event as an effect. Other actions are left out."""
-    return events.where("action IN ('add', 'inc', 'dec', 'del')").selectExpr(
+    """Every line event as an effect. Other actions are left out.
+
+    Besides the events that people cause there is ``hold``: a line as it was stored, with ``held_qty`` and
+    ``held_at``. It comes before all others.
+    """
+    held = "held_qty" in events.columns
+    qty, at = ("held_qty", "held_at") if held else ("0L", "NULL")
+    return events.where("action IN ('add', 'inc', 'dec', 'del', 'hold')").selectExpr(
         "*",
-        "CAST(action = 'del' AS BIGINT) AS drops",
+        "CAST(action IN ('del', 'hold') AS BIGINT) AS drops",
         "CASE WHEN action IN ('add', 'inc') THEN 1L WHEN action = 'dec' THEN -1L ELSE 0L END AS change",
         "CAST(action = 'dec' AS BIGINT) AS need",
-        "CAST(action = 'add' AS BIGINT) AS qty",
-        "CASE WHEN action = 'add' THEN ts END AS added_at",
+        f"CASE WHEN action = 'hold' THEN {qty} ELSE CAST(action = 'add' AS BIGINT) END AS qty",
+        f"CASE WHEN action = 'hold' THEN {at} WHEN action = 'add' THEN ts END AS added_at",
     )
 
 
@@ -115,8 +110,7 @@ def is_submit() -> Column:
 def with_submit(events: DataFrame) -> DataFrame:
     """Adds ``record_id``, ``submitted_at`` and ``person``: the next submit of the cart, NULL without one.
 
-    It is looked for in the event's own stretch first, then among the first submits of the later
-    stretches, which only large carts have.
+    It is looked for in the event's own stretch first, then among the first submits of the later stretches.
     """
     stretch = ["cart_id", "stretch"]
 
@@ -126,10 +120,11 @@ def with_submit(events: DataFrame) -> DataFrame:
 
     submit = F.when(is_submit(), F.struct("ts", "event_id", trimmed("person").alias("person")))
     events = events.withColumn("_submit", submit)
-    firsts = events.where(F.col("stretch").isNotNull()).groupBy(*stretch).agg(F.min("_submit").alias("_first"))
+    firsts = events.groupBy(*stretch).agg(F.min("_submit").alias("_first"))
     following = firsts.select(*stretch, F.min("_first").over(after(["cart_id"], "stretch")).alias("_far"))
     near = events.withColumn("_near", F.min("_submit").over(after(stretch, "ts", "event_id")))
     closing = F.coalesce("_near", "_far")
+    held = [c for c in ("held_qty", "held_at") if c in events.columns]
     return near.join(following, stretch, "left").select(
         "cart_id",
         "barcode",
@@ -137,6 +132,7 @@ def with_submit(events: DataFrame) -> DataFrame:
         "event_id",
         "action",
         "stretch",
+        *held,
         closing["event_id"].alias("record_id"),
         closing["ts"].alias("submitted_at"),
         closing["person"].alias("person"),
@@ -154,19 +150,20 @@ def _named(lines: DataFrame, products: DataFrame) -> DataFrame:
 _RECORD = ["record_id", "cart_id", "submitted_at", "person"]
 
 
-def _all_lines(events: DataFrame, large_cart: int) -> DataFrame:
+def all_lines(events: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
+    """The lines of all submits, and of the carts after the last one (``record_id`` NULL)."""
     return fold_lines(with_submit(with_stretch(events, large_cart)), [*_RECORD, "barcode"])
 
 
 def cart_state(events: DataFrame, products: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
     """Lines in the carts after the last event: what was not submitted."""
-    live = _all_lines(events, large_cart).where(F.col("record_id").isNull())
+    live = all_lines(events, large_cart).where(F.col("record_id").isNull())
     return _named(live, products).select("cart_id", "barcode", "name", "qty", "added_at")
 
 
 def submitted_lines(events: DataFrame, products: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
     """Lines of every submitted cart. An empty cart gives none."""
-    sent = _all_lines(events, large_cart).where(F.col("record_id").isNotNull())
+    sent = all_lines(events, large_cart).where(F.col("record_id").isNotNull())
     return _named(sent, products).select(*_RECORD, "barcode", "name", "qty", "added_at")
 
 

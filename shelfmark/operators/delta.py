@@ -12,8 +12,8 @@ from shelfmark.functions.days import Day, as_day
 from shelfmark.schemas import TRIPLE_COLUMNS
 from shelfmark.sources.registry import UNIVERSAL
 
-# What comes in is broadcast if its files are of at most this size.
-BROADCAST_BYTES = 32 * 1024 * 1024
+# What comes in is known by the hash buckets of its keys: this many rows of one number at most are broadcast.
+BUCKETS = 1 << 20
 
 
 def _same(left: str, right: str, keys: Sequence[str], nullable: Sequence[str]) -> Column:
@@ -26,49 +26,43 @@ def _same(left: str, right: str, keys: Sequence[str], nullable: Sequence[str]) -
     return reduce(Column.__and__, pairs)
 
 
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def hits(history: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of the history that may be in ``fresh``: those in a bucket that ``fresh`` has rows in.
+
+    The buckets, BUCKETS numbers at most, are broadcast, so the history is read but not shuffled.
+    """
+    wanted = fresh.select(_bucket(keys).alias("_bucket")).distinct()
+    tagged = history.select(*keys, _bucket(keys).alias("_bucket"))
+    return tagged.join(F.broadcast(wanted), "_bucket", "left_semi").drop("_bucket")
+
+
 def unseen(
-    fresh: DataFrame,
-    history: DataFrame,
-    keys: Sequence[str],
-    nullable: Sequence[str] = (),
-    small: bool = False,
+    fresh: DataFrame, history: DataFrame, keys: Sequence[str], nullable: Sequence[str] = ()
 ) -> DataFrame:
     """Rows of ``fresh`` whose keys are not in ``history``.
 
-    The history is the large side and grows for ever. It is first cut to the keys that come in; the
-    anti-join that follows sees small sides only. ``small`` says that the size of ``fresh`` was checked
-    against BROADCAST_BYTES: its keys are broadcast then, and the history is not shuffled. ``fresh`` is
-    read twice.
+    The history is the large side and grows for ever. It is cut to the hash buckets that come in before
+    anything is shuffled; the anti-join that follows sees hits only. ``fresh`` is read twice.
     """
-    wanted = fresh.select(*keys)
-    known = (
-        history.select(*keys)
-        .alias("history")
-        .join(
-            (F.broadcast(wanted) if small else wanted).alias("fresh"),
-            _same("history", "fresh", keys, nullable),
-            "left_semi",
-        )
-    )
+    known = hits(history, fresh, keys).distinct()
     return fresh.alias("fresh").join(
         known.alias("known"), _same("fresh", "known", keys, nullable), "left_anti"
     )
 
 
-def new_values(
-    incoming: DataFrame, history: DataFrame, incoming_bytes: int | None = None
-) -> DataFrame:
+def new_values(incoming: DataFrame, history: DataFrame) -> DataFrame:
     """Distinct incoming triples that the history lacks; a NULL company equals a NULL company.
 
-    If the incoming triples are known to be few (``incoming_bytes`` of files), they are broadcast to the
-    history, which then is read but not shuffled. Otherwise both are grouped in one shuffle, where equal
-    triples collapse before they are sent.
+    Incoming triples and the history's hits are grouped in one shuffle, where equal triples collapse before they
+    are sent.
     """
-    if incoming_bytes is not None and incoming_bytes <= BROADCAST_BYTES:
-        fresh = incoming.select(*TRIPLE_COLUMNS).distinct()
-        return unseen(fresh, history, TRIPLE_COLUMNS, nullable=("company_guid",), small=True)
+    found = hits(history, incoming, TRIPLE_COLUMNS)
     tagged = incoming.select(*TRIPLE_COLUMNS, F.lit(False).alias("known")).unionByName(
-        history.select(*TRIPLE_COLUMNS, F.lit(True).alias("known"))
+        found.select(*TRIPLE_COLUMNS, F.lit(True).alias("known"))
     )
     grouped = tagged.groupBy(*TRIPLE_COLUMNS).agg(F.bool_or("known").alias("known"))
     return grouped.where(~F.col("known")).drop("known")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -9,18 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.days import Day, as_day
-from shelfmark.operators.delta import history_until, lookup_asof, new_values
+from shelfmark.operators.delta import history_until, lookup_asof, new_values, unseen
 from shelfmark.operators.extract import extract_day, extract_values, first_seen
-from shelfmark.schemas import TRIPLE_COLUMNS
+from shelfmark.schemas import DAY_TRIPLE, TRIPLE, TRIPLE_COLUMNS
+from shelfmark.session import fresh_dir
 from shelfmark.sources.registry import Settings, SourceSpec, load_registry, read_source
 from shelfmark.sources.storage import (
+    PUBLISHED,
     RAW,
     STAGED,
-    day_path,
+    add_day,
+    create_triple_table,
+    drop,
+    drop_versions,
+    empty,
+    point_lookup_table,
     publish_lookup,
     read_day,
     read_days,
-    size_of,
     stage_sources,
     write_day,
 )
@@ -34,24 +41,30 @@ def run_day(
     ds: Day,
     lookback_days: int = 0,
     inclusive: bool = False,
+    table: str | None = None,
 ) -> None:
     """Extract and combine one day.
 
-    The values of all sources are staged first, so that the size of what comes in is known before it is
-    compared with the whole history.
+    The values of all sources are staged first, so that they are computed once.
 
-    ``inclusive`` counts the run day as history, so that a second run of the day empties it.
+    ``inclusive`` counts the run day as history, so that a second run of the day empties it. ``table`` names a
+    catalog table over the days, which is made if need be and learns of the day.
     """
     values = {spec.name: extract_day(read(spec.name), spec, ds, lookback_days) for spec in specs}
     stage_sources(values, root, ds)
     fresh = read_day(spark, root, STAGED, ds)
-    history = history_until(read_days(spark, root, RAW), ds, inclusive)
-    delta = new_values(fresh, history, size_of(spark, day_path(root, STAGED, ds)))
+    delta = new_values(fresh, history_until(read_days(spark, root, RAW), ds, inclusive))
     if inclusive:
         # The day to be replaced is among the input: stage the result first.
-        write_day(delta, root, f"{RAW}_staged", ds)
-        delta = read_day(spark, root, f"{RAW}_staged", ds)
-    write_day(delta, root, RAW, ds)
+        staged = fresh_dir(spark, "inclusive-day")
+        delta.write.parquet(staged)
+        write_day(spark.read.schema(TRIPLE).parquet(staged), root, RAW, ds)
+        drop(spark, staged)
+    else:
+        write_day(delta, root, RAW, ds)
+    if table is not None:
+        create_triple_table(spark, table, f"{root}/{RAW}")
+        add_day(spark, table, ds)
 
 
 def backfill(
@@ -61,11 +74,14 @@ def backfill(
     read: Callable[[str], DataFrame],
     start: Day,
     end: Day,
+    table: str | None = None,
 ) -> None:
-    """What the runs of all days start..end would leave, in one job. Replaces the table of days.
+    """What the runs of all days start..end leave, without a run for each.
 
     A run a day finds a triple new on the first day it occurs on, and the values of a snapshot on the
-    first day of all.
+    first day of all. Triples of the days before ``start`` are known; those days stay as they are. All days
+    start..end are replaced, also by nothing. Days after ``end`` are kept, less the triples that now are first seen
+    before them, as if they had been run again.
     """
     seen = []
     for spec in specs:
@@ -74,21 +90,61 @@ def backfill(
             seen.append(values.withColumn("ds", F.lit(as_day(start))))
         else:
             seen.append(first_seen(read(spec.name), spec, start, end))
-    days = reduce(DataFrame.unionByName, seen)
+    days = read_days(spark, root, RAW)
+    work = fresh_dir(spark, "backfill")
+    union = reduce(DataFrame.unionByName, seen).groupBy(*TRIPLE_COLUMNS).agg(F.min("ds").alias("ds"))
+    union.write.parquet(f"{work}/seen")
+    seen_once = spark.read.schema(DAY_TRIPLE).parquet(f"{work}/seen")
+    new = unseen(seen_once, history_until(days, start), TRIPLE_COLUMNS, nullable=("company_guid",))
+    new.write.parquet(f"{work}/new")
+    new = spark.read.schema(DAY_TRIPLE).parquet(f"{work}/new")
+    later = days.where(F.col("ds") > F.lit(as_day(end)))
+    unseen(later, new, TRIPLE_COLUMNS, nullable=("company_guid",)).write.parquet(f"{work}/later")
+    later = spark.read.schema(DAY_TRIPLE).parquet(f"{work}/later")
+
+    result = new.unionByName(later)
+    filled = {row["ds"] for row in result.select("ds").distinct().collect()}
+    first, last = as_day(start), as_day(end)
+    span = {first + dt.timedelta(days=n) for n in range((last - first).days + 1)}
+    had = {row["ds"] for row in days.where(F.col("ds") >= F.lit(first)).select("ds").distinct().collect()}
     # Ranges over all columns: a day with most of the triples is written by many tasks.
-    ranged = days.repartitionByRange("ds", *TRIPLE_COLUMNS)
-    ranged.write.mode("overwrite").partitionBy("ds").parquet(f"{root}/{RAW}")
+    ranged = result.repartitionByRange("ds", *TRIPLE_COLUMNS)
+    writer = ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("ds").parquet(f"{root}/{RAW}")
+    for day in sorted((span | had) - filled):
+        write_day(empty(spark, TRIPLE), root, RAW, day)
+    drop(spark, work)
+    if table is not None:
+        create_triple_table(spark, table, f"{root}/{RAW}")
+        for day in sorted(span | had):
+            add_day(spark, table, day)
+
 
+def publish(
+    spark: SparkSession, root: str, as_of: Day | None = None, table: str | None = None, keep: int = 2
+) -> int:
+    """Publish the lookup of all days, or as it stood after the run of ``as_of``.
 
-def publish(spark: SparkSession, root: str, as_of: Day | None = None) -> int:
-    """Publish the lookup of all days, or as it stood after the run of ``as_of``."""
+    ``table`` names a catalog table that is pointed at the new version. The last ``keep`` versions stay.
+    """
     days = read_days(spark, root, RAW)
     lookup = days.drop("ds").distinct() if as_of is None else lookup_asof(days, as_of)
-    return publish_lookup(lookup, root)
+    number = publish_lookup(lookup, root)
+    if table is not None:
+        point_lookup_table(spark, table, root)
+    drop_versions(spark, f"{root}/{PUBLISHED}", keep)
+    return number
+
 
+def daily_run(
+    spark: SparkSession, settings: Settings, ds: Day, lookback_days: int = 0, database: str | None = None
+) -> int:
+    """One whole run for the sources of a region and stage. Returns the published version.
 
-def daily_run(spark: SparkSession, settings: Settings, ds: Day, lookback_days: int = 0) -> int:
-    """One whole run for the sources of a region and stage. Returns the published version."""
+    With ``database`` consumers find the days as its table ``lookup_raw`` and the lookup as ``lookup``.
+    """
+    if database is not None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     run_day(
         spark,
         settings.target_root,
@@ -96,5 +152,6 @@ def daily_run(spark: SparkSession, settings: Settings, ds: Day, lookback_days: i
         lambda name: read_source(spark, settings, name),
         ds,
         lookback_days,
+        table=database and f"{database}.{RAW}",
     )
-    return publish(spark, settings.target_root)
+    return publish(spark, settings.target_root, table=database and f"{database}.{PUBLISHED}")

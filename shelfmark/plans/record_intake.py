@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.operators.cart import as_records, build_records, submitted_lines
-from shelfmark.operators.delta import BROADCAST_BYTES, unseen
+from shelfmark.operators.delta import unseen
 from shelfmark.operators.records import dedupe_records, stamp, validate_records
 from shelfmark.schemas import SAVED_RECORD
 from shelfmark.session import fresh_dir
 from shelfmark.sources.documents import BODY, append_records, read_records
-from shelfmark.sources.storage import drop, size_of
+from shelfmark.sources.storage import drop
 
 LOG = "records"
 
@@ -22,13 +22,12 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
 def records_to_append(records: DataFrame, log: DataFrame, staged: str, *order: str) -> DataFrame:
     """The valid records, first of every id in ``order``, that the log does not hold yet, stamped.
 
-    They are staged before they are compared with the log: computed once, and of a known size.
+    They are staged before they are compared with the log, so that they are computed once.
     """
     spark = records.sparkSession
     valid, _ = validate_records(records)
     dedupe_records(valid, *order).write.mode("overwrite").parquet(staged)
-    small = size_of(spark, staged) <= BROADCAST_BYTES
-    fresh = unseen(spark.read.parquet(staged), log, ["id"], small=small)
+    fresh = unseen(spark.read.parquet(staged), log, ["id"])
     body = [BODY] if BODY in fresh.columns else []
     return stamp(fresh).select(*SAVED_RECORD.fieldNames(), *body)
 

@@ -93,11 +93,14 @@ def settings_name(region: str, stage: str, regulation: str = "commercial") -> st
     return f"region_{region}{middle}_{stage}.json"
 
 
-def load_settings(folder: str, region: str, stage: str, regulation: str = "commercial") -> Settings:
-    text = Path(folder, settings_name(region, stage, regulation)).read_text(encoding="utf-8")
+def parse_settings(text: str) -> Settings:
     return Settings(**json.loads(text))
 
 
+def load_settings(folder: str, region: str, stage: str, regulation: str = "commercial") -> Settings:
+    return parse_settings(Path(folder, settings_name(region, stage, regulation)).read_text(encoding="utf-8"))
+
+
 def load_registry(
     settings: Settings, specs: Mapping[str, SourceSpec] | None = None
 ) -> list[SourceSpec]:

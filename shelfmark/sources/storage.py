@@ -125,13 +125,24 @@ def versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def write_version(df: DataFrame, path: str) -> int:
-    """Write a table as its next version. Readers keep the version before until this one is complete."""
+    """Write a table as its next version. Readers keep the version before until this one is complete.
+
+    A number is claimed by a file that only one writer can create, so two writers never share a version.
+    """
     spark = df.sparkSession
     number = max(versions(spark, path), default=0) + 1
+    while not _claim(spark, f"{path}/_claims/{number}"):
+        number += 1
     df.write.mode("overwrite").parquet(f"{path}/version={number}")
     return number
 
 
+def _claim(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _path(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    return fs.createNewFile(hadoop_path)
+
+
 def read_version(spark: SparkSession, path: str, number: int | None = None) -> DataFrame | None:
     """The latest complete version of a table, or a given one; None before the first."""
     if number is None:

@@ -1,110 +1,71 @@
-"""Carts as keyed state of a stream of events."""
+"""Carts over a stream of events.
 
-from __future__ import annotations
+Each micro-batch is folded like a table of events: the lines still in the carts come in as events that hold them,
+before all others. What is submitted goes to the output, the lines that are left are the next state. Both are
+folders by batch, so a batch that runs again after a failure replaces what it left.
+"""
 
-import sys
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
-
-from shelfmark.functions.text import trimmed
-from shelfmark.operators.cart import is_submit
-
-# The state processor travels with the query, so that executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
-# Into how many parts a cart is split, so that one busy cart is not the work of one task.
-CART_PARTS = 16
+from shelfmark.operators.cart import LARGE_CART, all_lines
+from shelfmark.sources.storage import drop, empty, exists
+from shelfmark.streaming.jobs import each_batch
 
-_LINE = StructType([StructField("qty", LongType()), StructField("added_at", TimestampType())])
-_BARCODE = StructType([StructField("barcode", StringType())])
-
-OUTPUT = StructType(
+SENT = StructType(
     [
-        StructField("cart_id", StringType()),
         StructField("record_id", LongType()),
-        StructField("submitted_at", TimestampType()),
+        StructField("cart_id", StringType()),
+        StructField("submitted_at", TimestampNTZType()),
         StructField("person", StringType()),
         StructField("barcode", StringType()),
         StructField("qty", LongType()),
-        StructField("added_at", TimestampType()),
+        StructField("added_at", TimestampNTZType()),
     ]
 )
-
-
-class CartProcessor(StatefulProcessor):
-    """Lines of one part of one cart. Emits the lines when the cart is submitted."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lines = handle.getMapState("lines", _BARCODE, _LINE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values(["ts", "event_id"])
-        # Stored lines are read at their first touch, or all at the first submit, and written at the end.
-        lines: dict[str, tuple[int, object] | None] = {}
-        stored = True
-        sent: list[tuple] = []
-        for event_id, ts, barcode, action, person in zip(
-            *(events[c] for c in ("event_id", "ts", "barcode", "action", "person"))
-        ):
-            if action == "submit":
-                if stored:
-                    for (each,), line in self.lines.iterator():
-                        lines.setdefault(each, line)
-                    self.lines.clear()
-                    stored = False
-                for each, line in lines.items():
-                    if line is not None:
-                        sent.append((key[0], event_id, ts, person, each, *line))
-                lines.clear()
-            elif barcode is not None:
-                if stored and barcode not in lines:
-                    lines[barcode] = self.lines.getValue((barcode,))
-                lines[barcode] = changed_line(lines.get(barcode), action, ts)
-        for barcode, line in lines.items():
-            if line is not None:
-                self.lines.updateValue((barcode,), line)
-            elif stored:
-                self.lines.removeKey((barcode,))
-        if sent:
-            yield pd.DataFrame(sent, columns=OUTPUT.fieldNames())
-
-
-def changed_line(line: tuple | None, action: str, ts) -> tuple | None:
-    """A line ``(qty, added_at)`` after one action; None stands for no line."""
-    if action == "add" and line is None:
-        return 1, ts
-    if line is None or action == "del":
-        return None
-    qty = line[0] + {"add": 1, "inc": 1, "dec": -1}.get(action, 0)
-    return (qty, line[1]) if qty > 0 else None
-
-
-def submitted_lines_stream(events: DataFrame, parts: int = CART_PARTS) -> DataFrame:
-    """Lines of every submitted cart of a stream of cart events, in the order the events come.
-
-    Lines of a cart do not touch one another, so a cart is split by barcode; its submits go to all parts.
-    """
-    own = F.array(F.pmod(F.xxhash64("barcode"), F.lit(parts)).cast("int"))
-    everywhere = F.sequence(F.lit(0), F.lit(parts - 1))
-    # A submit without a person does nothing.
-    routed = events.where(is_submit() | (F.col("action") != "submit")).select(
-        F.col("cart_id").cast("string").alias("cart_id"),
-        "barcode",
-        F.col("ts").cast("timestamp").alias("ts"),
-        "event_id",
-        "action",
-        trimmed("person").alias("person"),
-        F.explode(F.when(F.col("action") == "submit", everywhere).otherwise(own)).alias("part"),
-    )
-    return routed.groupBy("cart_id", "part").transformWithStateInPandas(
-        statefulProcessor=CartProcessor(),
-        outputStructType=OUTPUT,
-        outputMode="Append",
-        timeMode="None",
-    )
+LIVE = StructType([f for f in SENT if f.name in ("cart_id", "barcode", "qty", "added_at")])
+
+
+def sent_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of the carts that were submitted so far."""
+    path = f"{root}/sent"
+    return spark.read.schema(SENT).parquet(path).select(*SENT.fieldNames()) if exists(spark, path) else empty(spark, SENT)
+
+
+def live_lines(spark: SparkSession, root: str, batch: int) -> DataFrame:
+    """Lines in the carts after a batch; before the first there are none."""
+    path = f"{root}/live/{batch}"
+    return spark.read.schema(LIVE).parquet(path) if exists(spark, path) else empty(spark, LIVE)
+
+
+def fold_stream(events: DataFrame, root: str, large_cart: int = LARGE_CART) -> StreamingQuery:
+    """Fold a stream of cart events, in the order of the batches and within a batch by time."""
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        columns = ["cart_id", "barcode", "ts", "event_id", "action", "person"]
+        moved = batch.select(
+            F.col("cart_id").cast("string"), "barcode", F.col("ts").cast("timestamp_ntz"), *columns[3:],
+            F.lit(None).cast("bigint").alias("held_qty"), F.lit(None).cast("timestamp_ntz").alias("held_at"),
+        )
+        held = live_lines(spark, root, number - 1).select(
+            "cart_id", "barcode", F.lit("0001-01-01").cast("timestamp_ntz").alias("ts"),
+            F.lit(-1).cast("bigint").alias("event_id"), F.lit("hold").alias("action"),
+            F.lit(None).cast("string").alias("person"), F.col("qty").alias("held_qty"), F.col("added_at").alias("held_at"),
+        )
+        folded = f"{root}/folded/{number}"
+        all_lines(held.unionByName(moved), large_cart).write.mode("overwrite").parquet(folded)
+        lines = spark.read.parquet(folded)
+        sent = lines.where(F.col("record_id").isNotNull()).select(*SENT.fieldNames())
+        sent.write.mode("overwrite").parquet(f"{root}/sent/batch={number}")
+        live = lines.where(F.col("record_id").isNull()).select(*LIVE.fieldNames())
+        live.write.mode("overwrite").parquet(f"{root}/live/{number}")
+        drop(spark, folded)
+        # The state before the last is not needed even if this batch runs again.
+        drop(spark, f"{root}/live/{number - 2}")
+
+    return each_batch(events, handle, f"{root}/checkpoint")

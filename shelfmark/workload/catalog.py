@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text
 from shelfmark.operators import classify, products, readings, rules, search
 from shelfmark.operators.rules import Category, RuleSet
-from shelfmark.plans import browse, product_entry
+from shelfmark.plans import browse, product_entry, rule_update
 from shelfmark.schemas import RULES
 from shelfmark.session import fresh_dir
+from shelfmark.sources import documents
+from shelfmark.sources.storage import read_version
 from shelfmark.workload.tables import (
     CUSTOM_SQL,
     PARTS_SQL,
@@ -349,6 +352,73 @@ _EVALUATE_SQL = " UNION ALL ".join(
 # ---- classification ----
 
 
+def documents_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog, a list of custom products and rule sets, written as JSON documents and read back."""
+    root = fresh_dir(spark, "documents")
+    product = F.struct("barcode", "name")
+    listed = parts(spark, sf_dir).groupBy().agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("seq", product.alias("p")))), lambda r: r["p"]).alias("p")
+    )
+    listed.select(F.to_json("p").alias("value")).coalesce(1).write.text(f"{root}/catalog")
+    custom = parts(spark, sf_dir).where("seq % 7 = 0").select(
+        "barcode", F.lit(None).cast("string").alias("name"), F.lit("custom").alias("source"),
+        F.col("name").alias("createdBy"),
+    )
+    for name, rows in (("custom", custom), ("rules", _brand_rules(spark, sf_dir))):
+        document = rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+        document.coalesce(1).write.text(f"{root}/{name}")
+    read_back = documents.read_catalog(spark, f"{root}/catalog").select("seq", "barcode", F.col("name").alias("text"))
+    entered = documents.read_custom_products(spark, f"{root}/custom")
+    rule_sets = documents.read_rules(spark, f"{root}/rules")
+    return (
+        read_back.select(F.lit("catalog").alias("kind"), F.col("seq") + 1, "barcode", "text")
+        .toDF("kind", "number", "barcode", "text")
+        .unionByName(entered.select(F.lit("custom").alias("kind"), F.lit(0).cast("bigint").alias("number"), "barcode",
+                                    F.col("created_by").alias("text")))
+        .unionByName(rule_sets.select(F.lit("rules").alias("kind"), F.col("version").alias("number"),
+                                      F.lit(None).cast("string").alias("barcode"), F.col("name").alias("text")))
+    )
+
+
+def publish_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule set in force after a refused, a first and a second candidate."""
+    path = f"{fresh_dir(spark, 'rules')}/rules"
+    names = parts(spark, sf_dir)
+    for document, attempt in (("{}", 1), (WIDE_RULES_DOC, 3), (PART_RULES_DOC, 3)):
+        rule_update.update_rules(spark, names, document, path, attempt)
+    published = read_version(spark, path)
+    return rules.flatten_rules(rules.current_rules(published)).select("version", "category_id", "child_id", "keyword")
+
+
+_PUBLISHED_RULES_SQL = " UNION ALL ".join(
+    f"SELECT 2 AS version, {_quoted(c.id)} AS category_id, {_quoted(child_id)} AS child_id, {_quoted(word)} AS keyword"
+    for c in PART_RULES.categories
+    for child_id, words in [(None, c.keywords), *((child.id, child.keywords) for child in c.children)]
+    for word in (words or [None])
+)
+
+
+def stats_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one row of rule-set statistics."""
+    summary = classify.stats_summary(parts(spark, sf_dir), PART_RULES)
+    return summary.select(
+        "total", "uncategorized", F.size("per_category").alias("n_categories"),
+        F.array_join("first_uncategorized", "|").alias("first_names"),
+    )
+
+
+def visible_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many products each view shows."""
+    views = [("all", {}), ("tools", {"category": "tools"}), ("rest", {"category": search.UNCATEGORIZED, "query": "wid"}),
+             ("none", {"category": "no such"}), ("red", {"query": "red 1"})]
+    counted = [
+        search.visible_products(parts(spark, sf_dir), PART_RULES, **view).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(name).alias("view"), "n")
+        for name, view in views
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def label_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.label_products(parts(spark, sf_dir), PART_RULES)
 
@@ -563,6 +633,7 @@ QUERIES = {
         next_version, current_rules, evaluate_rules, label_products, label_subcategories, category_counts,
         subcategory_counts, rule_stats, stats_report, uncategorized, uncategorized_names, uncategorized_sample, coverage_gate,
         label_documents, label_document_children, label_documents_many_keywords, document_category_counts,
+        documents_round_trip, publish_rules, stats_totals, visible_count,
         visible_products, visible_uncategorized, search_products, search_batch, own_words, add_readings,
         search_readings, browse_products, name_hash_buckets, first_glyph_index,
     )
@@ -582,6 +653,24 @@ ORACLE = {
                CASE WHEN p_size < 45 THEN p_name END AS words
         FROM part ORDER BY p_partkey DESC LIMIT 1""",
     "evaluate_rules": _EVALUATE_SQL,
+    "documents_round_trip": f"""
+        SELECT 'catalog' AS kind, row_number() OVER (ORDER BY seq) AS number, barcode, name AS text FROM ({PARTS_SQL})
+        UNION ALL SELECT 'custom', 0, barcode, name FROM ({PARTS_SQL}) WHERE seq % 7 = 0
+        UNION ALL SELECT 'rules', p_partkey, NULL, p_name FROM part""",
+    "publish_rules": _PUBLISHED_RULES_SQL,
+    "stats_totals": f"""SELECT (SELECT count(*) FROM ({PARTS_SQL})) AS total, (SELECT count(*) FROM ({_REST_SQL})) AS uncategorized,
+        (SELECT CAST(count(DISTINCT category_name) AS INTEGER) FROM ({labels_sql(PARTS_SQL, PART_RULES)})) AS n_categories,
+        (SELECT string_agg(name, '|' ORDER BY seq) FROM (SELECT * FROM ({_REST_SQL}) ORDER BY seq LIMIT 10)) AS first_names""",
+    "visible_count": " UNION ALL ".join(
+        f"SELECT '{view}' AS view, (SELECT count(*) FROM ({sql})) AS n"
+        for view, sql in (
+            ("all", PARTS_SQL),
+            ("tools", f"SELECT * FROM ({PARTS_SQL}) WHERE {match_sql('name', PART_RULES.categories[0].keywords)}"),
+            ("rest", f"SELECT * FROM ({_REST_SQL}) WHERE {_found_sql('wid')}"),
+            ("none", f"SELECT * FROM ({PARTS_SQL}) WHERE FALSE"),
+            ("red", f"SELECT * FROM ({PARTS_SQL}) WHERE {_found_sql('red 1')}"),
+        )
+    ),
     "label_products": f"SELECT * EXCLUDE (position) FROM ({labels_sql(PARTS_SQL, PART_RULES)})",
     "label_subcategories": children_sql(PARTS_SQL, PART_RULES),
     "category_counts": counts_sql(PARTS_SQL, PART_RULES),

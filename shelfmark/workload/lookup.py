@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from shelfmark.operators import delta, extract
 from shelfmark.plans import daily_lookup
 from shelfmark.schemas import TRIPLE_COLUMNS
 from shelfmark.session import fresh_dir
-from shelfmark.sources import storage
+from shelfmark.sources import registry, storage
 from shelfmark.streaming.jobs import read_files, write_stream
 from shelfmark.streaming.lookup import new_values_stream
 from shelfmark.workload.tables import (
@@ -150,8 +152,11 @@ _PUBLISHED_SQL = " UNION ALL ".join(
 
 
 def lookup_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values of a column for a company, with the universal ones."""
-    lookup = extract.incoming([_extract(spark, sf_dir, name) for name in ("customer", "part", "supplier")])
+    """Values of a column for a company, with the universal ones, from a published version."""
+    root = fresh_dir(spark, "values")
+    snapshots = [_extract(spark, sf_dir, name) for name in ("customer", "part", "supplier")]
+    storage.publish_lookup(extract.incoming(snapshots), root)
+    lookup = storage.read_lookup(spark, root)
     own = delta.lookup_values(lookup, "7", "customer.c_name")
     everyone = delta.lookup_values(lookup, "7", "part.p_brand")
     return own.unionByName(everyone)
@@ -176,6 +181,70 @@ def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.read_days(spark, root, storage.RAW)
 
 
+def backfill_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of two days, a backfill of the second and the next, and one of a day far later."""
+    root = fresh_dir(spark, "backfill-after")
+    specs = [SPECS[name] for name in COMBINED]
+
+    def source(name: str) -> DataFrame:
+        return read(spark, sf_dir, name)
+
+    daily_lookup.run_day(spark, root, specs, source, RUN_DAYS[0])
+    daily_lookup.run_day(spark, root, specs, source, RUN_DAYS[1])
+    daily_lookup.run_day(spark, root, specs, source, LATER_DAY)
+    daily_lookup.backfill(spark, root, specs, source, RUN_DAYS[1], RUN_DAYS[2])
+    return storage.read_days(spark, root, storage.RAW)
+
+
+def sources_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources named by a settings file, read from where it says and extracted in order, and read back by name."""
+    root = fresh_dir(spark, "settings")
+    names = ("supplier", "part", "customer")
+    for name in names:
+        read(spark, sf_dir, name).write.parquet(f"{root}/sources/tables/{name}")
+    document = {"target_root": f"{root}/target", "sources": dict.fromkeys(names, "tables"), "source_root": f"{root}/sources"}
+    spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.text(f"{root}/settings")
+    settings = registry.parse_settings(spark.read.text(f"{root}/settings", wholetext=True).first()["value"])
+    specs = registry.load_registry(settings, SPECS)
+    values = {s.name: extract.extract_values(registry.read_source(spark, settings, s.name), s) for s in specs}
+    storage.stage_sources(values, settings.target_root, ORDER_DAY)
+    staged = [
+        storage.read_triples(spark, settings.target_root, s.name, ORDER_DAY).withColumn("place", F.lit(i))
+        for i, s in enumerate(specs)
+    ]
+    return reduce(DataFrame.unionByName, staged)
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table and column of the catalog tables after whole runs of two days from settings."""
+    root = fresh_dir(spark, "catalog")
+    names = ("customer", "orders")
+    sources = {name: "tables" for name in names}
+    for name in names:
+        read(spark, sf_dir, name).write.parquet(f"{root}/sources/tables/{name}")
+    settings = registry.Settings(f"{root}/target", sources, f"{root}/sources")
+    specs = registry.load_registry(settings, SPECS)
+    days, published = (f"lookup_{root[-12:]}_{kind}" for kind in ("days", "now"))
+    for day in RUN_DAYS[:2]:
+        daily_lookup.run_day(
+            spark, settings.target_root, specs, lambda name: registry.read_source(spark, settings, name), day, table=days
+        )
+        daily_lookup.publish(spark, settings.target_root, table=published, keep=1)
+    both = spark.table(days).drop("ds").withColumn("source", F.lit("days")).unionByName(
+        spark.table(published).withColumn("source", F.lit("published"))
+    )
+    return both.groupBy("source", "column_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+LATER_DAY = "1996-06-20"
+_CATALOG_SQL = " UNION ALL ".join(
+    f"SELECT '{kind}' AS source, column_name, count(*) AS n FROM (SELECT DISTINCT {TRIPLE_SQL} FROM ("
+    + " UNION ALL ".join(triples_sql(name, day) for day in RUN_DAYS[:2] for name in ("customer", "orders"))
+    + ")) GROUP BY column_name"
+    for kind in ("days", "published")
+)
+
+
 _RUNS_SQL = (
     "SELECT company_guid, column_name, column_value, min(ds) AS ds FROM ("
     + " UNION ALL ".join(
@@ -206,7 +275,7 @@ QUERIES = {
         extract_snapshot, extract_by_date, extract_by_timestamp, extract_in_sql, extract_range,
         extract_universal_regex, union_sources, incoming_distinct, delta_day, delta_all_orders,
         delta_day_inclusive, first_seen, first_seen_by_day, lookup_asof, publish_lookup, lookup_values,
-        daily_runs, backfill, late_arrivals, stream_new_values,
+        sources_in_order, daily_runs, backfill, backfill_after_runs, catalog_tables, late_arrivals, stream_new_values,
     )
 }
 
@@ -240,7 +309,18 @@ ORACLE = {
         SELECT DISTINCT c_name AS column_value FROM customer WHERE c_nationkey = 7
         UNION ALL SELECT DISTINCT p_brand FROM part""",
     "daily_runs": _RUNS_SQL,
+    "sources_in_order": " UNION ALL ".join(
+        f"SELECT *, {i} AS place FROM ({triples_sql(name)})" for i, name in enumerate(("customer", "part", "supplier"))
+    ),
     "backfill": _RUNS_SQL,
+    "backfill_after_runs": "SELECT company_guid, column_name, column_value, min(ds) AS ds FROM ("
+    + " UNION ALL ".join(
+        f"SELECT *, DATE '{day}' AS ds FROM ({triples_sql(name, day)})"
+        for day in (*RUN_DAYS, LATER_DAY)
+        for name in COMBINED
+    )
+    + ") GROUP BY ALL",
+    "catalog_tables": _CATALOG_SQL,
     "late_arrivals": triples_sql("events", _days_before(EVENT_DAY, 2), EVENT_DAY),
     "stream_new_values": f"SELECT DISTINCT * FROM ({triples_sql('events')})",
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from shelfmark.schemas import RECORD
 from shelfmark.session import fresh_dir
 from shelfmark.sources import documents
 from shelfmark.streaming import ingest
-from shelfmark.streaming.cart import submitted_lines_stream
+from shelfmark.streaming import cart as stream_fold
 from shelfmark.streaming.jobs import read_files, write_stream
 from shelfmark.workload.tables import (
     CART_EVENTS_SQL,
@@ -144,12 +146,8 @@ def stream_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Submitted lines out of a stream of the events."""
     root = fresh_dir(spark, "stream-cart")
     stream = read_files(spark, sf_dir, "events.parquet")
-    lines = submitted_lines_stream(cart_events(stream))
-    write_stream(lines, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    sent = spark.read.parquet(f"{root}/out").join(cart_products(spark, sf_dir), "barcode")
-    return sent.withColumn("submitted_at", F.col("submitted_at").cast("timestamp_ntz")).withColumn(
-        "added_at", F.col("added_at").cast("timestamp_ntz")
-    )
+    stream_fold.fold_stream(cart_events(stream), root).awaitTermination()
+    return stream_fold.sent_lines(spark, root).join(cart_products(spark, sf_dir), "barcode")
 
 
 # ---- records ----
@@ -283,6 +281,17 @@ def malformed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.malformed_records(spark, path)
 
 
+def stamped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by whether the time of saving lies between the query's start and its end, in UTC."""
+    before = dt.datetime.now(dt.timezone.utc)
+    path = f"{fresh_dir(spark, 'stamped')}/records"
+    ops.stamp(_records(spark, sf_dir)).write.parquet(path)
+    after = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=1)
+    saved = F.col("savedAt").cast("timestamp")
+    in_time = (saved >= F.lit(before)) & (saved <= F.lit(after)) & F.col("savedAt").endswith("+00:00")
+    return spark.read.parquet(path).groupBy(in_time.alias("in_time"), "person").agg(F.count(F.lit(1)).alias("n"))
+
+
 def random_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many records there are, and how many ids they get."""
     records = ops.with_random_id(_records(spark, sf_dir).drop("id"))
@@ -329,7 +338,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cart_state, cart_totals, submitted_lines, build_records, cart_record_log, stream_cart,
-        large_records, random_ids, mixed_record_shapes, malformed_records, validate_records,
+        large_records, random_ids, stamped_records, mixed_record_shapes, malformed_records, validate_records,
         dedupe_records, append_idempotent, duplicate_flags, merge_pending, records_report,
         shanghai_report, parse_records, record_log_round_trip, stream_ingest,
         stream_distinct_ids,
@@ -351,6 +360,7 @@ ORACLE = {
     "stream_cart": _SENT_SQL,
     "large_records": _LARGE_SQL,
     "mixed_record_shapes": _SHAPES_SQL,
+    "stamped_records": "SELECT TRUE AS in_time, role AS person, count(*) AS n FROM conversations GROUP BY role",
     "random_ids": "SELECT count(*) AS n, count(*) AS n_ids FROM conversations",
     "malformed_records": """
         SELECT replace(text, chr(10), ' ') AS line FROM conversations WHERE NOT json_valid(text)""",

@@ -35,11 +35,24 @@ def raw(spark, root):
 def test_difference_treats_null_companies_as_equal(spark):
     fresh = spark.createDataFrame([(None, "c", "1"), (None, "c", "2"), ("a", "c", "1"), ("a", "c", "1")], TRIPLE)
     history = spark.createDataFrame([(None, "c", "1"), ("b", "c", "1"), (None, "c", "1")], TRIPLE)
-    for incoming_bytes in (None, 0):
-        found = new_values(fresh, history, incoming_bytes)
-        assert rows(found) == [(None, "c", "2"), ("a", "c", "1")]
-        plan = found._jdf.queryExecution().executedPlan().toString()
-        assert ("BroadcastHashJoin" in plan) == (incoming_bytes == 0)
+    found = new_values(fresh, history)
+    assert rows(found) == [(None, "c", "2"), ("a", "c", "1")]
+
+
+def test_history_is_cut_before_it_is_shuffled(spark, events, tmp_path):
+    days = first_seen(events, SPEC)
+    days.write.parquet(str(tmp_path / "days"))
+    history = spark.read.parquet(str(tmp_path / "days"))
+    keys = list(history.columns[:3])
+    fresh = history.where("ds = date'2024-01-02'").select(*keys)
+    for found in (new_values(fresh, history), delta.unseen(fresh, history, keys, ("company_guid",))):
+        plan = found._jdf.queryExecution().sparkPlan().toString().splitlines()
+        semi = [line for line in plan if "LeftSemi" in line]
+        assert len(semi) == 1 and "BroadcastHashJoin" in semi[0]
+        # Above the history's scan the cut comes first: no aggregate or other join lies between.
+        scans = [i for i, line in enumerate(plan) if "FileScan" in line]
+        between = plan[plan.index(semi[0]) + 1 : min(i for i in scans if i > plan.index(semi[0]))]
+        assert not any("Aggregate" in line or "Join" in line for line in between)
 
 
 def test_daily_runs_equal_the_backfill_and_can_be_repeated(spark, events, tmp_path):
@@ -62,13 +75,53 @@ def test_backfill_in_one_job(spark, events, tmp_path):
     assert rows(raw(spark, daily)) == rows(raw(spark, at_once))
 
 
-def test_large_days_give_the_same_result(spark, events, tmp_path, monkeypatch):
-    monkeypatch.setattr(delta, "BROADCAST_BYTES", -1)
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_few_buckets_give_the_same_result(spark, events, tmp_path, monkeypatch, buckets):
+    monkeypatch.setattr(delta, "BUCKETS", buckets)
     for day in DAYS:
         run_day(spark, str(tmp_path), [SPEC], lambda name: events, day)
     assert rows(raw(spark, str(tmp_path))) == rows(first_seen(events, SPEC))
 
 
+def test_backfill_keeps_other_days(spark, events, tmp_path):
+    root = str(tmp_path)
+    for day in (DAYS[0], DAYS[1], DAYS[4]):
+        run_day(spark, root, [SPEC], lambda name: events, day)
+    before = rows(raw(spark, root).where(F.col("ds") < DAYS[1]))
+    backfill(spark, root, [SPEC], lambda name: events, DAYS[1], DAYS[3])
+    assert rows(raw(spark, root).where(F.col("ds") < DAYS[1])) == before
+    assert rows(raw(spark, root)) == rows(first_seen(events, SPEC))
+    # Days that turn out empty are replaced too.
+    backfill(spark, root, [SPEC], lambda name: events.where("ts < '2024-01-02'"), DAYS[1], DAYS[2])
+    assert {str(r["ds"]) for r in raw(spark, root).select("ds").distinct().collect()}.isdisjoint(DAYS[1:3])
+
+
+def test_catalog_tables_show_what_the_runs_leave(spark, events, tmp_path):
+    events.write.parquet(str(tmp_path / "sources/set/events"))
+    root = str(tmp_path / "target")
+    for day in DAYS[:3]:
+        run_day(spark, root, [SPEC], lambda name: events, day, table="days_table")
+        publish(spark, root, table="now_table")
+    assert rows(spark.table("days_table").select("company_guid", "column_name", "column_value", "ds")) == rows(raw(spark, root))
+    assert rows(spark.table("now_table")) == rows(storage.read_lookup(spark, root))
+    assert len(storage.versions(spark, f"{root}/{storage.PUBLISHED}")) == 2
+    spark.sql("DROP TABLE days_table")
+    spark.sql("DROP TABLE now_table")
+
+
+def test_a_version_belongs_to_one_writer(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert storage._claim(spark, f"{path}/_claims/1") and not storage._claim(spark, f"{path}/_claims/1")
+    assert storage.write_version(storage.empty(spark, TRIPLE), path) == 2
+
+
+def test_consumers_filters_reach_the_published_files(spark, events, tmp_path):
+    storage.publish_lookup(first_seen(events, SPEC).drop("ds"), str(tmp_path))
+    found = lookup_values(storage.read_lookup(spark, str(tmp_path)), "1", "events.props")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "In(company_guid, [1,universal])" in plan and "EqualTo(column_name,events.props)" in plan
+
+
 def test_inclusive_rerun_empties_the_day(spark, events, tmp_path):
     root = str(tmp_path)
     counts = []
@@ -169,3 +222,32 @@ def test_catalog_table_over_the_days(spark, events, tmp_path):
     comments = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE raw_days").collect()}
     assert "Company" in comments["company_guid"]
     spark.sql("DROP TABLE raw_days")
+
+
+def test_all_sources_run_from_settings(spark, tmp_path):
+    """Every source once: each value column gives its triples, the day filter holds, universal ones have no company."""
+    from shelfmark.sources.registry import FLEET_SPECS, UNIVERSAL
+
+    day, expected = dt.date(2024, 1, 2), set()
+    for spec in FLEET_SPECS.values():
+        columns = [*spec.values, *([spec.company] if spec.company else []), *([spec.day_column] if spec.day_column else [])]
+        data = []
+        for shift, company in ((0, "c1"), (0, None), (1, "c2")):
+            row = {c: f"{c}Id" for c in spec.values}
+            row[spec.values[-1]] = f"{spec.values[-1]} of {company}"
+            row[spec.company] = company
+            row[spec.day_column] = day + dt.timedelta(days=shift)
+            data.append(tuple(row[c] for c in columns))
+            if spec.day_column is None or shift == 0:
+                for c in spec.values:
+                    if c not in spec.keep or row[c].endswith("Id"):
+                        expected.add((company if spec.company else UNIVERSAL, f"{spec.name}.{c}", row[c]))
+        kinds = ", ".join(f"`{c}` {'date' if c == spec.day_column else 'string'}" for c in columns)
+        spark.createDataFrame(data, kinds).write.parquet(str(tmp_path / "sources" / "fleet" / spec.name))
+    settings = Settings(str(tmp_path / "target"), dict.fromkeys(FLEET_SPECS, "fleet"), str(tmp_path / "sources"))
+    assert len(FLEET_SPECS) == 18 and daily_run(spark, settings, day, database="fleet_db") == 1
+    found = {tuple(r) for r in storage.read_lookup(spark, settings.target_root).collect()}
+    assert found == expected
+    assert {tuple(r) for r in spark.table("fleet_db.lookup").collect()} == expected
+    assert spark.table("fleet_db.lookup_raw").where("ds = date'2024-01-02'").count() == len(expected)
+    spark.sql("DROP DATABASE fleet_db CASCADE")

@@ -1,16 +1,12 @@
 import datetime as dt
-import os
-import subprocess
-import sys
 
 import pytest
 from conftest import rows
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from shelfmark.operators import cart, extract
 from shelfmark.streaming import ingest
-from shelfmark.streaming.cart import CartProcessor, submitted_lines_stream
+from shelfmark.streaming.cart import fold_stream, live_lines, sent_lines
 from shelfmark.streaming.jobs import read_files, write_stream
 from shelfmark.streaming.lookup import new_values_stream
 from shelfmark.workload.tables import SPECS
@@ -43,15 +39,6 @@ def test_ingest_over_batches_and_restarts(spark, tmp_path):
     assert rows(ingest.read_log(spark, log), "id", "person") == expected
 
 
-def test_state_processor_needs_no_package_on_executors(tmp_path):
-    dumped = tmp_path / "processor"
-    dumped.write_bytes(cloudpickle.dumps(CartProcessor()))
-    script = f"import pickle; print(pickle.load(open({str(dumped)!r}, 'rb')).handleInputRows.__name__)"
-    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True)
-    assert done.stdout.strip() == "handleInputRows", done.stderr
-
-
 def test_distinct_records(spark, tmp_path):
     source = str(tmp_path / "in")
     for seq in range(2):
@@ -84,8 +71,16 @@ def test_cart_stream_equals_the_batch(spark, tmp_path, per_batch):
     events = sorted(random_events(11, 300, [5, 4, 6, 1, 0.5, 0.1]), key=lambda e: e[3])
     for start in range(0, 300, 100):
         spark.createDataFrame(events[start : start + 100], EVENT).coalesce(1).write.mode("append").parquet(source)
-    run(submitted_lines_stream(read_files(spark, source, "*.parquet", per_batch), parts=3), str(tmp_path))
+    root = str(tmp_path / "carts")
+    fold_stream(read_files(spark, source, "*.parquet", per_batch), root).awaitTermination()
     known = spark.createDataFrame([(b, b) for b in ("x", "y", "z", "unknown")], "barcode string, name string")
     columns = ("record_id", "cart_id", "person", "barcode", "qty", "added_at", "submitted_at")
     batch = cart.submitted_lines(spark.read.parquet(source), known)
-    assert rows(spark.read.parquet(f"{tmp_path}/out"), *columns) == rows(batch, *columns)
+    found = sent_lines(spark, root).where("barcode in ('x', 'y', 'z', 'unknown')")
+    assert rows(found, *columns) == rows(batch, *columns)
+    live = rows(cart.cart_state(spark.read.parquet(source), known), "cart_id", "barcode", "qty", "added_at")
+    last = {1: 2, 10: 0}[per_batch]
+    assert rows(live_lines(spark, root, last), "cart_id", "barcode", "qty", "added_at") == live
+    # Nothing new, nothing changed.
+    fold_stream(read_files(spark, source, "*.parquet", per_batch), root).awaitTermination()
+    assert rows(sent_lines(spark, root), *columns) == rows(batch, *columns)
