@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import read_table, stage
 
-TREES = 32
+TREES = 48
 #: Bits of a hash string.
 BITS = 32
-#: Prefixes are counted to this depth at most: the counts of all trees stay under 16 MB.
+#: Prefixes are counted to this depth at most: the counts of all trees stay under 26 MB.
 DEPTH = 16
 #: A query goes up until EFFORT * rows ** GROWTH vectors share its prefixes. For unit vectors, a neighbour at a cosine
 #: of 0.43 shares a bit with probability 0.64, a stranger with 0.5: the exponent is log(0.64) / log(0.5).
-EFFORT = 16.0
+EFFORT = 24.0
 GROWTH = 0.65
 #: Vectors of a block.
 BLOCK = 4096
