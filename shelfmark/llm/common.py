@@ -14,7 +14,7 @@ from shelfmark.session import fresh_dir
 #: A word: a run of characters other than the six white-space characters of ASCII.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a Python worker looks at together.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,10 +51,18 @@ def texts_in(batch: pa.RecordBatch, row: str, text: str) -> pa.Array:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: later steps don't compute them again."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, label)
+    return stage_at(df, fresh_dir(df.sparkSession, label))
+
+
+def stage_at(df: DataFrame, path: str) -> DataFrame:
+    """As :func:`stage`, into a folder that the caller drops when nothing reads it any more."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def text_keys(doc_id: Column, text: Column) -> list[Column]:
+    """128 bits, ``k1`` and ``k2``, that rows share only if their ids and texts are equal."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(17), doc_id, F.length(text), text).alias("k2")]
 
 
 def columns_of(df: DataFrame) -> list[Column]:

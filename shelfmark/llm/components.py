@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stage
+from shelfmark.llm.common import stage_at
+from shelfmark.session import fresh_dir
+from shelfmark.sources.storage import drop
 
 
 def _point_to_smallest(edges: DataFrame, larger_only: bool) -> DataFrame:
@@ -30,23 +32,24 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
 
     Two star steps take turns until nothing moves; the number of rounds grows with the logarithm of the longest
     chain. A node with very many links is reduced to its smallest neighbour before the shuffle, and its links are
-    joined, not gathered. Each round is written to the shared folder.
+    joined, not gathered. Each round is written to the shared folder, and the one before it dropped.
     """
-    edges = stage(
+    spark = links.sparkSession
+    path = fresh_dir(spark, "components")
+    edges = stage_at(
         links.filter("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct(),
-        "components",
+        path,
     )
     before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         stars = _point_to_smallest(both, larger_only=True)
-        edges = stage(_point_to_smallest(stars, larger_only=False), "components")
-        # The sum of the lower ends only ever falls, as does the number of edges.
-        state = edges.agg(
-            F.count("*"), F.sum(F.col("v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("u", "v"))
-        ).first()
+        old, path = path, fresh_dir(spark, "components")
+        edges = stage_at(_point_to_smallest(stars, larger_only=False), path)
+        drop(spark, old)
+        state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
                 edges.select(F.col("v"), F.col("v")).distinct()

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import (
@@ -32,10 +32,14 @@ from shelfmark.llm.common import (
     in_small_batches,
     read_table,
     stage,
+    stage_at,
+    text_keys,
     texts_in,
     worker_memory,
 )
 from shelfmark.llm.components import smallest_reachable
+from shelfmark.session import fresh_dir
+from shelfmark.sources.storage import drop
 
 SEED = 42
 SHINGLE = 3
@@ -124,10 +128,13 @@ def _spread(rows: DataFrame, column: str, around, rounds: int) -> DataFrame:
     return rows.distinct() if rounds > 1 else rows
 
 
-def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, paired_cell: int = PAIRED_CELL) -> DataFrame:
+def links(
+    fingerprints: DataFrame, max_bits: int = MAX_BITS, paired_cell: int = PAIRED_CELL, folder: str | None = None
+) -> DataFrame:
     """Links ``a, b`` that join exactly the fingerprints that chains of ``max_bits`` differing bits join.
 
-    ``fingerprints`` has one column ``f`` of distinct longs without NULL.
+    ``fingerprints`` has one column ``f`` of distinct longs without NULL. The cells that two or more share are
+    staged in ``folder``, which the caller may drop after the links are used.
     """
     far, near = (max_bits + 1) // 2, max_bits // 2
     # Every fingerprint becomes 33 rows: enough partitions for those, not for the few bytes they come from.
@@ -135,7 +142,7 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, paired_cell: int =
     fingerprints = fingerprints.repartition(parts, "f")
     cells = _spread(fingerprints.withColumn("cell", popcounts(F.col("f"))), "cell", _steps, far)
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
-    met = stage(cells.join(shared, "cell"), "simhash-cells")
+    met = stage_at(cells.join(shared, "cell"), folder or fresh_dir(fingerprints.sparkSession, "simhash-cells"))
 
     small = met.filter(F.col("n") <= paired_cell)
     left = small.select("cell", F.col("f").alias("a"))
@@ -154,7 +161,10 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, paired_cell: int =
 def groups(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``f, root`` for each distinct fingerprint of a column ``f``: equal roots are linked by chains."""
     distinct = fingerprints.select("f").distinct()
-    linked = smallest_reachable(links(distinct, max_bits))
+    spark = fingerprints.sparkSession
+    folder = fresh_dir(spark, "simhash-cells")
+    linked = smallest_reachable(links(distinct, max_bits, folder=folder))
+    drop(spark, folder)
     return distinct.join(linked.withColumnRenamed("node", "f"), "f", "left").select(
         "f", F.coalesce("root", "f").alias("root")
     )
@@ -194,17 +204,21 @@ def keep_one(
 
     Of repeated rows exactly one stays. Extra columns are kept whatever their names.
     """
-    number, code = free_name(docs, "row"), free_name(docs, "f")
-    numbered = docs.withColumn(number, F.monotonically_increasing_id())
-    seen = stage(with_fingerprints(numbered, text, code, words_per_shingle), "simhash-rows")
-    keys = seen.select(F.col(code).alias("f"), F.col(doc_id).alias("id"), F.col(number).alias("row"))
+    k1, k2 = free_name(docs, "k1"), free_name(docs, "k2")
+    keys = text_keys(F.col(doc_id), F.col(text))
+    seen = with_fingerprints(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"), *keys), "t", "f")
+    seen = stage(seen.select("f", "id", "k1", "k2"), "simhash-rows")
     # The row of smallest id per fingerprint, then per component: reduced before each shuffle.
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    firsts = keys.groupBy("f").agg(F.min(order).alias("first"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
+    firsts = seen.groupBy("f").agg(F.min(order).alias("first"))
     grouped = groups(firsts, max_bits)
     kept = grouped.join(firsts, "f").groupBy("root").agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.row").alias(number))
-    return seen.join(kept, number, "left_semi").select(*columns_of(docs))
+    kept = kept.select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2))
+    # Rows of one id and text: each task lets one through, then one of those stays. The join meets them where they are.
+    place, number = Window.partitionBy(k1, k2).orderBy(k1), free_name(docs, "n")
+    keyed = docs.withColumns({k1: keys[0], k2: keys[1]}).withColumn(number, F.row_number().over(place))
+    single = keyed.filter(F.col(number) == 1)
+    return single.join(kept, [k1, k2], "left_semi").select(*columns_of(docs))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
