@@ -187,3 +187,13 @@ def test_windows_of_any_length(spark, window):
 
 def test_removal_of_nothing(nothing):
     assert substring.remove_repeated(nothing).count() == 0
+
+
+def test_hash_ranges_grow_with_the_texts(spark, monkeypatch):
+    assert substring._ranges(30 << 30) > 50 * substring._ranges(512 << 20)
+    # Many ranges, several tasks and copies give the same.
+    monkeypatch.setattr(substring, "RANGE_BYTES", 500)
+    texts = [prose(seed, 120) for seed in range(12)]
+    texts += [texts[0], texts[1] + " end", texts[2] + " " + texts[2], texts[3][200:], None, ""]
+    docs = spark.createDataFrame([document(i % 16, t) for i, t in enumerate(texts)] + [document(0, texts[0])] * 3, SCHEMA)
+    check_removal(docs.repartition(3))
