@@ -8,7 +8,8 @@ together. Those are scored exactly.
 Prefixes are counted first, up to a bounded depth, which gives the height to go up to for any query. The
 arrays are cut into blocks of bounded size along prefixes; a query visits the blocks that its prefixes cover and
 brings back its best from each. Inner products are turned into angles by one more coordinate that lifts all
-vectors to the greatest length.
+vectors to the greatest length; as that blurs the angles of much shorter ones, each range of lengths is a forest of
+its own, and every query goes to all of them.
 
 Equal vectors are one entry of the forest, with the smallest ids that a result can need.
 """
@@ -35,6 +36,14 @@ DEPTH = 16
 #: of 0.43 shares a bit with probability 0.64, a stranger with 0.5: the exponent is log(0.64) / log(0.5).
 EFFORT = 24.0
 GROWTH = 0.65
+#: Beyond ANCHOR rows a greater share is needed for the same recall: the exponent grows by FURTHER.
+ANCHOR = 51_282
+FURTHER = 0.2
+#: Greatest and smallest length of a range differ by this factor, but for the longest vectors, as many as are scored all,
+#: and for those that are shorter than the first RANGES - 1 ranges.
+RATIO = 1.25
+SCANNED = 8192
+RANGES = 6
 #: Vectors of a block.
 BLOCK = 4096
 #: Results that are scored again, in one fixed order of summation, per block and query.
@@ -105,6 +114,24 @@ def _entries(vectors: DataFrame, is_query: Column, nearest: int) -> DataFrame:
     return rows.withColumn("entry", F.monotonically_increasing_id())
 
 
+def wanted(rows: int, k: int, effort: float = EFFORT) -> float:
+    """How many vectors of a forest of that many are to share a query's prefixes."""
+    return max(effort * rows**GROWTH * max(1.0, rows / ANCHOR) ** FURTHER, 8.0 * k)
+
+
+def _cut_lengths(buckets: list[tuple[int, int, float]]) -> list[tuple[int, int, int, float]]:
+    """``first, last, vectors, longest`` of each range, out of the same of each bucket of lengths, longest first."""
+    found: list[tuple[int, int, int, float]] = []
+    for bucket, n, longest in buckets:
+        joins = found and (len(found) == RANGES or (len(found) == 1 and found[0][2] + n <= SCANNED))
+        if joins:
+            first, _, before, greatest = found[-1]
+            found[-1] = first, bucket, before + n, greatest
+        else:
+            found.append((bucket, bucket, n, longest))
+    return found
+
+
 def _count_prefixes(entries: DataFrame, forest: Forest, width: int) -> np.ndarray:
     """Vectors per tree and prefix of full depth."""
 
@@ -172,46 +199,26 @@ def _by_block(blocks: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(int(blocks[part[0]]), part) for part in np.split(order, cuts) if len(part)]
 
 
-def nearest(
-    vectors: DataFrame,
-    is_query: Column,
-    vec_id: str = "vec_id",
-    embedding: str = "embedding",
-    k: int = 20,
-    effort: float = EFFORT,
-    seed: int = 5,
+def _search(
+    entries: DataFrame,
+    asking: DataFrame,
+    n: int,
+    longest: float,
+    width: int,
+    exact: type,
+    k: int,
+    effort: float,
+    seed: int,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` largest inner products found for each query.
-
-    ``is_query`` says which rows of ``vectors`` ask; all rows with another id answer. Ties go to the smaller id.
-    Vectors that are NULL, empty, zero or hold NULL or non-finite components, and NULL ids, take no part;
-    neither do vectors of other than the commonest number of components (of equally common ones the
-    smallest). Rows repeated with their id are one. With ``k`` or fewer candidates all are returned; an empty table
-    gives an empty result. Other columns are not looked at. All rows are indexed.
-    """
-    spark = vectors.sparkSession
-    fine = vectors.select(
-        F.col(vec_id).cast("long").alias("id"), is_query.alias("q"), F.col(embedding).alias("vector")
-    ).filter(F.col("id").isNotNull() & _finite(F.col("vector")))
-    result = "query_id long, rank int, vec_id long, score double"
-    widths = fine.groupBy(F.size("vector").alias("w")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").first()
-    if widths is None:
-        return spark.createDataFrame([], result)
-    width = widths["w"]
-    fine = fine.filter(F.size("vector") == width)
-    entries = stage(_entries(fine, F.coalesce("q", F.lit(False)), k), "forest-entries")
-    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
-    size = entries.agg(F.count("*").alias("n"), F.sqrt(F.max(square)).alias("longest")).first()
-
+    """``query, entry, score``: the best that a forest of the ``n`` ``entries`` has for those ``asking``."""
     planes = np.random.default_rng(seed).normal(size=(width + 1, TREES * BITS))
-    depth = int(np.clip(np.ceil(np.log2(size["n"] + 1)), 4, DEPTH))
-    forest = Forest(planes, size["longest"], depth)
+    depth = int(np.clip(np.ceil(np.log2(n + 1)), 4, DEPTH))
+    forest = Forest(planes, longest, depth)
     counts = _count_prefixes(entries, forest, width)
     forest.sums = np.concatenate([np.zeros((TREES, 1), np.int64), np.cumsum(counts, axis=1)], axis=1)
     forest.first_block, forest.splits = _cut_blocks(counts, depth, BLOCK)
-    forest.wanted = max(effort * size["n"] ** GROWTH, 8.0 * k)
-    shared = spark.sparkContext.broadcast(forest)
-    exact = np.float32 if entries.schema["vector"].dataType.elementType.simpleString() == "float" else np.float64
+    forest.wanted = wanted(n, k, effort)
+    shared = entries.sparkSession.sparkContext.broadcast(forest)
 
     def deal_points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = shared.value
@@ -291,12 +298,55 @@ def nearest(
 
     listed = entries.withColumn("smallest", F.col("ids")[0])
     points = listed.select("vector", "entry", "smallest").mapInArrow(deal_points, _POINT_SCHEMA)
-    queries = entries.filter("asked").select("vector", "entry").mapInArrow(deal_queries, _QUERY_SCHEMA)
-    met = (
+    queries = asking.mapInArrow(deal_queries, _QUERY_SCHEMA)
+    return (
         points.groupBy("block")
         .cogroup(queries.groupBy("block"))
         .applyInPandas(search, "query long, entry long, score double")
     )
+
+
+def nearest(
+    vectors: DataFrame,
+    is_query: Column,
+    vec_id: str = "vec_id",
+    embedding: str = "embedding",
+    k: int = 20,
+    effort: float = EFFORT,
+    seed: int = 5,
+) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` largest inner products found for each query.
+
+    ``is_query`` says which rows of ``vectors`` ask; all rows with another id answer. Ties go to the smaller id.
+    Vectors that are NULL, empty, zero or hold NULL or non-finite components, and NULL ids, take no part;
+    neither do vectors of other than the commonest number of components (of equally common ones the
+    smallest). Rows repeated with their id are one. With ``k`` or fewer candidates all are returned; an empty table
+    gives an empty result. Other columns are not looked at. All rows are indexed.
+    """
+    spark = vectors.sparkSession
+    fine = vectors.select(
+        F.col(vec_id).cast("long").alias("id"), is_query.alias("q"), F.col(embedding).alias("vector")
+    ).filter(F.col("id").isNotNull() & _finite(F.col("vector")))
+    result = "query_id long, rank int, vec_id long, score double"
+    widths = fine.groupBy(F.size("vector").alias("w")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").first()
+    if widths is None:
+        return spark.createDataFrame([], result)
+    width = widths["w"]
+    fine = fine.filter(F.size("vector") == width)
+    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    rows = _entries(fine, F.coalesce("q", F.lit(False)), k).withColumn("length", F.sqrt(square))
+    entries = stage(rows, "forest-entries")
+    steps = F.log(F.lit(entries.agg(F.max("length")).first()[0])) - F.log("length")
+    bucket = F.coalesce(F.floor(steps / float(np.log(RATIO))).cast("int"), F.lit(1 << 20))
+    held = entries.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), F.max("length").alias("longest"))
+    lengths = _cut_lengths(sorted(tuple(row) for row in held.collect()))
+    exact = np.float32 if entries.schema["vector"].dataType.elementType.simpleString() == "float" else np.float64
+    asking = entries.filter("asked").select("vector", "entry")
+    met = None
+    for first, last, n, longest in lengths:
+        some = _search(entries.filter(bucket.between(first, last)), asking, n, longest, width, exact, k, effort, seed)
+        met = some if met is None else met.union(some)
+    listed = entries.withColumn("smallest", F.col("ids")[0])
     # A vector that several trees find has the same score in each.
     pairs = met.groupBy("query", "entry").agg(F.max("score").alias("score"))
     few = Window.partitionBy("query").orderBy(F.desc("score"), "smallest")

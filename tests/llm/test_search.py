@@ -110,6 +110,30 @@ def test_small_blocks_change_nothing(spark, monkeypatch):
     assert sorted_rows(neighbours.nearest(table, ask, k=8), "query_id", "rank", "vec_id") == want
 
 
+def test_unequal_lengths(spark):
+    # One vector of thrice the length must not blur the angles of all others, nor lengths of many sizes.
+    rng = np.random.default_rng(8)
+    table = rng.normal(size=(24_000, 64))
+    table /= np.linalg.norm(table, axis=1, keepdims=True)
+    for lengths in (np.where(np.arange(len(table)) == 0, 3.0, 1.0), np.exp(rng.normal(size=len(table)) / 2)):
+        vectors = (table * lengths[:, None]).astype(np.float32)
+        docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+        asked = range(0, len(vectors), 800)
+        found = neighbours.nearest(docs, F.col("vec_id") % 800 == 0).select("query_id", "vec_id").collect()
+        scores = vectors[asked].astype(np.float64) @ vectors.astype(np.float64).T
+        scores[np.arange(len(asked)), asked] = -np.inf
+        best = {(q, int(v)) for q, row in zip(asked, scores, strict=True) for v in np.argpartition(-row, 20)[:20]}
+        assert len(best & set(map(tuple, found))) / len(best) > 0.95
+
+
+def test_effort_and_ranges_follow_the_table():
+    assert neighbours.wanted(51_282, 20) == neighbours.EFFORT * 51_282**neighbours.GROWTH
+    assert neighbours.wanted(800_000, 20) > 1.5 * neighbours.EFFORT * 800_000**neighbours.GROWTH
+    cut = neighbours._cut_lengths([(0, 1, 3.0), (4, 50_000, 1.0), *((i, 9_000, 0.5) for i in range(5, 12))])
+    assert cut[:2] == [(0, 0, 1, 3.0), (4, 4, 50_000, 1.0)] and len(cut) == neighbours.RANGES
+    assert cut[-1] == (8, 11, 36_000, 0.5)
+
+
 def test_heights_go_up_until_there_is_enough():
     rng = np.random.default_rng(3)
     forest = neighbours.Forest(rng.normal(size=(9, neighbours.TREES * neighbours.BITS)), 3.0, 6)
