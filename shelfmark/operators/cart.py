@@ -29,6 +29,8 @@ from shelfmark.session import fresh_dir
 
 # No stretch of a cart's events holds many more than this. Only speed depends on it.
 LARGE_CART = 1_000_000
+#: Lines of a record that is still nested into one document.
+NESTED_LINES = 100_000
 
 EFFECT = ("drops", "change", "need", "qty", "added_at")
 
@@ -182,6 +184,12 @@ def record_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line_no", F.row_number().over(place))
 
 
+def lines_to_nest(numbered: DataFrame, most: int = NESTED_LINES) -> DataFrame:
+    """Of :func:`record_lines` the lines of records with at most ``most`` lines: those fit one document."""
+    large = numbered.where(F.col("line_no") > most).select("record_id").distinct()
+    return numbered.join(large, "record_id", "left_anti")
+
+
 def build_records(lines: DataFrame) -> DataFrame:
     """Submitted lines nested into records, items in the order they were added: one row per submit.
 

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text
@@ -352,27 +352,45 @@ _EVALUATE_SQL = " UNION ALL ".join(
 # ---- classification ----
 
 
+#: Rows of a JSON document, by their numbers.
+DOCUMENT_ROWS = 10_000
+
+
+def _write_documents(rows: DataFrame, number: str, columns: list[str], path: str) -> None:
+    """JSON arrays of rows in order of ``number``, each of a bounded stretch of numbers, in a folder ``doc=`` of its own."""
+    fields = F.struct(*columns)
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(number).alias("at"), fields.alias("row"))))
+    doc = F.coalesce(F.expr(f"{number} div {DOCUMENT_ROWS}"), F.lit(2**63 - 1))
+    listed = rows.groupBy(doc.alias("doc")).agg(ordered.alias("rows"))
+    written = listed.select("doc", F.to_json(F.transform("rows", lambda r: r["row"])).alias("value"))
+    written.write.partitionBy("doc").text(path)
+
+
+def _numbered(products: DataFrame) -> DataFrame:
+    """Products of many documents with ``number``, their place among all: a document's start and the place in it."""
+    within = F.row_number().over(Window.partitionBy("doc").orderBy("seq"))
+    earlier = Window.orderBy("doc").rowsBetween(Window.unboundedPreceding, -1)
+    starts = products.groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
+    starts = starts.select("doc", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    return products.withColumn("within", within).join(starts, "doc").withColumn("number", F.col("start") + F.col("within"))
+
+
 def documents_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A catalog, a list of custom products and rule sets, written as JSON documents and read back."""
+    """A catalog, a list of custom products and rule sets, written as JSON documents of bounded size and read back."""
     root = fresh_dir(spark, "documents")
-    product = F.struct("barcode", "name")
-    listed = parts(spark, sf_dir).groupBy().agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("seq", product.alias("p")))), lambda r: r["p"]).alias("p")
-    )
-    listed.select(F.to_json("p").alias("value")).coalesce(1).write.text(f"{root}/catalog")
+    _write_documents(parts(spark, sf_dir), "seq", ["barcode", "name"], f"{root}/catalog")
     custom = parts(spark, sf_dir).where("seq % 7 = 0").select(
-        "barcode", F.lit(None).cast("string").alias("name"), F.lit("custom").alias("source"),
+        "seq", "barcode", F.lit(None).cast("string").alias("name"), F.lit("custom").alias("source"),
         F.col("name").alias("createdBy"),
     )
-    for name, rows in (("custom", custom), ("rules", _brand_rules(spark, sf_dir))):
-        document = rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
-        document.coalesce(1).write.text(f"{root}/{name}")
-    read_back = documents.read_catalog(spark, f"{root}/catalog").select("seq", "barcode", F.col("name").alias("text"))
+    _write_documents(custom, "seq", custom.columns[1:], f"{root}/custom")
+    rules = _brand_rules(spark, sf_dir)
+    _write_documents(rules, "version", rules.columns, f"{root}/rules")
+    read_back = _numbered(documents.read_catalog(spark, f"{root}/catalog"))
     entered = documents.read_custom_products(spark, f"{root}/custom")
     rule_sets = documents.read_rules(spark, f"{root}/rules")
     return (
-        read_back.select(F.lit("catalog").alias("kind"), F.col("seq") + 1, "barcode", "text")
-        .toDF("kind", "number", "barcode", "text")
+        read_back.select(F.lit("catalog").alias("kind"), "number", "barcode", F.col("name").alias("text"))
         .unionByName(entered.select(F.lit("custom").alias("kind"), F.lit(0).cast("bigint").alias("number"), "barcode",
                                     F.col("created_by").alias("text")))
         .unionByName(rule_sets.select(F.lit("rules").alias("kind"), F.col("version").alias("number"),

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import minute_text
+from shelfmark.functions.text import iso_text, minute_text
 from shelfmark.operators import cart
 from shelfmark.operators import records as ops
 from shelfmark.plans import record_intake
@@ -72,7 +72,7 @@ def cart_record_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def large_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carts that hold a third of all line items, and all others, each submitted once: one record each."""
+    """Carts that hold a third of all line items, and all others, each submitted once: one record each, of any size."""
     lines = read(spark, sf_dir, "lineitem")
     cart_id = F.when(F.col("l_orderkey") % 3 == 0, "0").otherwise(F.concat(F.lit("s"), "l_suppkey"))
     barcode = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
@@ -89,12 +89,18 @@ def large_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{fresh_dir(spark, 'large')}/lines"
     cart.record_lines(sent).write.parquet(path)
     stored = spark.read.parquet(path)
-    records = cart.as_records(cart.build_records(stored.drop("line_no")))
-    ends = stored.groupBy("cart_id").agg(F.max("line_no").alias("last_line"), F.any_value("record_id").alias("r"))
-    return records.join(ends, F.col("id") == F.col("r").cast("string")).select(
-        "cart_id", "person", "submittedAt", F.size("items").alias("n_items"), "last_line",
-        F.col("items")[0]["barcode"].alias("first_barcode"),
-        F.element_at("items", -1)["barcode"].alias("last_barcode"),
+    ends = stored.groupBy("record_id", "cart_id", "person", "submitted_at").agg(
+        F.count(F.lit(1)).cast("int").alias("n"), F.max("line_no").alias("last_line"),
+        F.min_by("barcode", "line_no").alias("first"), F.max_by("barcode", "line_no").alias("last"),
+    )
+    # Only records of few lines become documents; the others are read from their lines.
+    nested = cart.as_records(cart.build_records(cart.lines_to_nest(stored).drop("line_no"))).select("id", "items")
+    both = ends.join(nested, F.col("record_id").cast("string") == F.col("id"), "left")
+    return both.select(
+        "cart_id", "person", iso_text(F.col("submitted_at")).alias("submittedAt"),
+        F.coalesce(F.when(F.col("items").isNotNull(), F.size("items")), "n").alias("n_items"), "last_line",
+        F.coalesce(F.col("items")[0]["barcode"], "first").alias("first_barcode"),
+        F.coalesce(F.element_at("items", -1)["barcode"], "last").alias("last_barcode"),
     )
 
 

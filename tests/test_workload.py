@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the test tables and on a skewed copy of them with NULLs."""
 
+import json
 import math
 from pathlib import Path
 
@@ -7,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shelfmark.operators import cart
 from shelfmark.workload import catalog, lookup, records
 
 SF_DIR = Path("/root/testdata/sf0.001")
@@ -83,3 +85,31 @@ def test_query_equals_sql(spark, tables, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def equals_sql(spark, name):
+    df = entry.queries()[name](spark, str(SF_DIR))
+    result = views(SF_DIR).execute(entry.oracle_sql()[name])
+    found = [tuple(r) for r in df.collect()]
+    assert normal(df.columns, found) == normal([d[0] for d in result.description], result.fetchall())
+
+
+def test_documents_hold_bounded_stretches(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(catalog, "DOCUMENT_ROWS", 7)
+    monkeypatch.setattr(catalog, "fresh_dir", lambda spark, label: str(tmp_path / label))
+    equals_sql(spark, "documents_round_trip")
+    for kind in ("catalog", "custom", "rules"):
+        written = [json.loads(p.read_text()) for p in (tmp_path / "documents" / kind).rglob("part-*")]
+        assert len(written) > 10 and max(map(len, written)) <= 7
+
+
+def test_large_records_are_not_nested(spark, monkeypatch):
+    nested = []
+
+    def few(numbered, whole=cart.lines_to_nest):
+        nested.append(whole(numbered, 1000))
+        return nested[-1]
+
+    monkeypatch.setattr(cart, "lines_to_nest", few)
+    equals_sql(spark, "large_records")
+    assert 0 < nested[0].groupBy("record_id").count().agg({"count": "max"}).first()[0] <= 1000
