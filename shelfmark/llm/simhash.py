@@ -184,7 +184,7 @@ def components(
     ``docs``. A NULL id stays NULL and is never the smallest, unless a component has no other. Other columns
     are not looked at. Texts are read once and not shuffled; later steps see 16 bytes a row.
     """
-    seen = with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t")), "t", "f")
+    seen = with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t")), "t", "f", words_per_shingle)
     seen = stage(seen.select("doc_id", "f"), "simhash-fingerprints")
     smallest = seen.groupBy("f").agg(F.min("doc_id").alias("first"))
     grouped = stage(groups(seen, max_bits), "simhash-groups")
@@ -206,7 +206,7 @@ def keep_one(
     """
     k1, k2 = free_name(docs, "k1"), free_name(docs, "k2")
     keys = text_keys(F.col(doc_id), F.col(text))
-    seen = with_fingerprints(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"), *keys), "t", "f")
+    seen = with_fingerprints(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"), *keys), "t", "f", words_per_shingle)
     seen = stage(seen.select("f", "id", "k1", "k2"), "simhash-rows")
     # The row of smallest id per fingerprint, then per component: reduced before each shuffle.
     order = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")

@@ -197,3 +197,11 @@ def test_hash_ranges_grow_with_the_texts(spark, monkeypatch):
     texts += [texts[0], texts[1] + " end", texts[2] + " " + texts[2], texts[3][200:], None, ""]
     docs = spark.createDataFrame([document(i % 16, t) for i, t in enumerate(texts)] + [document(0, texts[0])] * 3, SCHEMA)
     check_removal(docs.repartition(3))
+
+
+def test_shingles_of_other_lengths(spark):
+    # Equal sets of single words, in other orders: the same only with shingles of one word.
+    docs = spark.createDataFrame([document(1, "a b c d e f"), document(2, "f e d c b a")], SCHEMA)
+    assert {r["component_id"] for r in simhash.components(docs, words_per_shingle=1).collect()} == {1}
+    assert {r["component_id"] for r in simhash.components(docs).collect()} == {1, 2}
+    assert simhash.keep_one(docs, words_per_shingle=1).count() == 1 and simhash.keep_one(docs).count() == 2
