@@ -523,7 +523,11 @@ def search_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queries made of the customers' names and segments, and a few of other kinds, over the parts."""
+    """Queries made of the nations' first letters and a digit, and a few of other kinds, over the parts.
+
+    They are 30 at every scale: their short terms meet a fixed share of the parts, so that the result grows with the
+    parts alone, and the query's SQL names these queries.
+    """
     made = read(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("string").alias("query_id"),
         F.concat(F.lower(F.substring("n_name", 1, 1)), F.lit("\u3000"), (F.col("n_nationkey") % 10).cast("string"))
