@@ -8,6 +8,7 @@ from shelfmark.llm import (
     language_model,
     mixing,
     neighbours,
+    nra,
     packing,
     simhash,
     substring,
@@ -26,5 +27,6 @@ QUERIES = {
     "op8_substring": substring.op8_substring,
     "op9_mixing": mixing.op9_mixing,
     "op10_langid": langid.op10_langid,
+    "op13_nra": nra.op13_nra,
 }
-ORACLE = {"op5_bm25": bm25.ORACLE, "op9_mixing": mixing.ORACLE}
+ORACLE = {"op5_bm25": bm25.ORACLE, "op9_mixing": mixing.ORACLE, "op13_nra": nra.ORACLE}
