@@ -10,6 +10,7 @@ from shelfmark.llm import (
     neighbours,
     nra,
     packing,
+    phrases,
     simhash,
     substring,
     token_counts,
@@ -27,6 +28,12 @@ QUERIES = {
     "op8_substring": substring.op8_substring,
     "op9_mixing": mixing.op9_mixing,
     "op10_langid": langid.op10_langid,
+    "op11_phrases": phrases.op11_phrases,
     "op13_nra": nra.op13_nra,
 }
-ORACLE = {"op5_bm25": bm25.ORACLE, "op9_mixing": mixing.ORACLE, "op13_nra": nra.ORACLE}
+ORACLE = {
+    "op5_bm25": bm25.ORACLE,
+    "op9_mixing": mixing.ORACLE,
+    "op11_phrases": phrases.ORACLE,
+    "op13_nra": nra.ORACLE,
+}
