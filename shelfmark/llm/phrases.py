@@ -32,8 +32,8 @@ TOP = 2000
 #: Percent of a phrase's occurrences that a longer one must reach to take its place.
 INSIDE = 50
 #: Word occurrences, and distinct words, at which a chunk ends.
-CHUNK_WORDS = 1 << 21
-CHUNK_NAMES = 1 << 20
+CHUNK_WORDS = 1 << 20
+CHUNK_NAMES = 1 << 19
 #: Occurrences of phrases in a hash range, about.
 RANGE_MASS = 1 << 23
 #: Language of texts without one.
@@ -154,10 +154,10 @@ class Chunk:
             head = distinct // width if length > 1 else np.zeros(len(distinct), np.int64)
             word = hashes[last]
             hashed = word if hashed is None else _mix(hashed[head] * np.uint64(0x9E3779B97F4A7C15) + word)
-            self.heads.append(head)
-            self.lasts.append(last)
+            self.heads.append(head.astype(np.int32))
+            self.lasts.append(last.astype(np.int32))
             found.append(hashed >> np.uint64(8))
-            counts.append(count)
+            counts.append(count.astype(np.int32))
             # The next word, unless the piece ends.
             goes_on = np.flatnonzero(numbers[start + length] if len(start) else start)
             start = start[goes_on]
@@ -238,7 +238,7 @@ def _summaries(ranges: int, max_words: int):
                 [
                     pa.array(parts, pa.int32()),
                     pa.array([row["chunk"]] * len(parts), pa.int64()),
-                    pa.array([int(counts[s].sum()) for s in some], pa.int64()),
+                    pa.array([int(counts[s].sum(dtype=np.int64)) for s in some], pa.int64()),
                     pa.array([_pack(np.diff(hashes[s], prepend=np.uint64(0))) for s in some], pa.binary()),
                     pa.array([_pack(counts[s].astype("<u4")) for s in some], pa.binary()),
                 ],
@@ -295,7 +295,7 @@ def _exact(ranges: int, max_words: int):
                         names.take(pa.array(langs)),
                         pa.array([length] * len(phrases), pa.int32()),
                         pa.array(phrases, pa.binary()).cast(pa.string()),
-                        pa.array(counts, pa.int64()),
+                        pa.array(counts.astype(np.int64), pa.int64()),
                     ],
                     names=["lang", "length", "phrase", "f"],
                 )
