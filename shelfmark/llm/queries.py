@@ -11,6 +11,7 @@ from shelfmark.llm import (
     nra,
     packing,
     phrases,
+    repeats,
     simhash,
     substring,
     token_counts,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_langid": langid.op10_langid,
     "op11_phrases": phrases.op11_phrases,
+    "op12_repeats": repeats.op12_repeats,
     "op13_nra": nra.op13_nra,
 }
 ORACLE = {
