@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Groups = Sequence[Sequence[str]]
+#: Up to so many words are looked for one by one. Longer words than that many characters always are.
+FEW = 8
+LONGEST = 100
+END = ""
 
 
 def any_of(low: Column, words: Sequence[str]) -> Column:
@@ -23,19 +27,54 @@ def all_of(low: Column, words: Sequence[str]) -> Column:
     return F.coalesce(reduce(Column.__and__, tests), F.lit(False)) if tests else F.lit(True)
 
 
-def _hits(low: Column, groups: Groups, every: bool) -> Column:
-    """Positions of the groups that a lowered text matches."""
-    literal = F.array(*[F.array(*[F.lit(w) for w in words]).cast("array<string>") for words in groups])
-    words = literal.cast("array<array<string>>")
+def word_tree(words: Sequence[str]) -> dict:
+    """The words as a prefix tree: a character leads to what may follow it, END is where a word ends.
 
-    def matches(group: Column) -> Column:
-        def held(word: Column) -> Column:
-            return F.contains(low, word)
+    A word that holds another one adds nothing, as the other is found wherever it is.
+    """
+    known = set(words)
+    root: dict = {}
+    for word in known:
+        parts = (word[i:j] for i in range(len(word) + 1) for j in range(i, len(word) + 1) if j - i < len(word))
+        if any(part in known for part in parts):
+            continue
+        node = root
+        for char in word:
+            node = node.setdefault(char, {})
+        node[END] = {}
+    return root
+
+
+def _pattern(node: dict) -> str:
+    """The tree as a pattern: what words have in common at their start is tried once."""
+    if END in node:
+        return ""
+    followed = {char: _pattern(rest) for char, rest in sorted(node.items())}
+    last = "".join(_escaped(char) for char, rest in followed.items() if not rest)
+    ways = [_escaped(char) + rest for char, rest in followed.items() if rest]
+    if last:
+        ways.append(f"[{last}]")
+    return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+
+def _escaped(char: str) -> str:
+    return char if char.isalnum() else f"\\x{{{ord(char):x}}}"
+
+
+def matches(low: Column, words: Sequence[str]) -> Column:
+    """As :func:`any_of`, for any number of words: many are looked for at once, by their prefix tree."""
+    tree = [word for word in words if len(word) <= LONGEST]
+    if len(set(tree)) <= FEW:
+        return any_of(low, words)
+    found = low.rlike(_pattern(word_tree(tree)))
+    return F.coalesce(reduce(Column.__or__, [low.contains(w) for w in words if len(w) > LONGEST], found), F.lit(False))
 
-        return F.coalesce(F.forall(group, held) if every else F.exists(group, held), F.lit(False))
 
-    positions = F.transform(words, lambda group, i: F.when(matches(group), i))
-    return F.filter(positions, lambda i: i.isNotNull())
+def _hits(low: Column, groups: Groups, every: bool) -> Column:
+    """Positions of the groups that a lowered text matches."""
+    test = all_of if every else matches
+    none = F.array().cast("array<int>")
+    return F.concat(*[F.when(test(low, words), F.array(F.lit(i))).otherwise(none) for i, words in enumerate(groups)])
 
 
 def where_once(df: DataFrame, condition: Column) -> DataFrame:
@@ -62,8 +101,8 @@ def with_hits(
     """Adds the positions of the groups that a text matches, ignoring case, in ascending order.
 
     A group matches by one of its words, or with ``every`` only by all of them. An empty word is in
-    every text, but nothing is in a NULL text. ``lowered`` takes the text as it is. The words are one constant
-    of the plan, whatever their number; each test is one native search.
+    every text, but nothing is in a NULL text. ``lowered`` takes the text as it is. A few words are looked for
+    one by one, many at once by one pattern a group.
     """
     groups = [tuple(word.lower() for word in group) for group in groups]
     low = "_low"

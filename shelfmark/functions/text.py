@@ -7,8 +7,9 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The white space that separates search terms.
+# The white space that separates search terms, as a pattern and as characters.
 SPACE = "[\\t\\n\\x0b\\f\\r \\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]"
+BLANKS = "".join(chr(code) for code in range(0x10000) if re.fullmatch(SPACE, chr(code)))
 # Characters that can stand for a name on its cover, and the stand-in without one.
 GLYPH = "[一-龥A-Za-z0-9]"
 NO_GLYPH = "？"
@@ -70,7 +71,7 @@ def second_hue(hue: Column) -> Column:
 
 def trimmed(text: Column | str) -> Column:
     """Text without white space of any kind at its ends."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(F.col(text) if isinstance(text, str) else text, F.lit(BLANKS))
 
 
 def blank_to_null(text: Column) -> Column:

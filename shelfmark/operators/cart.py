@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import iso_text, trimmed
-from shelfmark.session import fresh_dir
+from shelfmark.operators.numbering import STRETCH_ROWS, numbered, ranged
 
 # No stretch of a cart's events holds many more than this. Only speed depends on it.
 LARGE_CART = 1_000_000
@@ -39,16 +39,11 @@ def with_stretch(events: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
     """Adds ``stretch``: which run of its cart's events, in order, an event is in.
 
     Events are dealt by ranges of their place in the order, so a stretch holds about half of ``large_cart`` events
-    whatever times they bear; a cart of fewer lies in one or two. The result is written once and read back, as
-    what follows reads it several times and has to see the same stretches.
+    whatever times they bear; a cart of fewer lies in one or two. Lines don't touch one another, so events of one moment
+    may be dealt by barcode.
     """
-    spark = events.sparkSession
     known = events.where(F.col("cart_id").isNotNull())
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * -(-known.count() // large_cart))
-    ranged = known.repartitionByRange(parts, "cart_id", "ts", "event_id")
-    folder = fresh_dir(spark, "cart-stretches")
-    ranged.withColumn("stretch", F.spark_partition_id()).write.parquet(folder)
-    return spark.read.parquet(folder)
+    return ranged(known, ["cart_id", "ts", "event_id", "barcode"], "stretch", -(-large_cart // 2))
 
 
 def event_effects(events: DataFrame) -> DataFrame:
@@ -142,11 +137,11 @@ def with_submit(events: DataFrame) -> DataFrame:
 
 
 def _named(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines of known products with their names. ``products`` has one row per barcode.
+    """Lines of known products with their names; of several names of a barcode the least.
 
     Barcodes do not touch one another, so unknown ones can go after the fold, when few rows are left.
     """
-    return lines.join(products.select("barcode", "name"), "barcode")
+    return lines.join(products.groupBy("barcode").agg(F.min("name").alias("name")), "barcode")
 
 
 _RECORD = ["record_id", "cart_id", "submitted_at", "person"]
@@ -175,13 +170,12 @@ def cart_totals(lines: DataFrame) -> DataFrame:
     )
 
 
-def record_lines(lines: DataFrame) -> DataFrame:
+def record_lines(lines: DataFrame, rows: int = STRETCH_ROWS) -> DataFrame:
     """Submitted lines with ``line_no``, their place in the record: the order they were added in.
 
-    This is the form to store records in whatever their size.
+    This is the form to store records in whatever their size: no task sorts more than about ``rows`` lines.
     """
-    place = Window.partitionBy("record_id").orderBy("added_at", "barcode")
-    return lines.withColumn("line_no", F.row_number().over(place))
+    return numbered(lines, ["added_at", "barcode"], "line_no", by=["record_id"], rows=rows)
 
 
 def lines_to_nest(numbered: DataFrame, most: int = NESTED_LINES) -> DataFrame:

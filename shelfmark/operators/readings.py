@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 # Control characters, which no reading holds: between the entries of a table, and for a missing entry.
 BETWEEN, NO_ENTRY = "\x1e", "\x1f"
+#: Entries that are replaced one after the other; of more than one letter, by way of characters for private use.
+FEW = 16
+CHAIN = 32
+STAND_INS = 0xE000
 
 
 def load_dictionary(entries: DataFrame) -> dict[str, str]:
@@ -39,7 +43,35 @@ def add_readings(
 
 
 def _read_out(text: Column, table: Mapping[str, str]) -> Column:
-    """Every character replaced by its entry. The table is one constant: entries by code point."""
+    """Every character replaced by its entry.
+
+    A few are replaced one after the other, if no entry holds a character that has one. Else entries of one letter
+    are translated at once, and characters with longer ones into stand-ins, which no entry holds; these are
+    then replaced one after the other. A text that holds stand-ins itself, or a table of many long entries, is read
+    character by character.
+    """
+    if len(table) <= FEW and set("".join(table.values())).isdisjoint(table):
+        for char, reading in table.items():
+            text = F.replace(text, F.lit(char), F.lit(reading))
+        return text
+    long = [char for char, reading in table.items() if len(reading) > 1]
+    stand_ins = [chr(STAND_INS + i) for i in range(len(long))]
+    used = set("".join(table) + "".join(table.values()))
+    if len(long) > CHAIN or not used.isdisjoint(stand_ins):
+        return _by_character(text, table)
+    # What has no counterpart, at the end, is deleted.
+    to = dict(zip(long, stand_ins, strict=True)) | {char: r for char, r in table.items() if len(r) == 1}
+    gone = [char for char, reading in table.items() if not reading]
+    read = F.translate(text, "".join([*to, *gone]), "".join(to.values()))
+    for char, stand_in in zip(long, stand_ins, strict=True):
+        read = F.replace(read, F.lit(stand_in), F.lit(table[char]))
+    if not long:
+        return read
+    return F.when(text.rlike(f"[{stand_ins[0]}-{stand_ins[-1]}]"), _by_character(text, table)).otherwise(read)
+
+
+def _by_character(text: Column, table: Mapping[str, str]) -> Column:
+    """The same, character by character. The table is one constant: entries by code point."""
     codes = {ord(char): reading for char, reading in table.items()}
     low = min(codes)
     entries = [codes.get(code, NO_ENTRY) for code in range(low, max(codes) + 1)]

@@ -6,11 +6,12 @@ import json
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text
 from shelfmark.operators import classify, products, readings, rules, search
+from shelfmark.operators.numbering import numbered
 from shelfmark.operators.rules import Category, RuleSet
 from shelfmark.plans import browse, product_entry, rule_update
 from shelfmark.schemas import RULES
@@ -367,12 +368,8 @@ def _write_documents(rows: DataFrame, number: str, columns: list[str], path: str
 
 
 def _numbered(products: DataFrame) -> DataFrame:
-    """Products of many documents with ``number``, their place among all: a document's start and the place in it."""
-    within = F.row_number().over(Window.partitionBy("doc").orderBy("seq"))
-    earlier = Window.orderBy("doc").rowsBetween(Window.unboundedPreceding, -1)
-    starts = products.groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
-    starts = starts.select("doc", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    return products.withColumn("within", within).join(starts, "doc").withColumn("number", F.col("start") + F.col("within"))
+    """Products of many documents with ``number``, their place among all."""
+    return numbered(products, ["doc", "seq"], "number")
 
 
 def documents_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,13 +84,14 @@ def large_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cart_id", F.lit(None).cast("string").alias("barcode"), F.lit("2024-01-02").cast("timestamp_ntz").alias("ts"),
         F.abs(F.xxhash64("cart_id")).alias("event_id"), F.lit("submit").alias("action"), F.lit("bo").alias("person"),
     )
-    products = adds.select("barcode", F.upper("barcode").alias("name"))
+    # A line item may lie in several carts.
+    products = adds.select("barcode", F.upper("barcode").alias("name")).distinct()
     sent = cart.submitted_lines(adds.unionByName(submits), products)
     path = f"{fresh_dir(spark, 'large')}/lines"
     cart.record_lines(sent).write.parquet(path)
     stored = spark.read.parquet(path)
     ends = stored.groupBy("record_id", "cart_id", "person", "submitted_at").agg(
-        F.count(F.lit(1)).cast("int").alias("n"), F.max("line_no").alias("last_line"),
+        F.count(F.lit(1)).cast("int").alias("n"), F.max("line_no").cast("int").alias("last_line"),
         F.min_by("barcode", "line_no").alias("first"), F.max_by("barcode", "line_no").alias("last"),
     )
     # Only records of few lines become documents; the others are read from their lines.

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 
 from shelfmark.operators import cart
+from shelfmark.operators.numbering import numbered
 from shelfmark.plans import record_intake
 
 EVENT = "cart_id string, barcode string, ts timestamp_ntz, event_id long, action string, person string"
@@ -130,3 +131,33 @@ def test_records_nest_in_order_under_one_id(spark):
     documents = cart.as_records(cart.build_records(lines)).collect()
     assert sorted(d["id"] for d in documents) == ["1", "2"]
     assert min(d["submittedAt"] for d in documents) == "2024-01-01T00:49:00.000Z"
+
+
+def test_ties_fill_many_stretches(spark):
+    events = spark.range(15_000).selectExpr(
+        "'a' AS cart_id", "CAST(id AS STRING) AS barcode", "TIMESTAMP_NTZ '2024-01-01' AS ts", "0L AS event_id",
+        "'add' AS action", "CAST(NULL AS STRING) AS person")
+    stretches = cart.with_stretch(events, 1_000).groupBy("stretch").count()
+    assert stretches.agg({"count": "max"}).first()[0] <= 1_000
+    submit = spark.createDataFrame([("a", None, dt.datetime(2024, 1, 2), 1, "submit", "bo")], EVENT)
+    products = events.selectExpr("barcode", "barcode AS name")
+    # Two names for a barcode, and one twice, are one product.
+    products = products.unionByName(products).unionByName(events.selectExpr("barcode", "'~' AS name"))
+    lines = cart.submitted_lines(events.unionByName(submit), products, 1_000)
+    numbered = cart.record_lines(lines, rows=500).cache()
+    assert [r["line_no"] for r in numbered.orderBy("line_no").collect()] == list(range(1, 15_001))
+    assert [r["barcode"] for r in numbered.orderBy("line_no").collect()] == sorted(str(i) for i in range(15_000))
+
+
+@pytest.mark.parametrize("rows_each", [1, 7, 10**6])
+def test_numbers_along_an_order(spark, rows_each):
+    draw = random.Random(rows_each)
+    data = [(draw.choice(["a", "a", "a", "b", None]), i, draw.choice("xyz")) for i in range(300)]
+    df = spark.createDataFrame(data, "g string, i int, t string").repartition(5)
+    found = numbered(df, ["t", "i"], "n", by=["g"], rows=rows_each)
+    want = []
+    for g in ("a", "b", None):
+        want += [(*row, n) for n, row in enumerate(sorted((r for r in data if r[0] == g), key=lambda r: (r[2], r[1])), 1)]
+    assert rows(found) == rows(spark.createDataFrame(want, "g string, i int, t string, n long"))
+    assert sorted(r["n"] for r in numbered(df, ["t", "i"], "n", rows=rows_each).collect()) == list(range(1, 301))
+    assert numbered(df.where("false"), ["t"], "n").count() == 0

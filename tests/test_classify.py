@@ -142,3 +142,13 @@ def test_rule_update_publishes_accepted_sets(spark, products, tmp_path):
     assert status == "accepted" and first.version == 1 and load_rules(spark, path) == first
     assert update_rules(spark, products, DOC, path, attempt=3)[1].version == 2
     assert load_rules(spark, path).version == 2
+
+
+def test_many_words_match_as_one_by_one(spark):
+    some = ["ab", "abc", "b", "cab", "x.y", "a|b", "[", "\\", "^", "$", "", "é", "😀", "漢字", " ", "-", "q" * 150, "q" * 99]
+    texts = ["", None, "xaby", "x.y", "xzy", "a|b", "[]", "\\", "^", "漢", "漢字", "😀", "é", "a b", "q" * 149, "q" * 150, "-"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for words in (some[:10], some[1:], [w for w in some if w], some[3:10] + some[14:], [w for w in some if len(w) > 1]):
+        found = df.select("i", keywords.matches(F.col("t"), words).alias("hit"), keywords.any_of(F.col("t"), words).alias("want"))
+        assert all(r["hit"] == r["want"] == any(w in (texts[r["i"]] or "\0") for w in words if texts[r["i"]] is not None)
+                   for r in found.collect())

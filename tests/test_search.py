@@ -122,3 +122,18 @@ def test_minute_text_does_not_depend_on_the_session(spark, session_zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert tuple(row) == ("2024-01-31 23:59", "2024-02-01 07:59")
+
+
+@pytest.mark.parametrize("extra", [0, 5, 20, 40])
+def test_readings_of_any_table(spark, extra):
+    # Few entries, entries that hold one another's characters, stand-ins in texts, empty and many entries.
+    for table in ({"a": "xy", "b": ""}, {"a": "b", "b": "ab", "c": "", "é": "E", "😀": "smile"}):
+        table = table | {chr(0x4E00 + i): f"r{i}" for i in range(extra)}
+        texts = ["", "abcab", "a", "c😀é😀", "".join(table), None, "zz"]
+        df = spark.createDataFrame([(t,) for t in texts], "name string")
+        got = [tuple(r) for r in readings.add_readings(df, table).select("name", "reading", "initials").collect()]
+        first = {c: r[:1] for c, r in table.items()}
+        for name, reading, initials in got:
+            assert (reading, initials) == (
+                (None, None) if name is None
+                else tuple("".join(t.get(c, c) for c in name).lower() for t in (table, first)))
