@@ -8,12 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.bloom import blocks_for, filter_of, key_hash, may_hold
 from shelfmark.functions.days import Day, as_day
 from shelfmark.schemas import TRIPLE_COLUMNS
 from shelfmark.sources.registry import UNIVERSAL
 
-# What comes in is known by the hash buckets of its keys: this many rows of one number at most are broadcast.
-BUCKETS = 1 << 20
+#: Keys that come in up to which their Bloom filter is broadcast: 40 bytes for 24 keys.
+FILTER_KEYS = 1 << 25
 
 
 def _same(left: str, right: str, keys: Sequence[str], nullable: Sequence[str]) -> Column:
@@ -26,18 +27,20 @@ def _same(left: str, right: str, keys: Sequence[str], nullable: Sequence[str]) -
     return reduce(Column.__and__, pairs)
 
 
-def _bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-
-
 def hits(history: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys of the history that may be in ``fresh``: those in a bucket that ``fresh`` has rows in.
+    """The keys of the history that may be in ``fresh``: all that are, and one in a hundred of the others.
 
-    The buckets, BUCKETS numbers at most, are broadcast, so the history is read but not shuffled.
+    A Bloom filter of the size that the number of fresh rows asks for is broadcast, so the history is read but not
+    shuffled. With more than FILTER_KEYS fresh rows, which are counted for that, the history is left whole: keep
+    such a history by hash, as :mod:`shelfmark.sources.seen` does.
     """
-    wanted = fresh.select(_bucket(keys).alias("_bucket")).distinct()
-    tagged = history.select(*keys, _bucket(keys).alias("_bucket"))
-    return tagged.join(F.broadcast(wanted), "_bucket", "left_semi").drop("_bucket")
+    n = fresh.count()
+    if n > FILTER_KEYS:
+        return history.select(*keys)
+    hashed = fresh.select(key_hash(*keys).alias("_key"))
+    held = F.broadcast(filter_of(hashed, "_key", blocks_for(n)))
+    tagged = history.select(*keys, key_hash(*keys).alias("_key"))
+    return may_hold(tagged, "_key", held, blocks_for(n)).drop("_key")
 
 
 def unseen(
@@ -45,8 +48,8 @@ def unseen(
 ) -> DataFrame:
     """Rows of ``fresh`` whose keys are not in ``history``.
 
-    The history is the large side and grows for ever. It is cut to the hash buckets that come in before
-    anything is shuffled; the anti-join that follows sees hits only. ``fresh`` is read twice.
+    The history is the large side and grows for ever. It is cut to what may come in before anything is
+    shuffled; the anti-join that follows sees hits only. ``fresh`` is read three times.
     """
     known = hits(history, fresh, keys).distinct()
     return fresh.alias("fresh").join(

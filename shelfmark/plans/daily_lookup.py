@@ -9,11 +9,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.days import Day, as_day
-from shelfmark.operators.delta import history_until, lookup_asof, new_values, unseen
-from shelfmark.operators.extract import extract_day, extract_values, first_seen
+from shelfmark.functions.days import Day, as_day, day_between
+from shelfmark.operators.delta import lookup_asof
+from shelfmark.operators.extract import extract_day, extract_values, first_seen, long_values
 from shelfmark.schemas import DAY_TRIPLE, TRIPLE, TRIPLE_COLUMNS
 from shelfmark.session import fresh_dir
+from shelfmark.sources import seen
 from shelfmark.sources.registry import Settings, SourceSpec, load_registry, read_source
 from shelfmark.sources.storage import (
     PUBLISHED,
@@ -21,9 +22,11 @@ from shelfmark.sources.storage import (
     STAGED,
     add_day,
     create_triple_table,
+    day_path,
     drop,
     drop_versions,
     empty,
+    exists,
     point_lookup_table,
     publish_lookup,
     read_day,
@@ -53,15 +56,11 @@ def run_day(
     values = {spec.name: extract_day(read(spec.name), spec, ds, lookback_days) for spec in specs}
     stage_sources(values, root, ds)
     fresh = read_day(spark, root, STAGED, ds)
-    delta = new_values(fresh, history_until(read_days(spark, root, RAW), ds, inclusive))
-    if inclusive:
-        # The day to be replaced is among the input: stage the result first.
-        staged = fresh_dir(spark, "inclusive-day")
-        delta.write.parquet(staged)
-        write_day(spark.read.schema(TRIPLE).parquet(staged), root, RAW, ds)
-        drop(spark, staged)
-    else:
-        write_day(delta, root, RAW, ds)
+    day = as_day(ds)
+    # The index, not the days, is read, so the day may be replaced while what is new is found.
+    delta = seen.new_triples(fresh, root, day if inclusive else day - dt.timedelta(days=1))
+    seen.forget(spark, root, [day])
+    write_day(delta, root, RAW, ds)
     if table is not None:
         create_triple_table(spark, table, f"{root}/{RAW}")
         add_day(spark, table, ds)
@@ -80,46 +79,75 @@ def backfill(
 
     A run a day finds a triple new on the first day it occurs on, and the values of a snapshot on the
     first day of all. Triples of the days before ``start`` are known; those days stay as they are. All days
-    start..end are replaced, also by nothing. Days after ``end`` are kept, less the triples that now are first seen
-    before them, as if they had been run again.
+    start..end are replaced, also by nothing.
+
+    Days after ``end`` are kept as if they had been run again: triples that now are first seen before go, and those
+    that the replaced days held and hold no more come to the first later day that has them. What a later day has is what
+    its run staged, or, where nothing is staged, what the dated sources hold for it now. Only days that change are
+    written.
     """
-    seen = []
+    seen_by_source = []
     for spec in specs:
         if spec.day_column is None:
             values = extract_values(read(spec.name), spec)
-            seen.append(values.withColumn("ds", F.lit(as_day(start))))
+            seen_by_source.append(values.withColumn("ds", F.lit(as_day(start))))
         else:
-            seen.append(first_seen(read(spec.name), spec, start, end))
+            seen_by_source.append(first_seen(read(spec.name), spec, start, end))
+    first, last = as_day(start), as_day(end)
+    span = {first + dt.timedelta(days=n) for n in range((last - first).days + 1)}
     days = read_days(spark, root, RAW)
     work = fresh_dir(spark, "backfill")
-    union = reduce(DataFrame.unionByName, seen).groupBy(*TRIPLE_COLUMNS).agg(F.min("ds").alias("ds"))
-    union.write.parquet(f"{work}/seen")
-    seen_once = spark.read.schema(DAY_TRIPLE).parquet(f"{work}/seen")
-    new = unseen(seen_once, history_until(days, start), TRIPLE_COLUMNS, nullable=("company_guid",))
-    new.write.parquet(f"{work}/new")
-    new = spark.read.schema(DAY_TRIPLE).parquet(f"{work}/new")
-    later = days.where(F.col("ds") > F.lit(as_day(end)))
-    unseen(later, new, TRIPLE_COLUMNS, nullable=("company_guid",)).write.parquet(f"{work}/later")
-    later = spark.read.schema(DAY_TRIPLE).parquet(f"{work}/later")
-
-    result = new.unionByName(later)
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{work}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
+
+    union = reduce(DataFrame.unionByName, seen_by_source).groupBy(*TRIPLE_COLUMNS).agg(F.min("ds").alias("ds"))
+    seen_once = staged(seen.hashed(union), "seen")
+    before = first - dt.timedelta(days=1)
+    new = staged(seen.unknown(seen_once, root, seen.refresh(spark, root), before), "new")
+    later = seen.hashed(days.where(F.col("ds") > F.lit(last)))
+    moved = staged(seen.among(later, new), "moved")
+    lost = seen.hashed(days.where(F.col("ds").between(F.lit(first), F.lit(last))))
+    lost = staged(lost.join(new, ["h", "g"], "left_anti"), "lost")
+    late_days = [day for day in seen.day_folders(spark, f"{root}/{RAW}") if day > last]
+    had_later = seen.among(_values_of_days(spark, root, specs, read, late_days), lost)
+    again = staged(had_later.groupBy("h", "g", *TRIPLE_COLUMNS).agg(F.min("ds").alias("ds")), "again")
+
+    touched = {row["ds"] for row in moved.select("ds").union(again.select("ds")).distinct().collect()}
+    kept = later.where(F.col("ds").isin(list(touched))).join(moved, ["h", "g", "ds"], "left_anti")
+    columns = [*TRIPLE_COLUMNS, "ds"]
+    result = staged(reduce(DataFrame.unionByName, [df.select(*columns) for df in (new, kept, again)]), "result")
     filled = {row["ds"] for row in result.select("ds").distinct().collect()}
-    first, last = as_day(start), as_day(end)
-    span = {first + dt.timedelta(days=n) for n in range((last - first).days + 1)}
-    had = {row["ds"] for row in days.where(F.col("ds") >= F.lit(first)).select("ds").distinct().collect()}
+    seen.forget(spark, root, sorted(span | touched))
     # Ranges over all columns: a day with most of the triples is written by many tasks.
     ranged = result.repartitionByRange("ds", *TRIPLE_COLUMNS)
     writer = ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("ds").parquet(f"{root}/{RAW}")
-    for day in sorted((span | had) - filled):
+    for day in sorted((span | touched) - filled):
         write_day(empty(spark, TRIPLE), root, RAW, day)
     drop(spark, work)
     if table is not None:
         create_triple_table(spark, table, f"{root}/{RAW}")
-        for day in sorted(span | had):
+        for day in sorted(span | touched):
             add_day(spark, table, day)
 
 
+def _values_of_days(
+    spark: SparkSession, root: str, specs: Sequence[SourceSpec], read: Callable[[str], DataFrame], days: list[dt.date]
+) -> DataFrame:
+    """All triples that the sources had on each of the days, with their hashes."""
+    held = [day for day in days if exists(spark, day_path(root, STAGED, day))]
+    parts = [read_day(spark, root, STAGED, day).withColumn("ds", F.lit(day)) for day in held]
+    others = [day for day in days if day not in held]
+    for spec in specs if others else ():
+        if spec.day_column is not None:
+            dated = read(spec.name).withColumn("ds", F.col(spec.day_column).cast("date"))
+            dated = dated.where(day_between(spec.day_column, min(others), max(others)) & F.col("ds").isin(others))
+            parts.append(long_values(dated, spec, "ds").select(*TRIPLE_COLUMNS, "ds"))
+    return seen.hashed(reduce(DataFrame.unionByName, parts, empty(spark, DAY_TRIPLE)))
+
+
 def publish(
     spark: SparkSession, root: str, as_of: Day | None = None, table: str | None = None, keep: int = 2
 ) -> int:

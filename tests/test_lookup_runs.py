@@ -9,12 +9,13 @@ from shelfmark.operators.delta import history_until, lookup_asof, lookup_values,
 from shelfmark.operators.extract import first_seen
 from shelfmark.plans.daily_lookup import backfill, daily_run, publish, run_day
 from shelfmark.schemas import DAY_TRIPLE, TRIPLE
-from shelfmark.sources import storage
+from shelfmark.sources import seen, storage
 from shelfmark.sources.registry import Settings, SourceSpec
 from shelfmark.workload.tables import SPECS
 
 SPEC = SPECS["events"]
 DAYS = [f"2024-01-0{d}" for d in range(1, 6)]
+DAY = dt.date(2024, 1, 1)
 
 
 @pytest.fixture(scope="module")
@@ -75,12 +76,70 @@ def test_backfill_in_one_job(spark, events, tmp_path):
     assert rows(raw(spark, daily)) == rows(raw(spark, at_once))
 
 
-@pytest.mark.parametrize("buckets", [1, 7])
-def test_few_buckets_give_the_same_result(spark, events, tmp_path, monkeypatch, buckets):
-    monkeypatch.setattr(delta, "BUCKETS", buckets)
-    for day in DAYS:
-        run_day(spark, str(tmp_path), [SPEC], lambda name: events, day)
-    assert rows(raw(spark, str(tmp_path))) == rows(first_seen(events, SPEC))
+@pytest.mark.parametrize("bounds", [
+    {"MOST_GENERATIONS": 1, "PREFIX_KEYS": 1, "ROUND_KEYS": 2, "FILTER_KEYS": 0, "BROADCAST_KEYS": 0},
+    {"MOST_GENERATIONS": 3, "PREFIX_KEYS": 2, "BROADCAST_KEYS": 8}])
+def test_many_prefixes_rounds_and_merges_give_the_same(spark, events, tmp_path, monkeypatch, bounds):
+    for name, value in bounds.items():
+        monkeypatch.setattr(seen, name, value)
+    root = str(tmp_path)
+    for day in [*DAYS, DAYS[2], DAYS[4], DAYS[0]]:
+        run_day(spark, root, [SPEC], lambda name: events, day)
+    assert rows(raw(spark, root)) == rows(first_seen(events, SPEC))
+    assert len(seen.refresh(spark, root)) <= bounds["MOST_GENERATIONS"]
+    assert {d for g in seen.manifest(spark, root) for d in g.days} == {dt.date.fromisoformat(d) for d in DAYS}
+
+
+def test_a_history_without_the_keys_is_hardly_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(seen, "BROADCAST_KEYS", 1000)
+
+    def keys(prefix, n):
+        return spark.range(n).selectExpr("'a' AS company_guid", "'t.c' AS column_name", f"'{prefix}' || id AS column_value")
+
+    root = str(tmp_path)
+    storage.write_day(keys("old", 200_000), root, storage.RAW, "2024-01-01")
+    generation, = seen.refresh(spark, root)
+    fresh = seen.hashed(keys("new", 500_000))
+    assert seen.suspects(fresh, root, generation).count() < 0.02 * 500_000
+    assert seen.suspects(seen.hashed(keys("old", 200_000)), root, generation).count() == 200_000
+    # Neither the lookup by filter nor that by prefix shuffles what the index holds.
+    some = seen.hashed(keys("old", 100).unionByName(keys("new", 100)))
+    assert seen.unknown(some, root, [generation], DAY).count() == 100
+    assert seen.new_triples(keys("new", 500_000), root, DAY).count() == 500_000
+    assert seen.new_triples(keys("old", 200_000), root, DAY).count() == 0
+    assert seen.new_triples(keys("old", 10), root, DAY - dt.timedelta(days=1)).count() == 10
+    plan = seen.suspects(fresh, root, generation)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_fresh_keys_cut_an_unrelated_history(spark):
+    history = spark.range(100_000).selectExpr("'h' || id AS id")
+    fresh = spark.range(300_000).selectExpr("'f' || id AS id")
+    assert delta.hits(history, fresh, ["id"]).count() < 0.02 * 100_000
+    assert delta.hits(history, history.limit(500), ["id"]).count() >= 500
+
+
+def test_backfill_loses_no_triple_of_later_days(spark, tmp_path):
+    def source(*days):
+        data = [(dt.datetime.fromisoformat(d), 1, "view", "p") for d in days]
+        return spark.createDataFrame(data, "ts timestamp_ntz, user_id int, event_type string, props string")
+
+    for staged in (True, False):
+        root = str(tmp_path / str(staged))
+        if staged:
+            for day in ("2024-01-13", "2024-01-14"):
+                run_day(spark, root, [SPEC], lambda name: source("2024-01-13", "2024-01-14"), day)
+        else:
+            backfill(spark, root, [SPEC], lambda name: source("2024-01-13", "2024-01-14"), "2024-01-13", "2024-01-14")
+        found = raw(spark, root)
+        assert rows(found.select("ds").distinct()) == [(dt.date(2024, 1, 13),)]
+        n = found.count()
+        # The row of the 13th goes, that of the 14th stays.
+        backfill(spark, root, [SPEC], lambda name: source("2024-01-14"), "2024-01-13", "2024-01-13")
+        assert rows(raw(spark, root).groupBy("ds").count()) == [(dt.date(2024, 1, 14), n)]
+        run_day(spark, root, [SPEC], lambda name: source("2024-01-14"), "2024-01-14")
+        run_day(spark, root, [SPEC], lambda name: source("2024-01-14"), "2024-01-15")
+        assert raw(spark, root).where("ds > '2024-01-14'").count() == 0 and raw(spark, root).count() == n
 
 
 def test_backfill_keeps_other_days(spark, events, tmp_path):
