@@ -23,12 +23,15 @@ from shelfmark.sources.storage import (
     add_day,
     create_triple_table,
     day_path,
+    day_states,
     drop,
-    drop_versions,
+    drop_published,
     empty,
     exists,
     point_lookup_table,
+    publish_added,
     publish_lookup,
+    published_ranges,
     read_day,
     read_days,
     stage_sources,
@@ -153,14 +156,24 @@ def publish(
 ) -> int:
     """Publish the lookup of all days, or as it stood after the run of ``as_of``.
 
-    ``table`` names a catalog table that is pointed at the new version. The last ``keep`` versions stay.
+    If the days published last are as they were, the days since are merged into the ranges they touch; all other files
+    stay. ``table`` names a catalog table that is pointed at the new version. The last ``keep`` versions stay.
     """
     days = read_days(spark, root, RAW)
-    lookup = days.drop("ds").distinct() if as_of is None else lookup_asof(days, as_of)
-    number = publish_lookup(lookup, root)
+    if as_of is not None:
+        number = publish_lookup(lookup_asof(days, as_of), root)
+    else:
+        states = day_states(spark, root)
+        held, known = published_ranges(spark, root) or ([], {})
+        if held and known and known.items() <= states.items():
+            since = sorted(states.keys() - known.keys())
+            added = days.where(F.col("ds").isin([as_day(day) for day in since]))
+            number = publish_added(spark, root, held, added, states)
+        else:
+            number = publish_lookup(days, root, states, days.count())
     if table is not None:
         point_lookup_table(spark, table, root)
-    drop_versions(spark, f"{root}/{PUBLISHED}", keep)
+    drop_published(spark, root, keep)
     return number
 
 

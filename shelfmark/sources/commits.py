@@ -13,27 +13,21 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 
-from shelfmark.sources.storage import _path
+from shelfmark.sources.files import claim, listing, read_text, write_text
 
 #: Seconds to wait for a commit that another writer has begun.
 PATIENCE = 60
 
 
 def numbers(spark: SparkSession, path: str) -> list[int]:
-    fs, hadoop_path = _path(spark, path)
-    if not fs.exists(hadoop_path):
-        return []
-    found = (re.fullmatch(r"(\d+)\.json", status.getPath().getName()) for status in fs.listStatus(hadoop_path))
+    found = (re.fullmatch(r"(\d+)\.json", name) for name, _, _ in listing(spark, path))
     return sorted(int(match[1]) for match in found if match)
 
 
 def read(spark: SparkSession, path: str, number: int) -> Any:
     """The content of a commit. One that is still being written is waited for."""
-    fs, hadoop_path = _path(spark, f"{path}/{number:012d}.json")
     for _ in range(PATIENCE * 10):
-        stream = fs.open(hadoop_path)
-        text = bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
-        stream.close()
+        text = read_text(spark, f"{path}/{number:012d}.json")
         if text.endswith("\n"):
             return json.loads(text)
         time.sleep(0.1)
@@ -48,11 +42,8 @@ def latest(spark: SparkSession, path: str) -> tuple[int, Any]:
 
 def commit(spark: SparkSession, path: str, number: int, content: Any) -> bool:
     """Write a commit, unless its number is taken. Tells whether it was written."""
-    fs, hadoop_path = _path(spark, f"{path}/{number:012d}.json")
-    fs.mkdirs(hadoop_path.getParent())
-    if not fs.createNewFile(hadoop_path):
+    file = f"{path}/{number:012d}.json"
+    if not claim(spark, file):
         return False
-    stream = fs.create(hadoop_path, True)
-    stream.write(bytearray((json.dumps(content) + "\n").encode()))
-    stream.close()
+    write_text(spark, file, json.dumps(content) + "\n")
     return True

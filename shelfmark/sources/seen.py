@@ -27,7 +27,8 @@ from shelfmark.functions.bloom import FILTER, blocks_for, filter_of, key_hash, m
 from shelfmark.schemas import TRIPLE_COLUMNS
 from shelfmark.session import fresh_dir
 from shelfmark.sources import commits
-from shelfmark.sources.storage import RAW, _path, drop, exists, read_days
+from shelfmark.sources.files import drop, listing
+from shelfmark.sources.storage import RAW, read_days
 
 INDEX = "seen"
 #: Generations beyond which all are merged.
@@ -128,10 +129,7 @@ def refresh(spark: SparkSession, root: str, name: str = RAW) -> list[Generation]
 
 def day_folders(spark: SparkSession, path: str) -> list[dt.date]:
     """The days that a triple table has folders for."""
-    if not exists(spark, path):
-        return []
-    fs, hadoop_path = _path(spark, path)
-    names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    names = [name for name, _, _ in listing(spark, path)]
     return [dt.date.fromisoformat(n.removeprefix("ds=")) for n in names if n.startswith("ds=")]
 
 

@@ -2,45 +2,27 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping
+from dataclasses import asdict
 from functools import reduce
 
-from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfmark.functions.days import Day, as_day
 from shelfmark.schemas import DAY_TRIPLE, TRIPLE, TRIPLE_COLUMNS
+from shelfmark.sources import ranges
+from shelfmark.sources.files import claim, drop, exists, listing, read_text, write_text
+from shelfmark.sources.ranges import Range
 
 STAGED = "values"
 RAW = "lookup_raw"
 PUBLISHED = "lookup"
 
 
-def _path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _path(spark, path)
-    return fs.exists(hadoop_path)
-
-
-def size_of(spark: SparkSession, path: str) -> int:
-    """Bytes of all files below a path."""
-    fs, hadoop_path = _path(spark, path)
-    return fs.getContentSummary(hadoop_path).getLength()
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    """Delete a staged folder."""
-    fs, hadoop_path = _path(spark, path)
-    fs.delete(hadoop_path, True)
-
-
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -116,10 +98,7 @@ def read_triples(spark: SparkSession, root: str, source: str, ds: Day) -> DataFr
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the complete versions of a table, oldest first."""
-    fs, hadoop_path = _path(spark, path)
-    if not fs.exists(hadoop_path):
-        return []
-    found = (re.fullmatch(r"version=(\d+)", s.getPath().getName()) for s in fs.listStatus(hadoop_path))
+    found = (re.fullmatch(r"version=(\d+)", name) for name, _, _ in listing(spark, path))
     numbers = sorted(int(match[1]) for match in found if match)
     return [n for n in numbers if exists(spark, f"{path}/version={n}/_SUCCESS")]
 
@@ -129,18 +108,19 @@ def write_version(df: DataFrame, path: str) -> int:
 
     A number is claimed by a file that only one writer can create, so two writers never share a version.
     """
-    spark = df.sparkSession
-    number = max(versions(spark, path), default=0) + 1
-    while not _claim(spark, f"{path}/_claims/{number}"):
-        number += 1
+    number = _next_number(df.sparkSession, path)
     df.write.mode("overwrite").parquet(f"{path}/version={number}")
     return number
 
 
-def _claim(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _path(spark, path)
-    fs.mkdirs(hadoop_path.getParent())
-    return fs.createNewFile(hadoop_path)
+_claim = claim
+
+
+def _next_number(spark: SparkSession, path: str) -> int:
+    number = max(versions(spark, path), default=0) + 1
+    while not _claim(spark, f"{path}/_claims/{number}"):
+        number += 1
+    return number
 
 
 def read_version(spark: SparkSession, path: str, number: int | None = None) -> DataFrame | None:
@@ -152,9 +132,8 @@ def read_version(spark: SparkSession, path: str, number: int | None = None) -> D
 
 def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete all but the last ``keep`` versions."""
-    fs, _ = _path(spark, path)
     for number in versions(spark, path)[:-keep]:
-        fs.delete(_path(spark, f"{path}/version={number}")[1], True)
+        drop(spark, f"{path}/version={number}")
 
 
 def clustered(lookup: DataFrame) -> DataFrame:
@@ -166,19 +145,81 @@ def clustered(lookup: DataFrame) -> DataFrame:
     return lookup.repartitionByRange(*TRIPLE_COLUMNS).sortWithinPartitions(*TRIPLE_COLUMNS)
 
 
-def publish_lookup(lookup: DataFrame, root: str) -> int:
-    return write_version(clustered(lookup.select(*TRIPLE_COLUMNS)), f"{root}/{PUBLISHED}")
+# ---- the published lookup ----
+
+#: Beside a version's mark of completeness: its ranges, and the state of the days that it holds.
+RANGES = "ranges.json"
+
+
+def published_ranges(spark: SparkSession, root: str, number: int | None = None) -> tuple[list[Range], dict] | None:
+    """Ranges of a published version, and the days it holds; None if it is missing or written otherwise."""
+    path = f"{root}/{PUBLISHED}"
+    number = max(versions(spark, path), default=None) if number is None else number
+    if number is None or not exists(spark, f"{path}/version={number}/{RANGES}"):
+        return None
+    held = json.loads(read_text(spark, f"{path}/version={number}/{RANGES}"))
+    return [Range(r["name"], tuple(r["start"]), r["n"]) for r in held["ranges"]], held["days"]
+
+
+def publish_lookup(
+    lookup: DataFrame, root: str, days: Mapping[str, str] | None = None, n: int | None = None
+) -> int:
+    """Publish a lookup as a whole. ``days`` tells the days it holds and their state, ``n`` how many triples these have."""
+    spark, path = lookup.sparkSession, f"{root}/{PUBLISHED}"
+    number = _next_number(spark, path)
+    written = ranges.write_all(lookup, f"{path}/ranges", str(number), n)
+    return _complete(spark, root, number, written, days or {})
+
+
+def publish_added(spark: SparkSession, root: str, held: list[Range], added: DataFrame, days: Mapping[str, str]) -> int:
+    """Publish the lookup after triples were added to published ranges."""
+    path = f"{root}/{PUBLISHED}"
+    number = _next_number(spark, path)
+    merged = ranges.merge(spark, f"{path}/ranges", held, added, str(number))
+    return _complete(spark, root, number, merged, days)
+
+
+def _complete(spark: SparkSession, root: str, number: int, held: list[Range], days: Mapping[str, str]) -> int:
+    folder = f"{root}/{PUBLISHED}/version={number}"
+    write_text(spark, f"{folder}/{RANGES}", json.dumps({"ranges": [asdict(r) for r in held], "days": days}))
+    write_text(spark, f"{folder}/_SUCCESS", "")
+    return number
+
+
+def drop_published(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete all but the last ``keep`` published versions, and the ranges that only those had."""
+    path = f"{root}/{PUBLISHED}"
+    names = {n: {r.name for r in (published_ranges(spark, root, n) or ([], {}))[0]} for n in versions(spark, path)}
+    drop_versions(spark, path, keep)
+    kept = set().union(*[names[n] for n in versions(spark, path)])
+    for name in set().union(*names.values()) - kept:
+        drop(spark, f"{path}/ranges/range={name}")
+
+
+def day_states(spark: SparkSession, root: str, name: str = RAW) -> dict[str, str]:
+    """A text for each day of a triple table that changes when the day is written anew."""
+    path = f"{root}/{name}"
+    days = [folder for folder, _, _ in listing(spark, path) if folder.startswith("ds=")]
+    return {day.removeprefix("ds="): json.dumps(listing(spark, f"{path}/{day}")) for day in days}
 
 
 def read_lookup(spark: SparkSession, root: str) -> DataFrame:
-    published = read_version(spark, f"{root}/{PUBLISHED}")
-    return empty(spark, TRIPLE) if published is None else published
+    """The lookup published last."""
+    held = published_ranges(spark, root)
+    if held is None:
+        published = read_version(spark, f"{root}/{PUBLISHED}")
+        return empty(spark, TRIPLE) if published is None else published
+    paths = ranges.folders(f"{root}/{PUBLISHED}/ranges", held[0])
+    return spark.read.schema(TRIPLE).parquet(*paths) if paths else empty(spark, TRIPLE)
 
 
 def point_lookup_table(spark: SparkSession, table: str, root: str) -> None:
     """Let a catalog table show the version published last, creating it if need be."""
     path = f"{root}/{PUBLISHED}"
+    held = published_ranges(spark, root)
     location = f"{path}/version={max(versions(spark, path))}"
+    if held is not None and held[0]:
+        location = f"{path}/ranges/{{{','.join(f'range={r.name}' for r in held[0])}}}"
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
         spark.catalog.refreshTable(table)

@@ -9,7 +9,7 @@ from shelfmark.operators.delta import history_until, lookup_asof, lookup_values,
 from shelfmark.operators.extract import first_seen
 from shelfmark.plans.daily_lookup import backfill, daily_run, publish, run_day
 from shelfmark.schemas import DAY_TRIPLE, TRIPLE
-from shelfmark.sources import seen, storage
+from shelfmark.sources import commits, ranges, seen, storage
 from shelfmark.sources.registry import Settings, SourceSpec
 from shelfmark.workload.tables import SPECS
 
@@ -310,3 +310,75 @@ def test_all_sources_run_from_settings(spark, tmp_path):
     assert {tuple(r) for r in spark.table("fleet_db.lookup").collect()} == expected
     assert spark.table("fleet_db.lookup_raw").where("ds = date'2024-01-02'").count() == len(expected)
     spark.sql("DROP DATABASE fleet_db CASCADE")
+
+
+def files_of(spark, root):
+    found = storage.read_lookup(spark, root).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_modification_time").alias("t"))
+    return {tuple(r) for r in found.distinct().collect()}
+
+
+def test_a_day_rewrites_the_ranges_it_touches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ranges, "RANGE_ROWS", 1500)
+    root = str(tmp_path)
+
+    def write(day, start, end, company="c"):
+        some = spark.range(start, end).selectExpr(
+            f"'{company}' || lpad(id, 6, '0') AS company_guid", "'t.c' AS column_name", "CAST(id AS STRING) AS column_value")
+        storage.write_day(some, root, storage.RAW, day)
+
+    write("2024-01-01", 0, 10_000)
+    assert publish(spark, root) == 1
+    before = files_of(spark, root)
+    assert len(before) > 4
+    # A few triples more, below all and among one range.
+    storage.write_day(spark.createDataFrame([(None, "t.c", "1"), ("c005000", "t.c", "new"), ("c005000", "t.c", "new")], TRIPLE),
+                      root, storage.RAW, "2024-01-02")
+    assert publish(spark, root) == 2
+    after = files_of(spark, root)
+    assert len(before - after) == 2 and len(after) == len(before)
+    found = storage.read_lookup(spark, root)
+    assert found.count() == 10_002 and found.where("company_guid IS NULL").count() == 1
+    # Nothing new, nothing written.
+    assert publish(spark, root) == 3 and files_of(spark, root) == after
+    # Many triples in one place: their range is cut.
+    write("2024-01-03", 0, 9_000, "c0050001x")
+    publish(spark, root)
+    held, _ = storage.published_ranges(spark, root)
+    assert max(r.n for r in held) < 4 * 1500 and sum(r.n for r in held) == 19_002
+    assert len(after & files_of(spark, root)) == len(after) - 1
+    starts = [r.order() for r in held]
+    assert starts == sorted(starts)
+    assert rows(storage.read_lookup(spark, root)) == rows(raw(spark, root).drop("ds").distinct())
+    # A day that changed makes the whole anew; versions that are gone leave no folder.
+    write("2024-01-03", 0, 10)
+    publish(spark, root, keep=1)
+    assert rows(storage.read_lookup(spark, root)) == rows(raw(spark, root).drop("ds").distinct())
+    folders = {f"range={r.name}" for r in storage.published_ranges(spark, root)[0]}
+    assert {p.name for p in (tmp_path / "lookup" / "ranges").iterdir() if p.name.startswith("range=")} == folders
+
+
+def test_publishing_shuffles_once(spark):
+    days = spark.range(100).selectExpr("CAST(id AS STRING) AS company_guid", "'t' || id AS column_name", "'v' || id AS column_value")
+    plan = days.repartitionByRange(*days.columns).distinct().sortWithinPartitions(*days.columns)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_triples_find_their_range(spark):
+    import random
+
+    draw = random.Random(3)
+    data = [(draw.choice([None, "", "a", "b", "é"]), draw.choice("xy"), str(draw.randrange(30))) for _ in range(400)]
+    df = spark.createDataFrame(data, TRIPLE)
+    for n in (1, 2, 3, 8, 33):
+        held = sorted((ranges.Range(str(i), start, 1) for i, start in enumerate(set(draw.sample(data, n)))), key=ranges.Range.order)
+        for r in df.withColumn("at", ranges.range_of(held)).collect():
+            mine = ranges.Range("", tuple(r)[:3], 0).order()
+            assert r["at"] == max(0, sum(h.order() <= mine for h in held) - 1)
+
+
+def test_commits_have_one_writer_each(spark, tmp_path):
+    path = str(tmp_path / "commits")
+    assert commits.latest(spark, path) == (0, None)
+    assert commits.commit(spark, path, 1, ["ä"]) and not commits.commit(spark, path, 1, ["b"])
+    assert commits.commit(spark, path, 2, {}) and commits.read(spark, path, 1) == ["ä"]
+    assert commits.latest(spark, path) == (2, {}) and commits.numbers(spark, path) == [1, 2]
