@@ -84,3 +84,55 @@ def test_cart_stream_equals_the_batch(spark, tmp_path, per_batch):
     # Nothing new, nothing changed.
     fold_stream(read_files(spark, source, "*.parquet", per_batch), root).awaitTermination()
     assert rows(sent_lines(spark, root), *columns) == rows(batch, *columns)
+
+
+def test_a_batch_opens_its_own_buckets(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "carts")
+    start = dt.datetime(2024, 1, 1)
+    number = 0
+
+    def deliver(*events):
+        nonlocal number
+        data = []
+        for cart_id, barcode, action, person in events:
+            number += 1
+            data.append((cart_id, barcode, start + dt.timedelta(seconds=number), number, action, person))
+        spark.createDataFrame(data, EVENT).coalesce(1).write.mode("append").parquet(source)
+        fold_stream(read_files(spark, source, "*.parquet", 1), root, buckets=5, fold_at=3).awaitTermination()
+
+    def files():
+        return {str(p.relative_to(root)) for p in (tmp_path / "carts" / "live").rglob("*.parquet")}
+
+    deliver(*[(f"c{i}", "x", "add", None) for i in range(20)])
+    first = files()
+    assert len({f.split("/")[1] for f in first}) == 5
+    for batch in range(1, 6):
+        before = files()
+        deliver(("c0", "y", "inc" if batch % 2 else "add", None), ("c0", "x", "inc", None))
+        # Files of the four other buckets are the same; those of its own are few.
+        own = {f.split("/")[1] for f in files() - before}
+        assert len(own) == 1 and first - files() <= {f for f in first if f.split("/")[1] in own}
+        assert len({f.split("/")[2] for f in files() if f.split("/")[1] in own}) <= 4
+    deliver(("c0", None, "submit", "bo"), ("c1", "x", "del", None), (None, "x", "add", None))
+    live = {(r["cart_id"], r["barcode"]): r["qty"] for r in live_lines(spark, root, 6).collect()}
+    assert live == {(f"c{i}", "x"): 1 for i in range(2, 20)}
+    sent = {(r["cart_id"], r["barcode"]): r["qty"] for r in sent_lines(spark, root).collect()}
+    assert sent == {("c0", "x"): 6, ("c0", "y"): 4}
+
+
+def test_a_batch_that_runs_again_leaves_the_same(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "carts")
+    events = sorted(random_events(5, 200, [5, 4, 6, 1, 0.5, 0.1]), key=lambda e: e[3])
+    known = spark.createDataFrame([(b, b) for b in ("x", "y", "z", "unknown")], "barcode string, name string")
+    for batch, at in enumerate(range(0, 200, 50)):
+        spark.createDataFrame(events[at : at + 50], EVENT).coalesce(1).write.mode("append").parquet(source)
+        for _ in range(2):
+            fold_stream(read_files(spark, source, "*.parquet", 1), root, buckets=2, fold_at=2).awaitTermination()
+            # The mark that the batch is done gets lost: it runs once more.
+            done = tmp_path / "carts" / "checkpoint" / "commits"
+            for name in (str(batch), f".{batch}.crc"):
+                (done / name).unlink(missing_ok=True)
+        fold_stream(read_files(spark, source, "*.parquet", 1), root, buckets=2, fold_at=2).awaitTermination()
+        state = cart.cart_state(spark.read.parquet(source), known)
+        assert rows(live_lines(spark, root, batch), "cart_id", "barcode", "qty", "added_at") == rows(
+            state, "cart_id", "barcode", "qty", "added_at")
