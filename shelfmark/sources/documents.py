@@ -8,7 +8,8 @@ from pyspark.sql.types import StructType
 
 from shelfmark.functions.text import trimmed
 from shelfmark.schemas import CUSTOM_PRODUCT, ITEM, PRODUCT, RULES, SAVED_RECORD
-from shelfmark.sources.storage import empty, exists
+from shelfmark.sources.files import exists
+from shelfmark.sources.storage import empty
 
 
 def read_catalog(spark: SparkSession, path: str, schema: StructType = PRODUCT) -> DataFrame:
@@ -62,18 +63,20 @@ def parse_records(lines: DataFrame, line: str) -> DataFrame:
     """Record lines held in a text column: ``record``, and ``is_malformed`` for lines that are no JSON.
 
     Blank lines are left out. Any JSON is a record, whatever fields it has; :data:`BODY` keeps its items as they
-    are. A JSON object that repeats a key counts as malformed.
+    are. If an object repeats a key, the last one counts; the session takes such JSON from now on.
     """
+    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     parsed = lines.where(trimmed(line) != "").withColumn("record", _record(trimmed(line)))
     return parsed.withColumn("is_malformed", F.col("record").isNull())
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON-lines record log without its blank and malformed lines; a missing file gives no row.
+def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """A JSON-lines record log, in one path or several, without blank and malformed lines; a missing file gives no row.
 
     Lines are read as text and judged whole, so the rows are the same whichever columns are asked for.
     """
-    if not exists(spark, path):
+    path = [p for p in ([path] if isinstance(path, str) else path) if exists(spark, p)]
+    if not path:
         return empty(spark, SAVED_RECORD).withColumn(BODY, F.lit(None).cast("string"))
     parsed = parse_records(spark.read.text(path), "value")
     return parsed.where(~F.col("is_malformed")).select("record.*")

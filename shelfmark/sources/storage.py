@@ -23,7 +23,7 @@ RAW = "lookup_raw"
 PUBLISHED = "lookup"
 
 
-def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+def empty(spark: SparkSession, schema: StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
