@@ -1,16 +1,16 @@
-"""Removal of passages that occur more than once, by exact grouping of hashes.
+"""Removal of passages that occur more than once, by a count-min sketch and exact grouping of what it lets through.
 
-A window is 35 consecutive words. Two passes over the texts:
+A window is 35 consecutive words. Three passes over the texts:
 
-1. Every task takes its windows in chunks of bounded size. Of each window 96 bits of hash and its number in the chunk
-   go to the task of its hash range, sorted, as differences; windows that the chunk itself repeats go once. The ranges
-   are as many as the texts need for a bounded number of windows in each. The numbers of those that two chunks
-   have come back, by chunk, and become places in texts there.
-2. The words of the windows at these places go.
-
-So the bytes and the memory a window takes are the same at every size of the input. A count-min sketch in front
-(one bit a cell in every Python worker, set where all tasks together count two or more) can spare inputs that it is
-large enough for most of the hashes; the result is the same.
+1. Every task takes its windows in chunks of bounded size. Of each window 32 bits of hash and its number in the chunk go
+   to the task of its hash range, sorted, as differences. The ranges are as many as the texts need for a bounded
+   number of windows in each. A range's task counts them in its own part of the sketch, so the cells for each window
+   are the same at every size of the input, and no one holds all of it. As every window of a cell comes to the same task,
+   a cell counts what all chunks together have; an estimate is never too low. The numbers of the windows that are
+   estimated to repeat come back, by chunk, and become places in texts there.
+2. Of the windows at these places 96 bits of hash are grouped exactly, in ranges again. The numbers of those that two
+   chunks have, or one has twice, come back and become places.
+3. The words of the windows at these places go.
 
 The hash of a window is a polynomial over word hashes, computed for all windows of a chunk at once by doubling.
 """
@@ -26,7 +26,6 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,31 +37,28 @@ from shelfmark.llm.common import (
     in_small_batches,
     read_table,
     stage,
-    stage_at,
     text_keys,
     texts_in,
     worker_memory,
 )
-from shelfmark.session import fresh_dir
-from shelfmark.sources.storage import drop
 
 WINDOW = 35
 #: Rows of the sketch.
 DEPTH = 2
-#: Cells of all rows of the sketch are a power of two: about CELLS_PER_WINDOW a window, as far as the caller lets it grow.
+#: Cells of all rows of a range's part of the sketch are a power of two: about CELLS_PER_WINDOW a window.
 CELLS_PER_WINDOW = 8
 MIN_CELL_BITS = 20
-#: Cells of a range, which one task merges.
-RANGE_BITS = 22
 #: Distinct words that a worker remembers the hashes of.
 KNOWN_WORDS = 1 << 18
-#: Windows that a task counts, and windows that it sends, at a time.
-COUNTED = 1 << 21
+#: Windows that a task sends at a time.
 SENT = 1 << 20
 #: Bytes of text for each hash range: about two million windows, six million if all words have one letter.
 RANGE_BYTES = 12 << 20
+#: Windows that the sketch lets through for each hash range of the exact pass.
+RANGE_WINDOWS = 1 << 21
 
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_ODD = np.arange(1, 2 * DEPTH, 2, dtype=np.uint64)[:, None]
 
 
 class _WordHashes(dict):
@@ -140,113 +136,36 @@ class Windows:
 
 
 class Sketch:
-    """Cells of a count-min sketch; ``bits`` is the base-2 logarithm of the cells of one row."""
-
-    def __init__(self, cell_bits: int, depth: int = DEPTH) -> None:
-        self.depth, self.bits = depth, cell_bits - (depth - 1).bit_length()
-        self.range_bits = min(RANGE_BITS, self.bits)
-
-    def cells(self, lanes: tuple[np.ndarray, np.ndarray], row: int) -> np.ndarray:
-        # Of 64 bits the upper ones; the rows use different mixes of both lanes.
-        mixed = _mix(lanes[0] + lanes[1] * np.uint64(2 * row + 1))
-        return mixed >> np.uint64(64 - self.bits)
-
-    def ranges(self) -> int:
-        return 1 << (self.bits - self.range_bits)
-
-
-def _pack(cells: np.ndarray) -> bytes:
-    """Sorted numbers as compressed differences."""
-    steps = np.diff(cells, prepend=np.uint64(0)).astype("<u4")
-    return zstandard.ZstdCompressor(level=1).compress(steps.tobytes())
-
-
-def _unpack(packed: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<u4"), dtype=np.int64)
+    """A count-min sketch of the windows of one hash range, whose cells count to two.
 
+    ``cell_bits`` is the base-2 logarithm of all its cells. Rows are counted one after the other in the same memory.
+    """
 
-def _local_counts(sketch: Sketch, window: int) -> Callable:
-    """Per task, row and range: the cells that occur, sorted, twice if they count two or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_memory("substring")
-        known = _WordHashes()
-        held: list[list[np.ndarray]] = [[] for _ in range(sketch.depth)]
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            rows, ranges, packed = [], [], []
-            for row in range(sketch.depth):
-                cells = np.sort(np.concatenate(held[row]))
-                # Keep at most two of equal cells.
-                keep = np.ones(len(cells), bool)
-                keep[2:] = cells[2:] != cells[:-2]
-                cells = cells[keep]
-                edges = np.arange(sketch.ranges() + 1, dtype=np.uint64) << np.uint64(sketch.range_bits)
-                cuts = np.searchsorted(cells, edges)
-                for number in np.flatnonzero(np.diff(cuts)):
-                    rows.append(row)
-                    ranges.append(int(number))
-                    packed.append(_pack(cells[cuts[number] : cuts[number + 1]] - edges[number]))
-                held[row].clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int32()), pa.array(ranges, pa.int32()), pa.array(packed, pa.binary())],
-                names=["row", "range", "cells"],
-            )
+    def __init__(self, cell_bits: int, depth: int = DEPTH) -> None:
+        self.depth, self.bits = depth, max(1, cell_bits - (depth - 1).bit_length())
 
-        for batch in batches:
-            for texts in chunks(batch.column("t").to_pylist()):
-                found = Windows(texts, window, known)
-                for row in range(sketch.depth):
-                    held[row].append(sketch.cells(found.lanes, row).astype(np.uint32))
-                size += len(found.at)
-                if size > COUNTED:
-                    yield flush()
-                    size = 0
-        if size:
-            yield flush()
+    def _cells(self, hashes: np.ndarray, row: int) -> np.ndarray:
+        # Of 64 bits the upper ones; the rows use different mixes.
+        return (_mix(hashes * _BASES[0] + _BASES[1] * _ODD[row]) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    return run
+    def repeated(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes are estimated to be there more than once: all that are, and some others."""
+        found, number = np.ones(len(hashes), bool), np.arange(len(hashes), dtype=np.int32)
+        last = np.empty(1 << self.bits, np.int32)
+        for row in range(self.depth):
+            cells = self._cells(hashes, row)
+            # Of all that write their number to a cell the last one is read back; the others show that there are two.
+            last[cells] = number
+            twice = np.zeros(len(last), bool)
+            twice[cells[last[cells] != number]] = True
+            found &= twice[cells]
+        return found
 
 
-def merged_sketch(texts: DataFrame, sketch: Sketch, window: int = WINDOW) -> Broadcast:
-    """One bit a cell, set where all tasks together count two or more; as a broadcast of fixed size."""
-    counted = texts.mapInArrow(_local_counts(sketch, window), "row int, range int, cells binary")
-    cells_in_range = 1 << sketch.range_bits
-
-    def merge(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        once, twice = np.zeros(cells_in_range, bool), np.zeros(cells_in_range, bool)
-        for part in parts:
-            for packed in part["cells"]:
-                cells = _unpack(packed)
-                again = np.diff(cells, prepend=-1) == 0
-                first = cells[~again]
-                twice[cells[again]] = True
-                twice[first[once[first]]] = True
-                once[first] = True
-        bits = zstandard.ZstdCompressor(level=1).compress(np.packbits(twice, bitorder="little").tobytes())
-        yield pd.DataFrame({"row": [key[0]], "range": [key[1]], "bits": [bits]})
-
-    merged = counted.groupBy("row", "range").applyInPandas(merge, "row int, range int, bits binary")
-    width = max(1, cells_in_range // 8)
-    bitmap = np.zeros((sketch.depth, sketch.ranges() * width), np.uint8)
-    spark = texts.sparkSession
-    path = fresh_dir(spark, "sketch")
-    for row in stage_at(merged, path).toLocalIterator():
-        bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["bits"]), np.uint8)
-        bitmap[row["row"], row["range"] * width : row["range"] * width + len(bits)] = bits
-    drop(spark, path)
-    return spark.sparkContext.broadcast(bitmap)
-
-
-def _estimated(found: Windows, sketch: Sketch, bitmap: np.ndarray) -> np.ndarray:
-    """Which windows (by index) may be repeated."""
-    maybe = np.arange(len(found.at))
-    for row in range(sketch.depth):
-        cells = sketch.cells((found.lanes[0][maybe], found.lanes[1][maybe]), row)
-        set_ = bitmap[row][cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8) & 1
-        maybe = maybe[set_.astype(bool)]
-    return maybe
+def cell_bits(windows: int, most: int | None = None) -> int:
+    """For so many windows: the base-2 logarithm of the cells."""
+    wanted = max(MIN_CELL_BITS, (CELLS_PER_WINDOW * windows).bit_length())
+    return wanted if most is None else min(wanted, most)
 
 
 def _order(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,80 +184,123 @@ def _planes(values: np.ndarray) -> bytes:
 
 
 _SENT = "part int, chunk long, windows binary, keys binary, counts binary, repeated binary"
-
-
-def _send(sketch: Sketch | None, bitmap: Broadcast | None, window: int, groups: int) -> Callable:
-    """Per chunk and hash range: hashes and numbers of the windows, each of the chunk once, sorted by hash.
-
-    Windows that the chunk itself repeats carry no number. Each chunk adds a row of the keys of its texts, how many
-    windows these have, and the numbers of those that it repeats.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_memory("substring")
-        known = _WordHashes()
-        held, keys, counts, size, flushed = [], [], [], 0, 0
-        task = TaskContext.get().partitionId()
-
-        def flush() -> pa.RecordBatch:
-            hi, lo, number = (np.concatenate(column) for column in zip(*held))
-            order, same = _order(hi, lo)
-            hi, lo, number = hi[order], lo[order], number[order]
-            first = np.concatenate([[True], ~same])
-            alone = first & np.concatenate([~same, [True]])
-            repeated = np.sort(number[~alone]).astype("<u4")
-            hi, lo, number = hi[first], lo[first], np.where(alone, number + 1, 0)[first].astype("<u4")
-            # Ranges of the upper lane, equally wide.
-            part = (hi >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
-            cuts = np.searchsorted(part, np.arange(groups + 1, dtype=np.uint64))
+_SENT_NAMES = [field.split()[0] for field in _SENT.split(", ")]
+
+
+class _Chunk:
+    """The windows of some texts until they are sent."""
+
+    def __init__(self, window: int) -> None:
+        self.window, self.known = window, _WordHashes()
+        self.task, self.flushed = TaskContext.get().partitionId(), 0
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.keys, self.counts, self.size = [], [], [], 0
+
+    def take(self, texts: list[bytes], keys: np.ndarray, places: list[bytes] | None = None) -> None:
+        """All windows of the texts, or those at some places, which come as steps."""
+        found = Windows(texts, self.window, self.known)
+        hi, lo = found.lanes
+        # The windows of a text start at consecutive words: a number tells text and place.
+        number = np.arange(self.size, self.size + len(hi), dtype=np.int64)
+        many = np.maximum(found.counts - self.window + 1, 0)
+        if places is not None:
+            starts = np.cumsum(many) - many
+            at = [s + np.cumsum(np.frombuffer(p, "<u4"), dtype=np.int64) for s, p in zip(starts, places, strict=True)]
+            at = np.concatenate([np.empty(0, np.int64), *at])
+            hi, lo, number = hi[at], lo[at], number[at]
+        some = np.flatnonzero(many)
+        self.hashes.append((hi, lo.astype("<u4"), number))
+        self.counts.append(many[some])
+        self.keys.append(keys[some].tobytes())
+        self.size += len(found.at)
+
+    def send(self, payloads: Callable) -> Iterator[pa.RecordBatch]:
+        """What goes to the hash ranges, and a row of the keys of the texts, how many windows these have, and the
+        numbers of those that the chunk itself repeats."""
+        if any(len(h[0]) for h in self.hashes):
+            parts, packed, repeated, groups = payloads(*(np.concatenate(column) for column in zip(*self.hashes)))
             pack = zstandard.ZstdCompressor(level=1).compress
-            parts = np.flatnonzero(np.diff(cuts)).tolist()
-            payloads = []
-            for some in (slice(cuts[p], cuts[p + 1]) for p in parts):
-                steps = np.diff(hi[some], prepend=np.uint64(0))
-                payloads.append(pack(_planes(steps) + lo[some].tobytes() + _planes(number[some])))
             # The same for a task that runs again, but for one that then meets other texts.
-            all_keys = b"".join(keys)
-            chunk = xxhash.xxh3_64_intdigest(all_keys + b"%d,%d" % (task, flushed)) >> 1
+            all_keys = b"".join(self.keys)
+            chunk = xxhash.xxh3_64_intdigest(all_keys + b"%d,%d" % (self.task, self.flushed)) >> 1
             none = [None] * len(parts)
             columns = [
                 pa.array([*parts, chunk % groups], pa.int32()),
                 pa.array([chunk] * (len(parts) + 1), pa.int64()),
-                pa.array([*payloads, None], pa.binary()),
+                pa.array([*packed, None], pa.binary()),
                 pa.array([*none, all_keys], pa.binary()),
-                pa.array([*none, pack(np.concatenate(counts).astype("<u4").tobytes())], pa.binary()),
-                pa.array([*none, pack(repeated.tobytes())], pa.binary()),
+                pa.array([*none, pack(np.concatenate(self.counts).astype("<u4").tobytes())], pa.binary()),
+                pa.array([*none, pack(repeated.astype("<u4").tobytes())], pa.binary()),
             ]
-            for column in (held, keys, counts):
-                column.clear()
-            return pa.RecordBatch.from_arrays(columns, names="part chunk windows keys counts repeated".split())
+            yield pa.RecordBatch.from_arrays(columns, names=_SENT_NAMES)
+        self.clear()
+        self.flushed += 1
+
+
+def _parts(hi: np.ndarray, groups: int) -> np.ndarray:
+    """Ranges of the upper lane, equally wide."""
+    return (hi >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
 
+
+def _cell_payloads(groups: int) -> Callable:
+    """Per hash range: 32 bits of hash and the numbers of all windows, sorted by hash."""
+
+    def run(hi: np.ndarray, lo: np.ndarray, number: np.ndarray) -> tuple:
+        part = _parts(hi, groups)
+        order = np.argsort((part << np.uint64(32)) | (hi & np.uint64(0xFFFFFFFF)))
+        part, low, number = part[order], hi[order].astype("<u4"), number[order].astype("<u4")
+        cuts = np.searchsorted(part, np.arange(groups + 1, dtype=np.uint64))
+        parts, pack = np.flatnonzero(np.diff(cuts)).tolist(), zstandard.ZstdCompressor(level=1).compress
+        some = [slice(cuts[p], cuts[p + 1]) for p in parts]
+        packed = [pack(_planes(np.diff(low[s], prepend=np.uint32(0))) + _planes(number[s])) for s in some]
+        return parts, packed, np.empty(0, np.int64), groups
+
+    return run
+
+
+def _exact_payloads(groups: int) -> Callable:
+    """Per hash range: 96 bits of hash and the numbers of the windows, each of the chunk once, sorted by hash.
+
+    Windows that the chunk itself repeats carry no number.
+    """
+
+    def run(hi: np.ndarray, lo: np.ndarray, number: np.ndarray) -> tuple:
+        order, same = _order(hi, lo)
+        hi, lo, number = hi[order], lo[order], number[order]
+        first = np.concatenate([[True], ~same])
+        alone = first & np.concatenate([~same, [True]])
+        repeated = np.sort(number[~alone])
+        hi, lo, number = hi[first], lo[first], np.where(alone, number + 1, 0)[first].astype("<u4")
+        cuts = np.searchsorted(_parts(hi, groups), np.arange(groups + 1, dtype=np.uint64))
+        parts, pack = np.flatnonzero(np.diff(cuts)).tolist(), zstandard.ZstdCompressor(level=1).compress
+        packed = []
+        for some in (slice(cuts[p], cuts[p + 1]) for p in parts):
+            steps = np.diff(hi[some], prepend=np.uint64(0))
+            packed.append(pack(_planes(steps) + lo[some].tobytes() + _planes(number[some])))
+        return parts, packed, repeated, groups
+
+    return run
+
+
+def _send(window: int, payloads: Callable) -> Callable:
+    """Sends the windows of texts, or those at the ``places`` that come with them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("substring")
+        chunk = _Chunk(window)
         for batch in batches:
-            place = 0
-            batch_keys = np.stack([batch.column(k).to_numpy() for k in ("k1", "k2")], axis=1)
+            done = 0
+            keys = np.stack([batch.column(k).to_numpy() for k in ("k1", "k2")], axis=1)
+            places = batch.column("places").to_pylist() if "places" in batch.schema.names else None
             for texts in chunks(batch.column("t").to_pylist()):
-                found = Windows(texts, window, known)
-                hi, lo = found.lanes
-                # The windows of a text start at consecutive words: a number tells text and place.
-                number = np.arange(size, size + len(hi), dtype=np.int64)
-                if sketch is not None:
-                    maybe = _estimated(found, sketch, bitmap.value)
-                    hi, lo, number = hi[maybe], lo[maybe], number[maybe]
-                many = np.maximum(found.counts - window + 1, 0)
-                some = np.flatnonzero(many)
-                held.append((hi, lo.astype("<u4"), number))
-                counts.append(many[some])
-                keys.append(batch_keys[place : place + len(texts)][some].tobytes())
-                place += len(texts)
-                size += len(found.at)
-                if size > SENT:
-                    if any(len(h[0]) for h in held):
-                        yield flush()
-                    for column in (held, keys, counts):
-                        column.clear()
-                    size, flushed = 0, flushed + 1
-        if any(len(h[0]) for h in held):
-            yield flush()
+                some = slice(done, done + len(texts))
+                chunk.take(texts, keys[some], places and places[some])
+                done += len(texts)
+                if chunk.size > SENT:
+                    yield from chunk.send(payloads)
+        yield from chunk.send(payloads)
 
     return run
 
@@ -352,16 +314,48 @@ def _read_sent(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 _FOUND = "chunk long, keys binary, counts binary, repeated binary"
+_FOUND_NAMES = [field.split()[0] for field in _FOUND.split(", ")]
+
+
+def _read_cells(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8)
+    steps, numbers = (np.ascontiguousarray(half.reshape(4, -1).T).view("<u4").ravel() for half in np.split(raw, 2))
+    return np.cumsum(steps, dtype=np.uint64), numbers
+
+
+def _estimated(most: int | None) -> Callable:
+    """Of one hash range: the numbers, by chunk, of the windows that the sketch takes for repeated. Rows of keys pass."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chunk, read = [], []
+        for batch in batches:
+            known = batch["windows"].isna()
+            if known.any():
+                yield batch.loc[known, _FOUND_NAMES]
+            for number, payload in batch.loc[~known, ["chunk", "windows"]].itertuples(index=False):
+                chunk.append(number)
+                read.append(_read_cells(payload))
+        if not read:
+            return
+        ends = np.cumsum([len(hashes) for hashes, _ in read])
+        repeated = Sketch(cell_bits(int(ends[-1]), most)).repeated(np.concatenate([hashes for hashes, _ in read]))
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for name, (_, numbers), mine in zip(chunk, read, np.split(repeated, ends[:-1]), strict=True):
+            some = np.sort(numbers[mine])
+            if len(some):
+                row = {"chunk": [name], "keys": None, "counts": None, "repeated": [pack(some.tobytes())]}
+                yield pd.DataFrame(row, columns=_FOUND_NAMES)
+
+    return run
 
 
 def _repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of one hash range: the numbers, by chunk, of the windows that several chunks have. Rows of keys pass."""
-    names = [field.split()[0] for field in _FOUND.split(", ")]
     chunk, read = [], []
     for batch in batches:
         known = batch["windows"].isna()
         if known.any():
-            yield batch.loc[known, names]
+            yield batch.loc[known, _FOUND_NAMES]
         for number, payload in batch.loc[~known, ["chunk", "windows"]].itertuples(index=False):
             chunk.append(number)
             read.append(_read_sent(payload))
@@ -377,7 +371,7 @@ def _repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     some = np.flatnonzero(np.diff(cuts)).tolist()
     pack = zstandard.ZstdCompressor(level=1).compress
     rows = [pack((number[found[cuts[i] : cuts[i + 1]]] - np.uint32(1)).tobytes()) for i in some]
-    yield pd.DataFrame({"chunk": [chunk[i] for i in some], "keys": None, "counts": None, "repeated": rows}, columns=names)
+    yield pd.DataFrame({"chunk": [chunk[i] for i in some], "keys": None, "counts": None, "repeated": rows}, columns=_FOUND_NAMES)
 
 
 def _by_text(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -392,6 +386,8 @@ def _by_text(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if keys is None:
         raise RuntimeError("The texts changed while they were read.")
     number = np.sort(np.concatenate(numbers)).astype(np.int64)
+    if not len(number):
+        return
     keys = np.frombuffer(keys, np.int64).reshape(-1, 2)
     starts = np.concatenate([[0], np.cumsum(np.frombuffer(unpack(counts), "<u4"), dtype=np.int64)])
     text = np.searchsorted(starts, number, side="right") - 1
@@ -457,6 +453,21 @@ def _ranges(size: int) -> int:
     return max(1, -(-size // RANGE_BYTES))
 
 
+def _places(sent: DataFrame, find: Callable, label: str) -> DataFrame:
+    """Per text the places of the windows that are found in the hash ranges, as steps."""
+
+    def in_range(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from find(parts)
+
+    def by_text(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _by_text(parts)
+
+    found = sent.groupBy("part").applyInPandas(in_range, _FOUND)
+    by_key = found.groupBy("chunk").applyInPandas(by_text, "k1 long, k2 long, places binary")
+    # All windows of a repeated row are repeated: whichever row of a key stays has all places.
+    return stage(by_key.groupBy("k1", "k2").agg(F.first("places").alias("places")), label)
+
+
 def remove_repeated(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -470,33 +481,19 @@ def remove_repeated(
     row of the same id, or in a repeated row. ``dedup.text`` is the text as it is if nothing is removed, else the
     words that stay, joined by blanks. NULL stays NULL, with no words; ``kept_sha256`` is of the words that
     stay, joined by blanks, also where nothing was removed. Texts with fewer words than a window are never
-    changed. A column that is called ``dedup`` already is kept beside ``dedup_``. With ``max_cell_bits`` a sketch of at
-    most two to the power of that many cells goes first.
+    changed. A column that is called ``dedup`` already is kept beside ``dedup_``. ``max_cell_bits`` bounds the cells of
+    each range's part of the sketch, by two to the power of that; the result is the same.
     """
     in_small_batches(docs.sparkSession)
-    texts = docs.select(F.col(text).cast("binary").alias("t"))
-    size = texts.agg(F.sum(F.length("t"))).first()[0] or 0
-    sketch = bitmap = None
-    if max_cell_bits is not None:
-        # A word and the blank after it take about six bytes.
-        wanted = max(1, CELLS_PER_WINDOW * size // 6)
-        sketch = Sketch(min(max(wanted.bit_length(), MIN_CELL_BITS), max_cell_bits))
-        bitmap = merged_sketch(texts, sketch, window)
-
-    groups = _ranges(size)
     keyed = docs.select(F.col(text).cast("binary").alias("t"), *text_keys(F.col(doc_id), F.col(text)))
-    sent = keyed.mapInArrow(_send(sketch, bitmap, window, groups), _SENT).repartition(groups, "part")
-
-    def repeated(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _repeated(parts)
-
-    def by_text(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _by_text(parts)
-
-    found = sent.groupBy("part").applyInPandas(repeated, _FOUND)
-    by_key = found.groupBy("chunk").applyInPandas(by_text, "k1 long, k2 long, places binary")
-    # All windows of a repeated row are repeated: whichever row of a key stays has all places.
-    places = stage(by_key.groupBy("k1", "k2").agg(F.first("places").alias("places")), "windows-repeated")
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    sent = keyed.mapInArrow(_send(window, _cell_payloads(_ranges(size))), _SENT).repartition(_ranges(size), "part")
+    maybe = _places(sent, _estimated(max_cell_bits), "windows-estimated")
+    n = maybe.agg(F.sum(F.octet_length("places")) / 4).first()[0] or 0
+    groups = max(1, -(-int(n) // RANGE_WINDOWS))
+    joined = keyed.join(maybe, ["k1", "k2"]).select("t", "k1", "k2", "places")
+    exact = joined.mapInArrow(_send(window, _exact_payloads(groups)), _SENT).repartition(groups, "part")
+    places = _places(exact, _repeated, "windows-repeated")
     rows = docs.select(as_row(docs).alias("r"), *text_keys(F.col(doc_id), F.col(text)))
     joined = rows.join(places, ["k1", "k2"], "left").select("r", "places")
     out = joined.select("r").schema.add("clean", "string").add("n_words", "long").add("n_removed", "long")
