@@ -69,18 +69,35 @@ def _first_columns(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> li
 
 
 def solve(
-    lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 5e-4, batch: int = 60, most: int = 3000
+    lengths: np.ndarray,
+    demand: np.ndarray,
+    capacity: int,
+    gap: float = 5e-4,
+    batch: int = 60,
+    most: int = 3000,
+    patience: int = 100,
 ) -> tuple[list[dict[int, int]], np.ndarray]:
     """Patterns (piece index to count) and how often each is used, as fractions: demand is met exactly.
 
-    Stops when the dual bound says that no solution needs ``gap`` less sequences (or half a sequence), or after
-    ``most`` exchanges of columns; each state on the way is feasible.
+    Stops when a bound says that no solution needs ``gap`` less sequences (or half a sequence), when ``patience``
+    exchanges of columns have gained next to nothing, or after ``most``; each state on the way is feasible.
     """
     n = len(lengths)
     patterns = [{i: int(capacity // lengths[i])} for i in range(n)]
     inverse = np.diag([1.0 / p[i] for i, p in enumerate(patterns)])
     used = inverse @ demand
-    exchanges = 0
+    # No solution needs less than all pieces laid end to end.
+    least = (lengths * demand).sum() / capacity
+    exchanges, best_total, since = 0, np.inf, 0
+
+    def near_enough() -> bool:
+        """Whether the total is as good as the bound, or has not fallen for long."""
+        nonlocal best_total, since
+        total, since = used.sum(), since + 1
+        slack = max(0.5, gap * total)
+        if best_total - total > slack / 100:
+            best_total, since = total, 0
+        return total - least <= slack or since > patience
 
     def pivot_in(columns: list[dict[int, int]]) -> bool:
         """Exchange columns into the basis, best reduced cost first, until none of them helps."""
@@ -89,7 +106,7 @@ def solve(
         for j, column in enumerate(columns):
             matrix[list(column), j] = list(column.values())
         start = exchanges
-        while exchanges < most:
+        while exchanges < most and not near_enough():
             gains = inverse.sum(axis=0) @ matrix - 1
             best = int(gains.argmax())
             if gains[best] <= 1e-7:
@@ -114,11 +131,8 @@ def solve(
         return exchanges > start
 
     pivot_in(_first_columns(lengths, demand.astype(np.int64), capacity))
-    while exchanges < most:
+    while exchanges < most and not near_enough():
         total = used.sum()
-        # No solution needs less than all pieces laid end to end.
-        if total - (lengths * demand).sum() / capacity <= max(0.5, gap * total):
-            break
         prices = np.maximum(inverse.sum(axis=0), 0)
         worth, last = _best_fills(lengths, prices, capacity)
         if worth[capacity] <= 1 + 1e-7 or total * (1 - 1 / worth[capacity]) <= max(0.5, gap * total):
@@ -170,17 +184,34 @@ def whole_patterns(
         pattern = {int(open_[i]): k for i, k in column.items()}
         if tight(pattern) and fits(pattern) > 0:
             take(pattern, fits(pattern))
-    # Best fit: fills by the room they have left.
-    rooms: list[list[dict[int, int]]] = [[] for _ in range(capacity + 1)]
-    for i in np.argsort(-lengths):
-        size = int(lengths[i])
-        for _ in range(int(left[i])):
-            room = next((r for r in range(size, capacity) if rooms[r]), capacity)
-            fill = rooms[room].pop() if room < capacity else {}
-            fill[int(i)] = fill.get(int(i), 0) + 1
-            rooms[room - size].append(fill)
-    for fills in rooms:
-        for fill in fills:
-            if tight(fill):
-                take(fill, 1)
+    for fill, times in _best_fit(lengths, left, capacity):
+        if tight(fill):
+            take(fill, times)
     return found, left
+
+
+def _best_fit(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Fills and how often each is used: pieces, longest first, go where they leave the least room.
+
+    Equal fills are one entry, so the work depends on the number of lengths, not on that of pieces.
+    """
+    rooms: list[list[tuple[dict[int, int], int]]] = [[] for _ in range(capacity + 1)]
+    for i in np.argsort(-lengths).tolist():
+        size, open_ = int(lengths[i]), int(demand[i])
+        while open_:
+            room = next((r for r in range(size, capacity) if rooms[r]), None)
+            if room is not None:
+                fill, times = rooms[room].pop()
+                used = min(times, open_)
+                if used < times:
+                    rooms[room].append((fill, times - used))
+                rooms[room - size].append((fill | {i: fill.get(i, 0) + 1}, used))
+                open_ -= used
+                continue
+            # Nothing fits: new fills of as many pieces as go in, and one of the rest.
+            each = capacity // size
+            for count, times in ((each, open_ // each), (open_ % each, 1)):
+                if count and times:
+                    rooms[capacity - count * size].append(({i: count}, times))
+            open_ = 0
+    return [entry for held in rooms for entry in held]

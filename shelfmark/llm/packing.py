@@ -88,8 +88,29 @@ class _Places:
     offset: list[int] = field(default_factory=list)
 
 
-def _plan(histogram: dict[int, int], base: int, sequence: int) -> tuple[dict[int, _Places], np.ndarray, int]:
-    """Places of all remainders, ends of the cut sequences within the stretch, and the first cut sequence."""
+@dataclass
+class _Stretch:
+    """Remainders laid end to end and cut into ``whole`` sequences of full length and some of powers of two."""
+
+    sequence: int
+    whole: int
+    tail: list[int]
+
+    def cut(self, at: int) -> tuple[int, int, int]:
+        """The sequence that holds a place of the stretch, by number, and where it starts and ends."""
+        number = at // self.sequence
+        if number < self.whole:
+            return number, number * self.sequence, (number + 1) * self.sequence
+        start = self.whole * self.sequence
+        for number, size in enumerate(self.tail, self.whole):
+            if at < start + size:
+                break
+            start += size
+        return number, start, start + size
+
+
+def _plan(histogram: dict[int, int], base: int, sequence: int) -> tuple[dict[int, _Places], _Stretch, int]:
+    """Places of all remainders, the stretch that is cut, and the first cut sequence."""
     lengths = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[size] for size in lengths.tolist()], np.int64)
     patterns, left = whole_patterns(lengths, demand, sequence)
@@ -116,11 +137,11 @@ def _plan(histogram: dict[int, int], base: int, sequence: int) -> tuple[dict[int
             give(size, times, stretch, -1)
             stretch += size * times
     whole, tail = divmod(stretch, sequence)
-    sizes = [sequence] * whole + [1 << bit for bit in reversed(range(tail.bit_length())) if tail >> bit & 1]
-    return places, np.cumsum(sizes, dtype=np.int64), base
+    tails = [1 << bit for bit in reversed(range(tail.bit_length())) if tail >> bit & 1]
+    return places, _Stretch(sequence, whole, tails), base
 
 
-def _place(places: dict[int, _Places], ends: np.ndarray, cut_base: int, dtype: np.dtype) -> Callable:
+def _place(places: dict[int, _Places], stretch: _Stretch, cut_base: int, dtype: np.dtype) -> Callable:
     """Pieces of the remainders; ``rest_ids`` is NULL but for those to be cut."""
     # One sorted table for all lengths: a length and a number make one key.
     order = sorted(places)
@@ -134,9 +155,8 @@ def _place(places: dict[int, _Places], ends: np.ndarray, cut_base: int, dtype: n
         ids = np.frombuffer(raw, dtype).astype("<u4")
         done = 0
         while done < size:
-            number = int(np.searchsorted(ends, begin + done, side="right"))
-            start = int(ends[number - 1]) if number else 0
-            take = min(size - done, int(ends[number]) - begin - done)
+            number, start, end = stretch.cut(begin + done)
+            take = min(size - done, end - begin - done)
             crc = zlib.crc32(ids[done : done + take].tobytes())
             yield row, doc_tokens - size + done, take, crc, doc_tokens, cut_base + number, begin + done - start
             done += take
@@ -184,7 +204,8 @@ def pack(
     Sequences are numbered without gaps; at most one document is cut at a sequence's end and only for lack of
     a tight pattern, or if it is longer than a sequence. A NULL or empty text has one id, its end. Repeated
     rows are packed each for itself; NULL ids stay NULL. Other columns are not looked at.
-    The driver sees counts per length and patterns: their number depends on ``sequence`` alone.
+    The driver sees counts per length, patterns and fills with their multiplicity: their number depends on ``sequence``
+    alone.
     """
     spark = docs.sparkSession
     in_small_batches(spark)
@@ -204,7 +225,7 @@ def pack(
         F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     )
     total = whole.agg(F.sum("n")).first()[0] or 0
-    places, ends, cut_base = _plan(histogram, total, sequence)
+    places, stretch, cut_base = _plan(histogram, total, sequence)
     columns = "doc_id start length ids_crc32 doc_tokens sequence_id offset".split()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -237,7 +258,7 @@ def pack(
         .select("doc_id", "doc_tokens", "rest", "rest_crc32", "rest_ids", "rank")
     )
     dtype = encoder(path).dtype
-    pieces = rests.mapInArrow(_place(places, ends, cut_base, dtype), schema)
+    pieces = rests.mapInArrow(_place(places, stretch, cut_base, dtype), schema)
     return full.select(*columns).union(pieces.select(*columns))
 
 

@@ -1,6 +1,7 @@
 """Cutting stock, packed documents, and the pipeline."""
 
 import itertools
+import time
 import zlib
 
 import numpy as np
@@ -197,3 +198,36 @@ def test_pipeline_without_labels(spark):
     docs = [document(i, prose(i, 100), lang=None) for i in range(10)] + [document(99, "1 2 3", lang=None)]
     found = stages(spark, spark.createDataFrame(docs, SCHEMA))
     assert found[1].count() == 10
+
+
+def test_best_fit_does_not_depend_on_the_number_of_pieces():
+    lengths, share = np.array([1, 5, 90, 300, 700]), np.array([1, 1, 3, 2, 10])
+    start = time.perf_counter()
+    for scale in (1, 7, 1000, 10**9):
+        fills = cutting._best_fit(lengths, share * scale, 1024)
+        assert len(fills) < 60
+        met = np.zeros(5, np.int64)
+        for fill, times in fills:
+            assert sum(int(lengths[i]) * k for i, k in fill.items()) <= 1024
+            for i, k in fill.items():
+                met[i] += k * times
+        assert met.tolist() == (share * scale).tolist()
+    found, left = cutting.whole_patterns(np.array([700]), np.array([2_000_000]), 1024)
+    assert found == [] and left.tolist() == [2_000_000]
+    # The stretch that is cut is known by arithmetic.
+    places, stretch, _ = packing._plan({700: 2_000_000}, 0, 1024)
+    assert stretch.whole == 700 * 2_000_000 // 1024 and sum(stretch.tail) == 700 * 2_000_000 % 1024
+    assert time.perf_counter() - start < 5
+
+
+@pytest.mark.parametrize("total", [1, 1023, 1024, 1025, 5000])
+def test_cuts_of_a_stretch(total):
+    whole, tail = divmod(total, 1024)
+    stretch = packing._Stretch(1024, whole, [1 << b for b in reversed(range(11)) if tail >> b & 1])
+    at, sizes = 0, []
+    while at < total:
+        number, start, end = stretch.cut(at)
+        assert number == len(sizes) and start == at and stretch.cut(end - 1)[0] == number
+        sizes.append(end - start)
+        at = end
+    assert sum(sizes) == total and all(s & (s - 1) == 0 for s in sizes)
