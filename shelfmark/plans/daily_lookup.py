@@ -15,6 +15,7 @@ from shelfmark.operators.extract import extract_day, extract_values, first_seen,
 from shelfmark.schemas import DAY_TRIPLE, TRIPLE, TRIPLE_COLUMNS
 from shelfmark.session import fresh_dir
 from shelfmark.sources import seen
+from shelfmark.sources.ledger import NewFiles
 from shelfmark.sources.registry import Settings, SourceSpec, load_registry, read_source
 from shelfmark.sources.storage import (
     PUBLISHED,
@@ -48,15 +49,20 @@ def run_day(
     lookback_days: int = 0,
     inclusive: bool = False,
     table: str | None = None,
+    by_arrival: bool = False,
 ) -> None:
     """Extract and combine one day.
 
     The values of all sources are staged first, so that they are computed once.
 
+    ``by_arrival`` takes all rows that are read, whatever their days: what came late belongs to the day of the run.
     ``inclusive`` counts the run day as history, so that a second run of the day empties it. ``table`` names a
     catalog table over the days, which is made if need be and learns of the day.
     """
-    values = {spec.name: extract_day(read(spec.name), spec, ds, lookback_days) for spec in specs}
+    if by_arrival:
+        values = {spec.name: long_values(read(spec.name), spec).distinct() for spec in specs}
+    else:
+        values = {spec.name: extract_day(read(spec.name), spec, ds, lookback_days) for spec in specs}
     stage_sources(values, root, ds)
     fresh = read_day(spark, root, STAGED, ds)
     day = as_day(ds)
@@ -69,6 +75,23 @@ def run_day(
         add_day(spark, table, ds)
 
 
+def run_new_files(
+    spark: SparkSession, root: str, specs: Sequence[SourceSpec], source_root: str, ds: Day, table: str | None = None
+) -> None:
+    """A day's run over the files that came since the run before, whatever the days of their rows.
+
+    Each source is a folder below ``source_root``. Files count as read once the day is written.
+    """
+    new = {spec.name: NewFiles(spark, f"{source_root}/{spec.name}", f"{root}/ledger/{spec.name}") for spec in specs}
+
+    def read(name: str) -> DataFrame:
+        return new[name].read(spark.read.parquet(f"{source_root}/{name}").schema)
+
+    run_day(spark, root, specs, read, ds, table=table, by_arrival=True)
+    for files in new.values():
+        files.done()
+
+
 def backfill(
     spark: SparkSession,
     root: str,

@@ -112,18 +112,31 @@ def refresh(spark: SparkSession, root: str, name: str = RAW) -> list[Generation]
     for g in held:
         if not g.days:
             drop(spark, _folder(root, g))
-    if missing:
-        rows = read_days(spark, root, name).where(F.col("ds").isin(missing))
-        held = [g for g in held if g.days] + [_write(spark, root, hashed(rows).select("h", "g", "ds"), missing)]
-    if len(held) > MOST_GENERATIONS:
-        old = held
+    if not missing:
+        return held
+    rows = read_days(spark, root, name).where(F.col("ds").isin(missing))
+    return _added(spark, root, [g for g in held if g.days], hashed(rows), missing)
+
+
+def add(spark: SparkSession, root: str, triples: DataFrame, day: dt.date) -> list[Generation]:
+    """Take in the triples of a day, which are read twice, and replace what was known of it."""
+    forget(spark, root, [day])
+    held = [g for g in manifest(spark, root) if g.days]
+    return _added(spark, root, held, hashed(triples).withColumn("ds", F.lit(day)), [day])
+
+
+def _added(
+    spark: SparkSession, root: str, held: list[Generation], keys: DataFrame, days: Sequence[dt.date]
+) -> list[Generation]:
+    """The generations and one more; all are merged if they are many then."""
+    held = [*held, _write(spark, root, keys.select("h", "g", "ds"), days)]
+    old = held if len(held) > MOST_GENERATIONS else []
+    if old:
         keys = reduce(DataFrame.unionByName, [_keys(spark, root, g).select("h", "g", "ds") for g in held])
         held = [_write(spark, root, keys, [day for g in held for day in g.days])]
-        _publish(spark, root, held)
-        for g in old:
-            drop(spark, _folder(root, g))
-    elif missing:
-        _publish(spark, root, held)
+    _publish(spark, root, held)
+    for g in old:
+        drop(spark, _folder(root, g))
     return held
 
 

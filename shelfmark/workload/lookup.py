@@ -16,7 +16,7 @@ from shelfmark.schemas import TRIPLE_COLUMNS
 from shelfmark.session import fresh_dir
 from shelfmark.sources import registry, storage
 from shelfmark.streaming.jobs import read_files, write_stream
-from shelfmark.streaming.lookup import new_values_stream
+from shelfmark.streaming.lookup import continue_lookup, new_values_stream, read_new
 from shelfmark.workload.tables import (
     COMBINED,
     EVENT_DAY,
@@ -269,6 +269,36 @@ def stream_new_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+def stream_after_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup of the first days is published; a stream of all events then brings what it lacks."""
+    root = fresh_dir(spark, "stream-after")
+    seen_first = _extract(spark, sf_dir, "events", None, EVENT_DAY)
+    storage.publish_lookup(seen_first, root)
+    stream = read_files(spark, sf_dir, "events.parquet")
+    continue_lookup(stream, SPECS["events"], storage.read_lookup(spark, root), f"{root}/stream").awaitTermination()
+    return read_new(spark, f"{root}/stream")
+
+
+def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the files of the events: of each day, and a file of old days that comes after the first run."""
+    root = fresh_dir(spark, "late-files")
+    events = read(spark, sf_dir, "events")
+    first = (F.col("ts") < LATE_FROM) & (F.col("event_id") % 5 != 0)
+    for day, part in ((LATE_DAYS[0], first), (LATE_DAYS[1], ~F.coalesce(first, F.lit(False)))):
+        events.where(part).write.mode("append").parquet(f"{root}/sources/events")
+        daily_lookup.run_new_files(spark, f"{root}/target", [SPECS["events"]], f"{root}/sources", day)
+    return storage.read_days(spark, f"{root}/target", storage.RAW)
+
+
+LATE_FROM = "2024-01-10"
+LATE_DAYS = ("2024-01-09", "2024-01-31")
+_LATE_SQL = "SELECT company_guid, column_name, column_value, min(ds) AS ds FROM (" + " UNION ALL ".join(
+    f"SELECT CAST(user_id AS VARCHAR) AS company_guid, 'events.{column}' AS column_name, {column} AS column_value, "
+    f"CASE WHEN ts < TIMESTAMP '{LATE_FROM}' AND event_id % 5 <> 0 THEN DATE '{LATE_DAYS[0]}' "
+    f"ELSE DATE '{LATE_DAYS[1]}' END AS ds FROM events WHERE {column} IS NOT NULL"
+    for column in SPECS["events"].values
+) + ") GROUP BY ALL"
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -276,6 +306,7 @@ QUERIES = {
         extract_universal_regex, union_sources, incoming_distinct, delta_day, delta_all_orders,
         delta_day_inclusive, first_seen, first_seen_by_day, lookup_asof, publish_lookup, lookup_values,
         sources_in_order, daily_runs, backfill, backfill_after_runs, catalog_tables, late_arrivals, stream_new_values,
+        stream_after_publish, late_files,
     )
 }
 
@@ -322,5 +353,8 @@ ORACLE = {
     + ") GROUP BY ALL",
     "catalog_tables": _CATALOG_SQL,
     "late_arrivals": triples_sql("events", _days_before(EVENT_DAY, 2), EVENT_DAY),
+    "stream_after_publish": f"SELECT DISTINCT * FROM ({triples_sql('events')}) EXCEPT "
+    f"SELECT * FROM ({triples_sql('events', None, EVENT_DAY)})",
+    "late_files": _LATE_SQL,
     "stream_new_values": f"SELECT DISTINCT * FROM ({triples_sql('events')})",
 }

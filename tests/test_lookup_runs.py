@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from shelfmark.operators import delta
 from shelfmark.operators.delta import history_until, lookup_asof, lookup_values, new_values
 from shelfmark.operators.extract import first_seen
-from shelfmark.plans.daily_lookup import backfill, daily_run, publish, run_day
+from shelfmark.plans.daily_lookup import backfill, daily_run, publish, run_day, run_new_files
 from shelfmark.schemas import DAY_TRIPLE, TRIPLE
-from shelfmark.sources import commits, ranges, seen, storage
+from shelfmark.sources import commits, ledger, ranges, seen, storage
 from shelfmark.sources.registry import Settings, SourceSpec
 from shelfmark.workload.tables import SPECS
 
@@ -382,3 +382,29 @@ def test_commits_have_one_writer_each(spark, tmp_path):
     assert commits.commit(spark, path, 1, ["ä"]) and not commits.commit(spark, path, 1, ["b"])
     assert commits.commit(spark, path, 2, {}) and commits.read(spark, path, 1) == ["ä"]
     assert commits.latest(spark, path) == (2, {}) and commits.numbers(spark, path) == [1, 2]
+
+
+def test_files_count_once_whatever_their_days(spark, events, tmp_path):
+    source, root = str(tmp_path / "sources"), str(tmp_path / "target")
+
+    def deliver(condition):
+        events.where(condition).coalesce(1).write.mode("append").parquet(f"{source}/events")
+
+    def run(day):
+        run_new_files(spark, root, [SPEC], source, day)
+
+    deliver("ts < '2024-01-03'")
+    run("2024-01-02")
+    first = rows(raw(spark, root))
+    assert first and {str(r[3]) for r in first} == {"2024-01-02"}
+    # A late file of old days, and one that is not finished: the run dies, the next one takes it.
+    deliver("ts >= '2024-01-03'")
+    files = ledger.NewFiles(spark, f"{source}/events", f"{root}/ledger/events")
+    assert files.files.count() == 1
+    run("2024-01-05")
+    assert {r[:3] for r in rows(raw(spark, root))} == set(rows(first_seen(events, SPEC).drop("ds")))
+    assert [r for r in rows(raw(spark, root)) if str(r[3]) == "2024-01-02"] == first
+    run("2024-01-06")
+    assert raw(spark, root).where("ds = '2024-01-06'").count() == 0
+    assert ledger.known_files(spark, f"{root}/ledger/events").count() == 2
+    assert ledger.files_of(spark, str(tmp_path / "none")).count() == 0

@@ -5,10 +5,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shelfmark.operators import cart, extract
+from shelfmark.schemas import TRIPLE
+from shelfmark.sources import seen
 from shelfmark.streaming import ingest
 from shelfmark.streaming.cart import fold_stream, live_lines, sent_lines
 from shelfmark.streaming.jobs import read_files, write_stream
-from shelfmark.streaming.lookup import new_values_stream
+from shelfmark.streaming.lookup import continue_lookup, new_values_stream, read_new
 from shelfmark.workload.tables import SPECS
 from test_cart import EVENT, random_events
 from test_records import ITEM, make
@@ -136,3 +138,25 @@ def test_a_batch_that_runs_again_leaves_the_same(spark, tmp_path):
         state = cart.cart_state(spark.read.parquet(source), known)
         assert rows(live_lines(spark, root, batch), "cart_id", "barcode", "qty", "added_at") == rows(
             state, "cart_id", "barcode", "qty", "added_at")
+
+
+def test_a_stream_goes_on_from_a_lookup(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(seen, "MOST_GENERATIONS", 3)
+    monkeypatch.setattr(seen, "BROADCAST_KEYS", 4)
+    source, spec, root = str(tmp_path / "in"), SPECS["events"], str(tmp_path / "out")
+    known = spark.createDataFrame([("1", "events.props", "p0"), (None, "events.event_type", "view")], TRIPLE)
+    for part in range(5):
+        spark.range(10 * part, 10 * part + 30).select(
+            F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("ts"),
+            F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("user_id"), F.lit("view").alias("event_type"),
+            F.concat(F.lit("p"), F.col("id") % 9).alias("props"),
+        ).coalesce(1).write.mode("append").parquet(source)
+        continue_lookup(read_files(spark, source, "*.parquet", 1), spec, known, root).awaitTermination()
+        if part == 2:
+            # The mark that the batch is done gets lost: it runs once more.
+            for name in ("2", ".2.crc"):
+                (tmp_path / "out" / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    batch = extract.extract_values(spark.read.parquet(source), spec, "2024-01-01")
+    want = sorted(set(rows(batch)) - set(rows(known)), key=str)
+    assert sorted(rows(read_new(spark, root)), key=str) == want
+    assert len(seen.manifest(spark, f"{root}/state")) <= 3
