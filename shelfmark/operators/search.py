@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.keywords import all_of, where_once
-from shelfmark.functions.text import split_terms
+from shelfmark.functions.text import contains_all, split_terms
 from shelfmark.functions.text import terms as text_terms
 from shelfmark.operators.classify import in_category, uncategorized
 from shelfmark.operators.rules import RuleSet
 
 ALL, UNCATEGORIZED = "all", "uncategorized"  # Fixed values
-# Characters by which texts and terms meet.
+# Characters by which texts and terms meet, and texts that may hold a run before it is salted.
 GRAM = 3
+HOT_TEXTS = 100_000
+# Queries without terms that meet a row together.
+ID_BLOCK = 1000
 
 
 def search_text(df: DataFrame, lower_barcode: bool = False) -> Column:
@@ -36,37 +39,58 @@ def search_products(df: DataFrame, query: str, lower_barcode: bool = False) -> D
     return where_once(texts, all_of(F.col("_text"), words)).drop("_text")
 
 
-def _grams(text: Column, size: Column | int) -> Column:
-    """All distinct runs of ``size`` characters of a text."""
-    chars = F.filter(F.split(text, ""), lambda char: char != "")
-    starts = F.when(F.size(chars) >= size, F.sequence(F.lit(1), F.size(chars) - size + 1))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, size), "")))
+def _grams(text: Column, sizes: tuple[int, ...]) -> Column:
+    """All distinct runs of so many characters of a text."""
+
+    def runs(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+        cut = F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))
+        return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*[runs(size) for size in sizes]))
 
 
 def search_batch(df: DataFrame, queries: DataFrame) -> DataFrame:
     """Many queries at once: one row per query ``(query_id, query)`` and row it finds.
 
-    Distinct texts are cut into runs of up to GRAM characters and meet the terms that begin with one; what
-    meets is tested. A query finds a text if all of its distinct terms do; one without terms finds every row.
+    A query finds a text if all of its terms do; one without terms finds every row. Each query meets the texts by one run
+    of up to GRAM characters: of all runs in its terms the one that fewest texts hold. What meets is tested for all terms.
+    Runs that very many texts hold are salted.
     """
-    ids = queries.select("query_id", text_terms(F.col("query")).alias("terms"))
-    asked = ids.select("query_id", F.explode(F.array_distinct("terms")).alias("term"))
-    needs = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("needed"))
-    size = F.least(F.length("term"), F.lit(GRAM))
-    distinct = asked.select("term").distinct().select("term", size.alias("size"), F.substring("term", 1, GRAM).alias("gram"))
-    sizes = [row["size"] for row in distinct.select("size").distinct().collect()]  # GRAM numbers at most
+    sizes = tuple(range(1, GRAM + 1))
+    asked = queries.select("query_id", F.array_distinct(text_terms(F.col("query"))).alias("terms"))
+    # Terms of fewer characters are runs themselves.
+    short = F.filter("terms", lambda term: F.length(term) < GRAM)
+    long = F.flatten(F.transform("terms", lambda term: _grams(term, (GRAM,))))
+    runs = asked.select("query_id", F.explode(F.array_distinct(F.concat(short, long))).alias("gram"))
 
     # Case is settled by search_text; a barcode keeps its own and is tested as it is.
     texts = df.withColumn("_text", search_text(df))
-    unique = texts.select("_text").distinct()
-    grams = F.flatten(F.array(*[F.coalesce(_grams(F.col("_text"), n), F.array().cast("array<string>")) for n in sizes]))
-    cut = unique.select("_text", F.explode(grams).alias("gram")) if sizes else unique.select("_text", F.lit("").alias("gram"))
-    held = cut.join(distinct, "gram").where(F.contains("_text", F.col("term"))).select("_text", "term").distinct()
-    matched = held.join(asked, "term").groupBy("_text", "query_id").agg(F.count(F.lit(1)).alias("found"))
-    full = matched.join(needs, "query_id").where(F.col("found") == F.col("needed")).select("_text", "query_id")
-    wordless = ids.where(F.size("terms") == 0).agg(F.collect_list("query_id").alias("all")).scalar()
-    everything = texts.withColumn("query_id", F.explode(wordless)).drop("_text")
-    return texts.join(full, "_text").select("query_id", *df.columns).unionByName(everything.select("query_id", *df.columns))
+    cut = texts.select("_text").distinct().select("_text", F.explode(_grams(F.col("_text"), sizes)).alias("gram"))
+    cut = cut.join(runs.select("gram").distinct(), "gram", "left_semi")
+    held = cut.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    # A run that no text holds is the rarest: its query finds nothing.
+    rarest = F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram")
+    drivers = runs.join(held, "gram", "left").groupBy("query_id").agg(rarest).join(asked, "query_id")
+    # At most one of so many rows is a run that is salted: few enough to broadcast.
+    hot = held.where(F.col("n") > HOT_TEXTS).select("gram", F.ceil(F.col("n") / HOT_TEXTS).cast("int").alias("salts"))
+    salts = F.coalesce("salts", F.lit(1))
+    cut = cut.join(F.broadcast(hot), "gram", "left").select("_text", "gram", F.pmod(F.xxhash64("_text"), salts).cast("int").alias("salt"))
+    drivers = drivers.join(F.broadcast(hot), "gram", "left")
+    drivers = drivers.select("query_id", "terms", "gram", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    full = cut.join(drivers, ["gram", "salt"]).where(contains_all(F.col("_text"), F.col("terms"))).select("_text", "query_id")
+    found = texts.join(full, "_text").select("query_id", *df.columns)
+    return found.unionByName(_all_rows(df, asked.where(F.size("terms") == 0).select("query_id")))
+
+
+def _all_rows(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Every row for each id. The ids come in blocks of bounded size."""
+    blocks = ids.agg(F.ceil(F.count(F.lit(1)) / ID_BLOCK).cast("int")).scalar()
+    held = ids.groupBy(F.pmod(F.xxhash64("query_id"), F.greatest(blocks, F.lit(1))).cast("int").alias("_block"))
+    held = held.agg(F.collect_list("query_id").alias("_ids"))
+    some = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
+    met = df.withColumn("_block", F.explode(some)).join(held, "_block")
+    return met.select(F.explode("_ids").alias("query_id"), *df.columns)
 
 
 def visible_products(

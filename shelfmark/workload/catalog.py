@@ -520,18 +520,21 @@ def search_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queries made of the nations' first letters and a digit, and a few of other kinds, over the parts.
+    """Queries made of the customers' keys and a vowel, of the nations' first letters and a digit, and a few of other kinds.
 
-    They are 30 at every scale: their short terms meet a fixed share of the parts, so that the result grows with the
-    parts alone, and the query's SQL names these queries.
+    Every customer is a query, and a key lies in a barcode once, so that the result grows with the parts.
     """
+    vowel = F.substring(F.lit("AEIOU"), (F.col("c_nationkey") % 5 + 1).cast("int"), F.lit(1))
+    keys = read(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), "c_custkey").alias("query_id"), F.concat_ws("  ", "c_custkey", vowel).alias("query")
+    )
     made = read(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("string").alias("query_id"),
         F.concat(F.lower(F.substring("n_name", 1, 1)), F.lit("\u3000"), (F.col("n_nationkey") % 10).cast("string"))
         .alias("query"),
     )
     fixed = spark.createDataFrame(QUERIES_LIST, "query_id string, query string")
-    return search.search_batch(parts(spark, sf_dir), made.unionByName(fixed))
+    return search.search_batch(parts(spark, sf_dir), made.unionByName(fixed).unionByName(keys))
 
 
 def _found_sql(query: str) -> str:
@@ -723,7 +726,11 @@ ORACLE = {
     + f""" UNION ALL SELECT CAST(n_nationkey AS VARCHAR), p.* FROM nation, ({PARTS_SQL}) AS p
         WHERE (contains(lower(name), lower(left(n_name, 1))) OR contains(barcode, lower(left(n_name, 1))))
           AND (contains(lower(name), CAST(n_nationkey % 10 AS VARCHAR))
-               OR contains(barcode, CAST(n_nationkey % 10 AS VARCHAR)))""",
+               OR contains(barcode, CAST(n_nationkey % 10 AS VARCHAR)))
+        UNION ALL SELECT 'c' || c_custkey, p.* FROM customer, ({PARTS_SQL}) AS p
+        WHERE (contains(barcode, CAST(c_custkey AS VARCHAR)) OR contains(lower(name), CAST(c_custkey AS VARCHAR)))
+          AND (c_nationkey IS NULL OR contains(lower(name), lower(substr('AEIOU', c_nationkey % 5 + 1, 1)))
+               OR contains(barcode, lower(substr('AEIOU', c_nationkey % 5 + 1, 1))))""",
     "own_words": _OWN_WORDS_SQL,
     "add_readings": f"""
         WITH dictionary AS (SELECT MAP {{{', '.join(f"'{c}': '{r}'" for c, r in LETTERS.items())}}} AS entries)

@@ -37,7 +37,10 @@ def test_barcode_is_compared_as_it_is(products):
     assert found(search.search_products(products, "ab12", lower_barcode=True)) == ["AB12"]
 
 
-def test_batch_equals_single_queries(spark, products):
+@pytest.mark.parametrize("bounds", [{}, {"HOT_TEXTS": 1, "ID_BLOCK": 1}])
+def test_batch_equals_single_queries(spark, products, monkeypatch, bounds):
+    for name, value in bounds.items():
+        monkeypatch.setattr(search, name, value)
     queries = [("a", "bear"), ("b", "BEAR b"), ("c", ""), ("d", "zz"), ("e", "67 猫"), ("f", "ab12"), ("g", "big bear big"),
                ("h", "ear\u3000bag"), ("i", " \t"), ("j", "6"), ("k", "bearx")]
     twice = products.unionByName(products.limit(1))
