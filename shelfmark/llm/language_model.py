@@ -9,8 +9,8 @@ contexts. Within its class a word has the share of its count. Words never seen h
 estimated by the share of words seen once. So the probabilities of all V known words and of an unknown one
 add up to 1 in every context.
 
-Counts come from all training texts. Every task trains on all of its texts from the same start; the weights are
-averaged, each task's by its number of tokens. Counts of common words are broadcast (a bounded number), those
+Counts come from all training texts. Shards of the texts, dealt by hash, train from the same start; the weights are
+averaged, each shard's by its number of tokens, and start the next of a few rounds, each over texts of its own. Counts of common words are broadcast (a bounded number), those
 of all others are joined.
 """
 
@@ -40,6 +40,9 @@ WIDTH = 24
 NOISE = 48
 BATCH = 2048
 RATE = 0.15
+#: Tokens of a shard, about, which one task learns from, and rounds of averaging.
+SHARD_TOKENS = 1 << 22
+ROUNDS = 3
 #: Weights are added up in this many parts.
 PARTS = 16
 #: The end of a text, as a token of the counts: no word holds a blank.
@@ -254,35 +257,42 @@ def _gather(table: DataFrame, start: int) -> Counts:
 
 
 def train(texts: DataFrame, counts: Counts) -> Weights:
-    """The average of what every task learns from its texts; ``texts`` has the binary column ``t``."""
-    start = Weights.start(counts.class_totals)
-    shared = texts.sparkSession.sparkContext.broadcast((counts, start))
+    """What shards of the texts learn, averaged after each of ROUNDS; ``texts`` has the binary column ``t``, and ``h`` to deal by.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Shards and rounds follow the hashes and the number of tokens, and each shard takes its texts in order of hashes. So the
+    weights don't depend on how the texts are split among tasks. Every text is learned from once.
+    """
+    weights = Weights.start(counts.class_totals)
+    if "h" not in texts.columns:
+        texts = texts.withColumn("h", F.xxhash64("t"))
+    shards = max(1, -(-counts.tokens // SHARD_TOKENS))
+    turn = F.pmod(F.shiftright("h", 32), F.lit(ROUNDS)).cast("int").alias("turn")
+    dealt = texts.select("t", "h", F.pmod("h", F.lit(shards)).cast("int").alias("shard"), turn)
+    for number in range(ROUNDS):
+        weights = _round(dealt.filter(F.col("turn") == number), counts, weights, number)
+    return weights
+
+
+def _round(dealt: DataFrame, counts: Counts, weights: Weights, number: int) -> Weights:
+    """All shards of a round learn from the same start; the average, each shard's share its number of tokens."""
+    shared = dealt.sparkSession.sparkContext.broadcast((counts, weights))
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, start = shared.value
-        codes, learned, tokens = _Codes(counts), None, 0
-        for batch in batches:
-            for part in chunks(batch.column("t").to_pylist()):
+        codes, tokens = _Codes(counts), 0
+        learned = Trainer(start, counts.class_totals, int(key[0]) * ROUNDS + number)
+        for frame in frames:
+            for part in chunks(frame["t"]):
                 found, starts = codes.of(part)
                 classes = codes.classes(found)
                 near, far = _contexts(classes, starts)
-                if learned is None:
-                    learned = Trainer(start, counts.class_totals, TaskContext.get().partitionId())
                 order = learned.rng.permutation(len(classes))
                 for i in range(0, len(order), BATCH):
                     pick = order[i : i + BATCH]
                     learned.step(near[pick], far[pick], classes[pick])
                 tokens += len(classes)
-        if learned is not None:
-            parts = np.array_split(learned.w.flat().astype(np.float64) * tokens, PARTS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(PARTS), pa.int32()),
-                    pa.array([tokens] * PARTS, pa.int64()),
-                    pa.array([p.tobytes() for p in parts], pa.binary()),
-                ],
-                names=["part", "tokens", "weights"],
-            )
+        parts = np.array_split(learned.w.flat().astype(np.float64) * tokens, PARTS)
+        yield pd.DataFrame({"part": range(PARTS), "tokens": tokens, "weights": [p.tobytes() for p in parts]})
 
     def add(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, tokens = 0.0, 0
@@ -293,10 +303,11 @@ def train(texts: DataFrame, counts: Counts) -> Weights:
         yield pd.DataFrame({"part": [key[0]], "tokens": [tokens], "weights": [total.tobytes()]})
 
     schema = "part int, tokens long, weights binary"
-    summed = texts.mapInArrow(run, schema).groupBy("part").applyInPandas(add, schema)
+    ordered = dealt.repartition("shard").sortWithinPartitions("shard", "h").select("shard", "t")
+    summed = ordered.groupBy("shard").applyInPandas(run, schema).groupBy("part").applyInPandas(add, schema)
     rows = sorted(summed.collect(), key=lambda r: r["part"])
     if not rows:
-        return start
+        return weights
     return Weights.of(np.concatenate([np.frombuffer(r["weights"]) / r["tokens"] for r in rows]).astype(np.float32))
 
 
@@ -308,7 +319,7 @@ def score(
     ``held_out`` says which rows the model does not learn from. Scores are log10 probabilities of the whole text
     with its end; ``base_score`` is that of a unigram model with one added to each count. A NULL text is read as empty
     and has one token, its end. Repeated rows are learned from and scored as often as they occur; without any
-    training row everything is unknown. Other columns are not looked at. ``head`` bounds the words that
+    training row everything is unknown. Scores don't depend on how the rows are split among tasks. Other columns are not looked at. ``head`` bounds the words that
     are broadcast; it changes the plan, and the classes only if it is under COMMON.
     """
     rows = docs.select(
@@ -317,8 +328,9 @@ def score(
         F.col(text).cast("binary").alias("t"),
     )
     in_small_batches(docs.sparkSession)
-    training = rows.filter(~F.col("held_out")).select("t")
-    table = stage(token_counts(training, words_and_end), "words")
+    # Copies with ids of their own go to different shards.
+    training = rows.filter(~F.col("held_out")).select("t", F.xxhash64("doc_id", "t").alias("h"))
+    table = stage(token_counts(training.select("t"), words_and_end), "words")
     start = head_from(table, head)
     counts = _gather(table, start)
     weights = train(training, counts)

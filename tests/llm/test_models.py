@@ -194,3 +194,15 @@ def test_no_training_texts(spark, unusual, nothing):
         assert row["train_tokens"] == 0 and row["n_known"] == 0 and row["held_out"]
         assert row["base_score"] == pytest.approx(0)  # N and V are 0: the unknown word has all the probability
         assert math.isfinite(row["score"])
+
+
+def test_scores_do_not_depend_on_the_split(sample, monkeypatch):
+    monkeypatch.setattr(language_model, "SHARD_TOKENS", 9000)
+    held_out = F.col("doc_id") % 4 == 1
+    found = []
+    for parts in (1, 7):
+        rows = language_model.score(sample.repartition(parts), held_out).select("doc_id", "score", "held_out").collect()
+        found.append({r["doc_id"]: r["score"] for r in rows})
+    assert found[0].keys() == found[1].keys()
+    for doc_id, score in found[0].items():
+        assert found[1][doc_id] == pytest.approx(score, rel=1e-4)
