@@ -206,3 +206,81 @@ def test_scores_do_not_depend_on_the_split(sample, monkeypatch):
     assert found[0].keys() == found[1].keys()
     for doc_id, score in found[0].items():
         assert found[1][doc_id] == pytest.approx(score, rel=1e-4)
+
+
+def brute_features(text):
+    """Square roots of hashed counts, gram by gram."""
+    plain = "".join(c if c.isalpha() or ord(c) > 127 else " " for c in text.lower())
+    raw = (" " + " ".join(plain.encode().decode().split(" ")) + " ").encode()
+    raw = b" " + b" ".join(raw.split()) + b" "
+    counts = Counter()
+    for i in range(len(raw) - 1 if len(raw) > 2 else 0):
+        two = raw[i] * 257 + raw[i + 1]
+        grams = [two] + ([two * 263 + raw[i + 2] + (1 << 24)] if i + 2 < len(raw) else [])
+        for gram in grams:
+            counts[(gram * 2654435761 % 2**32) >> 19] += 1
+    norm = math.sqrt(sum(counts.values()))
+    return {slot: math.sqrt(n) / norm for slot, n in counts.items()}
+
+
+def test_languages_match_brute_force(unusual, sample):
+    model = langid.fit(sample)
+    for docs in (unusual, sample):
+        name = "language_" if "language" in docs.columns else "language"
+        for row in langid.identify(docs, model).collect():
+            text, found = row["text"], row[name]
+            if text is None or not any(c.isalpha() for c in text):
+                assert found["lang"] == "und"
+                continue
+            losses = []
+            held = brute_features(text)
+            for codeword in model.code:
+                loss = 0.0
+                for bit, sign in enumerate(codeword):
+                    margin = sum(v * float(model.weights[slot, bit]) for slot, v in held.items()) + float(model.offsets[bit])
+                    loss += math.log1p(math.exp(-sign * margin))
+                losses.append(loss)
+            likely = [math.exp(min(losses) - loss) for loss in losses]
+            shares = sorted((x / sum(likely) for x in likely), reverse=True)
+            assert found["score"] == pytest.approx(shares[0], abs=1e-3)
+            if shares[0] - shares[1] > 1e-3:
+                assert found["lang"] == model.languages[losses.index(min(losses))]
+                assert found["ambiguous"] == (shares[0] - shares[1] < langid.LEAD) or abs(shares[0] - shares[1] - langid.LEAD) < 1e-3
+
+
+def test_scores_match_brute_force(unusual, sample):
+    for docs in (unusual, sample.limit(80)):
+        docs = docs.cache()
+        rows, split, out, seen = brute_counts(docs)
+        training = docs.filter(~F.coalesce(out_of_training(), F.lit(False))).select(
+            F.col("text").cast("binary").alias("t"), F.xxhash64("doc_id", F.col("text").cast("binary")).alias("h"))
+        table = lm.stage(lm.token_counts(training.select("t"), lm.words_and_end), "words")
+        counts = lm._gather(table, lm.head_from(table))
+        w = lm.train(training, counts)
+        known = {t: int(counts.classes[i]) for t, i in counts.head.items()}
+        want = {}
+        for row, tokens in zip(rows, split, strict=True):
+            total, before = 0.0, [lm.CLASSES, lm.CLASSES]
+            for token in tokens:
+                token = token if isinstance(token, bytes) else token.encode()
+                group = known.get(token, lm.ending_class(token))
+                if group < 0:
+                    group = lm.ending_class(token)
+                predicted = w.context[before[0]] @ w.near + w.context[before[1]] @ w.far
+                scores = w.target @ predicted + w.offset
+                scores = np.where(counts.class_totals > 0, scores, -1e9).astype(np.float64)
+                top = scores.max()
+                likely = (scores[group] - top - math.log(np.exp(scores - top).sum())) / math.log(10)
+                n = seen[token if token in seen else token.decode()]
+                if n:
+                    total += likely + math.log10(n / counts.class_totals[group]) + math.log10(1 - counts.unseen)
+                else:
+                    total += math.log10(counts.unseen)
+                before = [group, before[0]]
+            want.setdefault(row["doc_id"], []).append(total)
+        got = {}
+        for r in language_model.score(docs, out_of_training()).collect():
+            got.setdefault(r["doc_id"], []).append(r["score"])
+        assert got.keys() == want.keys()
+        for key, values in want.items():
+            assert sorted(got[key]) == pytest.approx(sorted(values), rel=2e-4, abs=2e-3)
