@@ -46,6 +46,8 @@ SCANNED = 8192
 RANGES = 6
 #: Vectors of a block.
 BLOCK = 4096
+#: Queries that meet a block in one task, about.
+BLOCK_QUERIES = 1 << 15
 #: Results that are scored again, in one fixed order of summation, per block and query.
 SPARE = 8
 
@@ -299,13 +301,28 @@ def _search(
     listed = entries.withColumn("smallest", F.col("ids")[0])
     points = listed.select("vector", "entry", "smallest").mapInArrow(deal_points, _POINT_SCHEMA)
     queries = asking.mapInArrow(deal_queries, _QUERY_SCHEMA)
+    points, queries = _in_chunks(points, queries)
     return (
-        points.groupBy("block")
-        .cogroup(queries.groupBy("block"))
+        points.groupBy("block", "chunk")
+        .cogroup(queries.groupBy("block", "chunk"))
         .applyInPandas(search, "query long, entry long, score double")
     )
 
 
+def _in_chunks(points: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Deals the queries of a block that very many ask to chunks, and repeats the block's points, a bounded number, for each."""
+    asked = queries.groupBy("block").agg(F.sum(F.octet_length("entries") / 8).alias("n"))
+    hot = asked.filter(F.col("n") > BLOCK_QUERIES)
+    hot = hot.select("block", F.ceil(F.col("n") / BLOCK_QUERIES).cast("int").alias("chunks"))
+    hot = stage(hot, "asked-blocks")  # at most one row for each BLOCK_QUERIES queries
+    chunks_of = F.coalesce("chunks", F.lit(1))
+    points = points.join(F.broadcast(hot), "block", "left")
+    points = points.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks_of - 1))).drop("chunks")
+    queries = queries.join(F.broadcast(hot), "block", "left")
+    chunk = F.pmod(F.xxhash64("entries"), chunks_of).cast("int")
+    return points, queries.withColumn("chunk", chunk).drop("chunks")
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,

@@ -108,6 +108,10 @@ def test_small_blocks_change_nothing(spark, monkeypatch):
     want = sorted_rows(neighbours.nearest(table, ask, k=8), "query_id", "rank", "vec_id")
     monkeypatch.setattr(neighbours, "BLOCK", 20)
     assert sorted_rows(neighbours.nearest(table, ask, k=8), "query_id", "rank", "vec_id") == want
+    # A few queries at a time for each block.
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 3)
+    found = neighbours.nearest(table.repartition(40), ask, k=8)
+    assert sorted_rows(found, "query_id", "rank", "vec_id") == want
 
 
 def test_unequal_lengths(spark):
