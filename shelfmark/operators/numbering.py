@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.session import fresh_dir
+from shelfmark.sources.files import drop
 
 #: Rows that one task sorts, about. Only speed depends on it.
 STRETCH_ROWS = 500_000
@@ -18,13 +19,14 @@ def ranged(df: DataFrame, order: Sequence[str], out: str, rows: int = STRETCH_RO
     """Adds ``out``: the stretch a row is in, of about ``rows`` rows, counting up along ``order``.
 
     The result is written once and read back: what follows reads it several times and has to see the same stretches.
+    The rows themselves are read three times: counted, sampled and dealt. Write costly ones first.
     """
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
     folder = fresh_dir(spark, "stretches")
     dealt = df.repartitionByRange(parts, *order).withColumn(out, F.spark_partition_id())
     dealt.write.parquet(folder)
-    return spark.read.parquet(folder)
+    return spark.read.schema(dealt.schema).parquet(folder)
 
 
 def numbered(
@@ -34,10 +36,13 @@ def numbered(
 
     Two levels: rows are numbered within stretches, which each task holds one of at a time, and start after what
     the stretches before hold, of which there is one count each. So a group may hold any share of the rows.
-    Equal rows lie in one stretch.
+    Equal rows lie in one stretch. The rows are computed once.
     """
     stretch = "_stretch"
-    dealt = ranged(df, [*by, *order], stretch, rows)
+    staged = fresh_dir(df.sparkSession, "to-number")
+    df.write.parquet(staged)
+    dealt = ranged(df.sparkSession.read.schema(df.schema).parquet(staged), [*by, *order], stretch, rows)
+    drop(df.sparkSession, staged)
     within = F.row_number().over(Window.partitionBy(*by, stretch).orderBy(*order))
     sizes = dealt.groupBy(*by, stretch).agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(*by).orderBy(stretch).rowsBetween(Window.unboundedPreceding, -1)

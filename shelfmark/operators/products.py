@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import blank_to_null, custom_barcode, iso_text
@@ -11,18 +11,14 @@ from shelfmark.functions.text import blank_to_null, custom_barcode, iso_text
 FIELD_LIMITS = {"person": 40, "name": 120, "barcode": 60}
 
 
-def _row(df: DataFrame, *without: str) -> Column:
-    return F.struct(*[c for c in df.columns if c not in without])
-
-
 def first_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
-    """The row with the smallest ``order`` of every key.
+    """The row with the smallest ``order`` of every key; any one of those that tie.
 
-    An aggregate rather than a window: a key with very many copies is reduced in every input task
-    before the shuffle.
+    Spark limits the window's groups to their first row in every input task, before the one shuffle, so a key with
+    very many copies sends one row a task. Rows are sorted, which spills; no aggregate holds them whole.
     """
-    picked = df.groupBy(key).agg(F.min_by(_row(df, key), F.struct(order)).alias("_row"))
-    return picked.select(key, "_row.*").select(*df.columns)
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.struct(order)))
+    return df.withColumn("_place", place).where(F.col("_place") == 1).select(*df.columns)
 
 
 def merge_catalog(catalog: DataFrame, custom: DataFrame) -> DataFrame:
@@ -42,6 +38,7 @@ def merge_catalog(catalog: DataFrame, custom: DataFrame) -> DataFrame:
         "barcode", "name", F.lit("custom").alias("source"), *plain,
         F.lit(1).alias("origin"), "seq", F.col("seq").alias("rank"),
     )
+    # The place comes from another row than the name, so no window's first row will do; products are a few short texts.
     merged = (
         catalog_rows.unionByName(custom_rows)
         .groupBy("barcode")

@@ -80,6 +80,9 @@ def large_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         cart_id.alias("cart_id"), barcode.alias("barcode"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"),
         F.lit(0).cast("bigint").alias("event_id"), F.lit("add").alias("action"), F.lit(None).cast("string").alias("person"),
     ).distinct()
+    root = fresh_dir(spark, "large")
+    adds.write.parquet(f"{root}/adds")
+    adds = spark.read.schema(adds.schema).parquet(f"{root}/adds")
     submits = adds.select("cart_id").distinct().select(
         "cart_id", F.lit(None).cast("string").alias("barcode"), F.lit("2024-01-02").cast("timestamp_ntz").alias("ts"),
         F.abs(F.xxhash64("cart_id")).alias("event_id"), F.lit("submit").alias("action"), F.lit("bo").alias("person"),
@@ -87,9 +90,9 @@ def large_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A line item may lie in several carts.
     products = adds.select("barcode", F.upper("barcode").alias("name")).distinct()
     sent = cart.submitted_lines(adds.unionByName(submits), products)
-    path = f"{fresh_dir(spark, 'large')}/lines"
-    cart.record_lines(sent).write.parquet(path)
-    stored = spark.read.parquet(path)
+    numbered = cart.record_lines(sent)
+    numbered.write.parquet(f"{root}/lines")
+    stored = spark.read.schema(numbered.schema).parquet(f"{root}/lines")
     ends = stored.groupBy("record_id", "cart_id", "person", "submitted_at").agg(
         F.count(F.lit(1)).cast("int").alias("n"), F.max("line_no").cast("int").alias("last_line"),
         F.min_by("barcode", "line_no").alias("first"), F.max_by("barcode", "line_no").alias("last"),

@@ -1,4 +1,5 @@
 from conftest import rows
+from pyspark.sql import functions as F
 
 from shelfmark.operators.products import (
     clean_products,
@@ -39,6 +40,26 @@ def test_first_per_key_keeps_whole_rows_and_nulls(spark):
     assert rows(first_per_key(df, "key", df["at"])) == [(None, "n", 1), ("j", "x", None), ("k", None, 2)]
 
 
+def test_first_per_key_takes_one_of_ties_and_tells_null_from_empty(spark):
+    df = spark.createDataFrame([("k", 1), ("k", 1), ("", 2), (None, 3), (None, 3), (None, None), ("m", None), ("m", None)],
+                               "key string, at int")
+    assert rows(first_per_key(df, "key", df["at"])) == [(None, None), ("", 2), ("k", 1), ("m", None)]
+    assert rows(first_per_key(df.limit(0), "key", df["at"])) == []
+
+
+def test_winners_are_found_without_aggregating_whole_rows(spark, tmp_path):
+    schema = "id string, at int, items array<struct<barcode: string, qty: long>>"
+    made = [("hot", at, [("b", at)]) for at in range(200)] + [(str(at), at, [("c", at)]) for at in range(100)]
+    spark.createDataFrame(made, schema).write.parquet(str(tmp_path / "records"))
+    df = spark.read.schema(schema).parquet(str(tmp_path / "records"))
+    first = first_per_key(df, "id", F.col("at"))
+    assert first.count() == 101 and first.where("id = 'hot'").select("at", "items").first() == (0, [("b", 0)])
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Exchange") == 1
+    # Every input task keeps one row a key before the shuffle.
+    assert "WindowGroupLimit" in plan[plan.index("Exchange"):]
+
+
 def test_clean_products(spark):
     entered = spark.createDataFrame(
         [(" Bear ", " 12 ", " ", 35), ("  ", "13", "bo", 35), ("Fox", None, "bo", 1_700_000_000_000),
