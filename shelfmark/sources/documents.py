@@ -41,22 +41,36 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 BODY = "body"
 
 
-def _record(line: Column) -> Column:
-    """A line as a record, NULL if it is no JSON. Fields of other kinds than they should be are NULL."""
-    value = F.try_parse_json(line)
+_VALUE = "_value"
+
+
+def _with_value(lines: DataFrame, line: str) -> DataFrame:
+    """Adds the JSON of each line that is not blank, NULL if it is none.
+
+    As the outcome of an explode the JSON is parsed once a line: the optimizer would move a plain column into every
+    field that is taken from it, and parse the line anew for each.
+    """
+    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    value = F.explode_outer(F.array(F.try_parse_json(trimmed(line))))
+    return lines.where(trimmed(line) != "").withColumn(_VALUE, value)
 
-    def text(name: str) -> Column:
-        return F.try_variant_get(value, f"$.{name}", "string")
+
+def _fields() -> list[Column]:
+    """The fields of a record. Those of other kinds than they should be are NULL."""
+    value = F.col(_VALUE)
 
     def item(each: Column) -> Column:
         # By way of text, so that 0.5 is no whole number rather than 0.
         fields = [F.try_variant_get(each, f"$.{f.name}", "string").try_cast(f.dataType).alias(f.name) for f in ITEM]
         return F.when(F.try_variant_get(each, "$", "string").isNotNull() | ~F.is_variant_null(each), F.struct(*fields))
 
-    items = F.transform(F.try_variant_get(value, "$.items", "array<variant>"), item)
-    fields = [items.alias(f.name) if f.name == "items" else text(f.name).alias(f.name) for f in SAVED_RECORD]
+    def field(name: str) -> Column:
+        if name == "items":
+            return F.transform(F.try_variant_get(value, "$.items", "array<variant>"), item)
+        return F.try_variant_get(value, f"$.{name}", "string")
+
     body = F.to_json(F.try_variant_get(value, "$.items", "variant"))
-    return F.when(value.isNotNull(), F.struct(*fields, body.alias(BODY)))
+    return [*[field(f.name).alias(f.name) for f in SAVED_RECORD], body.alias(BODY)]
 
 
 def parse_records(lines: DataFrame, line: str) -> DataFrame:
@@ -65,21 +79,22 @@ def parse_records(lines: DataFrame, line: str) -> DataFrame:
     Blank lines are left out. Any JSON is a record, whatever fields it has; :data:`BODY` keeps its items as they
     are. If an object repeats a key, the last one counts; the session takes such JSON from now on.
     """
-    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    parsed = lines.where(trimmed(line) != "").withColumn("record", _record(trimmed(line)))
-    return parsed.withColumn("is_malformed", F.col("record").isNull())
+    parsed = _with_value(lines, line)
+    record = F.when(F.col(_VALUE).isNotNull(), F.struct(*_fields()))
+    return parsed.withColumns({"record": record, "is_malformed": F.col(_VALUE).isNull()}).drop(_VALUE)
 
 
 def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A JSON-lines record log, in one path or several, without blank and malformed lines; a missing file gives no row.
 
-    Lines are read as text and judged whole, so the rows are the same whichever columns are asked for.
+    Lines are read as text and judged whole, so the rows are the same whichever columns are asked for. Only the fields
+    that are asked for are taken out of them.
     """
     path = [p for p in ([path] if isinstance(path, str) else path) if exists(spark, p)]
     if not path:
         return empty(spark, SAVED_RECORD).withColumn(BODY, F.lit(None).cast("string"))
-    parsed = parse_records(spark.read.text(path), "value")
-    return parsed.where(~F.col("is_malformed")).select("record.*")
+    parsed = _with_value(spark.read.text(path), "value")
+    return parsed.where(F.col(_VALUE).isNotNull()).select(*_fields())
 
 
 def malformed_records(spark: SparkSession, path: str) -> DataFrame:

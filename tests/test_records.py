@@ -110,3 +110,11 @@ def test_white_space_is_no_person_and_odd_times_are_shown(spark):
     assert rows(valid, "id") == [("3",)]
     report = ops.records_report(df.withColumn("submittedAt", F.lit("yesterday")))
     assert {r["submitted"] for r in report.collect()} == {"yesterday"}
+
+
+def test_a_line_is_parsed_once_and_only_asked_fields_are_taken(spark, tmp_path):
+    (tmp_path / "log.jsonl").write_text('{"id": "1", "person": "bo", "items": []}\n\n{x\n[1]\n')
+    log = documents.read_records(spark, str(tmp_path / "log.jsonl"))
+    assert rows(log, "id", "person") == [(None, None), ("1", "bo")]
+    plan = log.select("id", "person")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1 and "$.items" not in plan
