@@ -1,37 +1,42 @@
-"""Numbered commits: small JSON files that only one writer can make each.
+"""Numbered commits: small JSON documents of which only one writer can make each.
 
 A writer reads all commits, does its work, and asks for the next number. If someone else was faster, it gets nothing, and
 has to look at what the other one did before it tries again.
+
+A commit is a folder that is written whole under another name and then moved to its number. Where that number is taken,
+moving puts the folder into the other one, where nobody looks. So a commit is there whole or not at all, and a writer
+that dies at any moment neither leaves half a commit nor holds up others.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import time
+import uuid
 from typing import Any
 
 from pyspark.sql import SparkSession
 
-from shelfmark.sources.files import claim, listing, read_text, write_text
+from shelfmark.sources.files import drop, exists, listing, move, read_text, write_text
+
+_CONTENT = "commit.json"
+
+
+def _folder(path: str, number: int) -> str:
+    return f"{path}/{number:012d}"
+
 
-#: Seconds to wait for a commit that another writer has begun.
-PATIENCE = 60
+def _held(spark: SparkSession, path: str, number: int) -> dict[str, Any]:
+    return json.loads(read_text(spark, f"{_folder(path, number)}/{_CONTENT}"))
 
 
 def numbers(spark: SparkSession, path: str) -> list[int]:
-    found = (re.fullmatch(r"(\d+)\.json", name) for name, _, _ in listing(spark, path))
-    return sorted(int(match[1]) for match in found if match)
+    return sorted(int(name) for name, _, _ in listing(spark, path) if re.fullmatch(r"\d+", name))
 
 
 def read(spark: SparkSession, path: str, number: int) -> Any:
-    """The content of a commit. One that is still being written is waited for."""
-    for _ in range(PATIENCE * 10):
-        text = read_text(spark, f"{path}/{number:012d}.json")
-        if text.endswith("\n"):
-            return json.loads(text)
-        time.sleep(0.1)
-    raise TimeoutError(f"commit {number} of {path} was begun and never ended")
+    """The content of a commit."""
+    return _held(spark, path, number)["content"]
 
 
 def latest(spark: SparkSession, path: str) -> tuple[int, Any]:
@@ -42,8 +47,15 @@ def latest(spark: SparkSession, path: str) -> tuple[int, Any]:
 
 def commit(spark: SparkSession, path: str, number: int, content: Any) -> bool:
     """Write a commit, unless its number is taken. Tells whether it was written."""
-    file = f"{path}/{number:012d}.json"
-    if not claim(spark, file):
+    folder = _folder(path, number)
+    if exists(spark, folder):
         return False
-    write_text(spark, file, json.dumps(content) + "\n")
-    return True
+    writer = uuid.uuid4().hex
+    name = f".by-{writer}"
+    write_text(spark, f"{path}/{name}/{_CONTENT}", json.dumps({"writer": writer, "content": content}))
+    move(spark, f"{path}/{name}", folder)
+    if _held(spark, path, number)["writer"] == writer:
+        return True
+    drop(spark, f"{path}/{name}")
+    drop(spark, f"{folder}/{name}")
+    return False

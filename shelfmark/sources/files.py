@@ -37,6 +37,12 @@ def drop(spark: SparkSession, path: str) -> None:
     fs.delete(found, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name. If there is a folder of that name, it may come to lie in it."""
+    fs, found = hadoop_path(spark, path)
+    fs.rename(found, hadoop_path(spark, to)[1])
+
+
 def claim(spark: SparkSession, path: str) -> bool:
     """Make an empty file that only one caller can make."""
     fs, found = hadoop_path(spark, path)

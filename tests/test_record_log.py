@@ -1,6 +1,7 @@
 """Appends by several writers, ids in buckets, records of any size."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import rows
@@ -110,3 +111,22 @@ def test_a_repeated_key_is_no_reason_to_lose_a_line(spark, tmp_path):
     assert [(r["id"], r["person"], r["items"][0]["name"]) for r in found] == [("2", "b", "y")]
     parsed = parse_records(spark.createDataFrame([(line,), ("{x",)], "line string"), "line")
     assert rows(parsed, "is_malformed") == [(False,), (True,)]
+
+
+def test_a_writer_that_died_does_not_hold_up_others(spark, tmp_path):
+    path = str(tmp_path / "commits")
+    (tmp_path / "commits" / ".by-dead").mkdir(parents=True)
+    (tmp_path / "commits" / ".by-dead" / "commit.json").write_text('{"wri')
+    assert commits.latest(spark, path) == (0, None)
+    assert commits.commit(spark, path, 1, "a") and commits.latest(spark, path) == (1, "a")
+
+
+def test_of_many_writers_one_gets_the_number(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "commits")
+    # All find the number free before the first of them moves.
+    monkeypatch.setattr(commits, "exists", lambda spark, folder: False)
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: commits.commit(spark, path, 1, i), range(24)))
+    assert sum(won) == 1 and commits.read(spark, path, 1) == won.index(True)
+    assert commits.numbers(spark, path) == [1]
+    assert [p.name for p in (tmp_path / "commits" / f"{1:012d}").iterdir() if not p.name.endswith(".crc")] == ["commit.json"]
