@@ -16,6 +16,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(found)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, found = hadoop_path(spark, path)
+    return fs.exists(found) and fs.getFileStatus(found).isDirectory()
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a path."""
     fs, found = hadoop_path(spark, path)

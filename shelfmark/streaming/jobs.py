@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfmark.sources.files import is_folder
+
 BATCH_BYTES = 4 * 1024**3
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -14,13 +16,16 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 def read_files(
     spark: SparkSession, folder: str, name: str, per_batch: int | None = None
 ) -> DataFrame:
-    """Stream of the parquet files of a folder whose names match.
+    """Stream of the parquet files of a folder whose names match. If ``name`` is itself a folder, of the files in it.
 
     A micro-batch takes in about BATCH_BYTES, or ``per_batch`` files. This bounds what one key can bring
     into one task.
     """
-    schema = spark.read.option("pathGlobFilter", name).parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+    options = {"pathGlobFilter": name}
+    if is_folder(spark, f"{folder}/{name}"):
+        folder, options = f"{folder}/{name}", {}
+    schema = spark.read.options(**options).parquet(folder).schema
+    reader = spark.readStream.schema(schema).options(**options)
     if per_batch is None:
         reader = reader.option("maxBytesPerTrigger", BATCH_BYTES)
     else:

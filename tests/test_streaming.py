@@ -41,6 +41,16 @@ def test_ingest_over_batches_and_restarts(spark, tmp_path):
     assert rows(ingest.read_log(spark, log), "id", "person") == expected
 
 
+def test_table_that_is_a_folder(spark, tmp_path):
+    """A table may be one file or a folder of files; nothing else that lies beside it is read."""
+    folder = f"{tmp_path}/in"
+    for seq in range(2):
+        make(spark, (str(seq), "a", [ITEM], seq)).coalesce(1).write.mode("append").parquet(f"{folder}/talk.parquet")
+    make(spark, ("9", "a", [ITEM], 9)).coalesce(1).write.parquet(f"{folder}/other.parquet")
+    run(ingest.distinct_records(read_files(spark, folder, "talk.parquet")), str(tmp_path / "distinct"))
+    assert rows(spark.read.parquet(f"{tmp_path}/distinct/out"), "id") == [("0",), ("1",)]
+
+
 def test_distinct_records(spark, tmp_path):
     source = str(tmp_path / "in")
     for seq in range(2):
