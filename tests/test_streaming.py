@@ -49,6 +49,9 @@ def test_table_that_is_a_folder(spark, tmp_path):
     make(spark, ("9", "a", [ITEM], 9)).coalesce(1).write.parquet(f"{folder}/other.parquet")
     run(ingest.distinct_records(read_files(spark, folder, "talk.parquet")), str(tmp_path / "distinct"))
     assert rows(spark.read.parquet(f"{tmp_path}/distinct/out"), "id") == [("0",), ("1",)]
+    log = str(tmp_path / "log")
+    ingest.ingest_records(read_files(spark, folder, "talk.parquet"), log, str(tmp_path / "c"), "seq").awaitTermination()
+    assert rows(ingest.read_log(spark, log), "id") == [("0",), ("1",)]
 
 
 def test_distinct_records(spark, tmp_path):
