@@ -17,6 +17,8 @@ GRAM = 3
 HOT_TEXTS = 100_000
 # Queries without terms that meet a row together.
 ID_BLOCK = 1000
+# Runs asked for, up to which they are broadcast.
+FEW_GRAMS = 100_000
 
 
 def search_text(df: DataFrame, lower_barcode: bool = False) -> Column:
@@ -55,7 +57,8 @@ def search_batch(df: DataFrame, queries: DataFrame) -> DataFrame:
 
     A query finds a text if all of its terms do; one without terms finds every row. Each query meets the texts by one run
     of up to GRAM characters: of all runs in its terms the one that fewest texts hold. What meets is tested for all terms.
-    Runs that very many texts hold are salted.
+    Runs that very many texts hold are salted. Joins of texts and queries are merges whatever size the files have: small
+    files may hold very many rows, and what is broadcast passes through the driver.
     """
     sizes = tuple(range(1, GRAM + 1))
     asked = queries.select("query_id", F.array_distinct(text_terms(F.col("query"))).alias("terms"))
@@ -67,29 +70,39 @@ def search_batch(df: DataFrame, queries: DataFrame) -> DataFrame:
     # Case is settled by search_text; a barcode keeps its own and is tested as it is.
     texts = df.withColumn("_text", search_text(df))
     cut = texts.select("_text").distinct().select("_text", F.explode(_grams(F.col("_text"), sizes)).alias("gram"))
-    cut = cut.join(runs.select("gram").distinct(), "gram", "left_semi")
+    grams = runs.select("gram").distinct()
+    few = grams.count() <= FEW_GRAMS
+
+    def by_gram(counted: DataFrame) -> DataFrame:
+        """A table of one row a run, for a join."""
+        return F.broadcast(counted) if few else counted.hint("merge")
+
+    cut = cut.join(by_gram(grams), "gram", "left_semi")
     held = cut.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     # A run that no text holds is the rarest: its query finds nothing.
     rarest = F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram")
-    drivers = runs.join(held, "gram", "left").groupBy("query_id").agg(rarest).join(asked, "query_id")
+    drivers = runs.join(by_gram(held), "gram", "left").groupBy("query_id").agg(rarest).join(asked.hint("merge"), "query_id")
     # At most one of so many rows is a run that is salted: few enough to broadcast.
     hot = held.where(F.col("n") > HOT_TEXTS).select("gram", F.ceil(F.col("n") / HOT_TEXTS).cast("int").alias("salts"))
     salts = F.coalesce("salts", F.lit(1))
     cut = cut.join(F.broadcast(hot), "gram", "left").select("_text", "gram", F.pmod(F.xxhash64("_text"), salts).cast("int").alias("salt"))
     drivers = drivers.join(F.broadcast(hot), "gram", "left")
     drivers = drivers.select("query_id", "terms", "gram", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    full = cut.join(drivers, ["gram", "salt"]).where(contains_all(F.col("_text"), F.col("terms"))).select("_text", "query_id")
-    found = texts.join(full, "_text").select("query_id", *df.columns)
+    full = cut.join(drivers.hint("merge"), ["gram", "salt"]).where(contains_all(F.col("_text"), F.col("terms"))).select("_text", "query_id")
+    found = texts.join(full.hint("merge"), "_text").select("query_id", *df.columns)
     return found.unionByName(_all_rows(df, asked.where(F.size("terms") == 0).select("query_id")))
 
 
 def _all_rows(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """Every row for each id. The ids come in blocks of bounded size."""
+    """Every row for each id. The ids come in blocks of bounded size, and meet slices of the rows of about HOT_TEXTS."""
     blocks = ids.agg(F.ceil(F.count(F.lit(1)) / ID_BLOCK).cast("int")).scalar()
     held = ids.groupBy(F.pmod(F.xxhash64("query_id"), F.greatest(blocks, F.lit(1))).cast("int").alias("_block"))
     held = held.agg(F.collect_list("query_id").alias("_ids"))
     some = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
-    met = df.withColumn("_block", F.explode(some)).join(held, "_block")
+    slices = df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / HOT_TEXTS), F.lit(1)).cast("int")).scalar()
+    held = held.withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+    dealt = df.withColumns({"_block": F.explode(some), "_slice": F.pmod(F.xxhash64(*df.columns), slices).cast("int")})
+    met = dealt.join(held.hint("merge"), ["_block", "_slice"])
     return met.select(F.explode("_ids").alias("query_id"), *df.columns)
 
 

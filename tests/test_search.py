@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -52,6 +54,21 @@ def test_batch_equals_single_queries(spark, products, monkeypatch, bounds):
     assert batch == sorted(single)
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_batch_broadcasts_neither_texts_nor_queries(spark, products, tmp_path, monkeypatch, few):
+    """Small files may hold very many rows: no join may take one side whole for its few bytes."""
+    monkeypatch.setattr(search, "FEW_GRAMS", few)
+    products.write.parquet(f"{tmp_path}/products")
+    queries = [("a", "bear"), ("b", "BEAR b"), ("c", ""), ("d", "zz"), ("e", "67 猫")]
+    spark.createDataFrame(queries, "query_id string, query string").write.parquet(f"{tmp_path}/queries")
+    stored = spark.read.parquet(f"{tmp_path}/products")
+    batch = search.search_batch(stored, spark.read.parquet(f"{tmp_path}/queries"))
+    plan = batch._jdf.queryExecution().sparkPlan().toString()
+    assert set(re.findall(r"Broadcast\w*Join \[?(\w*)", plan)) == {"gram"}
+    single = [(i, b) for i, q in queries for b in found(search.search_products(products, q))]
+    assert rows(batch, "query_id", "barcode") == sorted(single)
+
+
 def test_readings(spark, products):
     schema = "char string, reading string"
     with pytest.raises(ValueError, match="one character"):
