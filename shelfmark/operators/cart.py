@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import iso_text, trimmed
-from shelfmark.operators.numbering import STRETCH_ROWS, numbered, ranged
+from shelfmark.operators.numbering import STRETCH_ROWS, numbered, parts_for, ranged, spread
 
 # No stretch of a cart's events holds many more than this. Only speed depends on it.
 LARGE_CART = 1_000_000
@@ -64,8 +64,8 @@ def event_effects(events: DataFrame) -> DataFrame:
     )
 
 
-def combine_effects(effects: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The effects of each group of ``keys``, taken in ``order``, as one effect."""
+def combine_effects(effects: DataFrame, keys: list[str], order: list[str], parts: int | None = None) -> DataFrame:
+    """The effects of each group of ``keys``, taken in ``order``, as one effect; worked on in so many ``parts``."""
     backwards = ", ".join(f"{column} DESC" for column in order)
     later = (
         f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {backwards} "
@@ -73,7 +73,7 @@ def combine_effects(effects: DataFrame, keys: list[str], order: list[str]) -> Da
     )
     # Both window steps run over the same sorted rows, from the last to the first.
     after = f"coalesce(sum(change) {later}, 0)"
-    seen = effects.selectExpr(
+    seen = spread(effects.select(*keys, *order, *EFFECT), parts, *keys).selectExpr(
         *keys,
         *order,
         *EFFECT,
@@ -93,10 +93,10 @@ def combine_effects(effects: DataFrame, keys: list[str], order: list[str]) -> Da
     )
 
 
-def fold_lines(events: DataFrame, keys: list[str]) -> DataFrame:
+def fold_lines(events: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
     """The line that each group of ``keys`` holds after its last event. Events bring their stretch."""
-    stretches = combine_effects(event_effects(events), [*keys, "stretch"], ["ts", "event_id"])
-    lines = combine_effects(stretches, keys, ["stretch"])
+    stretches = combine_effects(event_effects(events), [*keys, "stretch"], ["ts", "event_id"], parts)
+    lines = combine_effects(stretches, keys, ["stretch"], parts)
     return lines.where(F.col("qty") > 0).select(*keys, "qty", "added_at")
 
 
@@ -104,7 +104,7 @@ def is_submit() -> Column:
     return (F.col("action") == "submit") & (trimmed("person") != "")
 
 
-def with_submit(events: DataFrame) -> DataFrame:
+def with_submit(events: DataFrame, parts: int | None = None) -> DataFrame:
     """Adds ``record_id``, ``submitted_at`` and ``person``: the next submit of the cart, NULL without one.
 
     It is looked for in the event's own stretch first, then among the first submits of the later stretches.
@@ -116,7 +116,7 @@ def with_submit(events: DataFrame) -> DataFrame:
         return backwards.rowsBetween(Window.unboundedPreceding, -1)
 
     submit = F.when(is_submit(), F.struct("ts", "event_id", trimmed("person").alias("person")))
-    events = events.withColumn("_submit", submit)
+    events = spread(events, parts, *stretch).withColumn("_submit", submit)
     firsts = events.groupBy(*stretch).agg(F.min("_submit").alias("_first"))
     following = firsts.select(*stretch, F.min("_first").over(after(["cart_id"], "stretch")).alias("_far"))
     near = events.withColumn("_near", F.min("_submit").over(after(stretch, "ts", "event_id")))
@@ -136,32 +136,38 @@ def with_submit(events: DataFrame) -> DataFrame:
     )
 
 
-def _named(lines: DataFrame, products: DataFrame) -> DataFrame:
+def _named(lines: DataFrame, products: DataFrame, parts: int | None = None) -> DataFrame:
     """Lines of known products with their names; of several names of a barcode the least.
 
     Barcodes do not touch one another, so unknown ones can go after the fold, when few rows are left.
     """
-    return lines.join(products.groupBy("barcode").agg(F.min("name").alias("name")), "barcode")
+    return lines.join(spread(products, parts, "barcode").groupBy("barcode").agg(F.min("name").alias("name")), "barcode")
 
 
 _RECORD = ["record_id", "cart_id", "submitted_at", "person"]
 
 
+def _all_lines(events: DataFrame, large_cart: int) -> tuple[DataFrame, int | None]:
+    dealt = with_stretch(events, large_cart)
+    parts = parts_for(dealt.sparkSession, dealt.count())  # as stored: no row is read
+    return fold_lines(with_submit(dealt, parts), [*_RECORD, "barcode"], parts), parts
+
+
 def all_lines(events: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
     """The lines of all submits, and of the carts after the last one (``record_id`` NULL)."""
-    return fold_lines(with_submit(with_stretch(events, large_cart)), [*_RECORD, "barcode"])
+    return _all_lines(events, large_cart)[0]
 
 
 def cart_state(events: DataFrame, products: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
     """Lines in the carts after the last event: what was not submitted."""
-    live = all_lines(events, large_cart).where(F.col("record_id").isNull())
-    return _named(live, products).select("cart_id", "barcode", "name", "qty", "added_at")
+    lines, parts = _all_lines(events, large_cart)
+    return _named(lines.where(F.col("record_id").isNull()), products, parts).select("cart_id", "barcode", "name", "qty", "added_at")
 
 
 def submitted_lines(events: DataFrame, products: DataFrame, large_cart: int = LARGE_CART) -> DataFrame:
     """Lines of every submitted cart. An empty cart gives none."""
-    sent = all_lines(events, large_cart).where(F.col("record_id").isNotNull())
-    return _named(sent, products).select(*_RECORD, "barcode", "name", "qty", "added_at")
+    lines, parts = _all_lines(events, large_cart)
+    return _named(lines.where(F.col("record_id").isNotNull()), products, parts).select(*_RECORD, "barcode", "name", "qty", "added_at")
 
 
 def cart_totals(lines: DataFrame) -> DataFrame:
@@ -179,19 +185,24 @@ def record_lines(lines: DataFrame, rows: int = STRETCH_ROWS) -> DataFrame:
 
 
 def lines_to_nest(numbered: DataFrame, most: int = NESTED_LINES) -> DataFrame:
-    """Of :func:`record_lines` the lines of records with at most ``most`` lines: those fit one document."""
-    large = numbered.where(F.col("line_no") > most).select("record_id").distinct()
-    return numbered.join(large, "record_id", "left_anti")
+    """Of :func:`record_lines` the lines of records with at most ``most`` lines: those fit one document.
 
+    At most one of so many lines is the next of a larger record: few enough to broadcast.
+    """
+    large = numbered.where(F.col("line_no") == most + 1).select("record_id").distinct()
+    return numbered.join(F.broadcast(large), "record_id", "left_anti")
 
-def build_records(lines: DataFrame) -> DataFrame:
+
+def build_records(lines: DataFrame, parts: int | None = None) -> DataFrame:
     """Submitted lines nested into records, items in the order they were added: one row per submit.
 
+    ``parts`` says into how many partitions very many lines are dealt, see :func:`numbering.parts_for`.
+
     A record is one document, so its items are one array. It holds a barcode once, hence never more lines than
     there are products. Ordering happens within the aggregate's own buffer of that many items.
     """
     item = F.struct("added_at", "barcode", "name", "qty")
-    return lines.groupBy(*_RECORD).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return spread(lines, parts, "record_id").groupBy(*_RECORD).agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
 def as_records(nested: DataFrame) -> DataFrame:

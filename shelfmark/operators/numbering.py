@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.session import fresh_dir
@@ -15,6 +15,20 @@ from shelfmark.sources.files import drop
 STRETCH_ROWS = 500_000
 
 
+def parts_for(spark: SparkSession, count: int, rows: int = STRETCH_ROWS) -> int | None:
+    """How many partitions hold ``count`` rows by about ``rows``; None if one does."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // rows)) if count > rows else None
+
+
+def spread(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """Rows dealt by ``keys`` before they are grouped or sorted by them.
+
+    Else Spark deals them into a fixed number of partitions, or merges those up to a number of compressed bytes: a task then
+    holds more the more rows there are, or the better they compress.
+    """
+    return df if parts is None else df.repartition(parts, *keys)
+
+
 def ranged(df: DataFrame, order: Sequence[str], out: str, rows: int = STRETCH_ROWS) -> DataFrame:
     """Adds ``out``: the stretch a row is in, of about ``rows`` rows, counting up along ``order``.
 
@@ -36,18 +50,20 @@ def numbered(
 
     Two levels: rows are numbered within stretches, which each task holds one of at a time, and start after what
     the stretches before hold, of which there is one count each. So a group may hold any share of the rows.
-    Equal rows lie in one stretch. The rows are computed once.
+    Equal rows lie in one stretch. The rows are computed once. Only a group that goes on from the stretch before starts
+    after the first place, one a stretch at most: few enough to broadcast.
     """
     stretch = "_stretch"
     staged = fresh_dir(df.sparkSession, "to-number")
     df.write.parquet(staged)
     dealt = ranged(df.sparkSession.read.schema(df.schema).parquet(staged), [*by, *order], stretch, rows)
     drop(df.sparkSession, staged)
+    dealt = spread(dealt, parts_for(df.sparkSession, dealt.count(), rows), *by, stretch)
     within = F.row_number().over(Window.partitionBy(*by, stretch).orderBy(*order))
     sizes = dealt.groupBy(*by, stretch).agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(*by).orderBy(stretch).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*by, stretch, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
-    left, right = dealt.withColumn("_within", within).alias("rows"), starts.alias("starts")
+    starts = sizes.select(*by, stretch, F.sum("_size").over(earlier).alias("_start")).where(F.col("_start") > 0)
+    left, right = dealt.withColumn("_within", within).alias("rows"), F.broadcast(starts).alias("starts")
     same = reduce(Column.__and__, [F.col(f"rows.{c}").eqNullSafe(F.col(f"starts.{c}")) for c in (*by, stretch)])
-    place = (F.col("_start") + F.col("_within")).alias(out)
-    return left.join(right, same).select(*[f"rows.{c}" for c in df.columns], place)
+    place = (F.coalesce("_start", F.lit(0)) + F.col("_within")).alias(out)
+    return left.join(right, same, "left").select(*[f"rows.{c}" for c in df.columns], place)

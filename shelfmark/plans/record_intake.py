@@ -12,6 +12,7 @@ from shelfmark.operators.cart import (
     record_lines,
     submitted_lines,
 )
+from shelfmark.operators.numbering import parts_for
 from shelfmark.operators.records import dedupe_records, stamp, validate_records
 from shelfmark.schemas import SAVED_RECORD
 from shelfmark.session import fresh_dir
@@ -67,6 +68,7 @@ def submit_carts(events: DataFrame, products: DataFrame, root: str, most: int =
     staged = fresh_dir(spark, "submitted-lines")
     submitted_lines(events, products).write.parquet(f"{staged}/lines")
     lines = spark.read.parquet(f"{staged}/lines")
+    parts = parts_for(spark, lines.count())
     large = lines.groupBy("record_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("record_id")
     if not large.isEmpty():
         numbered = record_lines(lines.join(large, "record_id", "left_semi"))
@@ -75,5 +77,5 @@ def submit_carts(events: DataFrame, products: DataFrame, root: str, most: int =
         rows = spark.read.schema(LINE).parquet(f"{staged}/large")
         record_log.append_new(rows, f"{root}/{LARGE}", lambda df, path: df.write.parquet(path))
         lines = lines.join(large, "record_id", "left_anti")
-    save_records(as_records(build_records(lines)), root, "submittedAt")
+    save_records(as_records(build_records(lines, parts)), root, "submittedAt")
     drop(spark, staged)

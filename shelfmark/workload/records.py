@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import iso_text, minute_text
 from shelfmark.operators import cart
 from shelfmark.operators import records as ops
+from shelfmark.operators.numbering import parts_for, spread
 from shelfmark.plans import record_intake
 from shelfmark.schemas import RECORD
 from shelfmark.session import fresh_dir
@@ -55,7 +56,8 @@ def build_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Submitted carts as records, with their items as one text in the order they were added."""
     path = f"{fresh_dir(spark, 'cart')}/lines"
     submitted_lines(spark, sf_dir).write.parquet(path)
-    records = cart.as_records(cart.build_records(spark.read.parquet(path)))
+    lines = spark.read.parquet(path)
+    records = cart.as_records(cart.build_records(lines, parts_for(spark, lines.count())))
     tags = F.transform(
         "items", lambda i: F.concat(i["name"], F.lit(" ×"), i["qty"].cast("string"), F.lit(" "), i["addedAt"])
     )
@@ -76,10 +78,11 @@ def large_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem")
     cart_id = F.when(F.col("l_orderkey") % 3 == 0, "0").otherwise(F.concat(F.lit("s"), "l_suppkey"))
     barcode = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
-    adds = lines.select(
+    parts = parts_for(spark, lines.count())
+    adds = spread(lines.select(
         cart_id.alias("cart_id"), barcode.alias("barcode"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"),
         F.lit(0).cast("bigint").alias("event_id"), F.lit("add").alias("action"), F.lit(None).cast("string").alias("person"),
-    ).distinct()
+    ), parts, "barcode").distinct()
     root = fresh_dir(spark, "large")
     adds.write.parquet(f"{root}/adds")
     adds = spark.read.schema(adds.schema).parquet(f"{root}/adds")
@@ -88,7 +91,7 @@ def large_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.abs(F.xxhash64("cart_id")).alias("event_id"), F.lit("submit").alias("action"), F.lit("bo").alias("person"),
     )
     # A line item may lie in several carts.
-    products = adds.select("barcode", F.upper("barcode").alias("name")).distinct()
+    products = spread(adds.select("barcode", F.upper("barcode").alias("name")), parts, "barcode").distinct()
     sent = cart.submitted_lines(adds.unionByName(submits), products)
     numbered = cart.record_lines(sent)
     numbered.write.parquet(f"{root}/lines")
@@ -98,13 +101,15 @@ def large_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min_by("barcode", "line_no").alias("first"), F.max_by("barcode", "line_no").alias("last"),
     )
     # Only records of few lines become documents; the others are read from their lines.
-    nested = cart.as_records(cart.build_records(cart.lines_to_nest(stored).drop("line_no"))).select("id", "items")
+    nested = cart.as_records(cart.build_records(cart.lines_to_nest(stored).drop("line_no"), parts)).select(
+        "id", F.size("items").alias("n_items"), F.col("items")[0]["barcode"].alias("first_item"),
+        F.element_at("items", -1)["barcode"].alias("last_item"),
+    )
     both = ends.join(nested, F.col("record_id").cast("string") == F.col("id"), "left")
     return both.select(
         "cart_id", "person", iso_text(F.col("submitted_at")).alias("submittedAt"),
-        F.coalesce(F.when(F.col("items").isNotNull(), F.size("items")), "n").alias("n_items"), "last_line",
-        F.coalesce(F.col("items")[0]["barcode"], "first").alias("first_barcode"),
-        F.coalesce(F.element_at("items", -1)["barcode"], "last").alias("last_barcode"),
+        F.coalesce("n_items", "n").alias("n_items"), "last_line",
+        F.coalesce("first_item", "first").alias("first_barcode"), F.coalesce("last_item", "last").alias("last_barcode"),
     )
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -161,3 +162,19 @@ def test_numbers_along_an_order(spark, rows_each):
     assert rows(found) == rows(spark.createDataFrame(want, "g string, i int, t string, n long"))
     assert sorted(r["n"] for r in numbered(df, ["t", "i"], "n", rows=rows_each).collect()) == list(range(1, 301))
     assert numbered(df.where("false"), ["t"], "n").count() == 0
+
+
+def test_partitions_follow_the_rows(spark, products, monkeypatch):
+    """Whatever holds all events or lines is dealt into partitions by their number, not by the session's setting."""
+    monkeypatch.setattr(cart, "parts_for", lambda *_: 37, raising=False)
+    events = spark.createDataFrame(random_events(5, 300, [5, 4, 7, 1, 0.3, 0.2]), EVENT)
+    plan = cart.submitted_lines(events, products)._jdf.queryExecution().sparkPlan().toString()
+    plan += cart.submitted_lines(events, products)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\((.*?), (\d+)\)", plan)
+    assert dealt and {n for keys, n in dealt if "stretch" in keys or "barcode" in keys} == {"37"}
+    # One place in 300 can be the start of another stretch; only those are joined, and nothing is shuffled for it.
+    lines = spark.range(300).selectExpr("id % 3 AS g", "id AS t")
+    placed = numbered(lines, ["t"], "n", by=["g"], rows=10)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and re.search(r"hashpartitioning\(g#\d+L, _stretch#\d+, 30\)", plan)
+    assert sorted(r["n"] for r in placed.where("g = 1").collect()) == list(range(1, 101))
