@@ -1,6 +1,7 @@
 """Language identification and the language model: held-out accuracy, probabilities, unusual input."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -284,3 +285,18 @@ def test_scores_match_brute_force(unusual, sample):
         assert got.keys() == want.keys()
         for key, values in want.items():
             assert sorted(got[key]) == pytest.approx(sorted(values), rel=2e-4, abs=2e-3)
+
+
+def test_classes_of_a_chunk_do_not_copy_all_words():
+    """A worker holds up to a million words; the classes of a few tokens must not cost as much as all of them."""
+    head = {language_model.END: 0, b"the": 1}
+    counts = language_model.Counts(head, np.ones(2), np.array([0, 1]), np.ones(language_model.CLASSES), 2, 2, 0.1)
+    codes = language_model._Codes(counts)
+    codes.of([b" ".join(b"w%d" % i for i in range(200_000))])
+    found, starts = codes.of([b"The w7 new", b""])
+    tracemalloc.start()
+    classes = codes.classes(found)
+    assert tracemalloc.get_traced_memory()[1] < 100_000
+    tracemalloc.stop()
+    ending = language_model.ending_class
+    assert starts.tolist() == [0, 4, 5] and classes.tolist() == [1, ending(b"w7"), ending(b"new"), 0, 0]
