@@ -170,12 +170,20 @@ def cart_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- records ----
 
+#: Minutes before and after the start of 2024 up to which a timestamp, 64 bits of microseconds, and SQL's interval go.
+HELD_MINUTES = (-(2**63 // 60_000_000), 2**63 // 60_000_000 - 19_723 * 1440)
+
 
 def talk_records(conversations: DataFrame) -> DataFrame:
-    """Turns as records: all turns of a conversation carry its id, lines with 'th' are the items."""
-    minutes = F.col("conv_id") * 60 + F.col("turn")
+    """Turns as records: all turns of a conversation carry its id, lines with 'th' are the items.
+
+    Their times are made of the ids. An id may be any number; one beyond what a timestamp holds gives no time.
+    """
+    minutes = F.try_add(F.try_multiply("conv_id", F.lit(60)), "turn")
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    at = iso_text(F.timestamp_add("MINUTE", minutes.cast("int"), start))
+    held = F.when(minutes.between(*HELD_MINUTES), minutes)
+    # Years of five digits have no sign, as in SQL.
+    at = F.ltrim(iso_text(F.timestamp_add("MINUTE", held, start)), F.lit("+"))
     lines = F.filter(F.split("text", "\n"), lambda line: line.contains("th"))
 
     def item(line: Column) -> Column:

@@ -113,3 +113,23 @@ def test_large_records_are_not_nested(spark, monkeypatch):
     monkeypatch.setattr(cart, "lines_to_nest", few)
     equals_sql(spark, "large_records")
     assert 0 < nested[0].groupBy("record_id").count().agg({"count": "max"}).first()[0] <= 1000
+
+
+@pytest.mark.parametrize("name", ["stream_ingest", "stream_distinct_ids", "dedupe_records"])
+def test_ids_of_any_size(spark, tmp_path, name):
+    """Times made of ids lie in late years; ids that give none leave the rows as they are."""
+    talk = """SELECT CAST(c AS BIGINT) AS conv_id, CAST(t AS BIGINT) AS turn, 'a' AS role, x AS text FROM (VALUES
+        (1, 0, 'the'), (1, 2147483648, 'th'), (35791395, 0, 'th'), (69942000, 0, 'no'), (69942000, 1, 'the one'),
+        (1000000000, 0, 'no'), (2000000000, 3, 'other'), (-40000000, 0, 'th')) AS v(c, t, x)"""
+    duck = duckdb.connect()
+    duck.execute(f"COPY ({talk}) TO '{tmp_path}/conversations.parquet' (FORMAT parquet)")
+    result = views(tmp_path).execute(entry.oracle_sql()[name])
+    df = entry.queries()[name](spark, str(tmp_path))
+    expected = normal([d[0] for d in result.description], result.fetchall())
+    assert normal(df.columns, [tuple(r) for r in df.collect()]) == expected
+    # Beyond what SQL reckons with.
+    beyond = "SELECT 4611686018427387904 AS conv_id, 0 AS turn, 'a' AS role, 'no' AS text"
+    duck.execute(f"COPY ({talk} UNION ALL {beyond}) TO '{tmp_path}/conversations.parquet' (FORMAT parquet)")
+    df = entry.queries()[name](spark, str(tmp_path))
+    found = [tuple(r) for r in df.collect() if r["id"] != "4611686018427387904"]
+    assert normal(df.columns, found) == expected
