@@ -12,6 +12,9 @@ them near; and whoever shares one with a near fingerprint differs from it in at
 value links all its fingerprints to its smallest near one: as many links as rows, no link lost.
 
 The points are bit arithmetic on one long: the popcounts of 16 nibbles lie in the nibbles of a word.
+
+All joins here are merges: Spark sizes a table by the files it comes from, but a fingerprint becomes 33 or 65 rows, and
+what is broadcast passes through the driver.
 """
 
 from __future__ import annotations
@@ -46,6 +49,8 @@ SHINGLE = 3
 MAX_BITS = 2
 #: Cells with more fingerprints than this are linked through shared values instead of pairs.
 PAIRED_CELL = 8
+#: Fingerprints that a task spreads to cells or values.
+DEALT = 1 << 14
 
 
 def _hashes(text: bytes, words_per_shingle: int) -> list[int]:
@@ -122,6 +127,14 @@ def _flips(value: Column) -> Column:
     return F.array(value, *[value.bitwiseXOR(_bits(1 << bit)) for bit in range(64)])
 
 
+def _dealt(values: DataFrame, rows: int) -> DataFrame:
+    """Values ``f``, each of which becomes 33 rows or more: as many partitions as ``rows`` of them ask for, not their few bytes.
+
+    They are dealt by a hash: Spark leaves out a second exchange by the column itself and merges the first's partitions.
+    """
+    return values.repartition(max(1, -(-rows // DEALT)), F.xxhash64("f"))
+
+
 def _spread(rows: DataFrame, column: str, around, rounds: int) -> DataFrame:
     for _ in range(rounds):
         rows = rows.withColumn(column, F.explode(around(F.col(column))))
@@ -137,24 +150,23 @@ def links(
     staged in ``folder``, which the caller may drop after the links are used.
     """
     far, near = (max_bits + 1) // 2, max_bits // 2
-    # Every fingerprint becomes 33 rows: enough partitions for those, not for the few bytes they come from.
-    parts = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fingerprints = fingerprints.repartition(parts, "f")
+    rows = fingerprints.count()
+    fingerprints = _dealt(fingerprints, rows)
     cells = _spread(fingerprints.withColumn("cell", popcounts(F.col("f"))), "cell", _steps, far)
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
-    met = stage_at(cells.join(shared, "cell"), folder or fresh_dir(fingerprints.sparkSession, "simhash-cells"))
+    met = stage_at(cells.join(shared.hint("merge"), "cell"), folder or fresh_dir(fingerprints.sparkSession, "simhash-cells"))
 
     small = met.filter(F.col("n") <= paired_cell)
     left = small.select("cell", F.col("f").alias("a"))
     right = small.select("cell", F.col("f").alias("b"))
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    pairs = left.join(right, "cell").filter((F.col("a") < F.col("b")) & (differing <= max_bits)).select("a", "b")
+    pairs = left.join(right.hint("merge"), "cell").filter((F.col("a") < F.col("b")) & (differing <= max_bits)).select("a", "b")
 
-    crowded = met.filter(F.col("n") > paired_cell).select("f").distinct().withColumn("value", F.col("f"))
+    crowded = _dealt(met.filter(F.col("n") > paired_cell).select("f").distinct(), rows).withColumn("value", F.col("f"))
     at_far = _spread(crowded, "value", _flips, far)
     at_near = at_far if near == far else _spread(crowded, "value", _flips, near)
     centres = at_near.groupBy("value").agg(F.min("f").alias("a"))
-    stars = at_far.join(centres, "value").filter(F.col("a") != F.col("f")).select("a", F.col("f").alias("b"))
+    stars = at_far.join(centres.hint("merge"), "value").filter(F.col("a") != F.col("f")).select("a", F.col("f").alias("b"))
     return pairs.union(stars).distinct()
 
 
@@ -165,7 +177,8 @@ def groups(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     folder = fresh_dir(spark, "simhash-cells")
     linked = smallest_reachable(links(distinct, max_bits, folder=folder))
     drop(spark, folder)
-    return distinct.join(linked.withColumnRenamed("node", "f"), "f", "left").select(
+    linked = linked.withColumnRenamed("node", "f").hint("merge")
+    return distinct.join(linked, "f", "left").select(
         "f", F.coalesce("root", "f").alias("root")
     )
 
@@ -188,9 +201,9 @@ def components(
     seen = stage(seen.select("doc_id", "f"), "simhash-fingerprints")
     smallest = seen.groupBy("f").agg(F.min("doc_id").alias("first"))
     grouped = stage(groups(seen, max_bits), "simhash-groups")
-    by_root = grouped.join(smallest, "f").groupBy("root").agg(F.min("first").alias("component_id"))
-    named = grouped.join(by_root, "root").select("f", "component_id")
-    return seen.join(named, "f").select("doc_id", F.col("f").alias("fingerprint"), "component_id")
+    by_root = grouped.join(smallest.hint("merge"), "f").groupBy("root").agg(F.min("first").alias("component_id"))
+    named = grouped.join(by_root.hint("merge"), "root").select("f", "component_id")
+    return seen.join(named.hint("merge"), "f").select("doc_id", F.col("f").alias("fingerprint"), "component_id")
 
 
 def keep_one(
@@ -212,13 +225,13 @@ def keep_one(
     order = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
     firsts = seen.groupBy("f").agg(F.min(order).alias("first"))
     grouped = groups(firsts, max_bits)
-    kept = grouped.join(firsts, "f").groupBy("root").agg(F.min("first").alias("first"))
+    kept = grouped.join(firsts.hint("merge"), "f").groupBy("root").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2))
     # Rows of one id and text: each task lets one through, then one of those stays. The join meets them where they are.
     place, number = Window.partitionBy(k1, k2).orderBy(k1), free_name(docs, "n")
     keyed = docs.withColumns({k1: keys[0], k2: keys[1]}).withColumn(number, F.row_number().over(place))
     single = keyed.filter(F.col(number) == 1)
-    return single.join(kept, [k1, k2], "left_semi").select(*columns_of(docs))
+    return single.join(kept.hint("merge"), [k1, k2], "left_semi").select(*columns_of(docs))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

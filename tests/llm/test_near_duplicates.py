@@ -135,9 +135,54 @@ def test_components_of_long_chains_and_stars(spark):
     assert smallest_reachable(links.filter("a < 0")).count() == 0
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def planned(monkeypatch, module):
+    """The plans, as first made, of what a module stages from now on."""
+    plans = []
+    for name in {"stage", "stage_at"} & set(vars(module)):
+        def note(df, label, write=getattr(module, name)):
+            plans.append(plan_of(df))
+            return write(df, label)
+        monkeypatch.setattr(module, name, note)
+    return plans
+
+
+def test_fingerprints_are_not_broadcast(sample, monkeypatch):
+    """Few bytes of files become very many rows: no join may take a side whole."""
+    plans = planned(monkeypatch, simhash)
+    plans += [plan_of(simhash.components(sample)), plan_of(simhash.keep_one(sample))]
+    linked = simhash.links(simhash.with_fingerprints(sample, name="f").select("f").distinct())
+    joins = [kind for plan in [*plans, plan_of(linked)] for kind in re.findall(r"\w+Join", plan)]
+    assert len(joins) == 12 and set(joins) == {"SortMergeJoin"}
+
+
+def test_tasks_of_cells_follow_the_fingerprints(spark, monkeypatch):
+    """Their number, not the session's setting or their few bytes, from which Spark would merge partitions."""
+    monkeypatch.setattr(simhash, "DEALT", 10)
+    values = [v - (1 << 64) if v >> 63 else v for v in close_values(2, 250)]
+    cells = planned(monkeypatch, simhash)
+    distinct = spark.createDataFrame([(v,) for v in values], "f long").distinct()
+    linked = simhash.links(distinct)
+    for plan in (*cells, linked._jdf.queryExecution().executedPlan().toString()):
+        dealt = re.findall(r"hashpartitioning\(xxhash64\(f#\w+, 42\), (\d+)\)", plan)
+        assert dealt and set(dealt) == {str(-(-len(values) // 10))}
+
+
 # ---- repeated passages ----
 
 
+def test_places_of_repeated_windows_are_not_broadcast(sample, monkeypatch):
+    """Places take few bytes in files and many in memory."""
+    plans = planned(monkeypatch, substring)
+    cleaned = substring.remove_repeated(sample)
+    plans.append(plan_of(cleaned))
+    assert sum("SortMergeJoin" in plan for plan in plans) == 2
+    assert not [plan for plan in plans if "Broadcast" in plan]
+
+
 def brute_removal(texts, window=35):
     words = [(t or "").encode().split() for t in texts]
     seen = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
