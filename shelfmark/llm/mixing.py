@@ -21,6 +21,8 @@ HASH_BITS = 48
 STEP_BITS = 12
 WEIGHTS = (5, 2, 1)
 MAX_TIMES = 3
+#: Sources up to which what is found of each is broadcast.
+FEW_SOURCES = 100_000
 
 
 def n_words(text: Column) -> Column:
@@ -75,8 +77,10 @@ def source_cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """The targets with ``whole`` (how often every document is taken) and ``cut``: hashes below it once more.
 
     The boundary hash itself is taken if that comes nearer to the target. Rows of equal hash (repeated ids)
-    are taken together.
+    are taken together. Rows meet what is found of their source, a row of it each; the rows themselves take few
+    bytes in files and many in memory, and are never broadcast.
     """
+    few = targets.count() <= FEW_SOURCES
     whole = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size").cast("double"))), F.lit(0))
     plan = targets.withColumn("whole", whole.cast("long")).withColumn(
         "rest", F.col("target") - F.col("whole") * F.col("source_size")
@@ -85,6 +89,7 @@ def source_cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     for shift in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
         # Only rows whose leading bits are the boundary's.
         above = F.shiftright("hash", shift + STEP_BITS)
+        state = F.broadcast(state) if few else state.hint("merge")
         inside = sized.join(state, sized["source"].eqNullSafe(state["s"]) & (above == state["prefix"])).select(
             "s", "rest", F.shiftright("hash", shift).alias("prefix"), "size"
         )

@@ -491,11 +491,12 @@ def remove_repeated(
     maybe = _places(sent, _estimated(max_cell_bits), "windows-estimated")
     n = maybe.agg(F.sum(F.octet_length("places")) / 4).first()[0] or 0
     groups = max(1, -(-int(n) // RANGE_WINDOWS))
-    joined = keyed.join(maybe, ["k1", "k2"]).select("t", "k1", "k2", "places")
+    # Places take few bytes in files and many in memory: none are broadcast.
+    joined = keyed.join(maybe.hint("merge"), ["k1", "k2"]).select("t", "k1", "k2", "places")
     exact = joined.mapInArrow(_send(window, _exact_payloads(groups)), _SENT).repartition(groups, "part")
     places = _places(exact, _repeated, "windows-repeated")
     rows = docs.select(as_row(docs).alias("r"), *text_keys(F.col(doc_id), F.col(text)))
-    joined = rows.join(places, ["k1", "k2"], "left").select("r", "places")
+    joined = rows.join(places.hint("merge"), ["k1", "k2"], "left").select("r", "places")
     out = joined.select("r").schema.add("clean", "string").add("n_words", "long").add("n_removed", "long")
     done = joined.mapInArrow(_cleaned(window, text), out.add("kept_sha256", "string"))
     result = F.struct(F.col("clean").alias("text"), "n_words", "n_removed", "kept_sha256")

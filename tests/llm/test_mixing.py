@@ -107,3 +107,18 @@ def test_nothing_and_no_words(spark, nothing):
 def test_the_plan_has_no_python(sample):
     plan = mixing.mix(sample)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_rows_of_documents_are_not_broadcast(spark, tmp_path, monkeypatch, few):
+    """Their few bytes in files are many rows: the one row a source is broadcast, or nothing."""
+    monkeypatch.setattr(mixing, "FEW_SOURCES", few)
+    rows = [("web" if i % 3 else None, i % 90, (i * 2654435761) % (1 << 48)) for i in range(300)]
+    spark.createDataFrame(rows, "source string, size long, hash long").write.parquet(f"{tmp_path}/sized")
+    sized = spark.read.parquet(f"{tmp_path}/sized")
+    cuts = mixing.source_cuts(sized, mixing.source_targets(sized))
+    joins = re.findall(r"(\w+Join) (.*)", cuts._jdf.queryExecution().sparkPlan().toString())
+    inner = [(kind, "BuildRight" in rest) for kind, rest in joins if "Inner" in rest]
+    assert inner == [("BroadcastHashJoin", True) if few else ("SortMergeJoin", False)] * 4
+    plain = mixing.source_cuts(spark.createDataFrame(rows, sized.schema), mixing.source_targets(sized))
+    assert sorted_rows(cuts, *cuts.columns) == sorted_rows(plain, *cuts.columns) and len(joins) == 5
