@@ -4,8 +4,10 @@ Every task that reads documents makes a shard: an inverted index of its document
 length so that documents of a block are alike. Per term and block of 64 documents the index gives the greatest
 weight. For a query the weights of all its terms' blocks add up to a bound for each block. The blocks of greatest
 bound are scored first; from then on only blocks whose bound reaches the k-th best score are, and the rest is
-never touched. The few very common terms of a shard tell little and fill every block; they are held as full
-rows instead, are scored for many queries in one matrix product, and enter the bounds with their exact sums.
+never touched. The bounds of many terms add up to more than any document has: queries of more than a few terms are
+scored at once. The few very common terms of a shard tell little and fill every block; they are held as full
+rows instead, are scored for many queries in one matrix product of single precision, and enter the bounds with these sums;
+documents that may be among the best are scored exactly. What a task has found in one shard bounds the next ones.
 Shards use the statistics of the whole collection, so their best k merge to the exact best k.
 
 Queries come in blocks of bounded size. Each block takes two passes over the shards: one to add up the
@@ -41,13 +43,17 @@ SHARD_DOCS = 1 << 15
 SHARD_POSTINGS = 1 << 22
 #: Blocks that are scored before anything is skipped.
 FIRST_BLOCKS = 8
+#: Queries of more terms, without the very common ones, are scored without bounds.
+BOUNDED_TERMS = 64
+#: More than the relative error of a sum of DENSE_TERMS products of single precision.
+ERROR = 1e-4
 #: Terms that occur in a 16th of a shard's documents, and 512 at most, are held as full rows; cells of a product.
 DENSE_SHARE = 16
 DENSE_TERMS = 512
 DENSE_CELLS = 1 << 22
 #: Queries and query terms of one pass: at most 16 bytes a term are broadcast, and a query of more terms goes alone.
-PASS_QUERIES = 4096
-PASS_TERMS = 1 << 20
+PASS_QUERIES = 8192
+PASS_TERMS = 1 << 21
 #: Document frequencies are added up in so many parts.
 PARTS = 16
 
@@ -155,7 +161,7 @@ class Shard:
         times = _opened(row["times"], "<u4").astype(np.float64)
         self.n = len(lengths)
         self.weights = times * (K1 + 1) / (times + K1 * (1 - B + B * lengths[self.docs] / (mean_length or 1)))
-        starts = np.concatenate([[0], np.cumsum(counts)])
+        self.starts = starts = np.concatenate([[0], np.cumsum(counts)])
         # Runs of postings of one term in one block.
         block = self.docs // BLOCK
         change = np.ones(len(block), bool)
@@ -174,8 +180,7 @@ class Shard:
 
     def frequencies(self, terms: np.ndarray) -> np.ndarray:
         at = self.find(terms)
-        firsts = np.append(self.run_start, len(self.docs))[self.term_runs]
-        return np.where(at >= 0, firsts[at + 1] - firsts[at], 0) if len(self.terms) else np.zeros(len(terms), np.int64)
+        return np.where(at >= 0, self.starts[at + 1] - self.starts[at], 0) if len(self.terms) else np.zeros(len(terms), np.int64)
 
     def _score(self, runs: np.ndarray, factors: np.ndarray) -> np.ndarray:
         sizes = self.run_end[runs] - self.run_start[runs]
@@ -183,18 +188,27 @@ class Shard:
         at += np.arange(len(at))
         return np.bincount(self.docs[at], self.weights[at] * np.repeat(factors, sizes), self.n)
 
+    def _score_all(self, at: np.ndarray, factors: np.ndarray) -> np.ndarray:
+        """The scores of all documents by terms of the shard."""
+        firsts, sizes = self.starts[at], self.starts[at + 1] - self.starts[at]
+        places = np.repeat(firsts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+        places += np.arange(len(places))
+        weights = self.weights.take(places)
+        weights *= np.repeat(factors, sizes)
+        return np.bincount(self.docs.take(places), weights, self.n)
+
     def make_dense(self) -> None:
         """Hold the commonest terms as full rows, which a matrix product scores for many queries at once."""
-        ends = np.append(self.run_start, len(self.docs))[self.term_runs]
-        counts = np.diff(ends)
+        counts = np.diff(self.starts)
         common = np.argsort(-counts, kind="stable")[:DENSE_TERMS]
         common = common[counts[common] * DENSE_SHARE >= self.n]
         self.dense_row = np.full(len(counts), -1)
         self.dense_row[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), self.n))
+        self.exact = np.zeros((self.n, len(common)))
         for row, term in enumerate(common):
-            part = slice(ends[term], ends[term + 1])
-            self.dense[row, self.docs[part]] = self.weights[part]
+            part = slice(self.starts[term], self.starts[term + 1])
+            self.exact[self.docs[part], row] = self.weights[part]
+        self.dense = np.ascontiguousarray(self.exact.T, np.float32)
 
     def best(self, at: np.ndarray, factors: np.ndarray, k: int, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Documents (by number) that may be among the best k, and their rounded scores.
@@ -202,28 +216,46 @@ class Shard:
         ``at`` are the shard's terms of a query in ascending order, ``factors`` their weights in the query, ``base``
         what other terms of the query give to each document.
         """
-        slack, starts = 2 * 10.0**-DECIMALS, np.arange(0, self.n, BLOCK)
         total = np.zeros(self.n) if base is None else base.copy()
-        counts = self.term_runs[at + 1] - self.term_runs[at]
-        runs = np.repeat(self.term_runs[at] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
-        runs += np.arange(len(runs))
-        factors = np.repeat(factors, counts)
-        blocks = self.run_block[runs]
-        bounds = np.bincount(blocks, self.run_most[runs] * factors, len(starts)) + np.maximum.reduceat(total, starts)
-
-        def kth() -> float:
-            scored = total[total > 0]
-            return np.partition(scored, len(scored) - k)[len(scored) - k] if len(scored) >= k else 0.0
-
-        # The blocks of greatest bound first; then those whose bound reaches the k-th score, rounding allowed for.
-        first = np.zeros(len(starts), bool)
-        first[np.argsort(-bounds)[:FIRST_BLOCKS]] = True
-        for chosen in (lambda: first, lambda: ~first & (bounds + slack >= kth())):
-            keep = chosen()[blocks]
-            total += self._score(runs[keep], factors[keep])
-        docs = np.flatnonzero((total > 0) & (total + slack >= kth()))
+        docs = self._add(total, at, factors, k)
         return docs, np.round(total[docs], DECIMALS)
 
+    def _add(self, total: np.ndarray, at: np.ndarray, factors: np.ndarray, k: int, least: float = 0.0, error: float = 0.0) -> np.ndarray:
+        """Adds the terms' scores to ``total``. Returns the documents that may be among the best k and reach ``least``.
+
+        ``error`` is the relative error of the sums. Documents that cannot be among the best may lack scores of some terms.
+        """
+        slack, starts = 2 * 10.0**-DECIMALS, np.arange(0, self.n, BLOCK)
+
+        def enough() -> float:
+            """Reached by the best k, as k blocks hold a document that does."""
+            most = np.maximum.reduceat(total, starts)
+            if len(most) < k:
+                most = total
+            kth = np.partition(most, len(most) - k)[len(most) - k] if len(most) >= k else 0.0
+            return max(kth, least) * (1 - error) - slack
+
+        if len(at) > BOUNDED_TERMS:
+            total += self._score_all(at, factors)
+        else:
+            counts = self.term_runs[at + 1] - self.term_runs[at]
+            runs = np.repeat(self.term_runs[at] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
+            runs += np.arange(len(runs))
+            factors = np.repeat(factors, counts)
+            blocks = self.run_block[runs]
+            bounds = np.bincount(blocks, self.run_most[runs] * factors, len(starts)) + np.maximum.reduceat(total, starts)
+            # The blocks of greatest bound first; then those whose bound reaches the k-th score, rounding allowed for.
+            first = np.zeros(len(starts), bool)
+            first[np.argsort(-bounds)[:FIRST_BLOCKS]] = True
+            for chosen in (lambda: first, lambda: ~first & (bounds >= enough())):
+                keep = chosen()[blocks]
+                total += self._score(runs[keep], factors[keep])
+        docs = np.flatnonzero((total > 0) & (total >= enough()))
+        if len(docs) > k:
+            scores = total[docs]
+            docs = docs[scores >= np.partition(scores, len(scores) - k)[len(scores) - k] * (1 - error) - slack]
+        return docs
+
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     for i in range(batch.num_rows):
@@ -264,6 +296,8 @@ def _search(index: DataFrame, queries: Queries, names: list, kind: str, n: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, idf, names = shared.value
+        # Of each query a score that k documents of the task's shards so far have.
+        least = np.zeros(len(queries.ends) - 1)
         for batch in batches:
             for number, row in enumerate(_rows(batch)):
                 shard = Shard(row, mean_length)
@@ -275,10 +309,10 @@ def _search(index: DataFrame, queries: Queries, names: list, kind: str, n: int,
                 at = shard.find(queries.terms)
                 asked, docs, scores = [], [], []
                 n_queries = len(queries.ends) - 1
-                step = max(16, DENSE_CELLS // max(shard.n, len(shard.dense)))
+                step = max(16, DENSE_CELLS // max(shard.n, shard.dense.shape[0]))
                 for start in range(0, n_queries, step):
                     some = range(start, min(start + step, n_queries))
-                    held, common = [], np.zeros((len(some), len(shard.dense)))
+                    held, common = [], np.zeros((len(some), shard.dense.shape[0]))
                     for row, query in enumerate(some):
                         part = slice(queries.ends[query], queries.ends[query + 1])
                         places = queries.places[part]
@@ -288,9 +322,14 @@ def _search(index: DataFrame, queries: Queries, names: list, kind: str, n: int,
                         dense = shard.dense_row[terms]
                         common[row, dense[dense >= 0]] = factors[dense >= 0]
                         held.append((terms[dense < 0], factors[dense < 0]))
-                    for query, (terms, factors), base in zip(some, held, common @ shard.dense, strict=True):
-                        doc, score = shard.best(terms, factors, k, base)
+                    bases = common.astype(np.float32) @ shard.dense
+                    for query, (terms, factors), base, exact in zip(some, held, bases, common, strict=True):
+                        total = base.astype(np.float64)
+                        doc = shard._add(total, terms, factors, k, least[query], ERROR)
+                        score = np.round(total[doc] - base[doc] + shard.exact[doc] @ exact, DECIMALS)
                         top = np.lexsort((rank[doc], -score))[:k]
+                        if len(top) == k:
+                            least[query] = max(least[query], score[top[-1]])
                         asked.extend([query] * len(top))
                         docs.append(doc[top])
                         scores.append(score[top])

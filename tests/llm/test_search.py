@@ -222,6 +222,44 @@ def test_shards_blocks_and_passes_change_nothing(spark, monkeypatch, shard, bloc
     check_bm25(bm25.top_k(table, F.col("doc_id") % 20 == 0, k=7), docs, lambda i: i % 20 == 0, 7)
 
 
+@pytest.mark.parametrize("bounded", [0, 3, 1000])
+def test_scores_are_exact_however_a_query_is_scored(spark, monkeypatch, bounded):
+    """With rows of common terms in single precision and with bounds, or without; also for what shards before have found."""
+    monkeypatch.setattr(bm25, "BOUNDED_TERMS", bounded)
+    monkeypatch.setattr(bm25, "SHARD_DOCS", 40)
+    monkeypatch.setattr(bm25, "BLOCK", 4)
+    words = [f"w{j * j % 53}" for j in range(60)] + [f"r{j}" for j in range(400)]
+    docs = [(i, prose(i % 250, 20 + i % 90, words)) for i in range(300)]  # some texts twice: equal scores
+    table = spark.createDataFrame([document(i, t) for i, t in docs], SCHEMA).repartition(2)
+    check_bm25(bm25.top_k(table, F.col("doc_id") % 10 == 0, k=7), docs, lambda i: i % 10 == 0, 7)
+
+
+def test_many_terms_are_scored_at_once(monkeypatch):
+    """Sums of many bounds skip nothing: such a query touches no runs, and gets what bounds would have given."""
+    rng = np.random.default_rng(1)
+    n, n_terms = 2000, 300
+    doc, term = np.nonzero(rng.random((n, n_terms)) < 0.03)
+    order = np.lexsort((doc, term))
+    doc, term = doc[order], term[order]
+    packed = bm25._packed
+    row = {
+        "lengths": packed(rng.integers(5, 400, n).astype("<u4")),
+        "terms": packed(np.unique(term).astype("<u8")),
+        "counts": packed(np.bincount(term).astype("<u4")),
+        "docs": packed(doc.astype("<u2")),
+        "times": packed(rng.integers(1, 5, len(doc)).astype("<u4")),
+    }
+    shard = bm25.Shard(row, 200.0)
+    at, factors = np.arange(0, n_terms, 2), rng.random(n_terms // 2)
+    touched, plain = [], shard._score
+    shard._score = lambda runs, factors: touched.append(len(runs)) or plain(runs, factors)
+    docs, scores = shard.best(at, factors, 5)
+    assert not touched
+    monkeypatch.setattr(bm25, "BOUNDED_TERMS", n_terms)
+    other, same = shard.best(at, factors, 5)
+    assert touched and sorted(zip(-scores, docs))[:5] == sorted(zip(-same, other))[:5]
+
+
 def test_blocks_are_skipped():
     """A shard scores fewer postings than it has, and still finds the best."""
     rng = np.random.default_rng(0)
