@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.bloom import blocks_for, filter_of, key_hash, may_hold
 from shelfmark.functions.keywords import all_of, where_once
 from shelfmark.functions.text import contains_all, split_terms
 from shelfmark.functions.text import terms as text_terms
 from shelfmark.operators.classify import in_category, uncategorized
 from shelfmark.operators.rules import RuleSet
+from shelfmark.session import fresh_dir
 
 ALL, UNCATEGORIZED = "all", "uncategorized"  # Fixed values
-# Characters by which texts and terms meet, and texts that may hold a run before it is salted.
+# Characters by which texts and terms meet, at least, and texts that may hold a run before it is salted.
 GRAM = 3
 HOT_TEXTS = 100_000
 # Queries without terms that meet a row together.
 ID_BLOCK = 1000
 # Runs asked for, up to which they are broadcast.
 FEW_GRAMS = 100_000
+# Blocks of the filter of more runs than that, at most: it is broadcast.
+MOST_BLOCKS = 1 << 18
+# Texts that a task cuts into runs.
+CUT_TEXTS = 1 << 16
 
 
 def search_text(df: DataFrame, lower_barcode: bool = False) -> Column:
@@ -56,28 +62,42 @@ def search_batch(df: DataFrame, queries: DataFrame) -> DataFrame:
     """Many queries at once: one row per query ``(query_id, query)`` and row it finds.
 
     A query finds a text if all of its terms do; one without terms finds every row. Each query meets the texts by one run
-    of up to GRAM characters: of all runs in its terms the one that fewest texts hold. What meets is tested for all terms.
-    Runs that very many texts hold are salted. Joins of texts and queries are merges whatever size the files have: small
-    files may hold very many rows, and what is broadcast passes through the driver.
+    of characters: of all runs in its terms the one that fewest texts hold. What meets is tested for all terms. Runs have GRAM
+    characters, or as many as the number of texts has digits: of so many digits as few texts hold the same however many
+    there are. Shorter terms are runs themselves. Runs that very many texts hold are salted. Joins of texts and queries are
+    merges whatever size the files have: small files may hold very many rows, and what is broadcast passes through the driver.
     """
-    sizes = tuple(range(1, GRAM + 1))
-    asked = queries.select("query_id", F.array_distinct(text_terms(F.col("query"))).alias("terms"))
-    # Terms of fewer characters are runs themselves.
-    short = F.filter("terms", lambda term: F.length(term) < GRAM)
-    long = F.flatten(F.transform("terms", lambda term: _grams(term, (GRAM,))))
-    runs = asked.select("query_id", F.explode(F.array_distinct(F.concat(short, long))).alias("gram"))
-
+    spark = df.sparkSession
     # Case is settled by search_text; a barcode keeps its own and is tested as it is.
     texts = df.withColumn("_text", search_text(df))
-    cut = texts.select("_text").distinct().select("_text", F.explode(_grams(F.col("_text"), sizes)).alias("gram"))
+    distinct = texts.select("_text").distinct()
+    n_texts = distinct.count()
+    size = max(GRAM, len(str(n_texts)))
+    asked = queries.select("query_id", F.array_distinct(text_terms(F.col("query"))).alias("terms"))
+    short = F.filter("terms", lambda term: F.length(term) < size)
+    long = F.flatten(F.transform("terms", lambda term: _grams(term, (size,))))
+    runs = asked.select("query_id", F.explode(F.array_distinct(F.concat(short, long))).alias("gram"))
     grams = runs.select("gram").distinct()
-    few = grams.count() <= FEW_GRAMS
+    n_grams, sizes = grams.agg(F.count(F.lit(1)), F.collect_set(F.length("gram"))).first()
+    few = n_grams <= FEW_GRAMS
 
     def by_gram(counted: DataFrame) -> DataFrame:
         """A table of one row a run, for a join."""
         return F.broadcast(counted) if few else counted.hint("merge")
 
-    cut = cut.join(by_gram(grams), "gram", "left_semi")
+    # Dealt by a hash: Spark leaves out a second exchange by the text itself and merges partitions of few bytes.
+    distinct = distinct.repartition(max(1, -(-n_texts // CUT_TEXTS)), F.xxhash64("_text"))
+    cut = distinct.select("_text", F.explode(_grams(F.col("_text"), tuple(sorted(sizes)) or (GRAM,))).alias("gram"))
+    if few:
+        cut = cut.join(F.broadcast(grams), "gram", "left_semi")
+    else:  # most runs of the texts are not asked for, and go before anything is shuffled
+        blocks, key = min(blocks_for(n_grams), MOST_BLOCKS), key_hash("gram").alias("_key")
+        asked_for = filter_of(grams.select(key), "_key", blocks)
+        cut = may_hold(cut.select("*", key), "_key", F.broadcast(asked_for), blocks).drop("_key")
+    # They are counted and met: written once, not cut twice.
+    folder = fresh_dir(spark, "search-runs")
+    cut.select("_text", "gram").write.parquet(folder)
+    cut = spark.read.schema("_text string, gram string").parquet(folder)
     held = cut.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     # A run that no text holds is the rarest: its query finds nothing.
     rarest = F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram")

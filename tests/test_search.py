@@ -69,6 +69,24 @@ def test_batch_broadcasts_neither_texts_nor_queries(spark, products, tmp_path, m
     assert rows(batch, "query_id", "barcode") == sorted(single)
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_runs_get_longer_with_the_number_of_texts(spark, tmp_path, monkeypatch, few):
+    """Runs of three digits would each lie in a share of all texts, however many there are."""
+    monkeypatch.setattr(search, "FEW_GRAMS", few)
+    monkeypatch.setattr(search, "CUT_TEXTS", 100)
+    monkeypatch.setattr(search, "fresh_dir", lambda spark, label: f"{tmp_path}/{label}")
+    products = spark.range(1200).select(F.col("id").cast("string").alias("barcode"), F.lit("big bear").alias("name"))
+    queries = spark.range(1000, 1300).select("id", F.concat("id", F.lit(" B")).alias("query")).toDF("query_id", "query")
+    batch = search.search_batch(products, queries)
+    assert rows(batch, "query_id", "barcode") == sorted((i, str(i)) for i in range(1000, 1200))
+    cut = spark.read.parquet(f"{tmp_path}/search-runs")
+    assert cut.where("length(gram) = 4").groupBy("gram").count().agg(F.max("count")).first()[0] == 1
+    asked = {"b"} | {str(i) for i in range(1000, 1200)}
+    found = {r["gram"] for r in cut.select("gram").distinct().collect()}
+    assert found == asked if few else asked <= found and len(found) < 1.2 * len(asked)
+    assert {len(gram) for gram in found} == {1, 4}
+
+
 def test_readings(spark, products):
     schema = "char string, reading string"
     with pytest.raises(ValueError, match="one character"):
